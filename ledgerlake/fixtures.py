@@ -37,6 +37,8 @@ BILL_AS_OF = "1998-03-15"
 EVENT_AS_OF = "2024-01-30"
 
 MONEY = "decimal(14,6)"
+# Bump when a staged derivation changes, so old staged copies are not reused.
+FIXTURE_VERSION = 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,7 +114,7 @@ def build_line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = Fals
 
 def line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False) -> DataFrame:
     """Staged T5: written once per input under the checkpoint root, partitioned by cycle."""
-    name = "line_items_legacy" if legacy_empty else "line_items"
+    name = ("line_items_legacy" if legacy_empty else "line_items") + f"_v{FIXTURE_VERSION}"
     df = stage(
         spark,
         name,
@@ -273,3 +275,37 @@ def sampled_logs(ev: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).cast("int").alias("status_code"),
         F.col("value").cast("decimal(10,2)").alias("latency_ms"),
     )
+
+
+def fact_rows(items: DataFrame, env: DataFrame, amount: str = "cash_amount") -> DataFrame:
+    """T10 ``finops_billing_fact`` rows (the OSS export path) from line items.
+
+    tags_json carries the account's environment ({"env": ..}) when it is configured;
+    env is read back from it (PRJ10), so unconfigured accounts are UNTAGGED.  The
+    dedup key (PRJ9) is over (cycle, usage date, order, line): a re-delivered line
+    collides, distinct lines never do.
+    """
+    from .functions.keys import dedup_key, env_tag
+
+    tags = env.select(
+        "account_id", F.concat(F.lit('{"env":"'), F.col("environment"), F.lit('"}')).alias("tags_json")
+    )
+    j = items.join(F.broadcast(tags), "account_id", "left")
+    return j.select(
+        "billing_cycle",
+        F.col("bill_date").alias("usage_date"),
+        F.col("region").alias("account_alias"),
+        "account_id",
+        env_tag("tags_json").alias("env"),
+        "product_code",
+        F.col("sub_order_id").alias("instance_id"),
+        F.col("billing_item").alias("item_code"),
+        F.col(amount).cast("decimal(18,6)").alias("amount"),
+        "currency",
+        "tags_json",
+        F.concat(F.lit("billing-data/"), F.col("account_id"), F.lit("/"), F.col("billing_cycle"), F.lit(".csv")).alias(
+            "source_object"
+        ),
+        dedup_key("billing_cycle", "bill_date", "sub_order_id", "billing_item").alias("dedup_key"),
+        F.col("synced_at").alias("ingested_at"),
+    )

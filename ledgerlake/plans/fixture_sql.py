@@ -222,6 +222,112 @@ SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value, props
 )
 
 
+# legacy-account variants (account '' for every fifth nation)
+for _n in ("daily_raw", "overview", "overview_cash", "monthly_raw"):
+    _sql, _deps = _CTES[_n]
+    _CTES[_n + "_legacy"] = (
+        _sql.replace("FROM line_items", "FROM line_items_legacy").replace("FROM overview_cash", "FROM overview_cash_legacy")
+        .replace("FROM overview\n", "FROM overview_legacy\n").replace("FROM overview ", "FROM overview_legacy "),
+        tuple(d + "_legacy" for d in _deps),
+    )
+_CTES["overview_cash_legacy"] = (_CTES["overview_cash"][0].replace("FROM overview", "FROM overview_legacy"), ("overview_legacy",))
+
+_cte(
+    "period_rows",
+    """
+SELECT '1d' AS report_type, strftime(bill_date, '%Y-%m-%d') AS period_key, account_id, metric_type, product_code, amount
+FROM (SELECT bill_date, account_id, 'consumption' AS metric_type, product_code, amount FROM daily_products
+      UNION ALL SELECT bill_date, account_id, 'payment', product_code, cash_amount FROM daily_products) d
+UNION ALL
+SELECT 'this_week', strftime(bill_date, '%G-W%V'), account_id, metric_type, product_code, amount
+FROM (SELECT bill_date, account_id, 'consumption' AS metric_type, product_code, amount FROM daily_products
+      UNION ALL SELECT bill_date, account_id, 'payment', product_code, cash_amount FROM daily_products) d
+UNION ALL
+SELECT r.report_type,
+       CASE r.report_type WHEN 'month' THEN billing_cycle
+            WHEN 'quarter' THEN substr(billing_cycle, 1, 4) || '-Q' ||
+                 CAST((CAST(substr(billing_cycle, 6, 2) AS INTEGER) - 1) // 3 + 1 AS VARCHAR)
+            ELSE substr(billing_cycle, 1, 4) END,
+       account_id, metric_type, product_code, amount
+FROM (SELECT billing_cycle, account_id, 'consumption' AS metric_type, product_code, amount FROM monthly_products
+      UNION ALL SELECT billing_cycle, account_id, 'payment', product_code, cash_amount FROM monthly_products) m
+CROSS JOIN (VALUES ('month'), ('quarter'), ('this_year')) r(report_type)
+""",
+    ("daily_products", "monthly_products"),
+)
+_cte(
+    "period_agg",
+    """
+SELECT report_type, period_key, account_id, metric_type,
+       CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,6)) AS total_amount,
+       COUNT(DISTINCT CASE WHEN amount IS NOT NULL THEN product_code END) AS product_count,
+       'PRELIMINARY' AS data_status
+FROM period_rows GROUP BY report_type, period_key, account_id, metric_type
+""",
+    ("period_rows",),
+)
+_cte(
+    "fact_rows",
+    """
+SELECT li.billing_cycle, li.bill_date AS usage_date, li.region AS account_alias, li.account_id,
+       COALESCE(json_extract_string(t.tags_json, '$.env'), 'UNTAGGED') AS env,
+       li.product_code, li.sub_order_id AS instance_id, li.billing_item AS item_code,
+       CAST(li.cash_amount AS DECIMAL(18,6)) AS amount, li.currency, t.tags_json,
+       'billing-data/' || li.account_id || '/' || li.billing_cycle || '.csv' AS source_object,
+       sha256(concat_ws(chr(31), li.billing_cycle, CAST(li.bill_date AS VARCHAR), li.sub_order_id, li.billing_item))
+         AS dedup_key,
+       li.synced_at AS ingested_at,
+       li.pretax_amount
+FROM line_items li
+LEFT JOIN (SELECT account_id, '{"env":"' || environment || '"}' AS tags_json FROM env_config) t
+  ON li.account_id = t.account_id
+""",
+    ("line_items", "env_config"),
+)
+_cte(
+    "fact",
+    """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY account_id, dedup_key
+    ORDER BY ingested_at DESC NULLS LAST, billing_cycle DESC NULLS LAST, usage_date DESC NULLS LAST,
+             account_alias DESC NULLS LAST, env DESC NULLS LAST, product_code DESC NULLS LAST,
+             instance_id DESC NULLS LAST, item_code DESC NULLS LAST, amount DESC NULLS LAST,
+             currency DESC NULLS LAST, tags_json DESC NULLS LAST, source_object DESC NULLS LAST) AS rn
+  FROM (SELECT * EXCLUDE (pretax_amount) FROM fact_rows)
+) WHERE rn = 1
+""",
+    ("fact_rows",),
+)
+_cte(
+    "status_new",
+    """
+SELECT billing_cycle, account_id, data_status,
+       CAST(ROUND(ref_total, 2) AS DECIMAL(14,2)) AS line_items_sum,
+       CAST(ROUND(monthly_api_total, 2) AS DECIMAL(14,2)) AS monthly_api_total,
+       CAST(ROUND(drift, 2) AS DECIMAL(14,2)) AS drift_amount
+FROM outcome WHERE outcome <> 'UNKNOWN'
+""",
+    ("outcome",),
+)
+_cte(
+    "month_status",
+    """
+SELECT COALESCE(o.billing_cycle, n.billing_cycle) AS billing_cycle,
+       COALESCE(o.account_id, n.account_id) AS account_id,
+       CASE WHEN n.billing_cycle IS NOT NULL THEN n.data_status ELSE o.data_status END AS data_status,
+       CASE WHEN n.billing_cycle IS NOT NULL THEN n.line_items_sum ELSE NULL END AS line_items_sum,
+       CASE WHEN n.billing_cycle IS NOT NULL THEN n.monthly_api_total ELSE NULL END AS monthly_api_total,
+       CASE WHEN n.billing_cycle IS NOT NULL THEN n.drift_amount ELSE NULL END AS drift_amount,
+       CASE WHEN o.billing_cycle IS NOT NULL THEN o.notes ELSE NULL END AS notes
+FROM (SELECT DISTINCT billing_cycle, account_id, 'PRELIMINARY' AS data_status, 'initial load' AS notes
+      FROM line_items) o
+FULL OUTER JOIN status_new n ON o.billing_cycle = n.billing_cycle AND o.account_id = n.account_id
+""",
+    ("line_items", "status_new"),
+)
+
+
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the named CTEs and everything they depend on."""
     order: list[str] = []

@@ -131,3 +131,410 @@ def daily_report(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf)
     daily = ru.daily_rollup(items)
     return rc.daily_report(daily, rc.reconcile(items, daily, fx.api_month_totals(items, spark)))
+
+
+# ------------------------------------------------------- step 2: diagnostics
+from ..functions.cycles import cycle_range  # noqa: E402
+from ..operators import clean as cl  # noqa: E402
+from ..operators import diagnostics as dg  # noqa: E402
+from ..operators import upsert as up  # noqa: E402
+from ..operators import views as vw  # noqa: E402
+from ..functions.breakdown import flatten_breakdown  # noqa: E402
+
+_FLT4 = """
+WHERE billing_cycle IN (strftime(DATE '{a}' - INTERVAL 1 MONTH, '%Y-%m'),
+                        strftime(DATE '{a}' - INTERVAL 13 MONTH, '%Y-%m'))
+  AND bill_date >= date_trunc('month', DATE '{a}')
+  AND bill_date < date_trunc('month', DATE '{a}') + INTERVAL 1 MONTH
+""".format(a=AS_OF)
+
+
+@query(
+    "prior_cycle_summary",
+    ids=("AGG3", "FLT4"),
+    headline=True,
+    sql=with_ctes(
+        "SELECT COUNT(*) AS cnt, billing_cycle, CAST(MIN(bill_date) AS VARCHAR) AS min_bill_date, "
+        "CAST(MAX(bill_date) AS VARCHAR) AS max_bill_date FROM line_items " + _FLT4 + " GROUP BY billing_cycle",
+        "line_items",
+    ),
+)
+def prior_cycle_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.prior_cycle_summary(_items(spark, sf), AS_OF)
+
+
+@query(
+    "prior_cycle_detail",
+    ids=("AGG4", "FLT4", "SRT1"),
+    sql=with_ctes(
+        "SELECT " + ", ".join(dg.DETAIL_COLUMNS) + " FROM line_items " + _FLT4
+        + " ORDER BY billing_cycle, bill_date, cash_amount",
+        "line_items",
+    ),
+)
+def prior_cycle_detail(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.prior_cycle_detail(_items(spark, sf), AS_OF)
+
+
+@query(
+    "prior_cycle_reversals",
+    ids=("AGG5", "FLT4", "FLT5"),
+    sql=with_ctes(
+        "SELECT billing_cycle, COUNT(*) AS reversal_count, CAST(SUM(cash_amount) AS DECIMAL(38,6)) AS cash_sum, "
+        "CAST(SUM(pretax_amount) AS DECIMAL(38,6)) AS pretax_sum FROM line_items " + _FLT4
+        + " AND (cash_amount < 0 OR is_reversal = TRUE) GROUP BY billing_cycle",
+        "line_items",
+    ),
+)
+def prior_cycle_reversals(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.prior_cycle_reversals(_items(spark, sf), AS_OF)
+
+
+def _period_key_sql(d: str) -> str:
+    q = "CAST((month({x}) - 1) // 3 + 1 AS VARCHAR)"
+    return f"""
+SELECT {d} AS as_of, '1d' AS report_type, strftime({d} - 1, '%Y-%m-%d') AS expected_period_key FROM src
+UNION ALL SELECT {d}, 'this_week', strftime({d}, '%G-W%V') FROM src
+UNION ALL SELECT {d}, 'month', strftime({d}, '%Y-%m') FROM src
+UNION ALL SELECT {d}, 'last_month', strftime({d} - INTERVAL 1 MONTH, '%Y-%m') FROM src
+UNION ALL SELECT {d}, 'quarter', strftime({d}, '%Y') || '-Q' || {q.format(x=d)} FROM src
+UNION ALL SELECT {d}, 'this_year', strftime({d}, '%Y') FROM src
+UNION ALL SELECT {d}, 'last_year', strftime({d} - INTERVAL 1 YEAR, '%Y') FROM src
+UNION ALL SELECT {d}, 'last_quarter', strftime({d} - INTERVAL 3 MONTH, '%Y') || '-Q' ||
+  {q.format(x=d + ' - INTERVAL 3 MONTH')} FROM src
+"""
+
+
+@query(
+    "period_keys_by_date",
+    ids=("PRJ11", "SET1"),
+    sql=with_ctes(
+        _period_key_sql("as_of").replace("FROM src", "FROM (SELECT DISTINCT bill_date AS as_of FROM line_items) src"),
+        "line_items",
+    ),
+)
+def period_keys_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    dates = _items(spark, sf).select(F.col("bill_date").alias("as_of")).distinct()
+    return dg.expected_periods(dates)
+
+
+@query(
+    "report_type_summary",
+    ids=("AGG6", "FLT7", "SRT1"),
+    sql=with_ctes(
+        "SELECT report_type, COUNT(*) AS row_count, ROUND(SUM(total_amount), 2) AS sum_total_amount "
+        "FROM period_agg WHERE metric_type = 'payment' GROUP BY report_type ORDER BY report_type",
+        "period_agg",
+    ),
+)
+def report_type_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.report_type_summary(_period_agg(spark, sf))
+
+
+@query(
+    "aggregate_listing",
+    ids=("Q9", "PRJ13", "SRT1"),
+    sql=with_ctes(
+        "SELECT report_type, period_key, metric_type, ROUND(total_amount, 2) AS total_amount, account_id, "
+        "CAST(NULL AS DATE) AS last_success FROM period_agg ORDER BY report_type, period_key",
+        "period_agg",
+    ),
+)
+def aggregate_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.aggregate_listing(_period_agg(spark, sf))
+
+
+@query(
+    "daily_recent",
+    ids=("Q9", "FLT2", "SRT2", "PRJ13"),
+    sql=with_ctes(
+        "SELECT bill_date, ROUND(total_amount, 2) AS total_amount, ROUND(cash_total_amount, 2) AS cash_total_amount, "
+        f"account_id FROM daily_raw WHERE bill_date >= CAST(DATE '{AS_OF}' - INTERVAL 30 DAY AS DATE) "
+        "ORDER BY bill_date DESC",
+        "daily_raw",
+    ),
+)
+def daily_recent(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.daily_recent(_daily(spark, sf), AS_OF)
+
+
+@query(
+    "monthly_recent",
+    ids=("Q9", "FLT3", "SRT2", "PRJ13"),
+    sql=with_ctes(
+        "SELECT billing_cycle, ROUND(total_amount, 2) AS total_amount, "
+        "ROUND(COALESCE(cash_total_amount, 0), 2) AS cash_total_amount, account_id FROM monthly_raw "
+        f"WHERE billing_cycle >= strftime(DATE '{AS_OF}' - INTERVAL 12 MONTH, '%Y-%m') ORDER BY billing_cycle DESC",
+        "monthly_raw",
+    ),
+)
+def monthly_recent(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.monthly_recent(_monthly(spark, sf), AS_OF)
+
+
+GAP_AS_OF = "2001-10-15"  # after the last billing cycle of the data: month periods are missing
+
+
+@query(
+    "missing_periods",
+    ids=("Q8", "PRJ11"),
+    sql=with_ctes(
+        "SELECT e.report_type, e.expected_period_key AS period_key FROM ("
+        + _period_key_sql(f"DATE '{GAP_AS_OF}'").replace("FROM src", "FROM (SELECT 1) src")
+        + ") e WHERE NOT EXISTS (SELECT 1 FROM period_agg p WHERE p.period_key = e.expected_period_key "
+        "AND p.report_type = CASE e.report_type WHEN 'last_month' THEN 'month' WHEN 'last_quarter' THEN 'quarter' "
+        "WHEN 'last_year' THEN 'this_year' ELSE e.report_type END)",
+        "period_agg",
+    ),
+)
+def missing_periods(spark: SparkSession, sf: str) -> DataFrame:
+    etl_rows = ru.period_aggregate_as_of(_period_agg(spark, sf), GAP_AS_OF)
+    return dg.missing_periods(etl_rows, GAP_AS_OF)
+
+
+@query(
+    "row_probes",
+    ids=("AGG24", "LIM1"),
+    sql=with_ctes(
+        "SELECT 'line_items' AS table_name, COUNT(*) AS cnt FROM line_items WHERE cash_amount < 0 OR is_reversal "
+        "UNION ALL SELECT 'daily_raw', COUNT(*) FROM daily_raw WHERE cash_total_amount < 0 "
+        "UNION ALL SELECT 'monthly_raw', COUNT(*) FROM monthly_raw WHERE total_amount < 0",
+        "line_items", "daily_raw", "monthly_raw",
+    ),
+)
+def row_probes(spark: SparkSession, sf: str) -> DataFrame:
+    items = _items(spark, sf)
+    return (
+        dg.row_probe(items, dg.is_reversal(), "line_items")
+        .unionByName(dg.row_probe(ru.daily_rollup(items), F.col("cash_total_amount") < 0, "daily_raw"))
+        .unionByName(dg.row_probe(_monthly(spark, sf), F.col("total_amount") < 0, "monthly_raw"))
+    )
+
+
+@query(
+    "cash_flow_view",
+    ids=("PRJ1", "SRC9"),
+    sql=with_ctes(
+        "SELECT transaction_number AS flow_id, account_id, transaction_time AS occurred_at, amount, "
+        "transaction_type AS flow_type, transaction_flow, billing_cycle, currency, synced_at FROM bss_tx",
+        "bss_tx",
+    ),
+)
+def cash_flow_view(spark: SparkSession, sf: str) -> DataFrame:
+    return dg.cash_flow(fx.bss_transactions(spark, sf))
+
+
+# ------------------------------------------------------- step 3: cleaning
+@query(
+    "monthly_legacy_cleaned",
+    ids=("JN1", "PRJ2", "PRJ3"),
+    sql=with_ctes(
+        """
+SELECT billing_cycle,
+       CASE WHEN account_id IS NULL OR account_id = '' THEN 'POC' ELSE account_id END AS account_id,
+       total_amount, cash_total_amount
+FROM monthly_raw_legacy m
+WHERE COALESCE(account_id, '') <> ''
+   OR NOT EXISTS (SELECT 1 FROM monthly_raw_legacy o
+                  WHERE o.billing_cycle = m.billing_cycle AND COALESCE(o.account_id, '') <> '')
+""",
+        "monthly_raw_legacy",
+    ),
+)
+def monthly_legacy_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    items = fx.line_items(spark, sf, legacy_empty=True)
+    m = cl.fill_empty_account(ru.monthly_rollup(fx.overview_items(items)))
+    m = cl.map_legacy_account(cl.drop_shadowed_empty(m, "billing_cycle"))
+    return m.select("billing_cycle", "account_id", "total_amount", "cash_total_amount")
+
+
+@query(
+    "daily_legacy_cleaned",
+    ids=("JN1", "PRJ2"),
+    sql=with_ctes(
+        """
+SELECT bill_date,
+       CASE WHEN account_id IS NULL OR account_id = '' THEN 'POC' ELSE account_id END AS account_id,
+       total_amount, cash_total_amount
+FROM daily_raw_legacy d
+WHERE COALESCE(account_id, '') <> ''
+   OR NOT EXISTS (SELECT 1 FROM daily_raw_legacy o
+                  WHERE o.bill_date = d.bill_date AND COALESCE(o.account_id, '') <> '')
+""",
+        "daily_raw_legacy",
+    ),
+)
+def daily_legacy_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    items = fx.line_items(spark, sf, legacy_empty=True)
+    d = cl.map_legacy_account(cl.drop_shadowed_empty(ru.daily_rollup(items), "bill_date"))
+    return d.select("bill_date", "account_id", "total_amount", "cash_total_amount")
+
+
+@query(
+    "bill_summary",
+    ids=("AGG22", "PRJ14", "PRJ6", "FLT10", "PRJ15"),
+    sql=with_ctes(
+        """
+SELECT t.day, t.billing_cycle,
+       regexp_replace(t.billing_cycle, '^(\\d{4})(\\d{2})$', '\\1-\\2') AS cycle_normalized,
+       regexp_matches(regexp_replace(t.billing_cycle, '^(\\d{4})(\\d{2})$', '\\1-\\2'), '^\\d{4}-\\d{2}$')
+         AND try_strptime(regexp_replace(t.billing_cycle, '^(\\d{4})(\\d{2})$', '\\1-\\2'), '%Y-%m') IS NOT NULL
+         AS cycle_valid,
+       t.total_amount, p.product, p.amount,
+       CASE WHEN t.total_amount = 0 THEN NULL
+            ELSE CAST(p.amount AS DOUBLE) / CAST(t.total_amount AS DOUBLE) * 100.0 END AS pct
+FROM (SELECT bill_date AS day, strftime(bill_date, '%Y%m') AS billing_cycle,
+             CAST(SUM(amount) AS DECIMAL(38,6)) AS total_amount
+      FROM daily_products GROUP BY bill_date) t
+JOIN (SELECT bill_date AS day, product_code AS product, CAST(SUM(amount) AS DECIMAL(38,6)) AS amount
+      FROM daily_products GROUP BY bill_date, product_code) p ON t.day = p.day
+""",
+        "daily_products",
+    ),
+)
+def bill_summary(spark: SparkSession, sf: str) -> DataFrame:
+    s = cl.with_cycle_check(ru.bill_summary(_daily(spark, sf)))
+    return s.select(
+        "day", "billing_cycle", "cycle_normalized", "cycle_valid", "total_amount",
+        F.inline("product_breakdown"),
+    )
+
+
+# ------------------------------------------------------- step 5: roll-ups
+@query(
+    "daily_rollup",
+    ids=("AGG7", "SNK5"),
+    headline=True,
+    sql=with_ctes(
+        "SELECT bill_date, account_id, CAST(SUM(amount) AS DECIMAL(38,6)) AS total_amount, "
+        "CAST(SUM(cash_amount) AS DECIMAL(38,6)) AS cash_total_amount, COUNT(*) AS product_count, "
+        "COUNT(cash_amount) AS cash_product_count FROM daily_products GROUP BY bill_date, account_id",
+        "daily_products",
+    ),
+)
+def daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    d = _daily(spark, sf)
+    return d.select(
+        "bill_date", "account_id", "total_amount", "cash_total_amount",
+        F.size("product_breakdown").cast("bigint").alias("product_count"),
+        F.size("cash_product_breakdown").cast("bigint").alias("cash_product_count"),
+    )
+
+
+@query(
+    "daily_breakdown",
+    ids=("AGG7", "PRJ8", "PRJ15"),
+    sql=with_ctes(
+        "SELECT bill_date, account_id, 'consumption' AS metric_type, product_code, amount FROM daily_products "
+        "UNION ALL SELECT bill_date, account_id, 'payment', product_code, cash_amount FROM daily_products",
+        "daily_products",
+    ),
+)
+def daily_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    u = ru.unpivot_metrics(_daily(spark, sf), ["bill_date", "account_id"]).drop("total_amount")
+    return flatten_breakdown(u, "product_breakdown")
+
+
+@query(
+    "monthly_rollup",
+    ids=("AGG8", "PRJ7", "SET2"),
+    headline=True,
+    sql=with_ctes(
+        "SELECT m.billing_cycle, m.account_id, m.total_amount, m.cash_total_amount, p.product_count, "
+        "p.cash_product_count FROM monthly_raw m JOIN (SELECT billing_cycle, account_id, COUNT(*) AS product_count, "
+        "COUNT(cash_amount) AS cash_product_count FROM monthly_products GROUP BY 1, 2) p "
+        "USING (billing_cycle, account_id)",
+        "monthly_raw", "monthly_products",
+    ),
+)
+def monthly_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    m = _monthly(spark, sf)
+    return m.select(
+        "billing_cycle", "account_id", "total_amount", "cash_total_amount",
+        F.size("product_breakdown").cast("bigint").alias("product_count"),
+        F.size("cash_product_breakdown").cast("bigint").alias("cash_product_count"),
+    )
+
+
+@query(
+    "monthly_breakdown",
+    ids=("AGG8", "PRJ8", "PRJ15"),
+    sql=with_ctes(
+        "SELECT billing_cycle, account_id, 'consumption' AS metric_type, product_code, amount FROM monthly_products "
+        "UNION ALL SELECT billing_cycle, account_id, 'payment', product_code, cash_amount FROM monthly_products "
+        "WHERE cash_amount IS NOT NULL",
+        "monthly_products",
+    ),
+)
+def monthly_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    u = ru.unpivot_metrics(_monthly(spark, sf), ["billing_cycle", "account_id"]).drop("total_amount")
+    return flatten_breakdown(u, "product_breakdown")
+
+
+@query(
+    "monthly_payments_only",
+    ids=("FLT9", "AGG8"),
+    sql=with_ctes(
+        "SELECT billing_cycle, account_id, CAST(COALESCE(SUM(CASE WHEN PaymentAmount > 0 THEN PaymentAmount END), 0) "
+        "AS DECIMAL(38,6)) AS cash_total_amount FROM overview GROUP BY billing_cycle, account_id",
+        "overview",
+    ),
+)
+def monthly_payments_only(spark: SparkSession, sf: str) -> DataFrame:
+    return _monthly(spark, sf, positive_only=True).select("billing_cycle", "account_id", "cash_total_amount")
+
+
+@query(
+    "monthly_range",
+    ids=("FLT8",),
+    sql=with_ctes(
+        "SELECT billing_cycle, account_id, total_amount FROM monthly_raw "
+        "WHERE billing_cycle BETWEEN '1997-01' AND '1998-12'",
+        "monthly_raw",
+    ),
+)
+def monthly_range(spark: SparkSession, sf: str) -> DataFrame:
+    m = _monthly(spark, sf)
+    return m.filter(cycle_range("billing_cycle", "1997-01", "1998-12")).select(
+        "billing_cycle", "account_id", "total_amount"
+    )
+
+
+def _period_agg(spark: SparkSession, sf: str) -> DataFrame:
+    items = _items(spark, sf)
+    return ru.period_aggregate(ru.daily_rollup(items), ru.monthly_rollup(fx.overview_items(items)))
+
+
+@query(
+    "period_aggregate",
+    ids=("AGG9", "PRJ8", "PRJ11"),
+    headline=True,
+    sql=with_ctes(
+        "SELECT report_type, period_key, account_id, metric_type, total_amount, product_count, data_status "
+        "FROM period_agg",
+        "period_agg",
+    ),
+)
+def period_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+    p = _period_agg(spark, sf)
+    return p.select(
+        "report_type", "period_key", "account_id", "metric_type", "total_amount",
+        F.size("product_breakdown").cast("bigint").alias("product_count"), "data_status",
+    )
+
+
+@query(
+    "period_aggregate_as_of",
+    ids=("AGG9", "PRJ11"),
+    sql=with_ctes(
+        "SELECT e.report_type, e.expected_period_key AS period_key, p.account_id, p.metric_type, p.total_amount "
+        "FROM (" + _period_key_sql(f"DATE '{AS_OF}'").replace("FROM src", "FROM (SELECT 1) src") + ") e "
+        "JOIN period_agg p ON p.period_key = e.expected_period_key AND p.report_type = CASE e.report_type "
+        "WHEN 'last_month' THEN 'month' WHEN 'last_quarter' THEN 'quarter' WHEN 'last_year' THEN 'this_year' "
+        "ELSE e.report_type END",
+        "period_agg",
+    ),
+)
+def period_aggregate_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    a = ru.period_aggregate_as_of(_period_agg(spark, sf), AS_OF)
+    return a.select("report_type", "period_key", "account_id", "metric_type", "total_amount")

@@ -115,14 +115,17 @@ def _fingerprint(paths: Sequence[str]) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` can be listed (works on any Hadoop file system)."""
+    """True when ``path`` exists (a read probe; works on any Hadoop file system)."""
     try:
-        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+        spark.read.text(path).limit(1).collect()
         return True
     except Exception:
         return False
 
 
+_DONE: set[str] = set()
+
+
 def stage(
     spark: SparkSession,
     name: str,
@@ -142,7 +145,8 @@ def stage(
     is written by ``spread`` tasks, not one, while files per folder stay bounded.
     """
     path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(inputs)}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
+    marker = f"{path}.done"
+    if path not in _DONE and not _exists(spark, marker):
         df = build()
         if partition_by:
             keys = [F.col(c) for c in partition_by]
@@ -155,4 +159,6 @@ def stage(
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
+    _DONE.add(path)
     return spark.read.parquet(path)
