@@ -172,13 +172,15 @@ def advance_checkpoint(checkpoint: DataFrame, processed: DataFrame) -> DataFrame
 
     The mark never moves back; an account seen for the first time is inserted.
     """
-    seen = processed.groupBy("account_id").agg(F.max("last_modified").alias("_new"))
+    ts_type = checkpoint.schema["max_object_last_modified"].dataType
+    epoch = F.lit("1970-01-01 00:00:00").cast(ts_type)
+    seen = processed.groupBy("account_id").agg(F.max("last_modified").cast(ts_type).alias("_new"))
     j = checkpoint.join(seen, "account_id", "full_outer")
     return j.select(
         "account_id",
         F.greatest(
-            F.coalesce(F.col("max_object_last_modified"), F.lit(dt.datetime(1970, 1, 1))),
-            F.coalesce(F.col("_new"), F.lit(dt.datetime(1970, 1, 1))),
+            F.coalesce(F.col("max_object_last_modified"), epoch),
+            F.coalesce(F.col("_new"), epoch),
         ).alias("max_object_last_modified"),
     )
 
