@@ -309,3 +309,76 @@ def fact_rows(items: DataFrame, env: DataFrame, amount: str = "cash_amount") ->
         dedup_key("billing_cycle", "bill_date", "sub_order_id", "billing_item").alias("dedup_key"),
         F.col("synced_at").alias("ingested_at"),
     )
+
+
+def activity_of(props: Column) -> Column:
+    """Evidence/activity score of an event: the ``k`` member of its JSON props."""
+    return F.get_json_object(props, "$.k").cast("int")
+
+
+def pod_samples(ev: DataFrame) -> DataFrame:
+    """Pod cost samples: namespace = event_type, pod = user, cost = value, activity = k."""
+    return ev.select(
+        "ts",
+        F.col("event_type").alias("namespace"),
+        F.concat(F.lit("pod-"), F.col("user_id").cast("string")).alias("pod"),
+        F.col("value").cast("decimal(10,2)").alias("cost"),
+        activity_of(F.col("props")).alias("activity"),
+    )
+
+
+def roi_events(ev: DataFrame) -> DataFrame:
+    """T3 cost_roi_events: purchase events; savings = value."""
+    return ev.filter(F.col("event_type") == "purchase").select(
+        F.col("ts").alias("event_time"),
+        service_of(F.col("user_id")).alias("namespace"),
+        F.col("event_type"),
+        F.col("value").cast("decimal(10,2)").alias("savings_amount"),
+    )
+
+
+# Ours: availability target of every derived SLO.
+SLO_TARGET = "0.8000"
+
+
+def slo_requests(ev: DataFrame) -> DataFrame:
+    """Requests per service: an event is good unless it is an error."""
+    return ev.select("ts", service_of(F.col("user_id")).alias("service_name"), (F.col("event_type") != "error").alias("good"))
+
+
+def slo_definitions(ev: DataFrame) -> DataFrame:
+    """T17 slo_definitions: one SLO per service seen in the events (id = service + 1)."""
+    return ev.select((F.col("user_id") % 5 + 1).cast("int").alias("id"), service_of(F.col("user_id")).alias("service_name")).distinct().select(
+        "id", "service_name", F.lit(SLO_TARGET).cast("decimal(5,4)").alias("target_slo"),
+        F.lit("30d").alias("time_window"), F.lit("alert").alias("error_budget_policy"),
+    )
+
+
+def risks(ev: DataFrame) -> DataFrame:
+    """T21 prevention_risks: every event as a risk; severity from its k score."""
+    from .operators.ops_metrics import severity_of
+
+    k = activity_of(F.col("props"))
+    return ev.select(
+        F.col("ts").alias("detected_at"),
+        service_of(F.col("user_id")).alias("namespace"),
+        F.col("event_type").alias("risk_type"),
+        severity_of(k).alias("severity"),
+        F.when(k % 2 == 0, "open").otherwise("resolved").alias("status"),
+        F.col("props").alias("evidence_metrics"),
+    )
+
+
+def sync_jobs(ev: DataFrame) -> DataFrame:
+    """T19 finops_sync_job: one job per event day; failed when an error scored >= 95."""
+    k = activity_of(F.col("props"))
+    return ev.groupBy(F.to_date("ts").alias("day")).agg(
+        F.min("ts").alias("started_at"),
+        F.max("ts").alias("completed_at"),
+        F.max(F.when((F.col("event_type") == "error") & (k >= 95), F.lit(1)).otherwise(F.lit(0))).alias("_failed"),
+        F.count_if(F.col("event_type") != "error").cast("int").alias("progress_current"),
+        F.count(F.lit(1)).cast("int").alias("progress_total"),
+    ).select(
+        "day", F.when(F.col("_failed") == 1, "failed").otherwise("succeeded").alias("status"),
+        "started_at", "completed_at", "progress_current", "progress_total",
+    )
