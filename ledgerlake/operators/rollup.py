@@ -192,3 +192,24 @@ def bill_summary(daily: DataFrame) -> DataFrame:
         "total_amount",
         breakdown_array("product_breakdown", "total_amount").alias("product_breakdown"),
     )
+
+
+def recompute_daily_window(items: DataFrame, as_of: dt.date | str, lookback: int = 7) -> DataFrame:
+    """ST3 (daily): daily_raw for T-1 and the ``lookback`` days before it.
+
+    Late corrections are never dropped: the window is re-aggregated from the line
+    items each run and written over those (date, account) slices.
+    """
+    a = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
+    window = (F.col("bill_date") >= F.date_sub(a, lookback + 1)) & (F.col("bill_date") <= F.date_sub(a, 1))
+    return daily_rollup(items.filter(window))
+
+
+def recompute_cycles(items: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """ST3 (monthly): monthly_raw for the as_of cycle and the one before it."""
+    from ..fixtures import overview_items
+    from ..functions.cycles import cycle_of
+
+    a = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
+    touched = items.filter(F.col("billing_cycle").isin(cycle_of(a), cycle_of(F.add_months(a, -1))))
+    return monthly_rollup(overview_items(touched))

@@ -191,3 +191,27 @@ def latest_balance(snapshots: DataFrame) -> DataFrame:
         F.max("snapshot_date").alias("snapshot_date"),
         F.max_by("available_amount", "snapshot_date").alias("available_amount"),
     )
+
+
+def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
+                staging: str) -> None:
+    """SNK5/SNK6 physically: merge ``new`` into the Parquet table at ``path``.
+
+    Only the partitions ``new`` touches are read, merged (latest row per key) and
+    rewritten.  The merged slices are first written to ``staging`` (a fresh folder in
+    the shared checkpoint area), then copied over the touched partitions by dynamic
+    overwrite — so no plan ever overwrites a path it is reading, and a job lost
+    half-way leaves the table as it was (re-running it gives the same result).
+    """
+    spark = new.sparkSession
+    try:
+        old = spark.read.parquet(path)
+        touched = new.select(partition_col).distinct()
+        old_slices = old.join(F.broadcast(touched), partition_col, "left_semi")
+        merged = upsert_latest(old_slices.select(*new.columns), new, keys, order)
+    except Exception as e:  # first write: no table yet
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        merged = latest_per_key(new, keys, order)
+    merged.write.mode("overwrite").parquet(staging)
+    replace_slices(spark.read.parquet(staging), path, [partition_col])
