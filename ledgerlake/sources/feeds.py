@@ -61,7 +61,7 @@ _AMT = "decimal(14,6)"
 
 
 def _amt(c: str):
-    return F.try_cast(F.col(c), _AMT)
+    return F.col(c).try_cast(_AMT)
 
 
 def read_overview(spark: SparkSession, path: str) -> DataFrame:
