@@ -38,7 +38,7 @@ EVENT_AS_OF = "2024-01-30"
 
 MONEY = "decimal(14,6)"
 # Bump when a staged derivation changes, so old staged copies are not reused.
-FIXTURE_VERSION = 1
+FIXTURE_VERSION = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

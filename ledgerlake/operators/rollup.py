@@ -105,18 +105,20 @@ def unpivot_metrics(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _merge_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sum totals and merge product maps over rows sharing ``keys``."""
-    exploded = df.select(*keys, "total_amount", F.explode_outer("product_breakdown").alias("_p", "_v"))
-    # totals are summed from the unexploded rows (a row with an empty map still
-    # counts); per-product sums from the exploded ones; both inputs are aggregates
+    """Sum totals and merge product maps over rows sharing ``keys``.
+
+    Relies on the roll-up invariant total = Σ map values (``_rollup`` builds both from
+    the same per-product sums; ``upsert_add`` keeps it).  One explode, then two
+    aggregations: per (keys, product), then per keys — a row with an empty map still
+    yields its key with total 0.
+    """
+    exploded = df.select(*keys, F.explode_outer("product_breakdown").alias("_p", "_v"))
     per_product = exploded.groupBy(*keys, "_p").agg(F.sum("_v").cast(AMOUNT).alias("_v"))
-    totals = df.groupBy(*keys).agg(F.coalesce(F.sum("total_amount"), F.lit(0)).cast(AMOUNT).alias("total_amount"))
-    maps = per_product.groupBy(*keys).agg(
-        map_from_entries_sorted(
-            F.collect_list(F.when(F.col("_p").isNotNull(), F.struct(F.col("_p").alias("key"), F.col("_v").alias("value"))))
-        ).alias("product_breakdown")
+    entry = F.when(F.col("_p").isNotNull() & F.col("_v").isNotNull(), F.struct(F.col("_p").alias("key"), F.col("_v").alias("value")))
+    return per_product.groupBy(*keys).agg(
+        F.coalesce(F.sum("_v"), F.lit(0)).cast(AMOUNT).alias("total_amount"),
+        map_from_entries_sorted(F.collect_list(entry)).alias("product_breakdown"),
     )
-    return totals.join(maps, list(keys), "left")
 
 
 def period_aggregate(daily: DataFrame, monthly: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPREAD = 16  # writers per touched slice; bounds both task size and files per folder
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Columns usable as a tie-break (maps are not comparable in Spark)."""
@@ -134,9 +133,10 @@ def replace_slices(new: DataFrame, path: str, parts: Sequence[str]) -> None:
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # spread each slice over SPREAD writers (deterministic hash, safe to retry)
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in new.columns]), F.lit(SPREAD))
-        new.repartition(*[F.col(p) for p in parts], spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        # range-partition on the slice keys then a row hash (deterministic, safe to
+        # retry): a hot slice is cut into several tasks, each task writes few folders
+        spread = F.xxhash64(*[F.col(c) for c in new.columns])
+        new.repartitionByRange(*[F.col(p) for p in parts], spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 

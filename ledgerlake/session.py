@@ -133,26 +133,26 @@ def stage(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
     spread_by: str | None = None,
-    spread: int = 16,
     sort_within: Sequence[str] = (),
 ) -> DataFrame:
     """Write ``build()`` once per input fingerprint under the checkpoint root, read it back.
 
     The written table replaces the lineage of the joins that built it.  A finished
-    write leaves ``_SUCCESS``; a half-written folder (lost job) is simply rewritten.
-    Rows are shuffled on the partition columns plus ``spread`` hash buckets of
-    ``spread_by`` so that one hot partition value (a cycle holding a third of all rows)
-    is written by ``spread`` tasks, not one, while files per folder stay bounded.
+    write is followed by a marker folder ``<path>.done``; without it (a lost job) the
+    folder is simply rewritten.  Finished paths are remembered for the process.
+
+    Rows are range-partitioned on the partition columns then ``spread_by``: Spark
+    samples the keys, so a hot partition value (a cycle holding a third of all rows)
+    is cut into as many tasks as its size needs, while each task writes into only one
+    or two partition folders — file count stays near the task count, at any scale.
     """
     path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(inputs)}"
     marker = f"{path}.done"
     if path not in _DONE and not _exists(spark, marker):
         df = build()
         if partition_by:
-            keys = [F.col(c) for c in partition_by]
-            if spread_by:
-                keys.append(F.pmod(F.xxhash64(F.col(spread_by)), F.lit(spread)))
-            df = df.repartition(*keys)
+            keys = [F.col(c) for c in partition_by] + ([F.col(spread_by)] if spread_by else [])
+            df = df.repartitionByRange(*keys)
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
         w = df.write.mode("overwrite")

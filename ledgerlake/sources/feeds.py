@@ -152,7 +152,7 @@ def write_logs(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
-            out.repartition("event_date", F.pmod(F.xxhash64("service", ts_col), F.lit(16)))
+            out.repartitionByRange("event_date", "service", ts_col)  # hot services split by time
             .sortWithinPartitions("service", ts_col)
             .write.mode("overwrite")
             .partitionBy("event_date")
