@@ -44,6 +44,6 @@ def query(name: str, ids: tuple[str, ...], sql: str | None, headline: bool = Fal
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries, then return the catalog."""
-    from . import queries_billing, queries_ops, queries_stream  # noqa: F401  (registration side effect)
+    from . import queries_billing, queries_files, queries_ops, queries_stream  # noqa: F401  (registration)
 
     return CATALOG

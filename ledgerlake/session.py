@@ -162,3 +162,18 @@ def stage(
         spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
     _DONE.add(path)
     return spark.read.parquet(path)
+
+
+def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[[str], None]) -> str:
+    """Run ``write(path)`` once per input fingerprint under the checkpoint root.
+
+    For derived files in other formats than Parquet (CSV exports, JSON feeds, log
+    folders); same marker rule as ``stage``.  Returns the folder.
+    """
+    path = f"{checkpoint_root(spark)}/landed/{name}-{_fingerprint(inputs)}"
+    marker = f"{path}.done"
+    if path not in _DONE and not _exists(spark, marker):
+        write(path)
+        spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
+    _DONE.add(path)
+    return path

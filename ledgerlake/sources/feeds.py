@@ -64,13 +64,14 @@ def _amt(c: str):
     return F.col(c).try_cast(_AMT)
 
 
-def read_overview(spark: SparkSession, path: str) -> DataFrame:
+def read_overview(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """SRC7: landed overview responses -> one row per ``data.Items.Item``.
 
     ProductCode falls back to PipCode; amounts are ``try_cast`` to decimal (a bad value
     becomes NULL rather than failing the job).  ``account_id`` defaults to ''.
+    ``multi_line`` reads one pretty-printed response per file; off, one per line.
     """
-    raw = spark.read.schema(OVERVIEW_SCHEMA).option("multiLine", "true").json(path)
+    raw = spark.read.schema(OVERVIEW_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
     items = raw.select(
         F.col("BillingCycle").alias("billing_cycle"),
         F.coalesce(F.col("AccountID"), F.lit("")).alias("account_id"),
