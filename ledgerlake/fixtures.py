@@ -20,6 +20,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.sizing import broadcast_if_small
 from .session import stage
 
 DRIVER_TABLES = (
@@ -290,7 +291,7 @@ def fact_rows(items: DataFrame, env: DataFrame, amount: str = "cash_amount") ->
     tags = env.select(
         "account_id", F.concat(F.lit('{"env":"'), F.col("environment"), F.lit('"}')).alias("tags_json")
     )
-    j = items.join(F.broadcast(tags), "account_id", "left")
+    j = items.join(broadcast_if_small(tags), "account_id", "left")
     return j.select(
         "billing_cycle",
         F.col("bill_date").alias("usage_date"),

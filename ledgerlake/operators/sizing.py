@@ -1,0 +1,20 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when it is proven small: a LIMIT-bounded count reads at
+most ``max_rows + 1`` rows.  Past the bound the frame is returned unhinted and the
+planner shuffles both sides (AQE may still pick a broadcast from runtime sizes).
+Literal tables of fixed size (period keys, offsets) are broadcast directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for ``df`` only when it has at most ``max_rows`` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

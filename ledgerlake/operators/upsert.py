@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sizing import broadcast_if_small
+
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Columns usable as a tie-break (maps are not comparable in Spark)."""
@@ -207,7 +209,7 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
     try:
         old = spark.read.parquet(path)
         touched = new.select(partition_col).distinct()
-        old_slices = old.join(F.broadcast(touched), partition_col, "left_semi")
+        old_slices = old.join(broadcast_if_small(touched), partition_col, "left_semi")
         merged = upsert_latest(old_slices.select(*new.columns), new, keys, order)
     except Exception as e:  # first write: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):

@@ -16,19 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import SUM_TYPE, as_sum, ratio
-
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job).  Beyond the bound the
-    frame is returned unhinted, so the planner shuffles instead of shipping a large
-    side to every executor.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from .sizing import MAX_BROADCAST_ROWS, broadcast_if_small  # noqa: F401  (re-exported)
 
 
 # ----------------------------------------------------------------- dimensions
