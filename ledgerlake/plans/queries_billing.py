@@ -222,7 +222,7 @@ def period_keys_by_date(spark: SparkSession, sf: str) -> DataFrame:
     "report_type_summary",
     ids=("AGG6", "FLT7", "SRT1"),
     sql=with_ctes(
-        "SELECT report_type, COUNT(*) AS row_count, ROUND(SUM(total_amount), 2) AS sum_total_amount "
+        "SELECT report_type, COUNT(*) AS row_count, CAST(ROUND(SUM(total_amount), 2) AS DECIMAL(35,2)) AS sum_total_amount "
         "FROM period_agg WHERE metric_type = 'payment' GROUP BY report_type ORDER BY report_type",
         "period_agg",
     ),
@@ -235,7 +235,7 @@ def report_type_summary(spark: SparkSession, sf: str) -> DataFrame:
     "aggregate_listing",
     ids=("Q9", "PRJ13", "SRT1"),
     sql=with_ctes(
-        "SELECT report_type, period_key, metric_type, ROUND(total_amount, 2) AS total_amount, account_id, "
+        "SELECT report_type, period_key, metric_type, CAST(ROUND(total_amount, 2) AS DECIMAL(35,2)) AS total_amount, account_id, "
         "CAST(NULL AS DATE) AS last_success FROM period_agg ORDER BY report_type, period_key",
         "period_agg",
     ),
@@ -248,7 +248,8 @@ def aggregate_listing(spark: SparkSession, sf: str) -> DataFrame:
     "daily_recent",
     ids=("Q9", "FLT2", "SRT2", "PRJ13"),
     sql=with_ctes(
-        "SELECT bill_date, ROUND(total_amount, 2) AS total_amount, ROUND(cash_total_amount, 2) AS cash_total_amount, "
+        "SELECT bill_date, CAST(ROUND(total_amount, 2) AS DECIMAL(35,2)) AS total_amount, "
+        "CAST(ROUND(cash_total_amount, 2) AS DECIMAL(35,2)) AS cash_total_amount, "
         f"account_id FROM daily_raw WHERE bill_date >= CAST(DATE '{AS_OF}' - INTERVAL 30 DAY AS DATE) "
         "ORDER BY bill_date DESC",
         "daily_raw",
@@ -262,8 +263,8 @@ def daily_recent(spark: SparkSession, sf: str) -> DataFrame:
     "monthly_recent",
     ids=("Q9", "FLT3", "SRT2", "PRJ13"),
     sql=with_ctes(
-        "SELECT billing_cycle, ROUND(total_amount, 2) AS total_amount, "
-        "ROUND(COALESCE(cash_total_amount, 0), 2) AS cash_total_amount, account_id FROM monthly_raw "
+        "SELECT billing_cycle, CAST(ROUND(total_amount, 2) AS DECIMAL(35,2)) AS total_amount, "
+        "CAST(ROUND(COALESCE(cash_total_amount, 0), 2) AS DECIMAL(35,2)) AS cash_total_amount, account_id FROM monthly_raw "
         f"WHERE billing_cycle >= strftime(DATE '{AS_OF}' - INTERVAL 12 MONTH, '%Y-%m') ORDER BY billing_cycle DESC",
         "monthly_raw",
     ),

@@ -176,7 +176,7 @@ def risk_counts(spark: SparkSession, sf: str) -> DataFrame:
     ids=("AGG25",),
     sql=with_ctes(
         f"""
-SELECT status, COUNT(*) AS jobs, SUM(epoch_us(completed_at) - epoch_us(started_at)) AS total_duration_us,
+SELECT status, COUNT(*) AS jobs, CAST(SUM(epoch_us(completed_at) - epoch_us(started_at)) AS BIGINT) AS total_duration_us,
        CAST(SUM(epoch_us(completed_at) - epoch_us(started_at)) AS DOUBLE) / COUNT(*) / 1e6 AS avg_duration_s,
        CAST(SUM(progress_current) AS DOUBLE) / CAST(SUM(progress_total) AS DOUBLE) AS progress_ratio
 FROM (SELECT CAST(ts AS DATE) AS day, MIN(ts) AS started_at, MAX(ts) AS completed_at,
@@ -224,9 +224,10 @@ def _constraint_sql() -> str:
                  "WHERE NOT EXISTS (SELECT 1 FROM monthly_products p WHERE p.billing_cycle = m.billing_cycle "
                  "AND p.account_id = m.account_id)")
     parts.append("SELECT 'cost_cloud_bill_line_items', 'duplicate_key', 'record_id', "
-                 "COALESCE(SUM(n - 1) FILTER (WHERE n > 1), 0) FROM (SELECT record_id, COUNT(*) AS n FROM line_items GROUP BY 1)")
+                 "CAST(COALESCE(SUM(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) FROM (SELECT record_id, COUNT(*) AS n "
+                 "FROM line_items GROUP BY 1)")
     parts.append("SELECT 'cost_cloud_bill_monthly_raw', 'duplicate_key', 'billing_cycle,account_id', "
-                 "COALESCE(SUM(n - 1) FILTER (WHERE n > 1), 0) FROM (SELECT billing_cycle, account_id, COUNT(*) AS n "
+                 "CAST(COALESCE(SUM(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) FROM (SELECT billing_cycle, account_id, COUNT(*) AS n "
                  "FROM monthly_raw GROUP BY 1, 2)")
     return with_ctes(" UNION ALL ".join(parts), "line_items", "monthly_raw", "monthly_products")
 

@@ -54,6 +54,23 @@ def duck(sf: str):
     return con
 
 
+_SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+    "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_diffs(sdf, rel) -> list:
+    """Columns whose Spark type and DuckDB type differ (decimal precision/scale included)."""
+    duck = {c: str(t).upper() for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for c, t in sdf.dtypes:
+        want = _SPARK_TO_DUCK.get(t, t.upper())
+        if duck.get(c) != want:
+            out.append((c, t, duck.get(c)))
+    return out
+
+
 def check(spark, con, q, sf: str, show: int = 3) -> dict:
     t0 = time.time()
     sdf = q.fn(spark, sf)
@@ -65,6 +82,9 @@ def check(spark, con, q, sf: str, show: int = 3) -> dict:
         res["status"] = "rows-only"
         return res
     rel = con.sql(q.sql)
+    td = type_diffs(sdf, rel)
+    if td:
+        res["type_diffs"] = td
     dcols = rel.columns
     drows = rel.fetchall()
     res["duck_rows"] = len(drows)
