@@ -65,18 +65,30 @@ def reconcile(
     api_totals: DataFrame,
     tol: str = RECONCILE_TOLERANCE,
     level: str = "account",
+    status: DataFrame | None = None,
 ) -> DataFrame:
     """Q1/JN5: outcome per (billing_cycle, account_id) — or per cycle with ``level="cycle"``.
 
-    ``api_totals`` has (billing_cycle, account_id, monthly_api_total).  At cycle level the
-    known account totals are summed (the tool reads one all-account total).
+    ``api_totals`` has (billing_cycle, account_id, monthly_api_total): the totals given
+    for this run.  Where a key has none, the total recorded in the month-status table
+    ``status`` is used (the tool's fallback); with neither, the outcome is UNKNOWN.  At
+    cycle level the known account totals are summed (the tool reads one all-account
+    total).
     """
     keys = KEYS if level == "account" else ["billing_cycle"]
     li = items.groupBy(*keys).agg(as_sum(F.sum("cash_amount")).alias("line_items_sum"))
     dd = daily.groupBy(cycle_of(F.col("bill_date")).alias("billing_cycle"), *keys[1:]).agg(
         as_sum(F.sum("cash_total_amount")).alias("daily_sum")
     )
-    api = api_totals.groupBy(*keys).agg(as_sum(F.sum("monthly_api_total")).alias("monthly_api_total"))
+    given = api_totals.select(*KEYS, as_sum(F.col("monthly_api_total")).alias("monthly_api_total"))
+    if status is not None:
+        stored = status.filter(F.col("monthly_api_total").isNotNull()).select(
+            *KEYS, as_sum(F.col("monthly_api_total")).alias("_stored")
+        )
+        given = given.join(stored, KEYS, "full_outer").select(
+            *KEYS, F.coalesce(F.col("monthly_api_total"), F.col("_stored")).alias("monthly_api_total")
+        )
+    api = given.groupBy(*keys).agg(as_sum(F.sum("monthly_api_total")).alias("monthly_api_total"))
     j = li.join(dd, keys, "full_outer").join(api, keys, "full_outer")
     li_sum = F.coalesce(F.col("line_items_sum"), F.lit(0)).cast(SUM_TYPE)
     d_sum = F.coalesce(F.col("daily_sum"), F.lit(0)).cast(SUM_TYPE)

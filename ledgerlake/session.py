@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,6 +125,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 _DONE: set[str] = set()
+_LOCK = threading.RLock()  # one builder per process for a staged path
 
 
 def stage(
@@ -148,22 +150,27 @@ def stage(
     """
     path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(inputs)}"
     marker = f"{path}.done"
-    if path not in _DONE and not _exists(spark, marker):
-        df = build()
-        if partition_by:
-            keys = [F.col(c) for c in partition_by] + ([F.col(spread_by)] if spread_by else [])
-            df = df.repartitionByRange(*keys)
-        if sort_within:
-            df = df.sortWithinPartitions(*sort_within)
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
-    _DONE.add(path)
+    with _LOCK:
+        if path not in _DONE and not _exists(spark, marker):
+            _build_staged(spark, path, marker, build, partition_by, spread_by, sort_within)
+        _DONE.add(path)
     return spark.read.parquet(path)
 
 
+def _build_staged(spark, path, marker, build, partition_by, spread_by, sort_within) -> None:
+    df = build()
+    if partition_by:
+        keys = [F.col(c) for c in partition_by] + ([F.col(spread_by)] if spread_by else [])
+        df = df.repartitionByRange(*keys)
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
+
+
 def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[[str], None]) -> str:
     """Run ``write(path)`` once per input fingerprint under the checkpoint root.
 
@@ -172,8 +179,9 @@ def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[
     """
     path = f"{checkpoint_root(spark)}/landed/{name}-{_fingerprint(inputs)}"
     marker = f"{path}.done"
-    if path not in _DONE and not _exists(spark, marker):
-        write(path)
-        spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
-    _DONE.add(path)
+    with _LOCK:
+        if path not in _DONE and not _exists(spark, marker):
+            write(path)
+            spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
+        _DONE.add(path)
     return path

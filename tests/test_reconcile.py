@@ -119,3 +119,20 @@ def test_cycle_cash_empty_cycle_gives_zero_row(spark):
     r = rc.cycle_cash(items, "2030-01").collect()
     assert len(r) == 1 and r[0].cash_sum == 0
     assert rc.daily_cash(spark.createDataFrame([(dt.date(2025, 2, 1), "a", D("3"))], DAILY), "2025-02").count() == 1
+
+
+def test_api_total_falls_back_to_month_status(spark):
+    items = [("2025-02", "a", dt.date(2025, 2, 1), D("10")), ("2025-02", "b", dt.date(2025, 2, 1), D("10"))]
+    status = spark.createDataFrame(
+        [("2025-02", "b", D("10.00")), ("2025-02", "a", D("99.00"))],
+        "billing_cycle string, account_id string, monthly_api_total decimal(14,2)",
+    )
+    out = {
+        (r.billing_cycle, r.account_id): r
+        for r in rc.reconcile(
+            spark.createDataFrame(items, ITEMS), spark.createDataFrame([], DAILY),
+            spark.createDataFrame([("2025-02", "a", D("10"))], API), status=status,
+        ).collect()
+    }
+    assert out[("2025-02", "a")].monthly_api_total == D("10")  # the given total wins
+    assert out[("2025-02", "b")].outcome == "PASS"  # taken from month status
