@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from ledgerlake.operators import reconcile as rc
 from ledgerlake.operators import upsert as up
 
@@ -136,3 +138,22 @@ def test_api_total_falls_back_to_month_status(spark):
     }
     assert out[("2025-02", "a")].monthly_api_total == D("10")  # the given total wins
     assert out[("2025-02", "b")].outcome == "PASS"  # taken from month status
+
+
+def test_invariant_days_sum_to_month(spark):
+    """Σ of the daily roll-up over a booking month = Σ of that month's line items."""
+    from ledgerlake import fixtures as fx
+    from ledgerlake.operators import rollup as ru
+
+    from .conftest import SF_SMALL
+
+    items = fx.line_items(spark, SF_SMALL)
+    by_day = ru.daily_rollup(items).groupBy(F.date_format("bill_date", "yyyy-MM").alias("m")).agg(
+        F.sum("cash_total_amount").alias("s"), F.sum("total_amount").alias("t")
+    )
+    by_item = items.groupBy(F.date_format("bill_date", "yyyy-MM").alias("m")).agg(
+        F.sum("cash_amount").alias("s"), F.sum("pretax_amount").alias("t")
+    )
+    a = {r.m: (r.s, r.t) for r in by_day.collect()}
+    b = {r.m: (r.s, r.t) for r in by_item.collect()}
+    assert a == b and len(a) > 12
