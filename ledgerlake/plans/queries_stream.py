@@ -5,7 +5,6 @@ no row is later than the watermark and the result equals the batch SQL."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
