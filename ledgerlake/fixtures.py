@@ -369,6 +369,18 @@ def risks(ev: DataFrame) -> DataFrame:
     )
 
 
+def incidents(ev: DataFrame) -> DataFrame:
+    """T20 rca_incidents: one per error event; root cause by its k score (ours)."""
+    k = activity_of(F.col("props"))
+    return ev.filter(F.col("event_type") == "error").select(
+        F.col("ts").alias("incident_time"),
+        service_of(F.col("user_id")).alias("service_name"),
+        F.col("props").alias("snapshot_data"),
+        F.when(k >= 70, "capacity").when(k >= 40, "dependency").otherwise("config").alias("root_cause_type"),
+        F.when(k % 3 == 0, "resolved").otherwise("open").alias("status"),
+    )
+
+
 def sync_jobs(ev: DataFrame) -> DataFrame:
     """T19 finops_sync_job: one job per event day; failed when an error scored >= 95."""
     k = activity_of(F.col("props"))

@@ -124,6 +124,17 @@ def severity_of(score: F.Column) -> F.Column:
     )
 
 
+def incident_counts(incidents: DataFrame) -> DataFrame:
+    """AGG23: incidents per (service, root-cause type, status), with the mean evidence
+    score read from the JSON snapshot (``get_json_object``)."""
+    score = F.get_json_object("snapshot_data", "$.k").cast("int")
+    return incidents.groupBy("service_name", "root_cause_type", "status").agg(
+        F.count(F.lit(1)).alias("incidents"),
+        F.sum(score).alias("score_sum"),
+        F.max(score).alias("max_score"),
+    )
+
+
 def risk_counts(risks: DataFrame) -> DataFrame:
     """AGG23: risks per (risk_type, severity, status, namespace)."""
     return risks.groupBy("risk_type", "severity", "status", "namespace").agg(F.count(F.lit(1)).alias("risks"))

@@ -217,3 +217,15 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
         merged = latest_per_key(new, keys, order)
     merged.write.mode("overwrite").parquet(staging)
     replace_slices(spark.read.parquet(staging), path, [partition_col])
+
+
+def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("account_id", "dedup_key"),
+          order: Sequence[str] = ("ingested_at",)) -> DataFrame:
+    """SNK9: recompute ``dedup_key`` with a new column list, then keep one row per key.
+
+    After a key-algorithm change the whole fact is re-keyed and reloaded (truncate +
+    reload in the reference): rows that now collide collapse to the latest one.
+    """
+    from ..functions.keys import dedup_key
+
+    return latest_per_key(fact.withColumn("dedup_key", dedup_key(*key_cols)), list(keys), list(order))

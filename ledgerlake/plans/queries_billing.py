@@ -635,11 +635,7 @@ def fact_upsert(spark: SparkSession, sf: str) -> DataFrame:
 )
 def fact_rekey(spark: SparkSession, sf: str) -> DataFrame:
     """SNK9: after a key change (product added to the key), re-key and reload."""
-    from ..functions.keys import dedup_key
-
-    f = _fact(spark, sf)
-    rekeyed = f.withColumn("dedup_key", dedup_key("billing_cycle", "usage_date", "instance_id", "item_code", "product_code"))
-    out = up.latest_per_key(rekeyed, ["account_id", "dedup_key"], ["ingested_at"])
+    out = up.rekey(_fact(spark, sf), ["billing_cycle", "usage_date", "instance_id", "item_code", "product_code"])
     return out.select("account_id", "dedup_key", "billing_cycle", "amount")
 
 

@@ -171,6 +171,21 @@ def risk_counts(spark: SparkSession, sf: str) -> DataFrame:
     return om.risk_counts(fx.risks(_ev(spark, sf)))
 
 
+@query(
+    "incident_counts",
+    ids=("AGG23",),
+    sql=with_ctes(
+        f"SELECT {_SVC} AS service_name, CASE WHEN {_K} >= 70 THEN 'capacity' WHEN {_K} >= 40 THEN 'dependency' "
+        f"ELSE 'config' END AS root_cause_type, CASE WHEN {_K} % 3 = 0 THEN 'resolved' ELSE 'open' END AS status, "
+        f"COUNT(*) AS incidents, CAST(SUM({_K}) AS BIGINT) AS score_sum, MAX({_K}) AS max_score "
+        "FROM ev WHERE event_type = 'error' GROUP BY 1, 2, 3",
+        "ev",
+    ),
+)
+def incident_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return om.incident_counts(fx.incidents(_ev(spark, sf)))
+
+
 @query(
     "sync_run_summary",
     ids=("AGG25",),
