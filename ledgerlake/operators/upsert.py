@@ -111,8 +111,12 @@ def upsert_add(
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """SNK4: ``INSERT .. ON CONFLICT DO NOTHING`` — new rows whose key is absent, plus old."""
-    fresh = new.dropDuplicates(list(keys)).join(old.select(*keys), list(keys), "left_anti")
+    """SNK4: ``INSERT .. ON CONFLICT DO NOTHING`` — new rows whose key is absent, plus old.
+
+    Duplicate keys inside ``new`` keep one row chosen deterministically (greatest row
+    by value, via ``latest_per_key``), so a retried task picks the same one.
+    """
+    fresh = latest_per_key(new, list(keys), []).join(old.select(*keys), list(keys), "left_anti")
     return old.unionByName(fresh.select(*old.columns))
 
 
