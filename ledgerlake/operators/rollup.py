@@ -215,3 +215,31 @@ def recompute_cycles(items: DataFrame, as_of: dt.date | str) -> DataFrame:
     a = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
     touched = items.filter(F.col("billing_cycle").isin(cycle_of(a), cycle_of(F.add_months(a, -1))))
     return monthly_rollup(overview_items(touched))
+
+
+def daily_totals(items: DataFrame) -> DataFrame:
+    """AGG7 totals only: (bill_date, account_id, total_amount, cash_total_amount).
+
+    The same totals as ``daily_rollup`` in one aggregation (no per-product step), for
+    consumers that never read the breakdown (reconcile, daily cash, listings).
+    """
+    return items.groupBy("bill_date", "account_id").agg(
+        F.coalesce(F.sum("pretax_amount"), F.lit(0)).cast(AMOUNT).alias("total_amount"),
+        F.coalesce(F.sum("cash_amount"), F.lit(0)).cast(AMOUNT).alias("cash_total_amount"),
+    )
+
+
+def monthly_totals(*overviews: DataFrame, positive_only: bool = False) -> DataFrame:
+    """AGG8 totals only: (billing_cycle, account_id, total_amount, cash_total_amount)."""
+    df = overviews[0]
+    for o in overviews[1:]:
+        df = df.unionByName(o, allowMissingColumns=True)
+    if positive_only:
+        cash = F.when(F.col("PaymentAmount") > 0, F.col("PaymentAmount"))
+    else:
+        pay = payment_amount("PaymentAmount", "CashAmount")
+        cash = F.when(pay != 0, pay)
+    return df.groupBy("billing_cycle", "account_id").agg(
+        F.coalesce(F.sum("PretaxAmount"), F.lit(0)).cast(AMOUNT).alias("total_amount"),
+        F.coalesce(F.sum(cash), F.lit(0)).cast(AMOUNT).alias("cash_total_amount"),
+    )

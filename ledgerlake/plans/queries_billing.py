@@ -27,9 +27,17 @@ def _monthly(spark: SparkSession, sf: str, positive_only: bool = False) -> DataF
     return ru.monthly_rollup(fx.overview_items(_items(spark, sf)), positive_only=positive_only)
 
 
+def _daily_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return ru.daily_totals(_items(spark, sf))
+
+
+def _monthly_totals(spark: SparkSession, sf: str, positive_only: bool = False) -> DataFrame:
+    return ru.monthly_totals(fx.overview_items(_items(spark, sf)), positive_only=positive_only)
+
+
 def _outcome(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf)
-    return rc.reconcile(items, ru.daily_rollup(items), fx.api_month_totals(items, spark))
+    return rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark))
 
 
 # ------------------------------------------------------- step 1: reconcile slice
@@ -79,7 +87,7 @@ FROM (
 )
 def reconcile_cycles(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf)
-    out = rc.reconcile(items, ru.daily_rollup(items), fx.api_month_totals(items, spark), level="cycle")
+    out = rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark), level="cycle")
     return out.drop("data_status")
 
 
@@ -94,7 +102,7 @@ def reconcile_cycles(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def daily_cash_sum(spark: SparkSession, sf: str) -> DataFrame:
-    return rc.daily_cash(_daily(spark, sf))
+    return rc.daily_cash(_daily_totals(spark, sf))
 
 
 @query(
@@ -129,7 +137,7 @@ LEFT JOIN outcome o ON o.billing_cycle = strftime(d.bill_date, '%Y-%m') AND o.ac
 )
 def daily_report(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf)
-    daily = ru.daily_rollup(items)
+    daily = ru.daily_totals(items)
     return rc.daily_report(daily, rc.reconcile(items, daily, fx.api_month_totals(items, spark)))
 
 
@@ -256,7 +264,7 @@ def aggregate_listing(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def daily_recent(spark: SparkSession, sf: str) -> DataFrame:
-    return dg.daily_recent(_daily(spark, sf), AS_OF)
+    return dg.daily_recent(_daily_totals(spark, sf), AS_OF)
 
 
 @query(
@@ -270,7 +278,7 @@ def daily_recent(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def monthly_recent(spark: SparkSession, sf: str) -> DataFrame:
-    return dg.monthly_recent(_monthly(spark, sf), AS_OF)
+    return dg.monthly_recent(_monthly_totals(spark, sf), AS_OF)
 
 
 GAP_AS_OF = "2001-10-15"  # after the last billing cycle of the data: month periods are missing
@@ -307,8 +315,8 @@ def row_probes(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf)
     return (
         dg.row_probe(items, dg.is_reversal(), "line_items")
-        .unionByName(dg.row_probe(ru.daily_rollup(items), F.col("cash_total_amount") < 0, "daily_raw"))
-        .unionByName(dg.row_probe(_monthly(spark, sf), F.col("total_amount") < 0, "monthly_raw"))
+        .unionByName(dg.row_probe(ru.daily_totals(items), F.col("cash_total_amount") < 0, "daily_raw"))
+        .unionByName(dg.row_probe(_monthly_totals(spark, sf), F.col("total_amount") < 0, "monthly_raw"))
     )
 
 
@@ -344,7 +352,7 @@ WHERE COALESCE(account_id, '') <> ''
 )
 def monthly_legacy_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     items = fx.line_items(spark, sf, legacy_empty=True)
-    m = cl.fill_empty_account(ru.monthly_rollup(fx.overview_items(items)))
+    m = cl.fill_empty_account(ru.monthly_totals(fx.overview_items(items)))
     m = cl.map_legacy_account(cl.drop_shadowed_empty(m, "billing_cycle"))
     return m.select("billing_cycle", "account_id", "total_amount", "cash_total_amount")
 
@@ -367,7 +375,7 @@ WHERE COALESCE(account_id, '') <> ''
 )
 def daily_legacy_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     items = fx.line_items(spark, sf, legacy_empty=True)
-    d = cl.map_legacy_account(cl.drop_shadowed_empty(ru.daily_rollup(items), "bill_date"))
+    d = cl.map_legacy_account(cl.drop_shadowed_empty(ru.daily_totals(items), "bill_date"))
     return d.select("bill_date", "account_id", "total_amount", "cash_total_amount")
 
 
@@ -482,7 +490,7 @@ def monthly_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def monthly_payments_only(spark: SparkSession, sf: str) -> DataFrame:
-    return _monthly(spark, sf, positive_only=True).select("billing_cycle", "account_id", "cash_total_amount")
+    return _monthly_totals(spark, sf, positive_only=True).select("billing_cycle", "account_id", "cash_total_amount")
 
 
 @query(
@@ -495,7 +503,7 @@ def monthly_payments_only(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def monthly_range(spark: SparkSession, sf: str) -> DataFrame:
-    m = _monthly(spark, sf)
+    m = _monthly_totals(spark, sf)
     return m.filter(cycle_range("billing_cycle", "1997-01", "1998-12")).select(
         "billing_cycle", "account_id", "total_amount"
     )
@@ -801,7 +809,7 @@ RETENTION_AS_OF = "2001-10-15"
 )
 def monthly_expired(spark: SparkSession, sf: str) -> DataFrame:
     """SNK11: monthly rows past the 60-month history window (the ones to drop)."""
-    _kept, expired = up.expire(_monthly(spark, sf), "billing_cycle", RETENTION_AS_OF, months=60)
+    _kept, expired = up.expire(_monthly_totals(spark, sf), "billing_cycle", RETENTION_AS_OF, months=60)
     return expired.select("billing_cycle", "account_id", "total_amount")
 
 
@@ -881,7 +889,7 @@ def checkpoint_advance(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def accounts_with_environment(spark: SparkSession, sf: str) -> DataFrame:
-    m = _monthly(spark, sf).select("billing_cycle", "account_id", "total_amount")
+    m = _monthly_totals(spark, sf).select("billing_cycle", "account_id", "total_amount")
     return vw.with_environment(m, fx.environments(spark, sf))
 
 
@@ -896,7 +904,7 @@ def _category_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cycle_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return _monthly(spark, sf).groupBy("billing_cycle").agg(F.sum("cash_total_amount").alias("total"))
+    return _monthly_totals(spark, sf).groupBy("billing_cycle").agg(F.sum("cash_total_amount").alias("total"))
 
 
 @query(
@@ -953,7 +961,7 @@ def category_parts_check(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def environment_totals(spark: SparkSession, sf: str) -> DataFrame:
-    m = _monthly(spark, sf).join(fx.environments(spark, sf).select("account_id", "environment"), "account_id")
+    m = _monthly_totals(spark, sf).join(fx.environments(spark, sf).select("account_id", "environment"), "account_id")
     return vw.environment_totals(m, ["billing_cycle"])
 
 
@@ -1015,7 +1023,7 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def headline(spark: SparkSession, sf: str) -> DataFrame:
-    return vw.headline(_ledger(spark, sf), _monthly(spark, sf))
+    return vw.headline(_ledger(spark, sf), _monthly_totals(spark, sf))
 
 
 @query(
@@ -1090,7 +1098,7 @@ def route_sources(spark: SparkSession, sf: str) -> DataFrame:
     oss = _fact(spark, sf).groupBy("account_id", "billing_cycle").agg(
         F.sum("amount").cast("decimal(38,6)").alias("amount")
     )
-    api = _monthly(spark, sf).select("account_id", "billing_cycle", F.col("cash_total_amount").alias("amount"))
+    api = _monthly_totals(spark, sf).select("account_id", "billing_cycle", F.col("cash_total_amount").alias("amount"))
     return vw.route_sources(oss, api, _source_config(spark, sf))
 
 
@@ -1122,7 +1130,7 @@ SILENT_AS_OF = "2001-10-15"
 )
 def silent_accounts(spark: SparkSession, sf: str) -> DataFrame:
     """JN9: configured environments without bill rows in the as-of cycle."""
-    m = _monthly(spark, sf).filter(F.col("billing_cycle") == SILENT_AS_OF[:7])
+    m = _monthly_totals(spark, sf).filter(F.col("billing_cycle") == SILENT_AS_OF[:7])
     return vw.silent_accounts(fx.environments(spark, sf), m)
 
 

@@ -157,3 +157,22 @@ def test_invariant_days_sum_to_month(spark):
     a = {r.m: (r.s, r.t) for r in by_day.collect()}
     b = {r.m: (r.s, r.t) for r in by_item.collect()}
     assert a == b and len(a) > 12
+
+
+def test_totals_match_rollups(spark):
+    """The totals-only roll-ups give the same totals as the map-building ones."""
+    from ledgerlake import fixtures as fx
+    from ledgerlake.operators import rollup as ru
+
+    from .conftest import SF_SMALL
+
+    items = fx.line_items(spark, SF_SMALL)
+    cols = ["total_amount", "cash_total_amount"]
+    a = ru.daily_rollup(items).select("bill_date", "account_id", *cols)
+    b = ru.daily_totals(items)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ov = fx.overview_items(items)
+    for pos in (False, True):
+        m1 = ru.monthly_rollup(ov, positive_only=pos).select("billing_cycle", "account_id", *cols)
+        m2 = ru.monthly_totals(ov, positive_only=pos)
+        assert m1.exceptAll(m2).count() == 0 and m2.exceptAll(m1).count() == 0
