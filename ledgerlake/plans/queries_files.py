@@ -62,7 +62,8 @@ def _export_rows(items: DataFrame) -> DataFrame:
 
 def landed_exports(spark: SparkSession, sf: str) -> str:
     """CSV exports per account folder: Subscription rows in layout A, PayAsYouGo rows
-    in layout B (other column order, compact cycle, an unknown column, no name)."""
+    in layout B (other column order, compact cycle, an unknown column, no name), plus
+    one zero-byte placeholder object (SRC3: skipped without affecting the rest)."""
 
     def write(path: str) -> None:
         rows = _export_rows(fx.line_items(spark, sf))
@@ -74,8 +75,10 @@ def landed_exports(spark: SparkSession, sf: str) -> str:
                 .write.mode("overwrite").option("header", True).partitionBy("account_id")
                 .csv(f"{path}/layout={layout}")
             )
+        # a zero-byte placeholder object (an empty frame writes one empty part file)
+        spark.createDataFrame([], "x string").coalesce(1).write.mode("overwrite").csv(f"{path}/layout=a/placeholder")
 
-    return land(spark, "exports_v2", _inputs(sf), write)
+    return land(spark, "exports_v3", _inputs(sf), write)
 
 
 def _prefixes(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,7 +95,7 @@ FROM line_items
 """
 
 
-@query("export_roundtrip", ids=("SRC1", "SRC4", "PRJ6"), sql=with_ctes(_EXPORT_SQL, "line_items"))
+@query("export_roundtrip", ids=("SRC1", "SRC3", "SRC4", "PRJ6"), sql=with_ctes(_EXPORT_SQL, "line_items"))
 def export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     rows = ex.read_bill_exports(spark, landed_exports(spark, sf), _prefixes(spark, sf))
     return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code", "amount", "parse_error")
