@@ -20,6 +20,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fixed_values import DEFAULT_CHANNEL, DEFAULT_CURRENCY, SEED_CATEGORIES
 from .operators.sizing import broadcast_if_small
 from .session import stage
 
@@ -101,10 +102,10 @@ def build_line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = Fals
         (sign * price * (F.lit(1) - disc)).cast(MONEY).alias("cash_amount"),
         (sign * price).cast(MONEY).alias("pretax_amount"),
         (sign * price * (F.lit(1) + tax)).cast(MONEY).alias("pretax_gross_amount"),
-        F.lit("CNY").alias("currency"),
+        F.lit(DEFAULT_CURRENCY).alias("currency"),
         (F.col("l_returnflag") == "R").alias("is_reversal"),
         F.col("account_id"),
-        F.lit("api_query_account_bill").alias("ingestion_channel"),
+        F.lit(DEFAULT_CHANNEL).alias("ingestion_channel"),
         F.col("region"),
         F.lit(None).cast("string").alias("raw_payload"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("synced_at"),
@@ -178,13 +179,6 @@ def environments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Seeded product-code -> category rows of the reference (fixed values).
-SEED_CATEGORIES = [
-    ("ECS", "compute"), ("ACK", "compute"), ("CS", "compute"), ("ecs_workflow", "compute"),
-    ("OSS", "storage"), ("NAS", "storage"), ("DISK", "storage"),
-    ("CDN", "network"), ("SLB", "network"), ("VPC", "network"), ("EIP", "network"),
-    ("CDT", "other"), ("SFM", "other"),
-]
 # Fixture additions: part types -> categories; PROMO goes through the prefix rule.
 FIXTURE_CATEGORIES = [
     ("STANDARD", "compute"), ("ECONOMY", "compute"), ("MEDIUM", "storage"), ("LARGE", "network"),

@@ -15,6 +15,9 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed_values import MAX_CUSTOM_RANGE_MONTHS
+from ..fixed_values import REPORT_TYPES as FIXED_REPORT_TYPES
+
 DateLike = "dt.date | str | Column"
 
 
@@ -98,7 +101,7 @@ def prior_cycles_booked(cycle_col: str, date_col: str, as_of) -> Column:
     )
 
 
-MAX_RANGE_MONTHS = 60
+MAX_RANGE_MONTHS = MAX_CUSTOM_RANGE_MONTHS
 
 
 def cycle_range(cycle_col: Column | str, start: str, end: str, limit: int = MAX_RANGE_MONTHS) -> Column:
@@ -136,9 +139,9 @@ def year_key(d) -> Column:
     return F.year(_date(d)).cast("string")
 
 
-# Report types of the aggregate table, in the reference's listing order, plus
-# last_quarter (named by the UI checklist; its key form is ours: YYYY-Qn).
-REPORT_TYPES = ("1d", "this_week", "month", "last_month", "quarter", "this_year", "last_year", "last_quarter")
+# Report types of the aggregate table (fixed), plus last_quarter (named by the UI
+# checklist; its key form is ours: YYYY-Qn).
+REPORT_TYPES = FIXED_REPORT_TYPES + ("last_quarter",)
 
 
 def period_keys_for(as_of) -> list[tuple[str, Column]]:

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Reconcile tolerance of the reference tool (fixed value): |drift| <= 0.01 passes.
-RECONCILE_TOLERANCE = "0.01"
+from ..fixed_values import RECONCILE_TOLERANCE  # noqa: F401  (re-exported)
 
 SUM_TYPE = "decimal(38,6)"
 

@@ -25,8 +25,14 @@ from pyspark.sql import functions as F
 from ..functions.cycles import cycle_of, in_month, month_end
 from ..functions.money import RECONCILE_TOLERANCE, SUM_TYPE, as_sum, money, within_tolerance
 
+from ..fixed_values import (  # noqa: E402
+    CALIBRATION_PRODUCT,
+    RECONCILE_MODES,
+    STATUS_DIRTY,
+    STATUS_FINALIZED,
+)
+
 KEYS = ["billing_cycle", "account_id"]
-CALIBRATION_PRODUCT = "系统校准"  # fixed value: breakdown key of a calibration row
 
 
 def daily_cash(daily: DataFrame, cycle: str | None = None, by_account: bool = False) -> DataFrame:
@@ -107,11 +113,11 @@ def reconcile(
         .otherwise(F.lit("DRIFT")),
     ).withColumn(
         "data_status",
-        F.when(F.col("outcome") == "PASS", F.lit("FINALIZED")).when(F.col("outcome") == "DRIFT", F.lit("DIRTY")),
+        F.when(F.col("outcome") == "PASS", F.lit(STATUS_FINALIZED)).when(F.col("outcome") == "DRIFT", F.lit(STATUS_DIRTY)),
     )
 
 
-MODES = ("trigger-worker", "patch", "dry-run", "report-only")
+MODES = RECONCILE_MODES + ("dry-run",)  # the tool's --dry-run flag as a mode
 
 
 def transition(outcome: DataFrame, mode: str = "trigger-worker", run_ts=None) -> DataFrame:
@@ -131,7 +137,7 @@ def transition(outcome: DataFrame, mode: str = "trigger-worker", run_ts=None) ->
     writes = mode in ("trigger-worker", "patch")
     drift = F.col("outcome") == "DRIFT"
     patched = drift & F.lit(mode == "patch")
-    status = F.when(patched, F.lit("FINALIZED")).otherwise(F.col("data_status"))
+    status = F.when(patched, F.lit(STATUS_FINALIZED)).otherwise(F.col("data_status"))
     li = F.when(patched, F.col("monthly_api_total")).otherwise(F.col("ref_total"))
     dr = F.when(patched, F.lit(0)).otherwise(F.col("drift"))
     ts = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.current_timestamp()

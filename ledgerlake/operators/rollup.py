@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import METRIC_CONSUMPTION, METRIC_PAYMENT, STATUS_PRELIMINARY
 from ..functions.breakdown import AMOUNT, map_from_entries_sorted
 from ..functions.cycles import cycle_periods, day_periods, period_keys_for
 from ..functions.money import payment_amount
 
-METRICS = ("consumption", "payment")
+METRICS = (METRIC_CONSUMPTION, METRIC_PAYMENT)
 
 
 def _rollup(df: DataFrame, keys: Sequence[str], product: str, amounts: dict[str, str]) -> DataFrame:
@@ -90,12 +91,12 @@ def unpivot_metrics(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(
-                    F.lit("consumption").alias("metric_type"),
+                    F.lit(METRIC_CONSUMPTION).alias("metric_type"),
                     F.col("total_amount").alias("total_amount"),
                     F.col("product_breakdown").alias("product_breakdown"),
                 ),
                 F.struct(
-                    F.lit("payment").alias("metric_type"),
+                    F.lit(METRIC_PAYMENT).alias("metric_type"),
                     F.col("cash_total_amount").alias("total_amount"),
                     F.col("cash_product_breakdown").alias("product_breakdown"),
                 ),
@@ -138,7 +139,7 @@ def period_aggregate(daily: DataFrame, monthly: DataFrame) -> DataFrame:
         F.inline(cycle_periods("billing_cycle")), "account_id", "metric_type", "total_amount", "product_breakdown"
     )
     merged = _merge_by(d.unionByName(m), keys)
-    return merged.withColumn("data_status", F.lit("PRELIMINARY"))
+    return merged.withColumn("data_status", F.lit(STATUS_PRELIMINARY))
 
 
 def period_aggregate_as_of(history: DataFrame, as_of: dt.date | str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import STATUS_FINALIZED
 from .sizing import broadcast_if_small
 
 
@@ -150,7 +151,7 @@ def replace_slices(new: DataFrame, path: str, parts: Sequence[str]) -> None:
 def reset_status(status: DataFrame, keep_finalized: bool = False) -> DataFrame:
     """SNK8: the month-status table after a reset — empty, or only FINALIZED rows kept."""
     if keep_finalized:
-        return status.filter(F.col("data_status") == "FINALIZED")
+        return status.filter(F.col("data_status") == STATUS_FINALIZED)
     return status.limit(0)
 
 

@@ -10,6 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from .fixed_values import (
+    DEFAULT_CHANNEL,
+    DEFAULT_CURRENCY,
+    DEFAULT_ENV,
+    METRIC_CONSUMPTION,
+    STATUS_PRELIMINARY,
+)
+
 
 def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
@@ -122,19 +130,19 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
-# Column defaults of the DDL (fixed values), applied to absent columns only.
+# Column defaults of the DDL, applied to absent columns only.
 DEFAULTS: dict[str, dict[str, object]] = {
     "cost_cloud_bill_line_items": {
-        "currency": "CNY", "is_reversal": False, "account_id": "", "ingestion_channel": "api_query_account_bill",
+        "currency": DEFAULT_CURRENCY, "is_reversal": False, "account_id": "", "ingestion_channel": DEFAULT_CHANNEL,
     },
-    "cost_cloud_bill_month_status": {"account_id": "", "data_status": "PRELIMINARY"},
-    "cost_bss_transactions": {"account_id": "", "currency": "CNY"},
-    "cost_bss_balance_snapshot": {"currency": "CNY"},
+    "cost_cloud_bill_month_status": {"account_id": "", "data_status": STATUS_PRELIMINARY},
+    "cost_bss_transactions": {"account_id": "", "currency": DEFAULT_CURRENCY},
+    "cost_bss_balance_snapshot": {"currency": DEFAULT_CURRENCY},
     "cost_bill_outstanding_monthly": {"account_id": ""},
-    "finops_billing_fact": {"account_id": "", "env": "UNTAGGED", "item_code": "", "currency": "CNY"},
+    "finops_billing_fact": {"account_id": "", "env": DEFAULT_ENV, "item_code": "", "currency": DEFAULT_CURRENCY},
     "cost_cloud_bill_monthly_raw": {"cash_total_amount": 0, "account_id": ""},
     "cost_cloud_bill_daily_raw": {"cash_total_amount": 0, "account_id": ""},
-    "cost_cloud_bill_aggregate": {"account_id": "", "metric_type": "consumption", "data_status": "PRELIMINARY"},
+    "cost_cloud_bill_aggregate": {"account_id": "", "metric_type": METRIC_CONSUMPTION, "data_status": STATUS_PRELIMINARY},
     "cost_env_account_config": {"sort_order": 0},
     "finops_sync_job": {
         "status": "queued", "phase": "", "data_version": 0, "progress_current": 0, "progress_total": 0, "phase_detail": "",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import DEFAULT_CHANNEL, DEFAULT_CURRENCY
 from ..schemas import SCHEMAS
 
 _ITEM = T.StructType(
@@ -117,10 +118,10 @@ def read_account_bill(spark: SparkSession, path: str, grouped: bool) -> DataFram
         cash.alias("cash_amount"),
         _amt("PretaxAmount").alias("pretax_amount"),
         _amt("PretaxGrossAmount").alias("pretax_gross_amount"),
-        F.lit("CNY").alias("currency"),
+        F.lit(DEFAULT_CURRENCY).alias("currency"),
         (cash < 0).alias("is_reversal"),
         acct.alias("account_id"),
-        F.lit("api_query_account_bill").alias("ingestion_channel"),
+        F.lit(DEFAULT_CHANNEL).alias("ingestion_channel"),
         F.col("Region").alias("region"),
         F.to_json(F.struct(*[F.col(c) for c in ACCOUNT_BILL_SCHEMA.fieldNames()])).alias("raw_payload"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("synced_at"),
