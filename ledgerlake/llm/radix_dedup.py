@@ -68,7 +68,8 @@ def radix_groups(
         many = spark.read.schema(many.schema).parquet(f"{root}/groups-{rounds}")
         ended = F.col("size") <= start + run
         done = F.col("n").isNull() | ended
-        split = keyed.join(many, keys, "left").select(
+        # a sort-merge join whatever the size: its hot keys can be split
+        split = keyed.join(many.hint("merge"), keys, "left").select(
             "row",
             "doc_id",
             "uid",
