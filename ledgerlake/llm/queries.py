@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_blocks, minimax_shards, perspective_chat, radix_dedup, separator_scan, wu_manber
+from . import bagminhash, byte_bpe, line_blocks, minimax_shards, perspective_chat, radix_dedup, separator_scan, wu_manber
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.count_tokens(table(spark, sf_dir, "documents"), rank_file())
 
 
+@register
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
+
+
 @register
 def op4_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = line_blocks.extract_main_text(table(spark, sf_dir, "pages"))
