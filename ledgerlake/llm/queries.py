@@ -13,8 +13,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, byte_bpe, line_blocks, minimax_shards, perspective_chat, radix_dedup, separator_scan, wu_manber
-from .shared import table
+from . import (
+    bagminhash,
+    byte_bpe,
+    importance_resampling,
+    line_blocks,
+    minimax_shards,
+    perspective_chat,
+    radix_dedup,
+    separator_scan,
+    wu_manber,
+)
+from .shared import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,6 +150,13 @@ FROM k GROUP BY conv_id, speaker, part
 """
 
 
+@register
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = importance_resampling.fit(docs, table(spark, sf_dir, "labels"))
+    return importance_resampling.gumbel_top(written(importance_resampling.score(docs, model), "weights"))
+
+
 @register
 def op10_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.radix_groups(table(spark, sf_dir, "documents")).drop("row")
