@@ -151,14 +151,23 @@ def bpe_encode(docs: DataFrame, path: str, text: str = "text", doc_id: str = "do
 
 
 def bpe_round_trip(
-    docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", with_ids: bool = False
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    with_ids: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Encode, then decode the ids: doc_id, n_tokens, ids_sha256, decoded_sha256 (, ids)."""
+    """Encode, then decode the ids: doc_id, n_tokens, ids_sha256, decoded_sha256 (, ids).
+
+    ``carry`` names further columns to keep.
+    """
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("text"))
 
     def run(batches):
         pieces = PieceIds(path)
         for batch in batches:
-            keys, done = batch.column("doc_id"), 0
+            keys, done = [batch.column(c) for c in ("doc_id", *carry)], 0
             out: list[list] = [[], [], [], []]
             size = 0
             for packed in pieces.encode(_texts(batch)):
@@ -176,13 +185,14 @@ def bpe_round_trip(
                 yield made(keys, done, out)
 
     def made(keys, done, out):
-        cols = [keys.slice(done, len(out[0])), pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2])]
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        cols = [k.slice(done, len(out[0])) for k in keys]
+        cols += [pa.array(out[0], pa.int64()), pa.array(out[1]), pa.array(out[2])]
+        names = ["doc_id", *carry, "n_tokens", "ids_sha256", "decoded_sha256"]
         if with_ids:
             cols.append(pa.array(out[3], pa.list_(pa.int32())))
             names.append("ids")
         return pa.RecordBatch.from_arrays(cols, names)
 
-    kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema if f.name != "text")
+    schema = f"{kinds}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return chosen.mapInArrow(run, schema)

@@ -21,6 +21,7 @@ from . import (
     minimax_shards,
     perspective_chat,
     radix_dedup,
+    recurrent_lm,
     separator_scan,
     wu_manber,
 )
@@ -44,6 +45,11 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.count_tokens(table(spark, sf_dir, "documents"), rank_file())
 
 
+@register
+def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).drop("uid")

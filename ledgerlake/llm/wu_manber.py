@@ -142,9 +142,12 @@ def find_windows(
     item_id: str = "item_id",
     size: int = WINDOW,
     part_bytes: int = PART_BYTES,
+    with_row: bool = False,
 ) -> DataFrame:
     """Return doc_id, n_words, spans (hit [start, end) word ranges), items (ids that occur).
 
+    ``with_row`` adds the row's number, as ``monotonically_increasing_id`` gives it.
+
     Items with a null id have no name and are not listed, but their windows are hit.
     """
     spark = docs.sparkSession
@@ -181,8 +184,9 @@ def find_windows(
                 )
 
         passes.append(base.mapInArrow(run, schema))
+    extra = ["row"] if with_row else []
     if len(passes) == 1:
-        return passes[0].drop("row")
+        return passes[0].select("doc_id", *extra, "n_words", "spans", "items")
     every = passes[0]
     for p in passes[1:]:
         every = every.unionByName(p)
@@ -208,7 +212,7 @@ def find_windows(
             ),
         ).otherwise(F.concat(a, F.array(s))),
     )
-    return merged.select("doc_id", "n_words", joined.alias("spans"), "items")
+    return merged.select("doc_id", *extra, "n_words", joined.alias("spans"), "items")
 
 
 def contamination(found: DataFrame) -> DataFrame:
@@ -224,3 +228,11 @@ def contamination(found: DataFrame) -> DataFrame:
     )
 
 
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without a hit word, all columns."""
+    found = find_windows(docs, benchmark, text, doc_id, with_row=True)
+    hit = found.filter(F.size("spans") > 0).select(F.col("row").alias("__row"))
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(hit, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
