@@ -187,7 +187,7 @@ def scan_token_files(
     tail = (F.col("upto") == F.col("size")) & (F.coalesce(F.try_element_at("ends", F.lit(-1)), "before") < F.col("size") - 1)
     # a last stretch without a separator ends, unfinished, at the file's size
     ends = F.when(tail, F.concat("ends", F.array("size"))).otherwise(F.col("ends"))
-    starts = F.concat(F.array("before"), F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))))
+    starts = F.slice(F.concat(F.array("before"), ends), F.lit(1), F.size(ends))
     return (
         joined.select("file", "seen", "size", F.posexplode(F.arrays_zip(starts.alias("after"), ends.alias("end"))).alias("k", "doc"))
         .select(
