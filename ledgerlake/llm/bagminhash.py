@@ -11,9 +11,9 @@ time, so most shingles need one draw, whatever their number.
 Documents with equal bags are one node.  Nodes with an equal band of the signature share
 a bucket.  A node is alone if too little of it occurs in any other candidate (that is
 exact).  The others are compared with their bucket's centre, the node with the smallest
-part of its own; the links make components.  Where a bucket still has several
-components, its nodes outside the most frequent one are compared with all others of the
-bucket, block by block, so no pair that shares a band is left open.
+part of its own.  Nodes not linked to their centre are then compared with all others of
+the bucket, block by block, so no pair that shares a band is left open.  The links'
+components are the classes.
 
 Defined results: words are lower-cased letters, digits and characters from U+0080; fewer
 than five words are one shingle; texts without words are classes of equal texts; null
@@ -24,8 +24,6 @@ out.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -251,7 +249,7 @@ def _compare_blocks(least: float):
         band = key[0].as_py()
         left, right = left.combine_chunks().to_batches(), right.combine_chunks().to_batches()
         if left and right:
-            x, y = left[0], right[0]
+            x, y = left[0], right[0].rename_columns([c.removesuffix("_") for c in right[0].schema.names])
 
             def numbers(t, name):
                 return t.column(name).to_numpy(zero_copy_only=False)
@@ -300,7 +298,6 @@ def near_duplicates(
     met = written(rows.join(sizes.hint("merge"), ["band", "hash"]), "bag-met")
     # the bags of the nodes in buckets, read from one document of each
     one = signed.groupBy("node").agg(F.min("uid").alias("uid")).join(met.select("node").distinct(), "node")
-    one = written(one, "bag-nodes")
     bags = written(_bagged(base.join(one.hint("merge"), "uid").select("node", "text")), "bag-bags")
     own = (
         bags.select("node", F.explode(F.arrays_zip("keys", "counts")).alias("e"))
@@ -312,66 +309,67 @@ def near_duplicates(
     )
     facts = bags.select("node", "weight").join(own, "node", "left")
     facts = facts.select("node", "weight", (F.col("weight") - F.coalesce("own", F.lit(0))).alias("shareable"))
-    facts = written(facts.filter(F.col("shareable") >= least * F.col("weight")), "bag-facts")
+    facts = facts.filter(F.col("shareable") >= least * F.col("weight"))
     live = written(met.join(facts.hint("merge"), "node"), "bag-live")
 
     # every node with its buckets' centres
     quality = F.struct((F.col("shareable") / F.col("weight")).alias("q"), "weight", "shareable", "node")
     centres = written(live.groupBy("band", "hash").agg(F.max(quality).alias("top")), "bag-centres")
+    round_centre = live.join(centres.hint("merge"), ["band", "hash"]).filter(F.col("node") != F.col("top.node"))
     pairs = (
-        live.join(centres.hint("merge"), ["band", "hash"])
-        .filter(
-            (F.col("node") != F.col("top.node"))
-            & _possible(F.col("shareable"), F.col("weight"), F.col("top.shareable"), F.col("top.weight"), least)
+        round_centre.filter(
+            _possible(F.col("shareable"), F.col("weight"), F.col("top.shareable"), F.col("top.weight"), least)
         )
         .select(F.col("node").alias("a"), F.col("top.node").alias("b"))
         .distinct()
     )
     first = bags.select(F.col("node").alias("a"), "keys", "counts")
     second = bags.select(F.col("node").alias("b"), F.col("keys").alias("keys2"), F.col("counts").alias("counts2"))
-    pairs = written(pairs, "bag-pairs")
     links = written(
         _linked(pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b"), least), "bag-links"
     )
-    roots = connected_components(links)
-
-    # what is still open: nodes outside their bucket's most frequent component
-    placed = live.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = written(placed.join(centres.select("band", "hash", F.col("top.node").alias("centre")).hint("merge"), ["band", "hash"]), "bag-placed")
-    counts = placed.filter("node <> centre").groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
-    homes = counts.groupBy("band", "hash").agg(
-        F.max(F.struct("n", "root")).alias("home"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("roots")
+
+    # what is still open: strays, the nodes that their bucket's centre is not linked to
+    joined = links.withColumn("linked", F.lit(True))
+    placed = round_centre.select(
+        "band", "hash", "weight", "shareable", F.col("node").alias("a"), F.col("top.node").alias("b")
+    ).join(joined.hint("merge"), ["a", "b"], "left")
+    placed = placed.select(
+        "band",
+        "hash",
+        "weight",
+        "shareable",
+        F.col("a").alias("node"),
+        F.col("linked").isNull().alias("stray"),
+        F.when(F.col("linked"), F.col("b")).otherwise(F.col("a")).alias("root"),
     )
-    homes = homes.filter("roots > 1").select(
+    placed = written(placed, "bag-placed")
+    homes = placed.groupBy("band", "hash").agg(F.count_if("stray").alias("strays"), F.count(F.lit(1)).alias("all"))
+    homes = homes.filter("strays > 0 AND all > 1").select(
         "band",
         "hash",
-        F.col("home.root").alias("home"),
-        F.ceil((F.col("all") - F.col("home.n")) / block).cast("int").alias("stray_blocks"),
+        F.ceil(F.col("strays") / block).cast("int").alias("stray_blocks"),
         F.ceil(F.col("all") / block).cast("int").alias("blocks"),
     )
     homes = written(homes, "bag-homes")
-    open_ = placed.filter("node <> centre").join(homes.hint("merge"), ["band", "hash"])
-    open_ = open_.withColumn("h", F.xxhash64("node"))
+    open_ = placed.join(homes.hint("merge"), ["band", "hash"]).withColumn("h", F.xxhash64("node"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     kept = ["band", "hash", "node", "root", "weight", "shareable"]
-    strays = open_.filter("root <> home").select(
+    strays = open_.filter("stray").select(
         *kept, F.pmod("h", F.col("stray_blocks")).cast("int").alias("i"), every("blocks").alias("j")
     )
     others = open_.select(*kept, every("stray_blocks").alias("i"), F.pmod("h", F.col("blocks")).cast("int").alias("j"))
     groups = ["band", "hash", "i", "j"]
-
-    def with_bags(side: DataFrame, name: str):
-        carry = bags.select(*[F.col(c).alias(c) for c in ("node", "bands", "keys", "counts")])
-        return written(side, name).join(carry.hint("merge"), "node").groupBy(*groups)
-
+    strays = strays.join(bags.select("node", "bands", "keys", "counts").hint("merge"), "node")
+    others = others.join(bags.select("node", "bands", "keys", "counts").hint("merge"), "node")
+    others = others.select(*[F.col(c).alias(f"{c}_") for c in others.columns])
     rest = (
-        with_bags(strays, "bag-strays")
-        .cogroup(with_bags(others, "bag-others"))
+        strays.groupBy(*groups)
+        .cogroup(others.groupBy(*[f"{c}_" for c in groups]))
         .applyInArrow(_compare_blocks(least), "a binary, b binary")
     )
     more = written(rest, "bag-rest")
-    if not more.isEmpty():
-        roots = connected_components(reduce(DataFrame.union, [links, more]))
+    roots = connected_components(links.union(more))
 
     classes = signed.select("doc_id", "uid", "node").join(roots.hint("merge"), "node", "left")
     classes = written(classes.select("doc_id", "uid", F.coalesce("root", "node").alias("root")), "bag-classes")
