@@ -60,4 +60,17 @@ HEADER_BILLING_ITEM = "产品信息/计费项名称"
 HEADER_INSTANCE_ID = "资源信息/实例ID（出账粒度）"
 HEADER_AMOUNT = "应付信息/应付金额（含税）"
 
+# Substrings by which export columns are found, in order of preference: the field of the
+# grouped header (no parenthetical note), then the English name of the JSON form
+EXPORT_FIELDS = {
+    "billing_cycle": ["账单月份", "BillingCycle"],
+    "usage_date": ["账单日期", "BillingDate"],
+    "consume_time": ["消费时间", "UsageTime"],
+    "product_code": ["产品Code", "ProductCode"],
+    "product_name": ["产品名称", "ProductName"],
+    "item_code": ["计费项名称", "BillingItem"],
+    "instance_id": ["实例ID", "InstanceID"],
+    "amount": ["应付金额", "PretaxAmount"],
+}
+
 # --- end of fixed values -------------------------------------------------------------

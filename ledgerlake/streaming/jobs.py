@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..operators import ops_metrics as om
 from ..operators.upsert import latest_per_key, upsert_into
 from ..session import checkpoint_root
-from ..sources.exports import parse_export_lines
+from ..sources.exports import parse_export_lines, scan_columns
 
 
 def stream_dirs(spark: SparkSession, name: str, run_id: str | None = None) -> tuple[str, str]:
@@ -107,12 +107,7 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
     r = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    lines = r.text(root).select(
-        F.regexp_replace("value", "^﻿", "").alias("value"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("last_modified"),
-    )
+    lines = scan_columns(r.text(root))
     merge = upsert_batch(table, f"{ckpt}/staging", ["account_id", "dedup_key"], ["ingested_at"], "billing_cycle")
 
     def sink(batch: DataFrame, batch_id: int) -> None:

@@ -91,3 +91,64 @@ def test_read_overview(spark, tmp):
     rows = fd.read_overview(spark, f"{tmp}/ov").collect()
     assert [r.ProductCode for r in rows] == ["ecs", "oss"]
     assert rows[0].CashAmount == D("-3") and rows[1].PretaxAmount is None
+
+
+def _read_one(spark, tmp, text, folder="billing-data/UAT", **kw):
+    _write(f"{tmp}/{folder}/b-2025-02.csv", text)
+    return ex.read_bill_exports(spark, tmp, **kw)
+
+
+def test_wide_export_keeps_far_columns(spark, tmp):
+    pad = [f"其它/列{k}" for k in range(72)]
+    head = ",".join(["账单信息/账单日期", *pad, "产品信息/产品Code", "资源信息/实例ID", "应付信息/应付金额（含税）"])
+    row = ",".join(["2025-02-03", *["x"] * 72, "ecs", "i-1", "2.50"])
+    (r,) = _read_one(spark, tmp, f"{head}\n{row}\n").collect()
+    assert (r.product_code, r.instance_id, r.amount, r.parse_error) == ("ecs", "i-1", D("2.50"), None)
+
+
+def test_quoted_header_comma_and_header_like_row(spark, tmp):
+    head = '账单信息/账单日期,"其它/备注, 说明",产品信息/产品名称,产品信息/产品Code,应付信息/应付金额（含税）'
+    rows = "2025-02-03,n,账单日期 应付金额,ecs,1.00\n2025-02-04,n,b,oss,2.00\n"
+    got = {r.product_code: r for r in _read_one(spark, tmp, f"\n{head}\n{rows}").collect()}
+    assert {k: r.amount for k, r in got.items()} == {"ecs": D("1.00"), "oss": D("2.00")}
+    assert all(r.parse_error is None for r in got.values())
+
+
+def test_deep_prefix_binds(spark, tmp):
+    deep = "/".join("abcdefghijk")
+    prefixes = spark.createDataFrame([(deep, "DEEP"), ("a/b", "TOP")], "prefix string, account_id string")
+    (r,) = _read_one(spark, tmp, H1 + "\n2025-02,2025-02-03,t,ecs,n,s,i,1.00\n", deep, prefixes=prefixes).collect()
+    assert r.account_id == "DEEP"
+
+
+def test_account_without_mark_is_read(spark, tmp):
+    row = "\n2025-02,2025-02-03,t,ecs,n,s,i,1.00\n"
+    _write(f"{tmp}/billing-data/NEW/a.csv", H1 + row)
+    _write(f"{tmp}/billing-data/UAT/a.csv", H1 + row)
+    prefixes = spark.createDataFrame([("billing-data/UAT", "UAT"), ("billing-data/NEW", "NEW")], "prefix string, account_id string")
+    marks = spark.createDataFrame([("UAT", dt.datetime(2100, 1, 1))], "account_id string, max_object_last_modified timestamp")
+    got = ex.read_bill_exports(spark, tmp, prefixes, checkpoint=marks).collect()
+    assert [r.account_id for r in got] == ["NEW"]
+
+
+def test_current_month_prunes_files(spark, tmp):
+    row = "\n2025-02,2025-02-03,t,ecs,n,s,i,1.00\n"
+    for m in ("2025-01", "2025-02", "2025-03"):
+        _write(f"{tmp}/billing-data/UAT/bill-{m}.csv", H1 + row)
+    df = ex.read_bill_exports(spark, tmp, mode="current_month", as_of="2025-02-10")
+    assert [r.source_object.endswith("bill-2025-02.csv") for r in df.collect()] == [True]
+    lines = ex.current_month(ex._lines(spark, tmp, "*.csv"), "2025-02-10")
+    lines.collect()
+    assert lines.rdd.getNumPartitions() == 1 or "file_path" in lines._jdf.queryExecution().executedPlan().toString()
+
+
+def test_json_exports_have_the_fact_shape(spark, tmp):
+    good = {"BillingCycle": "2025-02", "BillingDate": "2025-02-03", "ProductCode": "ecs", "InstanceID": "i-1",
+            "BillingItem": "b", "PretaxAmount": "1,000.25", "RecordID": "r1"}
+    _write(f"{tmp}/billing-data/UAT/a.json", json.dumps(good) + "\n" + json.dumps(good | {"PretaxAmount": "x"}) + "\nnot json\n")
+    prefixes = spark.createDataFrame([("billing-data/UAT", "UAT")], "prefix string, account_id string")
+    rows = ex.read_json_bill_exports(spark, tmp, prefixes).collect()
+    ok = [r for r in rows if r.parse_error is None]
+    assert len(rows) == 3 and len(ok) == 1
+    assert (ok[0].amount, ok[0].account_id, ok[0].billing_cycle) == (D("1000.25"), "UAT", "2025-02")
+    assert len(ok[0].dedup_key) == 64
