@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixed_values import DEFAULT_CHANNEL, DEFAULT_CURRENCY, SEED_CATEGORIES
-from .operators.sizing import broadcast_if_small
 from .session import stage
 
 DRIVER_TABLES = (
@@ -271,20 +270,22 @@ def sampled_logs(ev: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(items: DataFrame, env: DataFrame, amount: str = "cash_amount") -> DataFrame:
+def fact_rows(
+    items: DataFrame, env: DataFrame, amount: str = "cash_amount", with_record_id: bool = False
+) -> DataFrame:
     """T10 ``finops_billing_fact`` rows (the OSS export path) from line items.
 
     tags_json carries the account's environment ({"env": ..}) when it is configured;
     env is read back from it (PRJ10), so unconfigured accounts are UNTAGGED.  The
-    dedup key (PRJ9) is over (cycle, usage date, order, line): a re-delivered line
-    collides, distinct lines never do.
+    dedup key (PRJ9) is over (cycle, usage date, order, line, record id): a re-delivered
+    line collides, distinct records do not.
     """
     from .functions.keys import dedup_key, env_tag
 
     tags = env.select(
         "account_id", F.concat(F.lit('{"env":"'), F.col("environment"), F.lit('"}')).alias("tags_json")
     )
-    j = items.join(broadcast_if_small(tags), "account_id", "left")
+    j = items.join(tags, "account_id", "left")
     return j.select(
         "billing_cycle",
         F.col("bill_date").alias("usage_date"),
@@ -300,8 +301,9 @@ def fact_rows(items: DataFrame, env: DataFrame, amount: str = "cash_amount") ->
         F.concat(F.lit("billing-data/"), F.col("account_id"), F.lit("/"), F.col("billing_cycle"), F.lit(".csv")).alias(
             "source_object"
         ),
-        dedup_key("billing_cycle", "bill_date", "sub_order_id", "billing_item").alias("dedup_key"),
+        dedup_key("billing_cycle", "bill_date", "sub_order_id", "billing_item", "record_id").alias("dedup_key"),
         F.col("synced_at").alias("ingested_at"),
+        *(["record_id"] if with_record_id else []),
     )
 
 

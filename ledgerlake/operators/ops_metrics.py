@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small
 
 # Ours: a sample whose activity score (props.k, 0..99) is below this is idle; a pod
 # idle in every sample of the day is a zombie.
@@ -83,7 +82,7 @@ def slo_daily(requests: DataFrame, slos: DataFrame) -> DataFrame:
     per_day = requests.groupBy(F.to_date("ts").alias("day"), "service_name").agg(
         F.count_if("good").alias("good"), F.count(F.lit(1)).alias("total")
     )
-    j = per_day.join(broadcast_if_small(slos.select("id", "service_name", "target_slo")), "service_name")
+    j = per_day.join(slos.select("id", "service_name", "target_slo"), "service_name")
     avail = F.col("good").cast("double") / F.col("total").cast("double")
     target = F.col("target_slo").cast("double")
     budget = F.lit(100.0) * (F.lit(1.0) - F.try_divide(F.lit(1.0) - avail, F.lit(1.0) - target))

@@ -78,10 +78,13 @@ def reconcile(
     ``api_totals`` has (billing_cycle, account_id, monthly_api_total): the totals given
     for this run.  Where a key has none, the total recorded in the month-status table
     ``status`` is used (the tool's fallback); with neither, the outcome is UNKNOWN.  At
-    cycle level the known account totals are summed (the tool reads one all-account
-    total).
+    cycle level the accounts are summed (the tool reads one all-account total), and the
+    cycle is UNKNOWN while one of its accounts has no total; ``level="known"`` sums the
+    accounts with a total alone, on both sides.
     """
-    keys = KEYS if level == "account" else ["billing_cycle"]
+    if level not in ("account", "cycle", "known"):
+        raise ValueError("level is 'account', 'cycle' or 'known'")
+    keys = KEYS
     li = items.groupBy(*keys).agg(as_sum(F.sum("cash_amount")).alias("line_items_sum"))
     dd = daily.groupBy(cycle_of(F.col("bill_date")).alias("billing_cycle"), *keys[1:]).agg(
         as_sum(F.sum("cash_total_amount")).alias("daily_sum")
@@ -96,6 +99,16 @@ def reconcile(
         )
     api = given.groupBy(*keys).agg(as_sum(F.sum("monthly_api_total")).alias("monthly_api_total"))
     j = li.join(dd, keys, "full_outer").join(api, keys, "full_outer")
+    if level == "known":
+        j = j.filter(F.col("monthly_api_total").isNotNull())
+    if level != "account":
+        keys = ["billing_cycle"]
+        unknown = F.count_if(F.col("monthly_api_total").isNull())
+        j = j.groupBy(*keys).agg(
+            as_sum(F.sum("line_items_sum")).alias("line_items_sum"),
+            as_sum(F.sum("daily_sum")).alias("daily_sum"),
+            F.when(unknown == 0, as_sum(F.sum("monthly_api_total"))).alias("monthly_api_total"),
+        )
     li_sum = F.coalesce(F.col("line_items_sum"), F.lit(0)).cast(SUM_TYPE)
     d_sum = F.coalesce(F.col("daily_sum"), F.lit(0)).cast(SUM_TYPE)
     ref = F.when(li_sum != 0, li_sum).otherwise(d_sum)

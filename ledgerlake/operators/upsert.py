@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import STATUS_FINALIZED
-from .sizing import broadcast_if_small
+
+
+#: Tasks (and so files) that share one slice of a table.
+SLICE_TASKS = 8
 
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -93,22 +96,47 @@ def upsert_add(
     The reference adds only the total and leaves the breakdown as it was; ours also
     merges the breakdown maps entry-wise (documented deviation), so Σ map = total
     still holds after a calibration row.  Order-free: add(add(o, a), b) = add(add(o, b), a).
+
+    Other columns of ``old`` keep the old row's value, or the new row's for an inserted
+    key.  A map is NULL only where it is in every row of the key; an empty one stays
+    empty.  Both sides are read twice, whatever the number of maps.
     """
-    cols = list(keys) + list(amounts) + list(maps)
-    u = old.select(*cols).unionByName(new.select(*cols))
-    out = u.groupBy(*keys).agg(*[F.sum(a).cast(old.schema[a].dataType).alias(a) for a in amounts])
-    for m in maps:
-        # per key at most one entry per product: explode, sum, rebuild the map
-        per_product = u.select(*keys, F.explode(m).alias("_k", "_v")).groupBy(*keys, "_k").agg(
-            F.sum("_v").cast("decimal(38,6)").alias("_v")
+    rest = [c for c in old.columns if c not in {*keys, *amounts, *maps}]
+    has = [c for c in rest if c in new.columns]
+    u = old.select(*keys, *amounts, *maps, *rest, F.lit(True).alias("_in_old")).unionByName(
+        new.select(*keys, *amounts, *maps, *has, F.lit(False).alias("_in_old")), allowMissingColumns=True
+    )
+    aggs = [F.sum(a).cast(old.schema[a].dataType).alias(a) for a in amounts]
+    if rest:
+        aggs.append(F.max_by(F.struct(*rest), F.col("_in_old")).alias("_rest"))
+    aggs += [F.max(F.col(m).isNotNull()).alias(f"_has_{m}") for m in maps]
+    out = u.groupBy(*keys).agg(*aggs)
+    if maps:
+        def tagged(m: str) -> Column:
+            return F.transform(
+                F.map_entries(m),
+                lambda e: F.struct(
+                    F.lit(m).alias("_m"), e["key"].alias("_k"), e["value"].cast("decimal(38,6)").alias("_v")
+                ),
+            )
+
+        entries = F.flatten(F.filter(F.array(*[tagged(m) for m in maps]), lambda x: x.isNotNull()))
+        per_product = u.select(*keys, F.explode(entries).alias("_e")).groupBy(*keys, "_e._m", "_e._k").agg(
+            F.sum("_e._v").cast("decimal(38,6)").alias("_v")
         )
+        # at most one entry per product and map
+        pair = F.struct(F.col("_k").alias("key"), F.col("_v").alias("value"))
         rebuilt = per_product.groupBy(*keys).agg(
-            F.map_from_entries(
-                F.array_sort(F.collect_list(F.struct(F.col("_k").alias("key"), F.col("_v").alias("value"))))
-            ).alias(m)
+            *[
+                F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_m") == m, pair)))).alias(f"_new_{m}")
+                for m in maps
+            ]
         )
         out = out.join(rebuilt, list(keys), "left")
-    return out
+    empty = F.map_from_entries(F.array().cast("array<struct<key:string,value:decimal(38,6)>>"))
+    made = {m: F.when(F.col(f"_has_{m}"), F.coalesce(F.col(f"_new_{m}"), empty)).alias(m) for m in maps}
+    made |= {c: F.col(f"_rest.{c}").alias(c) for c in rest}
+    return out.select(*[made.get(c, F.col(c)) for c in old.columns])
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -127,23 +155,29 @@ def replace_slices_logical(old: DataFrame, new: DataFrame, slice_keys: Sequence[
     return old.join(touched, list(slice_keys), "left_anti").unionByName(new.select(*old.columns))
 
 
-def replace_slices(new: DataFrame, path: str, parts: Sequence[str]) -> None:
+def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: DataFrame | None = None) -> None:
     """SNK7 (physical): dynamic partition overwrite of the slices ``new`` touches.
 
     Only partitions present in ``new`` are rewritten; the others are not read or
-    touched.  A slice whose new content is empty keeps its old files under dynamic
-    overwrite, so a caller clearing a slice must delete that folder itself.  An
+    touched.  ``slices`` (the partition columns) names slices to be replaced whether or
+    not ``new`` has rows for them: a slice without new rows has its folder removed.  An
     account of '' reads back as NULL from a partition folder, so partition by cycle
     (and by account only where it is never empty).  ``new`` must not read ``path``.
     """
     spark = new.sparkSession
+    if slices is not None:
+        emptied = slices.select(*parts).distinct().join(new.select(*parts).distinct(), list(parts), "left_anti")
+        for r in emptied.toLocalIterator():  # one folder for each emptied slice
+            folder = "/".join(f"{c}={r[c]}" for c in parts)
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # range-partition on the slice keys then a row hash (deterministic, safe to
-        # retry): a hot slice is cut into several tasks, each task writes few folders
-        spread = F.xxhash64(*[F.col(c) for c in new.columns])
-        new.repartitionByRange(*[F.col(p) for p in parts], spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        # partition on the slice keys and a row hash (safe to retry): a hot slice is cut
+        # into several tasks, each task writes few folders
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in new.columns if not isinstance(new.schema[c].dataType, T.MapType)]), F.lit(SLICE_TASKS))
+        new.repartition(*[F.col(p) for p in parts], spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -204,24 +238,32 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
                 staging: str) -> None:
     """SNK5/SNK6 physically: merge ``new`` into the Parquet table at ``path``.
 
-    Only the partitions ``new`` touches are read, merged (latest row per key) and
-    rewritten.  The merged slices are first written to ``staging`` (a fresh folder in
-    the shared checkpoint area), then copied over the touched partitions by dynamic
-    overwrite — so no plan ever overwrites a path it is reading, and a job lost
-    half-way leaves the table as it was (re-running it gives the same result).
+    The partitions rewritten are those of ``new`` and those in which one of its keys
+    lies now, so a record that moved to another partition leaves no second copy.  The
+    merged slices are first written to ``staging`` (a fresh folder in the shared
+    checkpoint area), then copied over the touched partitions by dynamic overwrite, so
+    no plan ever overwrites a path it is reading, and a job lost half-way leaves the
+    table as it was (re-running it gives the same result).
     """
     spark = new.sparkSession
+    touched = None
     try:
         old = spark.read.parquet(path)
-        touched = new.select(partition_col).distinct()
-        old_slices = old.join(broadcast_if_small(touched), partition_col, "left_semi")
+        held = old.select(partition_col, *[k for k in keys if k != partition_col]).join(
+            new.select(*keys).distinct(), list(keys), "left_semi"
+        )
+        touched = new.select(partition_col).union(held.select(partition_col)).distinct()
+        old_slices = old.join(touched, partition_col, "left_semi")
         merged = upsert_latest(old_slices.select(*new.columns), new, keys, order)
     except Exception as e:  # first write: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         merged = latest_per_key(new, keys, order)
+    if touched is not None:
+        touched.write.mode("overwrite").parquet(f"{staging}-slices")
+        touched = spark.read.schema(touched.schema).parquet(f"{staging}-slices")
     merged.write.mode("overwrite").parquet(staging)
-    replace_slices(spark.read.parquet(staging), path, [partition_col])
+    replace_slices(spark.read.schema(merged.schema).parquet(staging), path, [partition_col], touched)
 
 
 def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("account_id", "dedup_key"),

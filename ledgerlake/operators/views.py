@@ -1,10 +1,9 @@
 """User-facing views: environments, categories, ledger, trends (JN2, JN3, JN6, JN8,
 JN9, AGG10-AGG15, WIN1, WIN2, SET2).
 
-Dimension tables (environment config, category mapping) are broadcast only behind a
-size check (``broadcast_if_small``); past the bound the join falls back to a shuffle
-join and AQE decides at runtime.  Joins between aggregates (cycles x accounts, or
-periods x products) are small by construction and left to AQE.
+Joins with dimension tables (environment config, category mapping) and between
+aggregates (cycles x accounts, or periods x products) carry no hint: Spark's byte
+threshold and AQE decide at runtime whether a side is broadcast.
 """
 
 from __future__ import annotations
@@ -16,14 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import SUM_TYPE, as_sum, ratio
-from .sizing import MAX_BROADCAST_ROWS, broadcast_if_small  # noqa: F401  (re-exported)
 
 
 # ----------------------------------------------------------------- dimensions
 def with_environment(df: DataFrame, env: DataFrame) -> DataFrame:
     """JN2: attach environment, display name and sort order by account (left join)."""
     e = env.select("account_id", "environment", "display_name", "sort_order")
-    return df.join(broadcast_if_small(e), "account_id", "left")
+    return df.join(e, "account_id", "left")
 
 
 def category_of(product_col: str, mapping: DataFrame, prefix_rules: dict[str, str], df: DataFrame,
@@ -39,7 +37,7 @@ def category_of(product_col: str, mapping: DataFrame, prefix_rules: dict[str, st
         cond = F.col(product_col).startswith(prefix)
         rule = F.when(cond, F.lit(cat)) if rule is None else rule.when(cond, F.lit(cat))
     m = mapping.select(F.col("product_code").alias("_pc"), F.col("category").alias("_mapped"))
-    j = df.join(broadcast_if_small(m), F.col(product_col) == F.col("_pc"), "left")
+    j = df.join(m, F.col(product_col) == F.col("_pc"), "left")
     parts = ([rule] if rule is not None else []) + [F.col("_mapped"), F.lit(default)]
     return j.withColumn("category", F.coalesce(*parts)).drop("_pc", "_mapped")
 
@@ -86,10 +84,11 @@ def category_breakdown(parts: DataFrame, totals: DataFrame, keys: Sequence[str],
 def environment_totals(df: DataFrame, keys: Sequence[str], amount: str = "total_amount") -> DataFrame:
     """AGG11: total per environment and over all environments (``rollup``).
 
-    The all-environment row has ``environment`` NULL and ``is_total`` true.
+    The all-environment row has ``environment`` NULL and ``is_total`` true; accounts
+    without an environment are the environment ``unassigned``.
     """
     return (
-        df.rollup(*keys, "environment")
+        df.withColumn("environment", F.coalesce("environment", F.lit("unassigned"))).rollup(*keys, "environment")
         .agg(as_sum(F.sum(amount)).alias("total_amount"), F.grouping("environment").alias("_g"))
         .filter(F.col(keys[0]).isNotNull() if keys else F.lit(True))
         .withColumn("is_total", F.col("_g") == 1)
@@ -161,7 +160,7 @@ def route_sources(oss: DataFrame, api: DataFrame, config: DataFrame, default: st
     cfg = config.select(
         "environment", "account_id", F.coalesce(F.col("source"), F.lit(default)).alias("source")
     )
-    cfg_b = broadcast_if_small(cfg)
+    cfg_b = cfg
     o = oss.join(cfg_b.filter(F.col("source") == "oss"), "account_id").withColumn("source", F.lit("oss"))
     a = api.join(cfg_b.filter(F.col("source") == "api"), "account_id").withColumn("source", F.lit("api"))
     return o.unionByName(a, allowMissingColumns=True)

@@ -274,10 +274,10 @@ SELECT li.billing_cycle, li.bill_date AS usage_date, li.region AS account_alias,
        li.product_code, li.sub_order_id AS instance_id, li.billing_item AS item_code,
        CAST(li.cash_amount AS DECIMAL(18,6)) AS amount, li.currency, t.tags_json,
        'billing-data/' || li.account_id || '/' || li.billing_cycle || '.csv' AS source_object,
-       sha256(concat_ws(chr(31), li.billing_cycle, CAST(li.bill_date AS VARCHAR), li.sub_order_id, li.billing_item))
+       sha256(concat_ws(chr(31), li.billing_cycle, CAST(li.bill_date AS VARCHAR), li.sub_order_id, li.billing_item, li.record_id))
          AS dedup_key,
        li.synced_at AS ingested_at,
-       li.pretax_amount
+       li.pretax_amount, li.record_id
 FROM line_items li
 LEFT JOIN (SELECT account_id, '{"env":"' || environment || '"}' AS tags_json FROM env_config) t
   ON li.account_id = t.account_id
@@ -294,7 +294,7 @@ SELECT * EXCLUDE (rn) FROM (
              account_alias DESC NULLS LAST, env DESC NULLS LAST, product_code DESC NULLS LAST,
              instance_id DESC NULLS LAST, item_code DESC NULLS LAST, amount DESC NULLS LAST,
              currency DESC NULLS LAST, tags_json DESC NULLS LAST, source_object DESC NULLS LAST) AS rn
-  FROM (SELECT * EXCLUDE (pretax_amount) FROM fact_rows)
+  FROM (SELECT * EXCLUDE (pretax_amount, record_id) FROM fact_rows)
 ) WHERE rn = 1
 """,
     ("fact_rows",),

@@ -55,42 +55,54 @@ def reconcile_accounts(spark: SparkSession, sf: str) -> DataFrame:
     return _outcome(spark, sf)
 
 
+_CYCLES_SQL = """
+SELECT billing_cycle, line_items_sum, daily_sum, ref_total, monthly_api_total,
+       CAST(ref_total - monthly_api_total AS DECIMAL(38,6)) AS drift,
+       CASE WHEN monthly_api_total IS NULL THEN 'UNKNOWN'
+            WHEN abs(ref_total - monthly_api_total) <= 0.01 THEN 'PASS' ELSE 'DRIFT' END AS outcome
+FROM (
+  SELECT billing_cycle, line_items_sum, daily_sum, monthly_api_total,
+         CASE WHEN line_items_sum <> 0 THEN line_items_sum ELSE daily_sum END AS ref_total
+  FROM (
+    SELECT billing_cycle, CAST(SUM(COALESCE(li.s, 0)) AS DECIMAL(38,6)) AS line_items_sum,
+           CAST(SUM(COALESCE(dd.s, 0)) AS DECIMAL(38,6)) AS daily_sum,
+           CAST(CASE WHEN COUNT(*) = COUNT(a.s) THEN SUM(a.s) END AS DECIMAL(38,6)) AS monthly_api_total
+    FROM (SELECT billing_cycle, account_id, SUM(cash_amount) AS s FROM line_items GROUP BY 1, 2) li
+    FULL OUTER JOIN (SELECT strftime(bill_date, '%Y-%m') AS billing_cycle, account_id, SUM(cash_total_amount) AS s
+                     FROM daily_raw GROUP BY 1, 2) dd USING (billing_cycle, account_id)
+    FULL OUTER JOIN (SELECT billing_cycle, account_id, SUM(monthly_api_total) AS s FROM api_totals GROUP BY 1, 2) a
+      USING (billing_cycle, account_id)
+    WHERE {which}
+    GROUP BY billing_cycle
+  )
+)
+"""
+
+
 @query(
     "reconcile_cycles",
     ids=("Q1",),
-    sql=with_ctes(
-        """
-SELECT billing_cycle, line_items_sum, daily_sum,
-       CASE WHEN line_items_sum <> 0 THEN line_items_sum ELSE daily_sum END AS ref_total,
-       monthly_api_total,
-       CAST(CASE WHEN line_items_sum <> 0 THEN line_items_sum ELSE daily_sum END - monthly_api_total
-            AS DECIMAL(38,6)) AS drift,
-       CASE WHEN monthly_api_total IS NULL THEN 'UNKNOWN'
-            WHEN abs(CASE WHEN line_items_sum <> 0 THEN line_items_sum ELSE daily_sum END - monthly_api_total) <= 0.01
-            THEN 'PASS' ELSE 'DRIFT' END AS outcome
-FROM (
-  SELECT billing_cycle,
-         CAST(COALESCE(li.s, 0) AS DECIMAL(38,6)) AS line_items_sum,
-         CAST(COALESCE(dd.s, 0) AS DECIMAL(38,6)) AS daily_sum,
-         CAST(a.s AS DECIMAL(38,6)) AS monthly_api_total
-  FROM (SELECT billing_cycle, SUM(cash_amount) AS s FROM line_items GROUP BY 1) li
-  FULL OUTER JOIN (SELECT strftime(bill_date, '%Y-%m') AS billing_cycle, SUM(cash_total_amount) AS s
-                   FROM daily_raw GROUP BY 1) dd USING (billing_cycle)
-  FULL OUTER JOIN (SELECT billing_cycle, SUM(monthly_api_total) AS s FROM api_totals GROUP BY 1) a
-    USING (billing_cycle)
-) t
-""",
-        "line_items",
-        "daily_raw",
-        "api_totals",
-    ),
+    sql=with_ctes(_CYCLES_SQL.format(which="true"), "line_items", "daily_raw", "api_totals"),
 )
 def reconcile_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """All accounts together: UNKNOWN while one account's API total is missing."""
     items = _items(spark, sf)
     out = rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark), level="cycle")
     return out.drop("data_status")
 
 
+@query(
+    "reconcile_known_cycles",
+    ids=("Q1",),
+    sql=with_ctes(_CYCLES_SQL.format(which="a.s IS NOT NULL"), "line_items", "daily_raw", "api_totals"),
+)
+def reconcile_known_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """The accounts with an API total together, on both sides."""
+    items = _items(spark, sf)
+    out = rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark), level="known")
+    return out.drop("data_status")
+
+
 @query(
     "daily_cash_sum",
     ids=("AGG1",),
@@ -637,13 +649,14 @@ def fact_upsert(spark: SparkSession, sf: str) -> DataFrame:
         "amount DESC NULLS LAST, currency DESC NULLS LAST, tags_json DESC NULLS LAST, "
         "source_object DESC NULLS LAST) AS rn FROM ("
         "SELECT * REPLACE (sha256(concat_ws(chr(31), billing_cycle, CAST(usage_date AS VARCHAR), instance_id, "
-        "item_code, product_code)) AS dedup_key) FROM fact)) WHERE rn = 1",
-        "fact",
+        "item_code, product_code, record_id)) AS dedup_key) FROM fact_rows)) WHERE rn = 1",
+        "fact_rows",
     ),
 )
 def fact_rekey(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK9: after a key change (product added to the key), re-key and reload."""
-    out = up.rekey(_fact(spark, sf), ["billing_cycle", "usage_date", "instance_id", "item_code", "product_code"])
+    """SNK9: after a key change (product added to the key), re-key the source rows and reload."""
+    rows = fx.fact_rows(_items(spark, sf), fx.environments(spark, sf), with_record_id=True)
+    out = up.rekey(rows, ["billing_cycle", "usage_date", "instance_id", "item_code", "product_code", "record_id"])
     return out.select("account_id", "dedup_key", "billing_cycle", "amount")
 
 
@@ -773,7 +786,7 @@ def daily_raw_patched(spark: SparkSession, sf: str) -> DataFrame:
     calib = rc.calibration_rows(rc.reconcile(items, daily, fx.api_month_totals(items, spark)))
     out = up.upsert_add(
         daily, calib, ["bill_date", "account_id"], ["total_amount", "cash_total_amount"],
-        maps=["product_breakdown"],
+        maps=["product_breakdown", "cash_product_breakdown"],
     )
     return out.select(
         "bill_date", "account_id", "total_amount", "cash_total_amount",
@@ -954,14 +967,17 @@ def category_parts_check(spark: SparkSession, sf: str) -> DataFrame:
     "environment_totals",
     ids=("AGG11", "JN2"),
     sql=with_ctes(
-        "SELECT m.billing_cycle, e.environment, CAST(SUM(m.total_amount) AS DECIMAL(38,6)) AS total_amount, "
-        "GROUPING(e.environment) = 1 AS is_total FROM monthly_raw m JOIN env_config e ON m.account_id = e.account_id "
-        "GROUP BY GROUPING SETS ((m.billing_cycle, e.environment), (m.billing_cycle))",
+        "SELECT billing_cycle, environment, CAST(SUM(total_amount) AS DECIMAL(38,6)) AS total_amount, "
+        "GROUPING(environment) = 1 AS is_total FROM (SELECT m.*, COALESCE(e.environment, 'unassigned') AS environment "
+        "FROM monthly_raw m LEFT JOIN env_config e ON m.account_id = e.account_id) "
+        "GROUP BY GROUPING SETS ((billing_cycle, environment), (billing_cycle))",
         "monthly_raw", "env_config",
     ),
 )
 def environment_totals(spark: SparkSession, sf: str) -> DataFrame:
-    m = _monthly_totals(spark, sf).join(fx.environments(spark, sf).select("account_id", "environment"), "account_id")
+    m = _monthly_totals(spark, sf).join(
+        fx.environments(spark, sf).select("account_id", "environment"), "account_id", "left"
+    )
     return vw.environment_totals(m, ["billing_cycle"])
 
 

@@ -39,12 +39,13 @@ def _inputs(sf: str, names=_LI_INPUTS) -> list[str]:
 LAYOUT_A = [
     ("账单信息/账单月份", "billing_cycle"), ("账单信息/账单日期", "bill_date_s"), ("账单信息/消费时间", "consume_s"),
     ("产品信息/产品Code", "product_code"), ("产品信息/产品名称", "product_name"), ("产品信息/计费项名称", "billing_item"),
-    ("资源信息/实例ID（出账粒度）", "sub_order_id"), ("应付信息/应付金额（含税）", "amount_s"),
+    ("资源信息/实例ID（出账粒度）", "sub_order_id"), ("应付信息/应付金额（含税）", "amount_s"), ("账单信息/明细ID", "record_id"),
 ]
 LAYOUT_B = [
     ("应付信息/应付金额（含税）", "amount_s"), ("资源信息/实例ID（出账粒度）", "sub_order_id"),
     ("产品信息/产品Code", "product_code"), ("账单信息/账单日期", "bill_date_s"), ("账单信息/账单月份", "cycle_compact"),
     ("账单信息/消费时间", "consume_s"), ("产品信息/计费项名称", "billing_item"), ("其它/备注", "note"),
+    ("账单信息/明细ID", "record_id"),
 ]
 
 
@@ -52,6 +53,8 @@ def _export_rows(items: DataFrame) -> DataFrame:
     return items.select(
         "account_id", "billing_cycle", "subscription_type", "product_code", "product_name", "billing_item",
         "sub_order_id",
+        "record_id",
+        F.xxhash64("record_id").alias("spread"),
         F.date_format("bill_date", "yyyy-MM-dd").alias("bill_date_s"),
         F.date_format("synced_at", "yyyy-MM-dd HH:mm:ss").alias("consume_s"),
         F.date_format(F.to_date(F.concat("billing_cycle", F.lit("-01"))), "yyyyMM").alias("cycle_compact"),
@@ -70,15 +73,15 @@ def landed_exports(spark: SparkSession, sf: str) -> str:
         for layout, cols, kind in (("a", LAYOUT_A, "Subscription"), ("b", LAYOUT_B, "PayAsYouGo")):
             (
                 rows.filter(F.col("subscription_type") == kind)
+                .repartitionByRange("account_id", "spread")
                 .select("account_id", *[F.col(c).alias(h) for h, c in cols])
-                .repartitionByRange("account_id")
                 .write.mode("overwrite").option("header", True).partitionBy("account_id")
                 .csv(f"{path}/layout={layout}")
             )
         # a zero-byte placeholder object (an empty frame writes one empty part file)
         spark.createDataFrame([], "x string").coalesce(1).write.mode("overwrite").csv(f"{path}/layout=a/placeholder")
 
-    return land(spark, "exports_v3", _inputs(sf), write)
+    return land(spark, "exports_v4", _inputs(sf), write)
 
 
 def _prefixes(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,6 +104,42 @@ def export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code", "amount", "parse_error")
 
 
+@query("json_export_roundtrip", ids=("SRC2", "SRC4", "PRJ9"), sql=with_ctes(
+    """
+SELECT account_id, billing_cycle, bill_date AS usage_date, product_code, sub_order_id AS instance_id,
+       billing_item AS item_code, CAST(cash_amount AS DECIMAL(18,6)) AS amount, CAST(NULL AS VARCHAR) AS parse_error,
+       sha256(concat_ws(chr(31), billing_cycle, CAST(bill_date AS VARCHAR), strftime(synced_at, '%Y-%m-%d %H:%M:%S'),
+                        sub_order_id, billing_item, product_code, record_id)) AS dedup_key
+FROM line_items
+""", "line_items"))
+def json_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The export as JSON lines, one folder per account, read into fact rows."""
+
+    def write(path: str) -> None:
+        rows = _export_rows(fx.line_items(spark, sf)).repartitionByRange("account_id", "spread")
+        names = [("billing_cycle", "billing_cycle"), ("usage_date", "bill_date_s"), ("consume_time", "consume_s"),
+                 ("product_code", "product_code"), ("product_name", "product_name"), ("item_code", "billing_item"),
+                 ("instance_id", "sub_order_id"), ("amount", "amount_s"), ("record_id", "record_id")]
+        rows.select("account_id", *[F.col(c).alias(ex.CANDIDATES[f][-1]) for f, c in names]).write.mode(
+            "overwrite").partitionBy("account_id").json(path)
+
+    rows = ex.read_json_bill_exports(spark, land(spark, "json_exports_v1", _inputs(sf), write), _prefixes(spark, sf))
+    return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code",
+                       "amount", "parse_error", "dedup_key")
+
+
+@query("facts_per_record", ids=("SNK6", "PRJ9"), sql=with_ctes(
+    "SELECT COUNT(DISTINCT record_id) AS facts, CAST(SUM(cash_amount) AS DECIMAL(38,6)) AS amount FROM ("
+    "SELECT DISTINCT record_id, cash_amount FROM line_items)", "line_items"))
+def facts_per_record(spark: SparkSession, sf: str) -> DataFrame:
+    """No line is lost on the way to the fact: as many facts as record ids, and all their cash."""
+    from ..operators.upsert import latest_per_key
+
+    rows = fx.fact_rows(fx.line_items(spark, sf), fx.environments(spark, sf))
+    fact = latest_per_key(rows, ["account_id", "dedup_key"], ["ingested_at"])
+    return fact.agg(F.count(F.lit(1)).alias("facts"), F.sum("amount").cast("decimal(38,6)").alias("amount"))
+
+
 @query(
     "export_current_month",
     ids=("SRC5",),
@@ -115,13 +154,13 @@ def export_current_month(spark: SparkSession, sf: str) -> DataFrame:
 
     def write(path: str) -> None:
         rows = _export_rows(fx.line_items(spark, sf)).select(
-            "account_id", F.col("billing_cycle").alias("cycle"), *[F.col(c).alias(h) for h, c in LAYOUT_A]
+            "account_id", F.col("billing_cycle").alias("cycle"), "spread", *[F.col(c).alias(h) for h, c in LAYOUT_A]
         )
-        rows.repartitionByRange("account_id", "cycle").write.mode("overwrite").option("header", True).partitionBy(
+        rows.repartitionByRange("account_id", "cycle", "spread").drop("spread").write.mode("overwrite").option("header", True).partitionBy(
             "account_id", "cycle"
         ).csv(path)
 
-    root = land(spark, "exports_by_cycle_v1", _inputs(sf), write)
+    root = land(spark, "exports_by_cycle_v2", _inputs(sf), write)
     rows = ex.read_bill_exports(spark, root, _prefixes(spark, sf), mode="current_month", as_of=fx.BILL_AS_OF)
     return rows.groupBy("account_id", "billing_cycle").agg(F.sum("amount").cast("decimal(38,6)").alias("amount"))
 
@@ -151,8 +190,8 @@ def export_header_drift(spark: SparkSession, sf: str) -> DataFrame:
     ids=("ST1", "ST2", "SNK6", "SRC1"),
     sql=with_ctes(
         "SELECT DISTINCT account_id, sha256(concat_ws(chr(31), billing_cycle, CAST(bill_date AS VARCHAR), "
-        "strftime(synced_at, '%Y-%m-%d %H:%M:%S'), sub_order_id, billing_item, product_code)) AS dedup_key, "
-        "billing_cycle, bill_date AS usage_date FROM line_items",
+        "strftime(synced_at, '%Y-%m-%d %H:%M:%S'), sub_order_id, billing_item, product_code, record_id)) AS dedup_key, "
+        "billing_cycle, bill_date AS usage_date, CAST(cash_amount AS DECIMAL(18,6)) AS amount FROM line_items",
         "line_items",
     ),
 )
@@ -160,7 +199,7 @@ def stream_export_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """File-source stream over the landed exports, upserted into a fact table."""
     out, _ckpt = sj.stream_dirs(spark, "export-ingest")
     sj.stream_exports(spark, landed_exports(spark, sf), out, _prefixes(spark, sf))
-    return spark.read.parquet(out).select("account_id", "dedup_key", "billing_cycle", "usage_date")
+    return spark.read.parquet(out).select("account_id", "dedup_key", "billing_cycle", "usage_date", "amount")
 
 
 def landed_overview(spark: SparkSession, sf: str) -> str:

@@ -14,7 +14,6 @@ Only when that setting is unset (tests, local runs) do we create a folder of our
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 import threading
 from collections.abc import Callable, Sequence
@@ -77,8 +76,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir).
-    When unset we only make our own on a local master; a cluster must name a shared
-    folder, since a machine-local one is lost with its executor.
+    Kept as a URI (``file:`` too: a mount that driver and executors share).  When unset we
+    only make our own on a local master; a cluster must name a shared folder, since a
+    machine-local one is lost with its executor.
     """
     sc = spark.sparkContext
     root = None
@@ -90,39 +90,50 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
+    local = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
     if not root:
-        if not sc.master.startswith("local"):
+        if not local:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; name a shared folder for staged tables"
             )
         root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir="/tmp")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
-    if root.startswith("file:"):
-        root = root[len("file:"):]
     return root.rstrip("/")
 
 
-def _fingerprint(paths: Sequence[str]) -> str:
+def _path(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A hash of the inputs' files (path, length, modification time), on any file system.
+
+    Fails when an input cannot be listed: a stale staged copy is never used unseen.
+    """
     h = hashlib.sha1()
-    for p in sorted(paths):
-        h.update(p.encode())
-        try:
-            st = os.stat(p)
-            h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            pass
+    for path in sorted(paths):
+        p, fs = _path(spark, path)
+        h.update(path.encode())
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("|".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists (a read probe; works on any Hadoop file system)."""
-    try:
-        spark.read.text(path).limit(1).collect()
-        return True
-    except Exception:
-        return False
+    """True when ``path`` exists; any error but absence is raised."""
+    p, fs = _path(spark, path)
+    return bool(fs.exists(p))
+
 
+#: Tasks (and so files) that share one partition value of a staged table.
+SALT = 4
 
 _DONE: set[str] = set()
 _LOCK = threading.RLock()  # one builder per process for a staged path
@@ -143,12 +154,12 @@ def stage(
     write is followed by a marker folder ``<path>.done``; without it (a lost job) the
     folder is simply rewritten.  Finished paths are remembered for the process.
 
-    Rows are range-partitioned on the partition columns then ``spread_by``: Spark
-    samples the keys, so a hot partition value (a cycle holding a third of all rows)
-    is cut into as many tasks as its size needs, while each task writes into only one
-    or two partition folders — file count stays near the task count, at any scale.
+    Rows are hash-partitioned on the partition columns and a salt of ``spread_by`` with
+    ``SALT`` values, so a hot partition value (a cycle holding a third of all rows) is
+    cut into that many tasks, and the input is evaluated once (range partitioning would
+    sample it first).
     """
-    path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(inputs)}"
+    path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(spark, inputs)}"
     marker = f"{path}.done"
     with _LOCK:
         if path not in _DONE and not _exists(spark, marker):
@@ -160,8 +171,8 @@ def stage(
 def _build_staged(spark, path, marker, build, partition_by, spread_by, sort_within) -> None:
     df = build()
     if partition_by:
-        keys = [F.col(c) for c in partition_by] + ([F.col(spread_by)] if spread_by else [])
-        df = df.repartitionByRange(*keys)
+        salt = [F.pmod(F.xxhash64(spread_by), F.lit(SALT))] if spread_by else []
+        df = df.repartition(*[F.col(c) for c in partition_by], *salt)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
@@ -177,7 +188,7 @@ def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[
     For derived files in other formats than Parquet (CSV exports, JSON feeds, log
     folders); same marker rule as ``stage``.  Returns the folder.
     """
-    path = f"{checkpoint_root(spark)}/landed/{name}-{_fingerprint(inputs)}"
+    path = f"{checkpoint_root(spark)}/landed/{name}-{_fingerprint(spark, inputs)}"
     marker = f"{path}.done"
     with _LOCK:
         if path not in _DONE and not _exists(spark, marker):

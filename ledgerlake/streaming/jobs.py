@@ -19,6 +19,7 @@ resumes from its checkpoint after executor or driver loss.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -40,8 +41,11 @@ def stream_dirs(spark: SparkSession, name: str, run_id: str | None = None) -> tu
 
 
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
-                  mode: str = "update") -> None:
-    """Run a stream over everything available now, through ``foreachBatch``, then stop."""
+                  mode: str = "update") -> int:
+    """Run a stream over everything available now, through ``foreachBatch``, then stop.
+
+    Returns the rows that came later than the watermark and were left out.
+    """
     q = (
         df.writeStream.outputMode(mode)
         .foreachBatch(sink)
@@ -52,13 +56,19 @@ def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpo
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced to the caller
         raise RuntimeError(str(q.exception()))
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+
+
+def count_late(spark: SparkSession, out: str, late: int) -> None:
+    """Record the rows a run left out in ``<out>_late``; a batch recompute closes the gap."""
+    spark.createDataFrame([(late,)], "late_rows long").write.mode("append").parquet(f"{out}_late")
 
 
 def append_log(out: str) -> Callable[[DataFrame, int], None]:
-    """Sink: append the batch with its ``batch_id`` (replays write identical rows)."""
+    """Sink: write the batch to its own ``batch_id`` folder, so a replay replaces its rows."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return sink
 
@@ -108,13 +118,14 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     lines = scan_columns(r.text(root))
+    run = hashlib.sha1(ckpt.encode()).hexdigest()[:12]  # a replay of the run has the same folder
     merge = upsert_batch(table, f"{ckpt}/staging", ["account_id", "dedup_key"], ["ingested_at"], "billing_cycle")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = parse_export_lines(batch, prefixes).persist()
         try:
             bad = rows.filter(F.col("parse_error").isNotNull())
-            bad.write.mode("append").parquet(f"{table}_rejected")
+            bad.write.mode("overwrite").parquet(f"{table}_rejected/run={run}/batch_id={batch_id}")
             merge(rows.filter(F.col("parse_error").isNull()).drop("parse_error"), batch_id)
         finally:
             rows.unpersist()
@@ -124,13 +135,13 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
 
 
 # ------------------------------------------------------------------ ST4 / ST5 / ST6
-WATERMARK = "10 minutes"
+WATERMARK = "10 minutes"  # the default delay of the three jobs
 
 
-def stream_workload(samples: DataFrame, out: str, checkpoint: str) -> None:
+def stream_workload(samples: DataFrame, out: str, checkpoint: str, delay: str = WATERMARK) -> None:
     """ST4: hourly tumbling CPU metrics per workload (max, p95, avg, samples)."""
     agg = (
-        samples.withWatermark("ts", WATERMARK)
+        samples.withWatermark("ts", delay)
         .groupBy(F.window("ts", "1 hour").alias("w"), "namespace", "workload_name")
         .agg(
             F.max("cpu_usage").alias("max_cpu_usage"),
@@ -143,22 +154,22 @@ def stream_workload(samples: DataFrame, out: str, checkpoint: str) -> None:
             (F.col("_sum").cast("double") / F.col("samples")).alias("avg_cpu_usage"), "samples",
         )
     )
-    run_available(agg, append_log(out), checkpoint, mode="update")
+    count_late(agg.sparkSession, out, run_available(agg, append_log(out), checkpoint, mode="update"))
 
 
-def stream_errors(logs: DataFrame, out: str, checkpoint: str, bucket: str = "1 hour") -> None:
+def stream_errors(logs: DataFrame, out: str, checkpoint: str, bucket: str = "1 hour", delay: str = WATERMARK) -> None:
     """ST5: error counts per tumbling bucket and service."""
     agg = (
-        logs.withWatermark("timestamp", WATERMARK)
+        logs.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", bucket).alias("w"), "service")
         .agg(F.count(F.lit(1)).alias("errors"))
         .select(F.col("w.start").alias("bucket_start"), "service", "errors")
     )
-    run_available(agg, append_log(out), checkpoint, mode="update")
+    count_late(agg.sparkSession, out, run_available(agg, append_log(out), checkpoint, mode="update"))
 
 
 def stream_dedup(events: DataFrame, keys: Sequence[str], out: str, checkpoint: str,
                  delay: str = WATERMARK) -> None:
     """ST6: drop re-delivered events (same key within the watermark delay)."""
     d = events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
-    run_available(d, append_log(out), checkpoint, mode="append")
+    count_late(d.sparkSession, out, run_available(d, append_log(out), checkpoint, mode="append"))

@@ -176,3 +176,22 @@ def test_totals_match_rollups(spark):
         m1 = ru.monthly_rollup(ov, positive_only=pos).select("billing_cycle", "account_id", *cols)
         m2 = ru.monthly_totals(ov, positive_only=pos)
         assert m1.exceptAll(m2).count() == 0 and m2.exceptAll(m1).count() == 0
+
+
+def test_cycle_level_outcomes(spark):
+    from ledgerlake.operators import reconcile as rc
+
+    d = lambda x: D(x)
+    items = spark.createDataFrame(
+        [("2025-01", "a", d("5")), ("2025-01", "b", d("7")), ("2025-02", "a", d("5")), ("2025-03", "a", d("5")), ("2025-03", "b", d("1"))],
+        "billing_cycle string, account_id string, cash_amount decimal(14,6)",
+    )
+    daily = spark.createDataFrame([], "bill_date date, account_id string, cash_total_amount decimal(14,6)")
+    api = spark.createDataFrame(
+        [("2025-01", "a", d("5")), ("2025-01", "b", d("7.01")), ("2025-02", "a", d("6")), ("2025-03", "a", d("5"))],
+        "billing_cycle string, account_id string, monthly_api_total decimal(14,6)",
+    )
+    got = {r.billing_cycle: r.outcome for r in rc.reconcile(items, daily, api, level="cycle").collect()}
+    assert got == {"2025-01": "PASS", "2025-02": "DRIFT", "2025-03": "UNKNOWN"}
+    known = {r.billing_cycle: (r.outcome, r.ref_total) for r in rc.reconcile(items, daily, api, level="known").collect()}
+    assert known["2025-03"] == ("PASS", D("5.000000"))

@@ -60,3 +60,14 @@ def test_stream_exports_idempotent(spark, tmp):
     again = sorted((r.account_id, r.instance_id, str(r.amount)) for r in spark.read.parquet(table).collect())
     assert again == first
     assert os.path.isdir(table)
+
+
+def test_replayed_batch_and_late_rows(spark, tmp):
+    batch = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    sink = sj.append_log(tmp + "/log")
+    for batch_id in (0, 1, 1):  # the second one is replayed
+        sink(batch, batch_id)
+    assert spark.read.parquet(tmp + "/log").count() == 4
+    assert sj.current_state(spark, tmp + "/log", ["k"]).count() == 2
+    sj.count_late(spark, tmp + "/log", 3)
+    assert spark.read.parquet(tmp + "/log_late").first().late_rows == 3

@@ -101,3 +101,35 @@ def test_reset_expire_checkpoint_balance(spark):
         "account_id string, snapshot_date date, available_amount decimal(14,6)",
     )
     assert up.latest_balance(snaps).first().available_amount == D("1")
+
+
+def test_moved_key_leaves_one_copy(spark, tmp):
+    path = tmp + "/fact"
+    up.replace_slices(spark.createDataFrame([("r1", "2025-01", D("1"), ts(1), "a"), ("r2", "2025-01", D("1"), ts(1), "a")], LI), path, ["billing_cycle"])
+    moved = spark.createDataFrame([("r1", "2025-02", D("2"), ts(2), "b"), ("r2", "2025-02", D("3"), ts(2), "b")], LI)
+    up.upsert_into(moved, path, ["record_id"], ["synced_at"], "billing_cycle", tmp + "/s1")
+    got = sorted((r.record_id, r.billing_cycle, r.cash_amount) for r in spark.read.parquet(path).collect())
+    assert got == [("r1", "2025-02", D("2")), ("r2", "2025-02", D("3"))]
+
+
+def test_emptied_slice_is_cleared(spark, tmp):
+    path = tmp + "/fact"
+    base = spark.createDataFrame([("r1", "2025-01", D("1"), ts(1), "a"), ("r2", "2025-02", D("2"), ts(1), "b")], LI)
+    up.replace_slices(base, path, ["billing_cycle"])
+    both = spark.createDataFrame([("2025-01",), ("2025-02",)], "billing_cycle string")
+    up.replace_slices(spark.createDataFrame([("r3", "2025-02", D("5"), ts(1), "c")], LI), path, ["billing_cycle"], both)
+    assert [r.record_id for r in spark.read.parquet(path).collect()] == ["r3"]
+
+
+def test_add_keeps_other_columns_and_empty_maps(spark):
+    schema = "k string, v decimal(38,6), m map<string,decimal(38,6)>, c map<string,decimal(38,6)>, note string, n int"
+    old = spark.createDataFrame([("a", D("1"), {"x": D("1")}, {}, "keep", 1), ("b", D("2"), None, {}, "b", 2)], schema)
+    new = spark.createDataFrame([("a", D("4"), {"x": D("1"), "y": D("3")}, {}, "other", 9), ("c", D("3"), {}, None, "new", 3)], schema)
+    out = up.upsert_add(old, new, ["k"], ["v"], ["m", "c"])
+    assert out.columns == old.columns
+    got = {r.k: (r.v, r.m, r.c, r.note, r.n) for r in out.collect()}
+    assert got == {
+        "a": (D("5"), {"x": D("2"), "y": D("3")}, {}, "keep", 1),
+        "b": (D("2"), None, {}, "b", 2),
+        "c": (D("3"), {}, None, "new", 3),
+    }

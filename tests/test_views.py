@@ -66,12 +66,3 @@ def test_ledger_headline_routing(spark):
     cfg = spark.createDataFrame([("POC", "a", "api"), ("UAT", "b", None)], "environment string, account_id string, source string")
     assert vw.source_label(cfg).first()[0] == "mixed"
     assert vw.source_label(cfg.filter("source is null")).first()[0] == "oss"
-
-
-def test_broadcast_if_small_bound(spark):
-    df = spark.range(10)
-    small = vw.broadcast_if_small(df, max_rows=100)
-    big = vw.broadcast_if_small(df, max_rows=5)
-    j1 = spark.range(1000).join(small, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in j1
-    assert big is df
