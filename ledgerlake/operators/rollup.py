@@ -10,7 +10,7 @@ product.  No window, no per-row Python.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,6 +142,20 @@ def period_aggregate(daily: DataFrame, monthly: DataFrame) -> DataFrame:
     return merged.withColumn("data_status", F.lit(STATUS_PRELIMINARY))
 
 
+def inputs_as_of(daily: DataFrame, monthly: DataFrame, as_of: dt.date | str) -> tuple[DataFrame, DataFrame]:
+    """The daily and monthly rows that the report types of ``as_of`` can need.
+
+    Days: yesterday and the ISO week of ``as_of``; cycles: its year and the one before.
+    Literal ranges on the grouping columns, so they are pushed to the scan below.
+    """
+    a = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    monday = a - dt.timedelta(days=a.weekday())
+    low = min(monday, a - dt.timedelta(days=1))
+    days = F.col("bill_date").between(F.lit(low), F.lit(monday + dt.timedelta(days=6)))
+    cycles = F.col("billing_cycle").between(F.lit(f"{a.year - 1:04d}-01"), F.lit(f"{a.year:04d}-12"))
+    return daily.filter(days), monthly.filter(cycles)
+
+
 def period_aggregate_as_of(history: DataFrame, as_of: dt.date | str) -> DataFrame:
     """AGG9 (ETL form): the eight report types the ETL writes on ``as_of``.
 
@@ -208,14 +222,18 @@ def recompute_daily_window(items: DataFrame, as_of: dt.date | str, lookback: int
     return daily_rollup(items.filter(window))
 
 
-def recompute_cycles(items: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """ST3 (monthly): monthly_raw for the as_of cycle and the one before it."""
-    from ..fixtures import overview_items
+def recompute_cycles(
+    items: DataFrame, as_of: dt.date | str, overview: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """ST3 (monthly): monthly_raw for the as_of cycle and the one before it.
+
+    ``overview`` turns line items into the overview rows that the roll-up reads.
+    """
     from ..functions.cycles import cycle_of
 
     a = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
     touched = items.filter(F.col("billing_cycle").isin(cycle_of(a), cycle_of(F.add_months(a, -1))))
-    return monthly_rollup(overview_items(touched))
+    return monthly_rollup(overview(touched))
 
 
 def daily_totals(items: DataFrame) -> DataFrame:

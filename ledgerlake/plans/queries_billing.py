@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from .. import fixtures as fx
 from ..operators import reconcile as rc
 from ..operators import rollup as ru
@@ -309,7 +310,7 @@ GAP_AS_OF = "2001-10-15"  # after the last billing cycle of the data: month peri
     ),
 )
 def missing_periods(spark: SparkSession, sf: str) -> DataFrame:
-    etl_rows = ru.period_aggregate_as_of(_period_agg(spark, sf), GAP_AS_OF)
+    etl_rows = ru.period_aggregate_as_of(_period_agg(spark, sf, GAP_AS_OF), GAP_AS_OF)
     return dg.missing_periods(etl_rows, GAP_AS_OF)
 
 
@@ -521,9 +522,12 @@ def monthly_range(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _period_agg(spark: SparkSession, sf: str) -> DataFrame:
+def _period_agg(spark: SparkSession, sf: str, as_of: str | None = None) -> DataFrame:
     items = _items(spark, sf)
-    return ru.period_aggregate(ru.daily_rollup(items), ru.monthly_rollup(fx.overview_items(items)))
+    daily, monthly = ru.daily_rollup(items), ru.monthly_rollup(fx.overview_items(items))
+    if as_of is not None:
+        daily, monthly = ru.inputs_as_of(daily, monthly, as_of)
+    return ru.period_aggregate(daily, monthly)
 
 
 @query(
@@ -557,7 +561,7 @@ def period_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def period_aggregate_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    a = ru.period_aggregate_as_of(_period_agg(spark, sf), AS_OF)
+    a = ru.period_aggregate_as_of(_period_agg(spark, sf, AS_OF), AS_OF)
     return a.select("report_type", "period_key", "account_id", "metric_type", "total_amount")
 
 
@@ -686,10 +690,6 @@ def fact_slice_replace(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("billing_cycle", "account_id", "dedup_key", "usage_date", "amount")
 
 
-_SEED_ENVS = [("POC", "POC", "POC 演示账号", 1), ("UAT", "UAT", "UAT 中国站", 2), ("FAT", "FAT", "FAT 测试", 3),
-              ("PROD", "PROD", "PROD 生产", 4)]  # fixed values: the reference's seed rows
-
-
 @query(
     "env_config_seeded",
     ids=("SNK4", "PRJ4"),
@@ -704,7 +704,7 @@ _SEED_ENVS = [("POC", "POC", "POC 演示账号", 1), ("UAT", "UAT", "UAT 中国
 )
 def env_config_seeded(spark: SparkSession, sf: str) -> DataFrame:
     """SNK4: region-derived environments inserted into the seeded config if absent."""
-    seeds = spark.createDataFrame(_SEED_ENVS, "environment string, account_id string, display_name string, sort_order int")
+    seeds = spark.createDataFrame(fv.SEED_ENVIRONMENTS, "environment string, account_id string, display_name string, sort_order int")
     mapping = spark.createDataFrame(list(fx.REGION_ENVIRONMENT.items()), "r_name string, environment string")
     region = fx.table(spark, sf, "region")
     new = region.join(F.broadcast(mapping), "r_name", "left").select(
@@ -822,7 +822,7 @@ RETENTION_AS_OF = "2001-10-15"
 )
 def monthly_expired(spark: SparkSession, sf: str) -> DataFrame:
     """SNK11: monthly rows past the 60-month history window (the ones to drop)."""
-    _kept, expired = up.expire(_monthly_totals(spark, sf), "billing_cycle", RETENTION_AS_OF, months=60)
+    _kept, expired = up.expire(_monthly_totals(spark, sf), "billing_cycle", RETENTION_AS_OF, months=fv.HISTORY_MONTHS)
     return expired.select("billing_cycle", "account_id", "total_amount")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..fixed_values import LATE_LOOKBACK_DAYS as LOOKBACK_DAYS
 from ..operators import rollup as ru
 from ..streaming import jobs as sj
 from .catalog import query
@@ -74,7 +75,6 @@ def stream_dedup_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LATE_AS_OF = fx.BILL_AS_OF
-LOOKBACK_DAYS = 7
 
 
 @query(
@@ -108,6 +108,6 @@ def late_window_recompute(spark: SparkSession, sf: str) -> DataFrame:
 def late_cycle_recompute(spark: SparkSession, sf: str) -> DataFrame:
     """ST3: re-aggregate the current and the previous cycle (pruned to two partitions)."""
     items = fx.line_items(spark, sf)
-    return ru.recompute_cycles(items, LATE_AS_OF).select(
+    return ru.recompute_cycles(items, LATE_AS_OF, fx.overview_items).select(
         "billing_cycle", "account_id", "total_amount", "cash_total_amount"
     )

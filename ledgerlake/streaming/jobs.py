@@ -145,7 +145,7 @@ def stream_workload(samples: DataFrame, out: str, checkpoint: str, delay: str =
         .groupBy(F.window("ts", "1 hour").alias("w"), "namespace", "workload_name")
         .agg(
             F.max("cpu_usage").alias("max_cpu_usage"),
-            F.percentile_approx("cpu_usage", 0.95, om.P95_ACCURACY).alias("p95_cpu_usage"),
+            om.percentile("cpu_usage", 0.95, "decimal(10,4)").alias("p95_cpu_usage"),
             F.sum("cpu_usage").alias("_sum"),
             F.count(F.lit(1)).alias("samples"),
         )
