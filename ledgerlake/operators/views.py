@@ -11,9 +11,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import METRIC_CONSUMPTION, METRIC_PAYMENT
 from ..functions.money import SUM_TYPE, as_sum, ratio
 
 
@@ -141,6 +142,21 @@ def headline(ledger_df: DataFrame, totals: DataFrame) -> DataFrame:
     return j.select(*keys, technical.cast(SUM_TYPE).alias("technical_amount"), F.col("P").alias("finance_amount"))
 
 
+def headline_by_period(periods: DataFrame) -> DataFrame:
+    """AGG15 by period and track, from the period aggregate (T14).
+
+    technical: consumption; finance: payment, but consumption for ``month`` too.
+    """
+    def total(metric: Column) -> Column:
+        own = F.when(F.col("metric_type") == metric, F.col("total_amount"))
+        return F.coalesce(F.sum(own), F.lit(0)).cast(SUM_TYPE)
+
+    finance = F.when(F.col("report_type") == "month", F.lit(METRIC_CONSUMPTION)).otherwise(F.lit(METRIC_PAYMENT))
+    return periods.groupBy("report_type", "period_key", "account_id").agg(
+        total(F.lit(METRIC_CONSUMPTION)).alias("technical_amount"), total(finance).alias("finance_amount")
+    )
+
+
 def match_transactions(tx: DataFrame, items: DataFrame) -> DataFrame:
     """JN6: transactions with the number of line items sharing their record id;
     ``matched`` false marks a transaction without any (the left-anti report)."""

@@ -335,7 +335,7 @@ def row_probes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cash_flow_view",
-    ids=("PRJ1", "SRC9"),
+    ids=("PRJ1",),
     sql=with_ctes(
         "SELECT transaction_number AS flow_id, account_id, transaction_time AS occurred_at, amount, "
         "transaction_type AS flow_type, transaction_flow, billing_cycle, currency, synced_at FROM bss_tx",
@@ -349,7 +349,7 @@ def cash_flow_view(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------- step 3: cleaning
 @query(
     "monthly_legacy_cleaned",
-    ids=("JN1", "PRJ2", "PRJ3"),
+    ids=("JN1", "PRJ2"),
     sql=with_ctes(
         """
 SELECT billing_cycle,
@@ -425,7 +425,7 @@ def bill_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------- step 5: roll-ups
 @query(
     "daily_rollup",
-    ids=("AGG7", "SNK5"),
+    ids=("AGG7",),
     headline=True,
     sql=with_ctes(
         "SELECT bill_date, account_id, CAST(SUM(amount) AS DECIMAL(38,6)) AS total_amount, "
@@ -588,7 +588,7 @@ def _redelivered(items: DataFrame) -> DataFrame:
 
 @query(
     "line_items_upsert",
-    ids=("SNK5", "WIN4", "ST2"),
+    ids=("SNK5", "WIN4"),
     sql=with_ctes(
         "SELECT record_id, synced_at, ingestion_channel, cash_amount, account_id FROM ("
         "SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY "
@@ -796,7 +796,7 @@ def daily_raw_patched(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "latest_balance",
-    ids=("WIN3", "SRC9"),
+    ids=("WIN3",),
     sql=with_ctes(
         "SELECT account_id, MAX(snapshot_date) AS snapshot_date, arg_max(available_amount, snapshot_date) "
         "AS available_amount FROM (SELECT account_id, CAST(transaction_time AS DATE) AS snapshot_date, "
@@ -996,7 +996,7 @@ def flow_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "outstanding_by_cycle",
-    ids=("AGG13", "SRC9"),
+    ids=("AGG13",),
     sql=with_ctes(
         "SELECT billing_cycle, account_id, CAST(outstanding_amount AS DECIMAL(38,6)) AS outstanding_amount "
         "FROM outstanding",

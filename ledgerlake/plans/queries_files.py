@@ -287,7 +287,7 @@ def account_bill_feed_grouped(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "json_export_cycles",
-    ids=("SRC2", "SRC12"),
+    ids=("AGG2",),
     sql=with_ctes(
         "SELECT account_id AS AccountID, billing_cycle AS BillingCycle, "
         "CAST(SUM(cash_amount) AS DECIMAL(38,6)) AS amount, COUNT(*) AS line_count FROM line_items GROUP BY 1, 2",
@@ -309,7 +309,7 @@ LOG_START, LOG_END = "2024-01-10", "2024-01-20"
 
 @query(
     "log_store_roundtrip",
-    ids=("SNK10", "SRC10", "SNK11"),
+    ids=("SNK10", "SRC10"),
     sql=with_ctes(
         "SELECT CAST(ts AS DATE) AS event_date, 'svc-' || CAST(user_id % 5 AS VARCHAR) AS service, COUNT(*) AS errors "
         f"FROM ev WHERE event_type = 'error' AND CAST(ts AS DATE) BETWEEN DATE '{LOG_START}' AND DATE '{LOG_END}' "
@@ -363,7 +363,7 @@ def bill_summary_shape_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "line_items_conformed",
-    ids=("PRJ5", "PRJ4", "SRC12"),
+    ids=("PRJ5", "PRJ4"),
     sql=with_ctes(
         "SELECT record_id, bill_date, cash_amount, 'CNY' AS currency, is_reversal, account_id, "
         "'api_query_account_bill' AS ingestion_channel, CAST(NULL AS DECIMAL(14,6)) AS pretax_gross_amount "

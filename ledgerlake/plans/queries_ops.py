@@ -128,7 +128,7 @@ def slo_orphans(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "error_counts",
-    ids=("AGG20", "SRC10"),
+    ids=("AGG20",),
     sql=with_ctes(
         f"SELECT date_trunc('hour', ts) AS bucket_start, {_SVC} AS service, COUNT(*) AS errors FROM ev "
         "WHERE event_type = 'error' GROUP BY 1, 2",
@@ -142,7 +142,7 @@ def error_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "latency_stats",
-    ids=("AGG21", "SRC10"),
+    ids=("AGG21",),
     sql=with_ctes(
         f"SELECT {_SVC} AS service, '/' || event_type AS path, COUNT(*) AS requests, "
         "quantile_disc(CAST(value AS DECIMAL(10,2)), 0.5) AS p50_latency_ms, "
@@ -258,7 +258,7 @@ def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "table_readiness",
-    ids=("Q7", "LIM1", "SRC12"),
+    ids=("Q7", "LIM1"),
     sql=" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, TRUE AS readable, COUNT(*) > 0 AS has_rows FROM (SELECT 1 FROM {t} LIMIT 1)"
         for t in fx.DRIVER_TABLES
