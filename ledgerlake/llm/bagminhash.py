@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import written
+from .shared import UID, numbered, written
 from .wu_manber import words
 
 SHINGLE = 5
@@ -186,7 +186,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 done += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, uid long, node binary, bands array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, uid {UID}, node binary, bands array<long>")
 
 
 def _bagged(docs: DataFrame) -> DataFrame:
@@ -276,14 +276,20 @@ def _compare_blocks(least: float):
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: float = SIMILARITY, block: int = BLOCK
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    least: float = SIMILARITY,
+    block: int = BLOCK,
+    uid: str | None = None,
 ) -> DataFrame:
     """Return doc_id, uid, class_id, class_size, kept (one row of each class: its largest doc_id).
 
-    ``uid`` numbers the rows as ``monotonically_increasing_id`` does for ``docs``.
+    ``uid`` is the row's number, from that column of ``docs`` or as ``numbered`` gives it.
     """
-    base = docs.select(
-        F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("uid"), F.col(text).alias("text")
+    base = docs if uid else numbered(docs, "__uid")
+    base = base.select(
+        F.col(doc_id).alias("doc_id"), F.col(uid or "__uid").alias("uid"), F.col(text).alias("text")
     )
     signed = written(_signed(base), "bag-signed")
     # buckets of two nodes or more; of bands with the same nodes the first one serves for all
@@ -376,15 +382,15 @@ def near_duplicates(
     about = classes.groupBy("root").agg(
         F.min("doc_id").alias("class_id"),
         F.count(F.lit(1)).alias("class_size"),
-        F.max(F.struct(F.col("doc_id"), (-F.col("uid")).alias("u"))).alias("top"),
+        F.max(F.struct("doc_id", "uid")).alias("top"),
     )
     return classes.join(written(about, "bag-about").hint("merge"), "root").select(
-        "doc_id", "uid", "class_id", "class_size", (F.col("uid") == -F.col("top.u")).alias("kept")
+        "doc_id", "uid", "class_id", "class_size", (F.col("uid") == F.col("top.uid")).alias("kept")
     )
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, all columns."""
-    kept = near_duplicates(docs, text, doc_id).filter("kept").select(F.col("uid").alias("__uid"))
-    numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
-    return numbered.join(kept.hint("merge"), "__uid").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = numbered(docs, "__uid")
+    kept = near_duplicates(own, text, doc_id, uid="__uid").filter("kept").select(F.col("uid").alias("__uid"))
+    return own.join(kept.hint("merge"), "__uid").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,7 @@ longer.  A round is one aggregation of (group, run) and one join of the rows wit
 groups of two or more, which AQE splits when a group is hot.
 
 Defined results: a null text counts as empty; rows that repeat a doc_id within a group
-keep one row (the one read first); a null doc_id sorts below all others; an empty table
+keep one row (the last by file and row); a null doc_id sorts below all others; an empty table
 gives an empty result; other columns are carried, whatever their names.
 """
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import body, scratch_path
+from .shared import body, numbered, scratch_path
 
 FIRST_RUN = 64
 GROWTH = 16
@@ -35,17 +35,16 @@ def radix_groups(
 ) -> DataFrame:
     """Return ``row`` (the carried columns), doc_id, keep_id, group_size, kept, text_sha256.
 
-    ``carry`` defaults to no column.  ``docs`` must be read from files or a written
-    table: row numbers are taken from the scan twice in the first round.
+    ``carry`` defaults to no column.
     """
     spark = docs.sparkSession
     carried = tuple(carry or ())
     data = body(text)
-    state = docs.select(
+    state = numbered(docs, "__uid").select(
         F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in carried]).alias("row"),
         F.col(doc_id).alias("doc_id"),
-        F.monotonically_increasing_id().alias("uid"),
-        F.lit(0).cast("long").alias("gid"),
+        F.col("__uid").alias("uid"),
+        F.struct(F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("row")).alias("gid"),
         F.octet_length(data).cast("long").alias("size"),
         F.unhex(F.sha2(data, 256)).alias("digest"),
         data.alias("bytes"),
@@ -59,7 +58,7 @@ def radix_groups(
             keyed.groupBy(*keys)
             .agg(
                 F.count(F.lit(1)).alias("n"),
-                F.max(F.struct(F.col("doc_id"), -F.col("uid"))).alias("top"),
+                F.max(F.struct("doc_id", "uid")).alias("top"),
                 F.min("uid").alias("next_gid"),
             )
             .filter("n > 1")
@@ -79,7 +78,7 @@ def radix_groups(
             F.when(~done, F.col("bytes")).alias("bytes"),
             F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("keep_id"),
             F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
-            (F.col("n").isNull() | (F.col("top.col2") == -F.col("uid"))).alias("kept"),
+            (F.col("n").isNull() | (F.col("top.uid") == F.col("uid"))).alias("kept"),
             done.alias("done"),
         )
         path = f"{root}/round-{rounds}"

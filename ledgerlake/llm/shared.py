@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
@@ -36,6 +37,31 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str = "uid") -> DataFrame:
+    """``docs`` with a number for each row that every later scan gives again.
+
+    It is the row's place: its file (hashed) and its index in that file.  Unlike a number
+    made in the task it does not hang on how files are split, which changes with the
+    executors at hand.  Rows that are not read from Parquet files are written first.
+    """
+
+    def place(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        return df.withColumn(
+            name, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))
+        )
+
+    try:
+        out = place(docs)
+        out.schema  # noqa: B018  (the analysis tells whether there are files)
+        return out
+    except AnalysisException:
+        return place(written(docs, "numbered"))
+
+
+UID = "struct<file:bigint,row:bigint>"
+
+
 def body(text: str | Column) -> Column:
     """The text as bytes; null counts as empty."""
     col = F.col(text) if isinstance(text, str) else text

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import UID, numbered
+
 WINDOW = 10
 PART_BYTES = 16 << 20
 #: Windows are put in tables by length, from each of these up to the next.
@@ -142,20 +144,19 @@ def find_windows(
     item_id: str = "item_id",
     size: int = WINDOW,
     part_bytes: int = PART_BYTES,
-    with_row: bool = False,
+    row: str | None = None,
 ) -> DataFrame:
     """Return doc_id, n_words, spans (hit [start, end) word ranges), items (ids that occur).
 
-    ``with_row`` adds the row's number, as ``monotonically_increasing_id`` gives it.
+    With ``row``, the column of ``docs`` that numbers its rows, ``row`` is returned too.
 
     Items with a null id have no name and are not listed, but their windows are hit.
     """
     spark = docs.sparkSession
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
-    schema = f"doc_id {kind}, row long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    base = docs.select(
-        F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text")
-    )
+    schema = f"doc_id {kind}, row {UID}, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+    base = docs if row else numbered(docs, "__row")
+    base = base.select(F.col(doc_id).alias("doc_id"), F.col(row or "__row").alias("row"), F.col(text).alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     passes = []
     for part in _window_parts(benchmark, item_text, item_id, size, part_bytes):
@@ -184,7 +185,7 @@ def find_windows(
                 )
 
         passes.append(base.mapInArrow(run, schema))
-    extra = ["row"] if with_row else []
+    extra = ["row"] if row else []
     if len(passes) == 1:
         return passes[0].select("doc_id", *extra, "n_words", "spans", "items")
     every = passes[0]
@@ -232,7 +233,7 @@ def contamination(found: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns."""
-    found = find_windows(docs, benchmark, text, doc_id, with_row=True)
+    own = numbered(docs, "__row")
+    found = find_windows(own, benchmark, text, doc_id, row="__row")
     hit = found.filter(F.size("spans") > 0).select(F.col("row").alias("__row"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(hit, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return own.join(hit, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
