@@ -1,12 +1,10 @@
 """Column-level helpers built only from ``pyspark.sql.functions``."""
 
 from .breakdown import (
-    breakdown,
     breakdown_array,
     breakdown_sum,
     conform_breakdown,
     flatten_breakdown,
-    merge_breakdowns,
 )
 from .cycles import (
     REPORT_TYPES,

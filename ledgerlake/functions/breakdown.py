@@ -32,26 +32,6 @@ def map_from_entries_sorted(entries: Column) -> Column:
     return F.map_from_entries(F.array_sort(entries))
 
 
-def breakdown(df: DataFrame, keys: Sequence[str], product: str, amounts: dict[str, str]) -> DataFrame:
-    """PRJ14/AGG7 core: per ``keys`` the total of each amount column and a product map.
-
-    ``amounts`` maps an input amount column to an output prefix, e.g.
-    ``{"pretax_amount": "", "cash_amount": "cash_"}`` gives ``total_amount``,
-    ``product_breakdown``, ``cash_total_amount``, ``cash_product_breakdown``.
-    """
-    per_product = df.groupBy(*keys, product).agg(
-        *[F.sum(F.col(c)).cast(AMOUNT).alias(f"_a{i}") for i, c in enumerate(amounts)]
-    )
-    aggs = []
-    for i, prefix in enumerate(amounts.values()):
-        aggs.append(F.sum(f"_a{i}").cast(AMOUNT).alias(f"{prefix}total_amount"))
-        aggs.append(
-            map_from_entries_sorted(
-                F.collect_list(breakdown_entries(F.coalesce(F.col(product), F.lit("")), F.col(f"_a{i}")))
-            ).alias(f"{prefix}product_breakdown")
-        )
-    return per_product.groupBy(*keys).agg(*aggs)
-
 
 def flatten_breakdown(df: DataFrame, col: str, key_name: str = "product_code", value_name: str = "amount") -> DataFrame:
     """PRJ15: one row per map entry (``explode``); the other columns are kept."""
@@ -110,12 +90,3 @@ def conform_breakdown(json_col: Column | str) -> Column:
         F.when(trimmed.startswith("["), from_array)
         .when(trimmed.startswith("{"), as_map)
     )
-
-
-def merge_breakdowns(a: Column, b: Column) -> Column:
-    """Entry-wise sum of two maps (missing keys count as 0)."""
-    return F.map_zip_with(
-        F.coalesce(a, F.create_map().cast(BREAKDOWN_TYPE)),
-        F.coalesce(b, F.create_map().cast(BREAKDOWN_TYPE)),
-        lambda _k, x, y: (F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0))).cast(AMOUNT),
-    )

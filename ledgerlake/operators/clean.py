@@ -73,8 +73,3 @@ def with_cycle_check(df: DataFrame, cycle_col: str = "billing_cycle") -> DataFra
     """PRJ6 + FLT10 as columns: ``cycle_normalized`` and ``cycle_valid``."""
     n = normalize_cycle(cycle_col)
     return df.withColumn("cycle_normalized", n).withColumn("cycle_valid", valid_cycle(n))
-
-
-def dedup_exact(df: DataFrame) -> DataFrame:
-    """Whole-row duplicate removal (partial aggregation, skew-safe, deterministic)."""
-    return df.dropDuplicates()

@@ -155,10 +155,6 @@ def row_probe(df: DataFrame, cond: F.Column | None = None, name: str = "") -> Da
     return d.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
 
 
-def read_probe(df: DataFrame) -> DataFrame:
-    """LIM1: ``LIMIT 1`` read probe."""
-    return df.limit(1)
-
 
 def cash_flow(tx: DataFrame) -> DataFrame:
     """PRJ1 / V1 ``finops_cash_flow``: renamed projection of the BSS transactions."""
