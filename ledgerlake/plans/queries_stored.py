@@ -212,8 +212,8 @@ def accounts_silent_on_day(spark: SparkSession, sf: str) -> DataFrame:
     """For every booked day, the configured accounts without a bill row."""
     daily = ru.daily_totals(fx.line_items(spark, sf)).select("bill_date", "account_id")
     configured = fx.environments(spark, sf).agg(F.collect_set("account_id").alias("ids"))  # one row of configuration
-    days = daily.select("bill_date").distinct().withColumn("one", F.lit(1))
-    wanted = days.join(configured.withColumn("one", F.lit(1)), "one").select("bill_date", F.explode("ids").alias("account_id"))
+    days = daily.select("bill_date").distinct()
+    wanted = days.select("bill_date", F.explode(configured.scalar()).alias("account_id"))
     return wanted.join(daily, ["bill_date", "account_id"], "left_anti")
 
 
