@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 
 WINDOW = 32
-ROWS = 64
+ROWS = 128
 #: Training restarts the state after so many words, so that a long text trains side by
 #: side with others instead of alone.
 STRETCH = 256
@@ -76,13 +76,15 @@ def start(shape: Shape, counts: np.ndarray, seed: int = 7) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -30.0, 30.0)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials and the sum of each row (shifted only where they are large)."""
+    if x.max(initial=0.0) > 60.0:
+        x = x - x.max(axis=1, keepdims=True)
+    e = np.exp(x)
+    return x, e, e.sum(axis=1)
 
 
 def run_window(p: dict, hidden: int, inputs: np.ndarray, h: np.ndarray, keep: bool = False):
@@ -109,32 +111,38 @@ def token_scores(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray,
     With ``grads`` the output weights' gradients of the summed log loss are added there,
     and the gradient of the states is returned too.
     """
-    logits = _log_softmax(states @ p["c"] + p["cb"])
+    logits, e, total = _exp_sum(states @ p["c"] + p["cb"])
     cls = np.where(targets < shape.words, targets // shape.size, targets - shape.words + shape.classes)
     rows = np.arange(len(targets))
-    out = logits[rows, cls]
+    out = logits[rows, cls] - np.log(total)
     back = None
     if grads is not None:
-        d = np.exp(logits)
+        d = e / total[:, None]
         d[rows, cls] -= 1.0
         grads["c"] += states.T @ d
         grads["cb"] += d.sum(axis=0)
         back = d @ p["c"].T
-    order = np.argsort(cls, kind="stable")
+    # words by class: each class is one product of matrices
+    order = np.argsort(cls.astype(np.int16), kind="stable")
     ends = np.searchsorted(cls[order], np.arange(shape.classes + 1))
+    sorted_states, sorted_targets = states[order], targets[order]
+    within = np.zeros(len(targets), out.dtype)
+    below = np.zeros_like(sorted_states) if grads is not None else None
     for c in np.flatnonzero(np.diff(ends)):
-        own = order[ends[c] : ends[c + 1]]
-        some = states[own]
-        within = _log_softmax(some @ p["w"][c] + p["wb"][c])
-        which = targets[own] - c * shape.size
-        at = np.arange(len(own))
-        out[own] += within[at, which]
+        a, b = ends[c], ends[c + 1]
+        some = sorted_states[a:b]
+        logits, e, total = _exp_sum(some @ p["w"][c] + p["wb"][c])
+        which, at = sorted_targets[a:b] - c * shape.size, rows[: b - a]
+        within[a:b] = logits[at, which] - np.log(total)
         if grads is not None:
-            d = np.exp(within)
+            d = e / total[:, None]
             d[at, which] -= 1.0
             grads["w"][c] += some.T @ d
             grads["wb"][c] += d.sum(axis=0)
-            back[own] += d @ p["w"][c].T
+            below[a:b] = d @ p["w"][c].T
+    out[order] += within
+    if back is not None:
+        back[order] += below
     return out, back
 
 

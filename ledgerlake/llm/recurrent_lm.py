@@ -34,7 +34,7 @@ HEAD = 1 << 18
 CLASSES, SIZE, HIDDEN = 64, 64, 24
 #: Ranks at which the groups of the head's other words begin.
 GROUP_RANKS = (CLASSES * SIZE, 1 << 14, 1 << 16)
-SHARE, ROUNDS, RATE = 12, 3, 0.01
+SHARE, ROUNDS, RATE = 12, 3, 0.02
 #: Copies' weights are averaged in pieces of so many numbers.
 PIECE = 1 << 15
 #: Tokens scored together, and texts.
@@ -114,6 +114,10 @@ class Lexicon:
         self.counts = np.concatenate([modelled, sums, [self.rest]])
 
 
+def _offsets(sizes: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+
+
 def _encoded(docs: DataFrame, lexicon) -> DataFrame:
     """Each text's ids, the head's part of the sums, and its other words with counts."""
 
@@ -126,11 +130,20 @@ def _encoded(docs: DataFrame, lexicon) -> DataFrame:
 
             def made():
                 n = len(out[0])
-                tail = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), tail]
+                counts = [len(c) for c in out[5]]
+                flat = pa.StructArray.from_arrays(
+                    [
+                        pa.array([w for c in out[5] for w in c], pa.binary()),
+                        pa.array([m for c in out[5] for m in c.values()], pa.int64()),
+                    ],
+                    ["word", "n"],
+                )
+                sizes = [len(i) for i in out[4]]
+                columns = [pa.array(v, k) for v, k in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+                columns.append(pa.ListArray.from_arrays(_offsets(sizes), pa.array(np.concatenate(out[4]))))
+                columns.append(pa.ListArray.from_arrays(_offsets(counts), flat))
                 return pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(done, n) for c in ("doc_id", "uid", "part", "held_out")]
-                    + [pa.array(v, k) for v, k in zip(out, kinds)],
+                    [batch.column(c).slice(done, n) for c in ("doc_id", "uid", "part", "held_out")] + columns,
                     ["doc_id", "uid", "part", "held_out", "n_tokens", "head_known", "head_base", "share", "ids", "tail"],
                 )
 
@@ -149,7 +162,7 @@ def _encoded(docs: DataFrame, lexicon) -> DataFrame:
                         float(lex.base[in_head].sum()),
                         float(lex.share[in_head].sum()),
                         ids,
-                        [{"word": w, "n": n} for w, n in tail.items()],
+                        tail,
                     ),
                 ):
                     column.append(value)
