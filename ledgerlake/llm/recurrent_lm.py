@@ -7,10 +7,10 @@ as groups by rank; words beyond the head are one more group, with add-one freque
 and one place for unseen words.  A word's probability is its group's, by the network,
 times its share of the group.
 
-The network is trained in ``ROUNDS`` rounds.  Each takes one in ``SHARE`` of the training
-texts, whole, another part each round; every task trains a copy on its texts, and the
-copies are averaged by their tokens.  What is trained on, counted and scored grows with
-the corpus; the network and the head do not.
+The network is trained in ``ROUNDS`` rounds.  Each takes another part of the training
+texts, whole, so that after the last one every text has been learned from once; every task
+trains a copy on its texts, and the copies are averaged by their tokens.  What is trained
+on, counted and scored grows with the corpus; the network and the head do not.
 
 Defined results: a null text counts as empty (one token, the end); a null doc_id counts
 as the empty text for the split; repeated rows are scored each; an empty table gives an
@@ -34,7 +34,7 @@ HEAD = 1 << 18
 CLASSES, SIZE, HIDDEN = 64, 64, 24
 #: Ranks at which the groups of the head's other words begin.
 GROUP_RANKS = (CLASSES * SIZE, 1 << 14, 1 << 16)
-SHARE, ROUNDS, RATE = 12, 3, 0.02
+ROUNDS, RATE = 3, 0.02
 #: Copies' weights are averaged in pieces of so many numbers.
 PIECE = 1 << 15
 #: Tokens scored together, and texts.
@@ -187,8 +187,8 @@ def _texts(batches):
             yield ids.values.to_numpy().astype(np.int64)
 
 
-def train(encoded: DataFrame, weights: np.ndarray, share: int = SHARE, rounds: int = ROUNDS, rate: float = RATE):
-    """The averaged weights after ``rounds`` rounds; ``encoded`` has part and ids."""
+def train(encoded: DataFrame, weights: np.ndarray, rounds: int = ROUNDS, rate: float = RATE):
+    """The averaged weights after ``rounds`` rounds over all of ``encoded`` (part and ids)."""
     sc = encoded.sparkSession.sparkContext
     for k in range(rounds):
         sent = sc.broadcast(weights)
@@ -216,7 +216,7 @@ def train(encoded: DataFrame, weights: np.ndarray, share: int = SHARE, rounds: i
             piece = (total / weight).astype(np.float32).tobytes()
             return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "piece": pa.array([piece], pa.binary())})
 
-        own = encoded.filter(F.pmod("part", F.lit(share)) == k % share).select("ids")
+        own = encoded.filter(F.pmod("part", F.lit(rounds)) == k).select("ids")
         pieces = (
             own.mapInArrow(run, "at long, tokens long, piece binary")
             .groupBy("at")

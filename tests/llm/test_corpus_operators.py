@@ -263,6 +263,16 @@ def test_windows_carry_the_state():
     assert abs(np.exp(every).sum() - 1.0) < 1e-5
 
 
+def test_every_training_text_reaches_the_network(spark):
+    n, last = 24, recurrent_lm.SHAPE.ids - 1
+    encoded = spark.createDataFrame([(k, [k, last]) for k in range(n)], "part long, ids array<int>")
+    before = gated_rnn.start(recurrent_lm.SHAPE, np.ones(recurrent_lm.SHAPE.ids))
+    after = recurrent_lm.train(encoded, before)
+    moved = np.abs(recurrent_lm.SHAPE.views(after)["x"] - recurrent_lm.SHAPE.views(before)["x"]).max(axis=1)
+    assert (moved[:n] > 0).all()  # text k alone has id k
+    assert not moved[n:last].any()
+
+
 def test_base_scores_match_brute_force(spark, tmp):
     rng = random.Random(4)
     pairs = [(k, " ".join(f"w{min(rng.randint(0, 40), rng.randint(0, 40))}" for _ in range(rng.randint(0, 60)))) for k in range(60)]
