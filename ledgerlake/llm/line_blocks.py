@@ -1,11 +1,12 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
 Markup is stripped to one line for each block element.  A line's weight is its text
-outside links, and nothing inside menus, footers, adverts and the like; where a page
-marks its article, only lines in it weigh.  Weights are summed over sliding windows of
-``WINDOW`` lines: a run of text starts where the sum surges and ends where it dives to
-nothing.  The lines of all runs are the text, each white space run one space, joined by
-a line feed.
+outside links; menus, footers, adverts and the like give no lines.  Where a page marks an
+article, its lines weigh their whole text, links too; lines outside keep their weight.
+Weights are summed over sliding windows of ``WINDOW`` lines: a run of text starts where the
+sum surges and ends where it dives to nothing.  Runs in which marked lines weigh are text
+whatever their size, others from ``SURGE`` characters.  The lines of all runs are the text,
+each white space run one space, joined by a line feed.
 
 Defined results: a null or empty page, and one without a run, give the empty text;
 markup cut off at the end of a page is dropped; character references are decoded, also
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: Characters in a window from which text starts, where a page does not mark its article.
+#: Characters in a window from which a run is text, where none of its lines is in a marked article.
 SURGE = 80
 
 _TOKEN = re.compile(
@@ -130,13 +131,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
 def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of one page."""
     lines = lines_of(html or "")
-    marked = any(text and inside for text, _, inside in lines)
-    if marked:
-        # every line of a marked article is text, links and short lines too
-        weights = [len(text) if inside else 0 for text, _, inside in lines]
-        surge = 1
-    else:
-        weights = [weight for _, weight, _ in lines]
+    # every line of a marked article is text, links and short lines too
+    weights = [len(text) if inside else weight for text, weight, inside in lines]
     sums, total = [], 0
     for k, w in enumerate(weights):
         total += w - (weights[k - window] if k >= window else 0)
@@ -150,7 +146,7 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
             if weights[k] > 0:
                 run.append(k)
         else:
-            if peak >= surge:
+            if peak >= surge or any(lines[i][2] for i in run):
                 kept.extend(lines[i][0] for i in run)
             run, peak = [], 0
     return "\n".join(kept)

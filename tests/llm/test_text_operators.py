@@ -138,6 +138,15 @@ def test_main_text(html, want):
     assert line_blocks.main_text(html) == want
 
 
+LINE = "Main text that is long enough to stand for itself, and that no marker of the page covers at all."
+
+
+def test_text_outside_article_markers_stays():
+    teasers = "".join(f"<article><h3>Teaser {k}</h3><p>short</p></article>" for k in range(3))
+    got = line_blocks.main_text(f"<div class=content><p>{LINE}</p><p>{LINE}</p></div><div>{teasers}</div>").split("\n")
+    assert got[:2] == [LINE, LINE]
+
+
 def test_pages_query_matches_article_markup(spark):
     import re
     from html import unescape
