@@ -1,12 +1,14 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
-Markup is stripped to one line for each block element.  A line's weight is its text
-outside links; menus, footers, adverts and the like give no lines.  Where a page marks an
+Markup is stripped to one line for each block element with text.  A line's weight is its
+text outside links (``<a href>``, to the end of the line at most); menus, footers, adverts and the like give no lines.  Where a page marks an
 article, its lines weigh their whole text, links too; lines outside keep their weight.
-Weights are summed over sliding windows of ``WINDOW`` lines: a run of text starts where the
-sum surges and ends where it dives to nothing.  Runs in which marked lines weigh are text
-whatever their size, others from ``SURGE`` characters.  The lines of all runs are the text,
-each white space run one space, joined by a line feed.
+Weights are summed over sliding windows of ``WINDOW`` lines: a run of text ends where the
+sum dives to nothing and starts where it surges again, so that runs are parted by
+``WINDOW`` lines or more of links alone.  Runs with marked lines are text whatever their
+size, others from ``SURGE`` characters, however short their lines.  All lines of these runs
+are the text, short ones and links too, each white space run one space, joined by a line
+feed.
 
 Defined results: a null or empty page, and one without a run, give the empty text;
 markup cut off at the end of a page is dropped; character references are decoded, also
@@ -17,6 +19,7 @@ empty table gives an empty result; other columns are left out.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: Characters in a window from which a run is text, where none of its lines is in a marked article.
+#: Characters from which a run is text, where none of its lines is in a marked article.
 SURGE = 80
 
 _TOKEN = re.compile(
@@ -36,6 +39,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _HINT = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp "
@@ -63,7 +67,7 @@ def _hinted_away(rest: str) -> bool:
 
 
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, in a marked article) of each line, skipped elements left out."""
+    """(text, weight, in a marked article) of each line with text, skipped elements left out."""
     out: list[tuple[str, int, bool]] = []
     buffer: list[str] = []
     linked = 0  # characters of the line inside links
@@ -72,14 +76,12 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     marked = False
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, anchor
         text = " ".join("".join(buffer).split())
         if text:
             out.append((text, max(0, len(text) - linked), inside > 0))
-        else:
-            out.append(("", 0, inside > 0))
         buffer.clear()
-        linked = 0
+        linked = anchor = 0  # a link left open weighs no more than its line
 
     def put(raw: str) -> None:
         nonlocal linked
@@ -115,7 +117,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
                 skipped.append(name)
             continue
         if name == "a":
-            anchor = 0 if ending else 1
+            anchor = 0 if ending or not _HREF.search(m["rest"]) else 1
         elif name == "br":
             buffer.append(" ")
         elif name not in _INLINE:
@@ -133,25 +135,26 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     lines = lines_of(html or "")
     # every line of a marked article is text, links and short lines too
     weights = [len(text) if inside else weight for text, weight, inside in lines]
-    sums, total = [], 0
-    for k, w in enumerate(weights):
-        total += w - (weights[k - window] if k >= window else 0)
-        sums.append(total)  # over the lines up to k
     kept: list[str] = []
-    run: list[int] = []
-    peak = 0
-    for k, total in enumerate([*sums, 0]):
-        if total > 0:
-            peak = max(peak, total)
-            if weights[k] > 0:
-                run.append(k)
-        else:
-            if peak >= surge or any(lines[i][2] for i in run):
-                kept.extend(lines[i][0] for i in run)
-            run, peak = [], 0
+    for run in _runs(weights, window):
+        if sum(weights[k] for k in run) >= surge or any(lines[k][2] for k in run):
+            kept.extend(lines[k][0] for k in run)
     return "\n".join(kept)
 
 
+def _runs(weights: list[int], window: int) -> Iterator[range]:
+    """The stretches of lines between windows whose sum is nothing."""
+    begin = total = 0
+    for k, w in enumerate(weights):
+        total += w - (weights[k - window] if k >= window else 0)
+        if total == 0 and k >= window - 1:
+            if k - window + 1 > begin:
+                yield range(begin, k - window + 1)
+            begin = k + 1
+    if begin < len(weights):
+        yield range(begin, len(weights))
+
+
 def extract_main_text(pages: DataFrame, html: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Return the key columns and ``text`` of every page."""
     chosen = pages.select(*[F.col(k) for k in keys], F.col(html).alias("html"))

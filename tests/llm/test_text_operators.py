@@ -147,6 +147,26 @@ def test_text_outside_article_markers_stays():
     assert got[:2] == [LINE, LINE]
 
 
+LINKS = "<ul>" + "<li><a href=/x>other page</a></li>" * 4 + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<div><div><p>A paragraph of forty characters, or so.</p></div><div><p>Another of the same size, in a div.</p></div>"
+         "<div><p>A third, and they are one text.</p></div></div>",
+         "A paragraph of forty characters, or so.\nAnother of the same size, in a div.\nA third, and they are one text."),
+        ("<table>" + "<tr><td>cell one</td><td>2</td></tr>" * 12 + "</table>", "\n".join(["cell one", "2"] * 12)),
+        (f"<p>{LINE}</p><p><a href=/s>Source</a></p><p>x</p><p>{LINE}</p>", f"{LINE}\nSource\nx\n{LINE}"),
+        (f"<a name=top><p>{LINE}</p><p>{LINE}</p>", f"{LINE}\n{LINE}"),
+        (f"<p><a href=/x>left open</p><p>{LINE}</p>", f"left open\n{LINE}"),
+        (f"{LINKS}<p>{LINE}</p>{LINKS}<p>{LINE}</p>{LINKS}<p>label</p>{LINKS}", f"{LINE}\n{LINE}"),
+    ],
+)
+def test_short_lines_and_links_stay_in_a_run(html, want):
+    assert line_blocks.main_text(html) == want
+
+
 def test_pages_query_matches_article_markup(spark):
     import re
     from html import unescape
