@@ -38,7 +38,7 @@ _TOKEN = re.compile(
     r"|<[a-z][^>]*\Z",
     re.S | re.I,
 )
-_HINT = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
 _INLINE = frozenset(
@@ -51,17 +51,55 @@ _SKIPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments "
     "cookie cookies consent disqus footer header menu menus modal nav navbar navigation newsletter notice notices "
     "pager pagination popup promo promoted related share sharing sidebar social sponsor sponsored subscribe "
-    "toolbar widget contentinfo complementary search".split()
+    "toolbar widget".split()
+)
+_SKIPPED_ROLES = _SKIPPED_WORDS | {"contentinfo", "complementary", "search"}
+#: Parts of names that say where or in what shape: `site-footer` is a footer, `has-sidebar` no sidebar.
+_PLACES = frozenset(
+    "area aside bar block bottom box column container fixed global inner item items left link links list main "
+    "mobile outer page primary right row secondary section side site slot sticky top unit wrap wrapper".split()
 )
 _MAIN = frozenset(("article", "main"))
+#: Elements that a name in ``class``, ``id`` or ``role`` does not make an advert or the like.
+_UNNAMED = _INLINE | _MAIN | frozenset("html body h1 h2 h3 h4 h5 h6".split())
+
+_ROWS = frozenset("tr tbody thead tfoot".split())
+_CELLS = frozenset("td th".split())
+_LISTS = frozenset("ul ol menu".split())
+_BLOCKS = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split()
+)
+#: Of elements whose end tag may be left out: start tags and end tags that end them, and
+#: the elements within which those tags are of others.
+_IMPLIED = {
+    "p": (_BLOCKS, _BLOCKS | _CELLS | _ROWS, frozenset()),
+    "li": (frozenset(("li",)), _LISTS, _LISTS),
+    "tr": (_ROWS, _ROWS - {"tr"} | {"table"}, frozenset(("table",))),
+    **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), frozenset(("dl",)), frozenset(("dl",)))),
+    **dict.fromkeys(_CELLS, (_CELLS | _ROWS, _ROWS | {"table"}, frozenset(("table",)))),
+}
+_OUTER = _MAIN | {"body", "html"}
+
+
+def _named_away(value: str, words: frozenset[str]) -> bool:
+    for word in value.lower().split():
+        parts = [p for p in re.split(r"[_\-]+", word) if p and not p.isdigit()]
+        if not words.isdisjoint(parts) and all(p in words or p in _PLACES for p in parts):
+            return True
+    return False
 
 
-def _hinted_away(rest: str) -> bool:
-    for m in _HINT.finditer(rest):
+def _hinted_away(rest: str, named: bool = True) -> bool:
+    """Whether the attributes hide the element or, with ``named``, name it an advert or the like."""
+    for m in _ATTRIBUTE.finditer(rest):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
             return True
-        if kind in ("class", "id", "role") and not _SKIPPED_WORDS.isdisjoint(re.split(r"[\s_\-]+", value.lower())):
+        if named and (
+            kind in ("class", "id") and _named_away(value, _SKIPPED_WORDS)
+            or kind == "role" and _named_away(value, _SKIPPED_ROLES)
+        ):
             return True
     return False
 
@@ -73,6 +111,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     linked = 0  # characters of the line inside links
     skipped: list[str] = []  # open tags from the skipped element on that bear its name
     inside = anchor = 0
+    deep = 0  # within a skipped element that may lack an end tag: open lists or tables
     marked = False
 
     def close() -> None:
@@ -102,6 +141,18 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if skipped:
             if not ending and name in _MAIN and not marked and not _hinted_away(m["rest"]):
                 skipped.clear()  # an element left open does not swallow the article
+            elif skipped[0] in _IMPLIED:
+                starts, ends, holders = _IMPLIED[skipped[0]]
+                if name in holders and (deep or not ending):
+                    deep += -1 if ending else 1
+                    continue
+                if ending and name in _OUTER or not deep and name in (ends if ending else starts):
+                    skipped.clear()
+                elif ending and not deep and name == skipped[0]:
+                    skipped.clear()
+                    continue
+                else:
+                    continue
             elif name == skipped[0]:
                 if ending:
                     skipped.pop()
@@ -111,10 +162,14 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             else:
                 continue
         kept = name in ("html", "body") or name == "header" and inside  # an article's own heading
-        if not ending and not kept and name not in _VOID and (name in _SKIPPED or _hinted_away(m["rest"])):
-            close()
+        if not ending and not kept and name not in _VOID and (
+            name in _SKIPPED or _hinted_away(m["rest"], name not in _UNNAMED)
+        ):
+            if name not in _INLINE:
+                close()
             if not m["rest"].endswith("/"):
                 skipped.append(name)
+                deep = 0
             continue
         if name == "a":
             anchor = 0 if ending or not _HREF.search(m["rest"]) else 1

@@ -167,6 +167,27 @@ def test_short_lines_and_links_stay_in_a_run(html, want):
     assert line_blocks.main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<article><p style='overflow:hidden'>a<p title='class=ad'>b<p data-hidden=false>c</article>", "a\nb\nc"),
+        ("<article><div><a href='/hidden-gems'>Gems</a></div><div hidden>x</div><div aria-hidden=true>y</div></article>", "Gems"),
+        ("<article class='post has-sidebar'><h2 id=related-work>Related work</h2><p>a <b class=notice>b</b></p></article>",
+         "Related work\na b"),
+        ("<article><section id=search><p>On search</p></section><div role=search>box</div></article>", "On search"),
+        ("<article><div class=site-footer>f</div><div class=ad-banner-2>x</div><div class=no-comments>kept</div></article>", "kept"),
+        ("<article><p>a<p class=ad>buy<p>b<p>c</article>", "a\nb\nc"),
+        ("<article><div><p>a<p class=ad>buy</div>b</article>", "a\nb"),
+        ("<article><ul><li>a<li class=share>s<ul><li>s1</ul><li>b</ul><p>c</article>", "a\nb\nc"),
+        ("<article><ul><li class=share>s</ul><p>c</article>", "c"),
+        ("<article><table><tr><td>a<td class=ad>x<td>b<tr class=promo><td>y<tr><td>c</table><p>d</article>", "a\nb\nc\nd"),
+        ("<article>one<span hidden> two</span> three</article>", "one three"),
+    ],
+)
+def test_hints_and_implied_ends(html, want):
+    assert line_blocks.main_text(html) == want
+
+
 def test_pages_query_matches_article_markup(spark):
     import re
     from html import unescape
