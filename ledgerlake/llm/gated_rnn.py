@@ -4,7 +4,7 @@ Word ids below ``classes * size`` are modelled one by one: the probability of a
 that of its class times that of the word in its class.  ``groups`` further ids stand for
 groups of rarer words and are classes of one; what a word has within its group is the
 caller's matter.  Training is truncated backpropagation through windows of steps; the
-state is carried from window to window, both in training and in scoring.
+state is carried from window to window of a whole text, both in training and in scoring.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ import numpy as np
 
 WINDOW = 32
 ROWS = 128
-#: Training restarts the state after so many words, so that a long text trains side by
-#: side with others instead of alone.
-STRETCH = 256
+#: Windows' gradients are summed until they hold so many tokens, so that the rest of a long
+#: text, with few others beside it, takes no steps of a few words each.
+STEP_TOKENS = 2048
 
 
 @dataclass(frozen=True)
@@ -190,39 +190,44 @@ class Trainer:
         self.shape, self.rate, self.flat = shape, rate, flat.copy()
         self.p = shape.views(self.flat)
         self.first, self.second = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        self.steps = self.tokens = 0
+        self.grad = np.zeros_like(self.flat)
+        self.steps = self.tokens = self.pending = 0
 
     def fit(self, texts: Iterable[np.ndarray], rows: int = ROWS, window: int = WINDOW) -> None:
-        """One pass: ``rows`` stretches of texts run side by side, a slot taking the next after its last."""
+        """One pass: ``rows`` texts run side by side, a slot taking the next after its last."""
         shape, k = self.shape, self.shape.hidden
-        source = (t[at : at + STRETCH] for t in texts for at in range(0, len(t), STRETCH))
+        source = iter(texts)
         slots: list[np.ndarray] = [np.empty(0, np.int64)] * rows
         at = np.zeros(rows, np.int64)
         h = np.zeros((rows, k), np.float32)
         last = np.full(rows, shape.ids, np.int64)
         while True:
-            ids = np.full((rows, window), -1, np.int64)
-            for s in range(rows):
+            for s in range(len(slots)):
                 if at[s] >= len(slots[s]):
                     slots[s], at[s] = next(source, slots[s][:0]), 0
                     h[s], last[s] = 0.0, shape.ids
+            busy = [s for s in range(len(slots)) if len(slots[s])]
+            if len(busy) < len(slots):  # no text is left for the others
+                slots, at, h, last = [slots[s] for s in busy], at[busy], h[busy], last[busy]
+            if not slots:
+                break
+            ids = np.full((len(slots), window), -1, np.int64)
+            for s in range(len(slots)):
                 some = slots[s][at[s] : at[s] + window]
                 ids[s, : len(some)] = some
                 at[s] += len(some)
-            if (ids < 0).all():
-                return
             inputs = np.concatenate([last[:, None], ids[:, :-1]], axis=1)
             inputs = np.where(inputs < 0, shape.ids, inputs).T
             h = self._step(inputs, ids.T, h)
             last = np.where(ids[:, -1] < 0, shape.ids, ids[:, -1])
+        self._update()
 
     def _step(self, inputs: np.ndarray, targets: np.ndarray, h0: np.ndarray) -> np.ndarray:
         shape, p, k = self.shape, self.p, self.shape.hidden
         states, kept = run_window(p, k, inputs, h0, keep=True)
         live = targets >= 0
         n = int(live.sum())
-        grad = np.zeros_like(self.flat)
-        g = shape.views(grad)
+        g = shape.views(self.grad)
         _, back = token_scores(shape, p, states[live], targets[live], g)
         down = np.zeros_like(states)
         down[live] = back
@@ -240,13 +245,24 @@ class Trainer:
             rows.append(np.concatenate([dz, dr, dm], axis=1))
             dh = dh * z + gates @ p["u"].T
         np.add.at(g["x"], np.concatenate(touched), np.concatenate(rows))
+        self.pending += n
+        self.tokens += n
+        if self.pending >= STEP_TOKENS:
+            self._update()
+        return states[-1]
+
+    def _update(self) -> None:
+        """One step of Adam by the mean gradient of the tokens since the last."""
+        if not self.pending:
+            return
+        grad, g = self.grad, self.shape.views(self.grad)
         g["cb"][:] = 0.0  # the biases hold the whole corpus's frequencies
         g["wb"][:] = 0.0
-        grad /= max(n, 1)
+        grad /= self.pending
         self.steps += 1
         self.first += 0.1 * (grad - self.first)
         self.second += 0.001 * (grad * grad - self.second)
         pace = self.rate * (1.0 - 0.999**self.steps) ** 0.5 / (1.0 - 0.9**self.steps)
         self.flat -= pace * self.first / (np.sqrt(self.second) + 1e-7)
-        self.tokens += n
-        return states[-1]
+        grad[:] = 0.0
+        self.pending = 0

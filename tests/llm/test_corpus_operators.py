@@ -263,6 +263,25 @@ def test_windows_carry_the_state():
     assert abs(np.exp(every).sum() - 1.0) < 1e-5
 
 
+def test_training_carries_the_state_over_whole_texts():
+    shape = gated_rnn.Shape(classes=3, size=4, groups=2, hidden=5)
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, shape.ids, n) for n in (600, 40)]
+    starts, carried = [], []
+
+    class Probe(gated_rnn.Trainer):
+        def _step(self, inputs, targets, h0):
+            starts.append(int((inputs[targets >= 0] == shape.ids).sum()))
+            carried.append(bool(np.abs(h0[0]).max() > 0))
+            return super()._step(inputs, targets, h0)
+
+    t = Probe(shape, gated_rnn.start(shape, np.ones(shape.ids)), 0.01)
+    t.fit(texts, rows=2, window=32)
+    assert t.tokens == 640 and t.pending == 0
+    assert starts[0] == 2 and not any(starts[1:])  # one start for each text
+    assert len(carried) == 19 and not carried[0] and all(carried[1:])
+
+
 def test_every_training_text_reaches_the_network(spark):
     n, last = 24, recurrent_lm.SHAPE.ids - 1
     encoded = spark.createDataFrame([(k, [k, last]) for k in range(n)], "part long, ids array<int>")
