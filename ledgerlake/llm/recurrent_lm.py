@@ -24,6 +24,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,9 @@ CLASSES, SIZE, HIDDEN = 64, 64, 24
 #: Ranks at which the groups of the head's other words begin.
 GROUP_RANKS = (CLASSES * SIZE, 1 << 14, 1 << 16)
 ROUNDS, RATE = 3, 0.02
-#: Copies' weights are averaged in pieces of so many numbers.
-PIECE = 1 << 15
+#: Copies' weights are averaged in pieces of so many numbers, and so many copies at a time
+#: on each of the levels before the last.
+PIECE, FAN, LEVELS = 1 << 15, 64, 2
 #: Tokens scored together, and texts.
 SCORED_TOKENS, SCORED_TEXTS = 400_000, 1024
 COUNTED_WORDS = 400_000
@@ -187,6 +189,21 @@ def _texts(batches):
             yield ids.values.to_numpy().astype(np.int64)
 
 
+def summed_copies(pieces: DataFrame, fan: int = FAN) -> DataFrame:
+    """Weighted sums of the pieces (double) at the same place of every ``fan`` copies."""
+
+    def run(key, rows):
+        total = sum(np.frombuffer(piece, np.float64) for piece in rows.column("piece").to_pylist())
+        columns = [[key[0].as_py()], [key[1].as_py()], [pc.sum(rows.column("tokens")).as_py()]]
+        return pa.table(
+            [*(pa.array(c, pa.int64()) for c in columns), pa.array([total.tobytes()], pa.binary())],
+            ["at", "copy", "tokens", "piece"],
+        )
+
+    some = pieces.withColumn("copy", F.floor(F.col("copy") / fan).cast("long"))
+    return some.groupBy("at", "copy").applyInArrow(run, "at long, copy long, tokens long, piece binary")
+
+
 def train(encoded: DataFrame, weights: np.ndarray, rounds: int = ROUNDS, rate: float = RATE):
     """The averaged weights after ``rounds`` rounds over all of ``encoded`` (part and ids)."""
     sc = encoded.sparkSession.sparkContext
@@ -198,31 +215,29 @@ def train(encoded: DataFrame, weights: np.ndarray, rounds: int = ROUNDS, rate: f
             trainer = gated_rnn.Trainer(SHAPE, sent.value, pace)
             trainer.fit(_texts(batches))
             if trainer.tokens:
+                copy = TaskContext.get().partitionId()
                 for at in range(0, len(trainer.flat), PIECE):
+                    piece = trainer.flat[at : at + PIECE].astype(np.float64) * trainer.tokens
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([at], pa.int64()),
+                            pa.array([copy], pa.int64()),
                             pa.array([trainer.tokens], pa.int64()),
-                            pa.array([trainer.flat[at : at + PIECE].tobytes()], pa.binary()),
+                            pa.array([piece.tobytes()], pa.binary()),
                         ],
-                        ["at", "tokens", "piece"],
+                        ["at", "copy", "tokens", "piece"],
                     )
 
         def mean(key, rows):
-            total, weight = 0.0, 0
-            for n, piece in zip(rows.column("tokens").to_pylist(), rows.column("piece").to_pylist()):
-                total = total + np.frombuffer(piece, np.float32).astype(np.float64) * n
-                weight += n
-            piece = (total / weight).astype(np.float32).tobytes()
+            total = sum(np.frombuffer(piece, np.float64) for piece in rows.column("piece").to_pylist())
+            piece = (total / pc.sum(rows.column("tokens")).as_py()).astype(np.float32).tobytes()
             return pa.table({"at": pa.array([key[0].as_py()], pa.int64()), "piece": pa.array([piece], pa.binary())})
 
         own = encoded.filter(F.pmod("part", F.lit(rounds)) == k).select("ids")
-        pieces = (
-            own.mapInArrow(run, "at long, tokens long, piece binary")
-            .groupBy("at")
-            .applyInArrow(mean, "at long, piece binary")
-            .collect()
-        )
+        copies = own.mapInArrow(run, "at long, copy long, tokens long, piece binary")
+        for _ in range(LEVELS):
+            copies = summed_copies(copies)
+        pieces = copies.groupBy("at").applyInArrow(mean, "at long, piece binary").collect()
         if pieces:
             weights = np.concatenate([np.frombuffer(r["piece"], np.float32) for r in sorted(pieces, key=lambda r: r["at"])])
         sent.unpersist()

@@ -292,6 +292,19 @@ def test_every_training_text_reaches_the_network(spark):
     assert not moved[n:last].any()
 
 
+def test_copies_are_summed_a_few_at_a_time(spark):
+    rng = np.random.default_rng(6)
+    rows = [(at, k, k + 1, rng.standard_normal(3).tobytes()) for at in (0, 3) for k in range(10)]
+    pieces = spark.createDataFrame(rows, "at long, copy long, tokens long, piece binary")
+    once = recurrent_lm.summed_copies(pieces, fan=4)
+    assert sorted((r["at"], r["copy"], r["tokens"]) for r in once.collect()) == [
+        (at, c, n) for at in (0, 3) for c, n in enumerate((10, 26, 19))
+    ]
+    for r in recurrent_lm.summed_copies(once, fan=4).collect():
+        want = sum(np.frombuffer(p) for at, _, _, p in rows if at == r["at"])
+        assert r["tokens"] == 55 and np.allclose(np.frombuffer(r["piece"]), want)
+
+
 def test_base_scores_match_brute_force(spark, tmp):
     rng = random.Random(4)
     pairs = [(k, " ".join(f"w{min(rng.randint(0, 40), rng.randint(0, 40))}" for _ in range(rng.randint(0, 60)))) for k in range(60)]
