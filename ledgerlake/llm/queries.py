@@ -23,6 +23,7 @@ from . import (
     radix_dedup,
     recurrent_lm,
     separator_scan,
+    source_mixing,
     wu_manber,
 )
 from .shared import table, written
@@ -174,3 +175,53 @@ g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
 FROM d JOIN g USING (text)
 """
+
+
+@register
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs")
+
+
+ORACLES["op13_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15)
+              AS BIGINT) AS key
+  FROM documents
+),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM d GROUP BY source
+),
+r AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap, cap / weight AS ratio,
+         row_number() OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source) AS k FROM s
+),
+-- the level at which the first k sources are full, for every k
+l AS (
+  SELECT k, (1.5::DOUBLE * t - full_cap) / (w - full_weight) AS level, ratio
+  FROM (
+    SELECT k, ratio, CAST(sum(source_size) OVER () AS BIGINT) AS t, CAST(sum(weight) OVER () AS BIGINT) AS w,
+           sum(cap) OVER o - cap AS full_cap, CAST(sum(weight) OVER o - weight AS BIGINT) AS full_weight
+    FROM r WINDOW o AS (ORDER BY k ROWS UNBOUNDED PRECEDING)
+  )
+),
+level AS (SELECT arg_min(level, k) AS level FROM l WHERE ratio > level),
+t AS (SELECT r.*, least(cap, coalesce(level, 0) * weight) AS target FROM r, level),
+b AS (
+  SELECT *, CAST(round(target) AS BIGINT) AS budget,
+         CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM t
+),
+p AS (
+  SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size
+                                 ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start
+  FROM d
+)
+SELECT p.doc_id, p.size, b.source_size, b.target,
+       b.epochs * p.size + greatest(0, least(p.size, b.budget - b.epochs * b.source_size - p.start)) AS taken,
+       p.source, b.epochs
+FROM p JOIN b ON p.source IS NOT DISTINCT FROM b.source
+"""
