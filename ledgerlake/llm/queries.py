@@ -19,11 +19,13 @@ from . import (
     importance_resampling,
     line_blocks,
     minimax_shards,
+    periodic_runs,
     perspective_chat,
     radix_dedup,
     recurrent_lm,
     separator_scan,
     source_mixing,
+    token_alignment,
     wu_manber,
 )
 from .shared import table, written
@@ -177,6 +179,48 @@ FROM d JOIN g USING (text)
 """
 
 
+def planted_repeats():
+    """The text of every tenth document (by hash) with its words from one on in a period."""
+    words = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, w = F.floor(h / 10), F.expr(words)
+    n = F.size(w)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    block = F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    turned = F.concat(F.slice(w, F.lit(1), a), F.slice(F.flatten(block), F.lit(1), n - a))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(turned, " ")).otherwise(F.col("text"))
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_repeats().alias("text"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # runs come by start, then period, so the first of the greatest stays
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    found = periodic_runs.periodic_runs(docs).withColumn("best", best)
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = (token_alignment.BYTE_MODEL, token_alignment.PIECE_MODEL)
+    return token_alignment.alignment_counts(table(spark, sf_dir, "documents"), tuple(map(public_tokenizers.path, models)))
+
+
 @register
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mixing.mix_sources(table(spark, sf_dir, "documents"))
