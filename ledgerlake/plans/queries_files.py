@@ -104,6 +104,67 @@ def export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code", "amount", "parse_error")
 
 
+def _item_over_lines() -> tuple:
+    """A billing item that holds a line break, quotes and a comma on every second line."""
+    long = F.concat("billing_item", F.lit('\n5" disk, '), "instance_id")
+    item = F.when(F.col("billing_item").cast("int") % 2 == 0, long).otherwise(F.col("billing_item"))
+    return item, F.concat(F.lit('"'), F.replace(item, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def landed_ragged_exports(spark: SparkSession, sf: str) -> str:
+    """CSV exports as offices make them: quoted line breaks and doubled quotes; a third of
+    the files begin with title lines, a third with the header, a third have no header."""
+
+    def write(path: str) -> None:
+        items = fx.line_items(spark, sf).withColumn("kind", F.col("sub_order_id").cast("long") % 3)
+        where = ["account_id", F.year("bill_date").alias("year"), "kind"]
+        line = F.concat_ws(
+            ",", "billing_cycle", F.date_format("bill_date", "yyyy-MM-dd"), F.date_format("synced_at", "yyyy-MM-dd HH:mm:ss"),
+            "product_code", F.concat(F.lit('"'), "product_name", F.lit('"')), _item_over_lines()[1], "sub_order_id",
+            F.col("cash_amount").cast("string"), "record_id",
+        )
+        data = items.select(*where, F.lit(2).alias("turn"), line.alias("value"))
+        head = F.lit(",".join(h for h, _ in LAYOUT_A))
+        title = F.lit('费用账单 "导出"\n账单日期与应付金额见下表\n')
+        tops = data.select("account_id", "year", "kind").distinct()
+        heads = tops.filter("kind <> 2").withColumn("turn", F.lit(1)).withColumn("value", head)
+        titles = tops.filter("kind = 0").withColumn("turn", F.lit(0)).withColumn("value", title)
+        every = data.unionByName(heads).unionByName(titles)
+        # one file for each folder: the lines of a file must stay in order behind its header
+        (
+            every.repartition("account_id", "year", "kind")
+            .sortWithinPartitions("account_id", "year", "kind", "turn")
+            .drop("turn").write.mode("overwrite").partitionBy("account_id", "year", "kind").text(path)
+        )
+
+    return land(spark, "ragged_exports_v1", _inputs(sf), write)
+
+
+@query("export_records_over_lines", ids=("SRC1", "SRC4"), sql=with_ctes(
+    """
+SELECT account_id,
+       CASE WHEN bad THEN NULL ELSE billing_cycle END AS billing_cycle,
+       CASE WHEN bad THEN NULL ELSE bill_date END AS usage_date,
+       CASE WHEN bad THEN NULL ELSE product_code END AS product_code,
+       CASE WHEN bad THEN NULL ELSE sub_order_id END AS instance_id,
+       CASE WHEN bad THEN '' ELSE item END AS item_code,
+       CASE WHEN bad THEN NULL ELSE CAST(cash_amount AS DECIMAL(18,6)) END AS amount,
+       CASE WHEN bad THEN 'no header in the file: ' || concat_ws(',', billing_cycle, CAST(bill_date AS VARCHAR),
+         strftime(synced_at, '%Y-%m-%d %H:%M:%S'), product_code, '"' || product_name || '"',
+         '"' || replace(item, '"', '""') || '"', sub_order_id, CAST(cash_amount AS VARCHAR), record_id) END AS parse_error
+FROM (
+  SELECT *, CAST(sub_order_id AS BIGINT) % 3 = 2 AS bad,
+         billing_item || CASE WHEN CAST(billing_item AS INTEGER) % 2 = 0
+                              THEN chr(10) || '5" disk, ' || instance_id ELSE '' END AS item
+  FROM line_items
+) t
+""", "line_items"))
+def export_records_over_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line item comes out of the ragged exports once: as a fact, or quarantined with its text."""
+    rows = ex.read_bill_exports(spark, landed_ragged_exports(spark, sf), _prefixes(spark, sf), glob="*.txt")
+    return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code", "amount", "parse_error")
+
+
 @query("json_export_roundtrip", ids=("SRC2", "SRC4", "PRJ9"), sql=with_ctes(
     """
 SELECT account_id, billing_cycle, bill_date AS usage_date, product_code, sub_order_id AS instance_id,

@@ -3,14 +3,17 @@ header drift, landed overview JSON (SRC1-SRC11)."""
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import json
 import os
+import random
 import time
 from decimal import Decimal as D
 
 from ledgerlake.sources import exports as ex
 from ledgerlake.sources import feeds as fd
+from ledgerlake.sources.csv_records import records
 
 H1 = "账单信息/账单月份,账单信息/账单日期,账单信息/消费时间,产品信息/产品Code,产品信息/产品名称,产品信息/计费项名称,资源信息/实例ID（出账粒度）,应付信息/应付金额（含税）"
 H2 = "应付信息/应付金额（含税）,资源信息/实例ID（出账粒度）,产品信息/产品Code,账单信息/账单日期,账单信息/账单月份,其它/新列"
@@ -42,9 +45,11 @@ def test_read_exports_header_orders_and_quarantine(spark, tmp):
     assert good["i-2"].amount == D("1000.25")  # quoted comma inside a field
     assert good["i-9"].amount == D("-3.00") and good["i-9"].billing_cycle == "2025-02" and good["i-9"].account_id == "POC"
     assert good["i-9"].usage_date == dt.date(2025, 2, 5)
-    bad = [r for r in rows if r.parse_error is not None]
-    assert len(bad) == 1 and bad[0].instance_id == "i-10" and "amount" in bad[0].parse_error
-    assert len(rows) == 4  # the headerless file has no header to map its columns: not read as data
+    bad = {r.instance_id: r for r in rows if r.parse_error is not None}
+    assert set(bad) == {"i-10", None} and "amount" in bad["i-10"].parse_error
+    # the headerless file has no header to map its columns: its rows are kept as errors
+    assert bad[None].parse_error == "no header in the file: 1,2,3" and bad[None].amount is None
+    assert len(rows) == 5
 
 
 def test_current_month_and_incremental(spark, tmp):
@@ -61,7 +66,8 @@ def test_current_month_and_incremental(spark, tmp):
     _write(p, open(p, encoding="utf-8").read())
     ck = spark.createDataFrame([("UAT", mark), ("POC", mark)], "account_id string, max_object_last_modified timestamp")
     inc = ex.read_bill_exports(spark, tmp, prefixes, checkpoint=ck).collect()
-    assert {r.account_id for r in inc} == {"UAT"} and len(inc) == 2
+    # of the unbound file, which has no mark, the headerless row comes as an error
+    assert sorted((r.account_id, r.parse_error is None) for r in inc) == [("", False), ("UAT", True), ("UAT", True)]
     listing = ex.bind_prefixes(ex.list_objects(spark, tmp), prefixes)
     changed = ex.changed_objects(listing, ck.filter("account_id = 'UAT'")).collect()
     # POC and the unbound file have no mark -> epoch: they count as changed
@@ -152,3 +158,95 @@ def test_json_exports_have_the_fact_shape(spark, tmp):
     assert len(rows) == 3 and len(ok) == 1
     assert (ok[0].amount, ok[0].account_id, ok[0].billing_cycle) == (D("1000.25"), "UAT", "2025-02")
     assert len(ok[0].dedup_key) == 64
+
+
+def _csv_lines(text):
+    """(lines of each record, whether it is closed) by Python's csv module."""
+    lines = text.split("\n")
+    reader, at, out = csv.reader(iter([x + "\n" for x in lines])), 0, []
+    for _ in reader:
+        out.append(lines[at : reader.line_num])
+        at = reader.line_num
+    return out
+
+
+def test_records_over_lines_equal_the_csv_module(spark):
+    rng = random.Random(11)
+    cases = ["".join(rng.choice('a,"\n' + '"' * (k % 3)) for _ in range(rng.randint(1, 30))) for k in range(600)]
+    cases += ['a,"b\n""c""\n",d\ne', '"a""', '"', 'x"y\nz"', ' "a\nb"', '"a"b\n"c\nd" e,"\n"']
+    rows = []
+    for k, text in enumerate(cases):
+        block = 0
+        for n, value in enumerate(text.split("\n")):
+            block = n if rng.random() < 0.3 else block
+            rows.append((str(k), None, block, n, value))
+    lines = spark.createDataFrame(rows, "file_path string, last_modified timestamp, block_start long, line long, value string")
+    got = {}
+    for r in records(lines.repartition(3)).collect():
+        got.setdefault(int(r.file_path), []).append((r.record, r.value, r.closed))
+    for k, text in enumerate(cases):
+        want = _csv_lines(text)
+        unclosed = want and _open_at_end(text)
+        expect = [(n + 1, "\n".join(x), True) for n, x in enumerate(want[:-1] if unclosed else want)]
+        if unclosed:
+            expect += [(len(want), x, False) for x in want[-1]]
+        assert sorted(got[k]) == sorted(expect), text
+
+
+def _open_at_end(text):
+    state = "begin"
+    for c in text:
+        if state == "quoted":
+            state = "quote" if c == '"' else state
+        elif state == "quote" and c == '"':
+            state = "quoted"
+        elif c in ",\n":
+            state = "begin"
+        elif state == "begin" and c == '"':
+            state = "quoted"
+        else:
+            state = "plain"
+    return state == "quoted"
+
+
+TITLED = "费用账单 账单日期 应付金额 导出\n\n" + H1 + "\n"
+
+
+def test_titles_breaks_and_quotes(spark, tmp):
+    text = TITLED + (
+        '2025-02,2025-02-03,t,ecs,"云\n服务器","say ""hi"",\n\nthen go",i-1,12.50\n'
+        "2025-02,2025-02-04,t,oss,n,plain,i-2,1.25\n"
+        + H1 + "\n"  # a header in the middle is no data
+        + '2025-02,2025-02-05,t,ecs,n,"5"" disk",i-3,2.00\n'
+    )
+    _write(f"{tmp}/billing-data/UAT/a.csv", text)
+    _write(f"{tmp}/billing-data/UAT/b.csv", H1 + "\n2025-02,2025-02-03,t,ecs,n,b,i-4,3.00\n")
+    _write(f"{tmp}/billing-data/UAT/c.csv", "title\n" + H1 + "\n2025-02,2025-02-03,t,ecs,n,b,i-5,4.00\n")
+    _write(f"{tmp}/billing-data/UAT/d.csv", H1 + '\n2025-02,2025-02-03,t,ecs,n,b,i-6,5.00\n2025-02,2025-02-03,t,ecs,n,"b,i-7,5.00\nlast\n')
+    _write(f"{tmp}/billing-data/UAT/e.csv", 'no "header\nat" all\n')
+    for size in ("134217728", "64"):  # also with records over splits
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = ex.read_bill_exports(spark, f"{tmp}/billing-data").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        good = {r.instance_id: (r.item_code, str(r.amount.normalize())) for r in rows if r.parse_error is None}
+        assert good == {
+            "i-1": ('say "hi",\n\nthen go', "12.5"), "i-2": ("plain", "1.25"), "i-3": ('5" disk', "2"),
+            "i-4": ("b", "3"), "i-5": ("b", "4"), "i-6": ("b", "5"),
+        }
+        bad = sorted(r.parse_error for r in rows if r.parse_error is not None)
+        assert bad == [
+            'no header in the file: at" all', 'no header in the file: no "header',
+            'quote not closed: 2025-02,2025-02-03,t,ecs,n,"b,i-7,5.00', "quote not closed: last",
+        ]
+
+
+def test_csv_and_json_lines_have_one_key(spark, tmp):
+    item = 'say ""hi"", "'
+    _write(f"{tmp}/csv/a.csv", H1 + ',明细ID\n2025-02,2025-02-03,t,ecs,n,"' + item.replace('"', '""') + '",i-1,1.00,r1\n')
+    row = {"BillingCycle": "2025-02", "BillingDate": "2025-02-03", "UsageTime": "t", "ProductCode": "ecs",
+           "InstanceID": "i-1", "BillingItem": item, "PretaxAmount": "1.00", "RecordID": "r1"}
+    _write(f"{tmp}/json/a.json", json.dumps(row) + "\n")
+    (a,), (b,) = ex.read_bill_exports(spark, f"{tmp}/csv").collect(), ex.read_json_bill_exports(spark, f"{tmp}/json").collect()
+    assert a.item_code == b.item_code == item and a.dedup_key == b.dedup_key
