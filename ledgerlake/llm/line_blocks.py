@@ -1,17 +1,31 @@
 """Main text of web pages by the distribution of text over blocks of lines.
 
 Markup is stripped to one line for each block element with text.  A line's weight is its
-text outside links (``<a href>``, to the end of the line at most); menus, footers, adverts and the like give no lines.  Where a page marks an
-article, its lines weigh their whole text, links too; lines outside keep their weight.
-Weights are summed over sliding windows of ``WINDOW`` lines: a run of text ends where the
-sum dives to nothing and starts where it surges again, so that runs are parted by
-``WINDOW`` lines or more of links alone.  Runs with marked lines are text whatever their
-size, others from ``SURGE`` characters, however short their lines.  All lines of these runs
-are the text, short ones and links too, each white space run one space, joined by a line
-feed.
-
-Defined results: a null or empty page, and one without a run, give the empty text;
-markup cut off at the end of a page is dropped; character references are decoded, also
+text outside links (``<a href>``, to the end of the line at most); menus, footers, adverts
+and the like give no lines.  Weights are summed over sliding windows of ``WINDOW`` lines,
+and what counts as much or little text is taken from the page's own distribution:
+
+* The body of the text is where most of the page's weight lies: the lines of marked
+  articles (``<article>``, ``<main>``; these weigh their links too) if they hold at least
+  half of it, else those of the smallest element within ``<body>`` that does, with a heading
+  right before it.  All of it is text.
+* Other lines form runs, which end at windows without any weight (links alone) and where two
+  or more elements begin or end.  A run surges where a window sum reaches ``BESIDE`` of the
+  greatest one within the body, and then is text from where it rises to where it dives.
+* On a page without such a body a run surges at ``WITHIN`` of the greatest window sum, and
+  all runs between the first and the last that do are text too, short ones as well.
+
+All lines of these are the text, short ones and links too, each white space run one space,
+joined by a line feed.  No size is absolute: a page of a few words is these words.
+
+An element is skipped by its name, or by what its attributes say.  One that is not closed
+(an open ``<header>``) ends where the next section or division begins within its parent; if
+none does, it is not skipped, so it takes no page with it.  Comments also begin at a heading that says so
+(``3 responses``) outside marked articles, up to the end of its element; a copyright line at
+the end of a page without marks is left out.
+
+Defined results: a null or empty page, and one without text outside links, give the empty
+text; markup cut off at the end of a page is dropped; character references are decoded, also
 those without a semicolon; rows are independent, so repeated ones come out alike; an
 empty table gives an empty result; other columns are left out.
 """
@@ -19,7 +33,8 @@ empty table gives an empty result; other columns are left out.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -27,8 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: Characters from which a run is text, where none of its lines is in a marked article.
-SURGE = 80
+#: The share of the greatest window sum at which a run beside the body of the text, and one
+#: on a page without such a body, is text.
+BESIDE, WITHIN = 0.5, 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -50,7 +66,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _SKIPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments "
     "cookie cookies consent disqus footer header menu menus modal nav navbar navigation newsletter notice notices "
-    "pager pagination popup promo promoted related share sharing sidebar social sponsor sponsored subscribe "
+    "pager pagination popup promo promoted related replies reply responses share sharing sidebar social sponsor sponsored subscribe "
     "toolbar widget".split()
 )
 _SKIPPED_ROLES = _SKIPPED_WORDS | {"contentinfo", "complementary", "search"}
@@ -65,21 +81,24 @@ _UNNAMED = _INLINE | _MAIN | frozenset("html body h1 h2 h3 h4 h5 h6".split())
 
 _ROWS = frozenset("tr tbody thead tfoot".split())
 _CELLS = frozenset("td th".split())
-_LISTS = frozenset("ul ol menu".split())
 _BLOCKS = frozenset(
     "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split()
 )
-#: Of elements whose end tag may be left out: start tags and end tags that end them, and
-#: the elements within which those tags are of others.
+#: Of elements whose end tag may be left out: the start tags that end them.
 _IMPLIED = {
-    "p": (_BLOCKS, _BLOCKS | _CELLS | _ROWS, frozenset()),
-    "li": (frozenset(("li",)), _LISTS, _LISTS),
-    "tr": (_ROWS, _ROWS - {"tr"} | {"table"}, frozenset(("table",))),
-    **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), frozenset(("dl",)), frozenset(("dl",)))),
-    **dict.fromkeys(_CELLS, (_CELLS | _ROWS, _ROWS | {"table"}, frozenset(("table",)))),
+    "p": _BLOCKS,
+    "li": frozenset(("li",)),
+    "tr": _ROWS,
+    **dict.fromkeys(("dt", "dd"), frozenset(("dt", "dd"))),
+    **dict.fromkeys(_CELLS, _CELLS | _ROWS),
 }
-_OUTER = _MAIN | {"body", "html"}
+#: Elements that may hold the body of the text, and those that end an element left open.
+_BOXES = frozenset("article blockquote center div main section td".split())
+_SECTIONS = frozenset("article aside div footer header main nav section table".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_COMMENTS = re.compile(r"(?:\d+ (?:comments?|responses?|replies)|comments?(?: ?\(\d+\))?|leave a (?:comment|reply)):?", re.I)
+_NOTICE = re.compile(r"(?:©|\(c\) ?\d|copyright\b)", re.I)
 
 
 def _named_away(value: str, words: frozenset[str]) -> bool:
@@ -104,110 +123,214 @@ def _hinted_away(rest: str, named: bool = True) -> bool:
     return False
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, in a marked article) of each line with text, skipped elements left out."""
-    out: list[tuple[str, int, bool]] = []
+@dataclass
+class Line:
+    """One line of a page: its text, the characters of it in links, whether it is in a marked
+    article, the tags of boxes since the line before, and the heading it is (or '')."""
+
+    text: str
+    linked: int
+    marked: bool
+    gap: int
+    heading: str
+
+    @property
+    def weight(self) -> int:
+        return max(0, len(self.text) - self.linked)
+
+
+def _element_ends(tokens: list[re.Match], names: list[str]) -> dict[int, tuple[int, bool]]:
+    """For each start tag the tag that ends its element, and whether that is its own end tag."""
+    ends: dict[int, tuple[int, bool]] = {}
+    stack: list[tuple[str, int]] = []
+    held: Counter = Counter()
+
+    def pop(at: int, own: bool) -> str:
+        name, k = stack.pop()
+        held[name] -= 1
+        ends[k] = (at, own)
+        return name
+
+    for i, (m, name) in enumerate(zip(tokens, names)):
+        if not name or name in _VOID:
+            continue
+        if m["end"]:
+            if held[name]:
+                while stack[-1][0] != name:
+                    pop(i, False)
+                pop(i, True)
+            continue
+        while stack and name in _IMPLIED.get(stack[-1][0], ()):
+            pop(i, False)
+        if not m["rest"].endswith("/"):
+            stack.append((name, i))
+            held[name] += 1
+    while stack:
+        pop(len(tokens), False)
+    return ends
+
+
+def lines_of(html: str) -> tuple[list[Line], list[range]]:
+    """The lines with text, skipped elements left out, and the lines of each box within the body."""
+    tokens = list(_TOKEN.finditer(html))
+    names = [(m["name"] or "").lower() for m in tokens]
+    ends = _element_ends(tokens, names)
+    out: list[Line] = []
+    boxes: list[range] = []
+    open_: list[tuple[int, int, str]] = []  # (end, first line, name) of boxes
     buffer: list[str] = []
-    linked = 0  # characters of the line inside links
-    skipped: list[str] = []  # open tags from the skipped element on that bear its name
-    inside = anchor = 0
-    deep = 0  # within a skipped element that may lack an end tag: open lists or tables
-    marked = False
+    linked = anchor = gap = inside = 0
+    heading = ""
 
     def close() -> None:
-        nonlocal linked, anchor
+        nonlocal linked, anchor, gap, heading
         text = " ".join("".join(buffer).split())
         if text:
-            out.append((text, max(0, len(text) - linked), inside > 0))
+            out.append(Line(text, linked, inside > 0, gap, heading))
+            gap = 0
         buffer.clear()
         linked = anchor = 0  # a link left open weighs no more than its line
+        heading = ""
 
     def put(raw: str) -> None:
         nonlocal linked
-        if raw and not skipped:
+        if raw:
             text = unescape(raw)
             buffer.append(text)
             if anchor:
                 linked += len(text)
 
-    at = 0
-    for m in _TOKEN.finditer(html):
+    def skip(i: int) -> tuple[int, int]:
+        """The first tag after the element that begins at tag ``i``, and where its text begins."""
+        end, own = ends.get(i, (i, True))
+        if own:
+            return end + 1, tokens[end].end()
+        if names[i] not in _IMPLIED:
+            sections = (k for k in range(i + 1, end) if names[k] in _SECTIONS and not tokens[k]["end"])
+            end = next(sections, None)
+            if end is None:  # nothing says where it ends
+                return i + 1, tokens[i].end()
+        return end, tokens[end].start() if end < len(tokens) else len(html)
+
+    i = at = 0
+    while i < len(tokens):
+        m, name = tokens[i], names[i]
         put(html[at : m.start()])
         at = m.end()
-        name = (m["name"] or "").lower()
+        while open_ and open_[-1][0] <= i:
+            close()
+            _, first, box = open_.pop()
+            boxes.append(range(first, len(out)))
+            inside -= box in _MAIN
+            gap += box not in _CELLS  # the cells of a table stay together
         if not name:
+            i += 1
             continue
         ending = bool(m["end"])
-        if skipped:
-            if not ending and name in _MAIN and not marked and not _hinted_away(m["rest"]):
-                skipped.clear()  # an element left open does not swallow the article
-            elif skipped[0] in _IMPLIED:
-                starts, ends, holders = _IMPLIED[skipped[0]]
-                if name in holders and (deep or not ending):
-                    deep += -1 if ending else 1
-                    continue
-                if ending and name in _OUTER or not deep and name in (ends if ending else starts):
-                    skipped.clear()
-                elif ending and not deep and name == skipped[0]:
-                    skipped.clear()
-                    continue
-                else:
-                    continue
-            elif name == skipped[0]:
-                if ending:
-                    skipped.pop()
-                elif not m["rest"].endswith("/"):
-                    skipped.append(name)
-                continue
-            else:
-                continue
         kept = name in ("html", "body") or name == "header" and inside  # an article's own heading
         if not ending and not kept and name not in _VOID and (
             name in _SKIPPED or _hinted_away(m["rest"], name not in _UNNAMED)
         ):
             if name not in _INLINE:
                 close()
-            if not m["rest"].endswith("/"):
-                skipped.append(name)
-                deep = 0
+            i, at = skip(i)
             continue
         if name == "a":
             anchor = 0 if ending or not _HREF.search(m["rest"]) else 1
         elif name == "br":
             buffer.append(" ")
         elif name not in _INLINE:
+            if ending and name in _HEADINGS and open_ and not inside:
+                text = " ".join("".join(buffer).split())
+                if _COMMENTS.fullmatch(text):  # up to the end of its box
+                    buffer.clear()
+                    close()
+                    i = max(i + 1, open_[-1][0])
+                    at = tokens[i].start() if i < len(tokens) else len(html)
+                    continue
             close()
-            if name in _MAIN:
-                inside = max(0, inside + (-1 if ending else 1))
-                marked = True
+            if not ending and name in _HEADINGS:
+                heading = name
+            if not ending and name in _BOXES and i in ends:
+                open_.append((ends[i][0], len(out), name))
+                inside += name in _MAIN
+                gap += name not in _CELLS
+        i += 1
     put(html[at:])
     close()
+    boxes.extend(range(first, len(out)) for _, first, _ in open_)
+    return out, boxes
+
+
+def _peak(weights: list[int], run: range, window: int) -> int:
+    """The greatest sum of ``window`` lines within the run."""
+    total = best = 0
+    for k in run:
+        total += weights[k] - (weights[k - window] if k - window >= run.start else 0)
+        best = max(best, total)
+    return best
+
+
+def _runs(lines: list[Line], weights: list[int], apart: list[bool], window: int) -> list[range]:
+    """The stretches of lines outside ``apart``, cut at empty windows and between elements."""
+    out: list[range] = []
+    begin, empty = 0, 0
+
+    def cut(stop: int) -> None:
+        if any(weights[k] for k in range(begin, stop)):
+            out.append(range(begin, stop))
+
+    for k, line in enumerate(lines):
+        if apart[k]:
+            cut(k)
+            begin, empty = k + 1, 0
+            continue
+        if line.gap > 1 and k > begin:
+            cut(k)
+            begin, empty = k, 0
+        empty = 0 if weights[k] else empty + 1
+        if empty >= window:
+            cut(k - empty + 1)
+            begin = k + 1
+            empty = window  # the lines that follow without weight are left out too
+    cut(len(lines))
     return out
 
 
-def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+def main_text(html: str | None, window: int = WINDOW, beside: float = BESIDE, within: float = WITHIN) -> str:
     """The main text of one page."""
-    lines = lines_of(html or "")
-    # every line of a marked article is text, links and short lines too
-    weights = [len(text) if inside else weight for text, weight, inside in lines]
-    kept: list[str] = []
-    for run in _runs(weights, window):
-        if sum(weights[k] for k in run) >= surge or any(lines[k][2] for k in run):
-            kept.extend(lines[k][0] for k in run)
-    return "\n".join(kept)
-
-
-def _runs(weights: list[int], window: int) -> Iterator[range]:
-    """The stretches of lines between windows whose sum is nothing."""
-    begin = total = 0
-    for k, w in enumerate(weights):
-        total += w - (weights[k - window] if k >= window else 0)
-        if total == 0 and k >= window - 1:
-            if k - window + 1 > begin:
-                yield range(begin, k - window + 1)
-            begin = k + 1
-    if begin < len(weights):
-        yield range(begin, len(weights))
+    lines, boxes = lines_of(html or "")
+    weights = [len(x.text) if x.marked else x.weight for x in lines]
+    total = sum(weights)
+    body = [x.marked for x in lines]
+    marked = 2 * sum(w for w, x in zip(weights, lines) if x.marked) >= total > 0
+    if not marked:
+        weights = [x.weight for x in lines]
+        upto = [0]
+        for w in weights:
+            upto.append(upto[-1] + w)
+        holding = [b for b in boxes if b and 2 * (upto[b.stop] - upto[b.start]) >= upto[-1] > 0]
+        best = min(holding, key=len, default=range(0))
+        if best and best.start and lines[best.start - 1].heading == "h1":
+            best = range(best.start - 1, best.stop)
+        body = [k in best for k in range(len(lines))]
+    kept = body[:]
+    runs = _runs(lines, weights, body, window)
+    if any(body):
+        inner = [w if b else 0 for w, b in zip(weights, body)]
+        surge = beside * _peak(inner, range(len(lines)), window)
+        chosen = [r for r in runs if _peak(weights, r, window) >= surge]
+    else:
+        peaks = [_peak(weights, r, window) for r in runs]
+        high = [k for k, x in enumerate(peaks) if x >= within * max(peaks, default=0)]
+        chosen = runs[high[0] : high[-1] + 1] if high else []
+    for r in chosen:
+        for k in r:
+            kept[k] = True
+    text = [x.text for x, keep in zip(lines, kept) if keep]
+    while not marked and len(text) > 1 and _NOTICE.match(text[-1]):
+        text.pop()
+    return "\n".join(text)
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

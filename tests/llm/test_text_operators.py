@@ -128,7 +128,7 @@ PAGE = (
         (PAGE, "Head & line\nFirst para graph more\nx < y é\nshort"),
         (PAGE[: PAGE.index("</article>")] + "</ar", "Head & line\nFirst para graph more\nx < y é\nshort"),
         ("<body><nav>menu</nav><p>" + "long text " * 20 + "</p><footer>f</footer>", ("long text " * 20).strip()),
-        ("<body><p>tiny</p></body>", ""),
+        ("<body><p>tiny</p></body>", "tiny"),
         ("<div class=ad>never closed<article><p>Text kept</p></article>", "Text kept"),
         ("<article><header><h1>Own head</h1></header><p>a<b>b</b>c</p></article>", "Own head\nabc"),
         ("<article><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></article>", "one\ntwo\nc1\nc2"),
@@ -188,6 +188,94 @@ def test_hints_and_implied_ends(html, want):
     assert line_blocks.main_text(html) == want
 
 
+def paragraphs(n, size=40):
+    """``n`` paragraphs of ``size`` words, each its own."""
+    return [" ".join(f"word{k}x{j}" for j in range(size)) + "." for k in range(n)]
+
+
+def wrapped(texts, before="<p>", after="</p>"):
+    return "".join(before + t + after for t in texts)
+
+
+BODY = paragraphs(4)
+MARKED = f"<article>{wrapped(BODY)}</article>"
+NOTICE = "Copyright 2024 Acme Inc. All rights reserved."
+LETTER = "Subscribe to our newsletter for weekly updates from the team."
+REMARK = "Great article, thank you so much for writing it down!"
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<div id=content><p>Office closed today.</p></div>", ["Office closed today."]),
+        (f"<p>All the news since 1901</p>{MARKED}<p>{NOTICE}</p>", BODY),
+        (f"{MARKED}<div><p>{LETTER}</p></div><div><p>{REMARK}</p></div>", BODY),
+        (f"<body><div>{wrapped(BODY)}</div><div><p>{LETTER}</p></div><div><p>{REMARK}</p></div></body>", BODY),
+        (f"<div>{wrapped(BODY)}</div><h3>3 responses</h3><ol class=replies><li>{REMARK}<li>{REMARK}</ol>", BODY),
+        (f"<div>{wrapped(BODY)}<h3>3 responses</h3><ol><li>{REMARK}<li>{REMARK}</ol></div><p>x</p>", BODY),
+        (f"<body><header><p>Tagline of the site<div>{wrapped(BODY)}</div></body>", BODY),
+        (f"<body><header><h1>Head</h1>{wrapped(BODY)}</body>", ["Head", *BODY]),  # nothing says where the header ends
+        (f"<body><nav><a href=/>Home</a><main>{wrapped(BODY)}</main></body>", BODY),
+        (f"<div><article>Teaser</article></div><div>{wrapped(BODY)}</div>", BODY),
+        (MARKED + "<aside>more</aside>" + "<p>" + " ".join(BODY) + "</p>", [*BODY, " ".join(BODY)]),
+    ],
+)
+def test_bodies_by_the_distribution_of_the_page(html, want):
+    assert line_blocks.main_text(html).split("\n") == (want or [""])
+
+
+SHORT = ["A short one.", "Two words."]
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        # body in one element
+        (f"<div id=main-text>{wrapped(BODY)}</div>", BODY),
+        (f"<div><h1>Title</h1><div>{wrapped(BODY)}</div></div>", ["Title", *BODY]),
+        (f"<section><h2>One</h2>{wrapped(BODY[:2])}<h2>Two</h2>{wrapped(BODY[2:])}</section>", ["One", *BODY[:2], "Two", *BODY[2:]]),
+        (f"<div>{wrapped(BODY)}{wrapped(SHORT)}</div><div><p>{LETTER}</p></div>", BODY + SHORT),
+        (f"<div>{wrapped(SHORT)}{wrapped(BODY)}<ul><li>a<li>b</ul></div>", [*SHORT, *BODY, "a", "b"]),
+        (f"<div>{wrapped(BODY)}<p><a href=/s>All sources of this text</a></p></div>", [*BODY, "All sources of this text"]),
+        # body in sections of one element
+        ("<div>" + wrapped(BODY, "<section><p>", "</p></section>") + f"</div><div><p>{LETTER}</p></div>", BODY),
+        ("<div>" + wrapped([*BODY, *SHORT], "<div><p>", "</p></div>") + f"</div><p>{NOTICE}</p>", BODY + SHORT),
+        # no element holds the body
+        (wrapped(BODY), BODY),
+        (wrapped([BODY[0], *SHORT, BODY[1]]), [BODY[0], *SHORT, BODY[1]]),
+        (wrapped([*BODY, NOTICE]), BODY),
+        (wrapped([BODY[0], SHORT[0], *BODY[1:]], "<div><p>", "</p></div>"), [BODY[0], SHORT[0], *BODY[1:]]),
+        (wrapped([SHORT[0], *BODY, SHORT[1]], "<div><p>", "</p></div>"), BODY),
+        ("<br>".join(BODY), [" ".join(BODY)]),
+        (f"<pre>{BODY[0]}\n{BODY[1]}</pre>", [" ".join(BODY[:2])]),
+        # tables
+        (f"<table><tr><td><a href=/>menu</a></td><td>{wrapped(BODY)}</td><td>Buy now!</td></tr></table>", BODY),
+        ("<table>" + "".join(f"<tr><th>row {k}</th><td>{k}</td></tr>" for k in range(9)) + "</table>",
+         [x for k in range(9) for x in (f"row {k}", str(k))]),
+        # links around and within
+        (f"{LINKS}<div>{wrapped(BODY)}</div>{LINKS}", BODY),
+        (LINKS + wrapped(BODY[:2]) + LINKS + wrapped(BODY[2:]) + LINKS, BODY),
+        (f"<div>{wrapped(BODY[:2])}{LINKS}{wrapped(BODY[2:])}</div>", [*BODY[:2], *["other page"] * 4, *BODY[2:]]),
+        # skipped elements, open and closed
+        (f"<div class=cookie>We use cookies</div><div>{wrapped(BODY)}<div class='share-bar'>Share</div></div>", BODY),
+        (f"<div class=sidebar><p>{BODY[0]}</p><div>{wrapped(BODY)}</div>", BODY),
+        (f"<form><p>{LETTER}</p></form>{wrapped(BODY)}<footer><p>{BODY[0]}</p></footer>", BODY),
+        (LINKS, []),
+    ],
+)
+def test_pages_without_article(html, want):
+    assert line_blocks.main_text(f"<!DOCTYPE html><html><body>{html}</body></html>").split("\n") == (want or [""])
+
+
+def test_open_elements_in_number_take_no_time():
+    import time
+
+    begin = time.process_time()
+    line_blocks.main_text("<div class=ad>x<nav>" * 20_000 + "<p>text</p>")
+    line_blocks.main_text("<div><p>a" * 20_000)
+    assert time.process_time() - begin < 10
+
+
 def test_pages_query_matches_article_markup(spark):
     import re
     from html import unescape
