@@ -121,7 +121,6 @@ def line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False) ->
         _paths(sf_dir, ("lineitem", "orders", "customer", "part", "nation", "region")),
         lambda: build_line_items(spark, sf_dir, legacy_empty),
         partition_by=("billing_cycle",),
-        spread_by="record_id",
         sort_within=("account_id", "bill_date"),
     )
     return df.withColumn("billing_cycle", F.col("billing_cycle").cast("string"))

@@ -16,17 +16,19 @@ result is deterministic.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import STATUS_FINALIZED
+from ..functions.keys import dedup_key
+from ..session import delete_folder, path_exists, spread_by
 
-
-#: Tasks (and so files) that share one slice of a table.
-SLICE_TASKS = 8
+#: Buckets of a table's key index: the tasks among which a batch's keys are looked up.
+KEY_BUCKETS = 64
 
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -45,11 +47,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     comparable columns break ties.  NULL sorts lowest, so a row without ``synced_at``
     loses to one with it.
     """
-    tie = _orderable(df, list(keys) + list(order))
-    rank = F.struct(*[F.col(c) for c in list(order) + tie])
-    cols = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols]).select(*df.columns)
+    # the rank holds the row itself, so the greatest one is the row: carried once
+    rank = [c for c in order if c not in keys] + _orderable(df, [*keys, *order])
+    maps = [c for c in df.columns if c not in keys and c not in rank]
+    if not rank and not maps:
+        return df.distinct()
+    best = F.struct(*rank) if rank else F.lit(True)
+    made = [F.max(best).alias("_row"), *([F.max_by(F.struct(*maps), best).alias("_maps")] if maps else [])]
+    rows = df.groupBy(*keys).agg(*made)
+    of = {**{c: F.col(f"_row.{c}").alias(c) for c in rank}, **{c: F.col(f"_maps.{c}").alias(c) for c in maps}}
+    return rows.select(*[of.get(c, F.col(c)) for c in df.columns])
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -155,31 +162,36 @@ def replace_slices_logical(old: DataFrame, new: DataFrame, slice_keys: Sequence[
     return old.join(touched, list(slice_keys), "left_anti").unionByName(new.select(*old.columns))
 
 
+def _folders(slices: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The distinct slices as text, as folder names tell them apart (NULL and '' are one)."""
+    return slices.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in parts]).distinct()
+
+
 def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: DataFrame | None = None) -> None:
     """SNK7 (physical): dynamic partition overwrite of the slices ``new`` touches.
 
     Only partitions present in ``new`` are rewritten; the others are not read or
     touched.  ``slices`` (the partition columns) names slices to be replaced whether or
-    not ``new`` has rows for them: a slice without new rows has its folder removed.  An
-    account of '' reads back as NULL from a partition folder, so partition by cycle
-    (and by account only where it is never empty).  ``new`` must not read ``path``.
+    not ``new`` has rows for them: a slice without new rows has its folder removed, after
+    the write, so a job lost on the way leaves a slice old or new and a re-run ends it.
+    A value is written as Hive writes it (escaped; NULL and '' share one folder, and read
+    back as NULL).  Slices are cut into tasks by their size.  ``new`` must not read ``path``.
     """
     spark = new.sparkSession
-    if slices is not None:
-        emptied = slices.select(*parts).distinct().join(new.select(*parts).distinct(), list(parts), "left_anti")
-        for r in emptied.toLocalIterator():  # one folder for each emptied slice
-            folder = "/".join(f"{c}={r[c]}" for c in parts)
-            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # partition on the slice keys and a row hash (safe to retry): a hot slice is cut
-        # into several tasks, each task writes few folders
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in new.columns if not isinstance(new.schema[c].dataType, T.MapType)]), F.lit(SLICE_TASKS))
-        new.repartition(*[F.col(p) for p in parts], spread).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        spread_by(new, parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    if slices is not None:
+        there = _folders(new, parts).select(*[F.col(c).alias(f"_{c}") for c in parts])
+        same = F.lit(True)
+        for c in parts:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        hive = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for r in _folders(slices, parts).join(there, same, "left_anti").toLocalIterator():  # one for each emptied slice
+            delete_folder(spark, "/".join([path, *(hive.getPartitionPathString(c, r[c]) for c in parts)]))
 
 
 def reset_status(status: DataFrame, keep_finalized: bool = False) -> DataFrame:
@@ -234,36 +246,102 @@ def latest_balance(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str, buckets: int = KEY_BUCKETS) -> str:
+    """The name of the key index of the table at ``path``: (keys, partition), bucketed by the keys.
+
+    It lies at ``<path>_keys`` and says in which partitions a key lies or has lain since the
+    index was made; a key found in too many costs a slice rewritten, never a copy.  It is
+    made from the table's rows where it is missing.  Bucketed, so a join on the keys reads
+    it in place: only the batch is shuffled.
+    """
+    where = f"{path}_keys/buckets={buckets}"
+    name = f"keys_{hashlib.sha1(where.encode()).hexdigest()[:20]}"
+    others = [k for k in keys if k != partition_col]
+    fresh = not path_exists(spark, where)
+    stored = None
+    if fresh and path_exists(spark, path):
+        stored = spark.read.parquet(path).select(*others, F.col(partition_col).cast("string").alias("_slice"))
+        kinds = {f.name: f.dataType.simpleString() for f in stored.schema}
+    elif fresh:
+        return ""
+    else:
+        kinds = {f.name: f.dataType.simpleString() for f in spark.read.parquet(where).schema}
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{c}` {kinds[c]}" for c in [*others, "_slice"])
+        by = ", ".join(f"`{k}`" for k in others)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{where}'"
+        )
+    if stored is not None:
+        _append_keys(stored.distinct(), name, others, buckets)
+    return name
+
+
+def _append_keys(rows: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    rows.repartition(buckets, *keys).write.insertInto(name)  # a task for each bucket
+    rows.sparkSession.catalog.refreshTable(name)
+
+
+def key_slices(new: DataFrame, index: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, slice) of the index for the keys of ``new``; the index is not shuffled."""
+    wanted = new.select(*keys).distinct()
+    return index.join(wanted.hint("shuffle_merge"), list(keys), "left_semi")
+
+
+def compact_keys(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str, buckets: int = KEY_BUCKETS) -> None:
+    """Make the key index anew from the table's rows (after many moved keys)."""
+    name = key_index(spark, path, keys, partition_col, buckets)
+    if name:
+        spark.sql(f"DROP TABLE {name}")
+        delete_folder(spark, f"{path}_keys")
+        key_index(spark, path, keys, partition_col, buckets)
+
+
 def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
-                staging: str) -> None:
+                staging: str, buckets: int = KEY_BUCKETS) -> None:
     """SNK5/SNK6 physically: merge ``new`` into the Parquet table at ``path``.
 
     The partitions rewritten are those of ``new`` and those in which one of its keys
-    lies now, so a record that moved to another partition leaves no second copy.  The
-    merged slices are first written to ``staging`` (a fresh folder in the shared
+    lies now, so a record that moved to another partition leaves no second copy.  These
+    come from the table's key index (``key_index``), so neither rows nor keys of other
+    slices are shuffled.  The batch's own keys are added to the index before the table is
+    written: a job lost in between leaves a key with a slice too many, not one too few.
+    The merged slices are first written to ``staging`` (a fresh folder in the shared
     checkpoint area), then copied over the touched partitions by dynamic overwrite, so
-    no plan ever overwrites a path it is reading, and a job lost half-way leaves the
-    table as it was (re-running it gives the same result).
+    no plan ever overwrites a path it is reading, and re-running a lost job gives the
+    same result.
     """
     spark = new.sparkSession
+    others = [k for k in keys if k != partition_col]
+    index = key_index(spark, path, keys, partition_col, buckets)
     touched = None
-    try:
+    if index:
+        batch = new.select(*others, F.col(partition_col).cast("string").alias("_slice")).distinct()
+        batch.write.mode("overwrite").parquet(f"{staging}-keys")
+        batch = spark.read.schema(batch.schema).parquet(f"{staging}-keys")
+        held = key_slices(batch, spark.table(index), others)
+        held.write.mode("overwrite").parquet(f"{staging}-held")
+        held = spark.read.schema(held.schema).parquet(f"{staging}-held")
+        unknown = batch.join(held, [*others, "_slice"], "left_anti")
+        _append_keys(unknown, index, others, buckets)
+        touched = batch.select("_slice").union(held.select("_slice")).distinct()
+        touched = touched.select(F.col("_slice").cast(new.schema[partition_col].dataType).alias(partition_col))
+        touched.write.mode("overwrite").parquet(f"{staging}-slices")
+        touched = spark.read.schema(touched.schema).parquet(f"{staging}-slices")
         old = spark.read.parquet(path)
-        held = old.select(partition_col, *[k for k in keys if k != partition_col]).join(
-            new.select(*keys).distinct(), list(keys), "left_semi"
-        )
-        touched = new.select(partition_col).union(held.select(partition_col)).distinct()
-        old_slices = old.join(touched, partition_col, "left_semi")
+        old = old.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
+        # one value for each touched partition: literals, so that no other one is opened
+        values = [r[0] for r in touched.collect()]
+        at = F.col(partition_col).isin([v for v in values if v is not None])
+        old_slices = old.filter(at | F.col(partition_col).isNull() if None in values else at)
         merged = upsert_latest(old_slices.select(*new.columns), new, keys, order)
-    except Exception as e:  # first write: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    else:  # first write: no table yet
         merged = latest_per_key(new, keys, order)
-    if touched is not None:
-        touched.write.mode("overwrite").parquet(f"{staging}-slices")
-        touched = spark.read.schema(touched.schema).parquet(f"{staging}-slices")
     merged.write.mode("overwrite").parquet(staging)
     replace_slices(spark.read.schema(merged.schema).parquet(staging), path, [partition_col], touched)
+    if not index:
+        key_index(spark, path, keys, partition_col, buckets)
 
 
 def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("account_id", "dedup_key"),
@@ -273,6 +351,4 @@ def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("acco
     After a key-algorithm change the whole fact is re-keyed and reloaded (truncate +
     reload in the reference): rows that now collide collapse to the latest one.
     """
-    from ..functions.keys import dedup_key
-
     return latest_per_key(fact.withColumn("dedup_key", dedup_key(*key_cols)), list(keys), list(order))

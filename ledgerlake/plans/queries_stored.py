@@ -84,6 +84,40 @@ def fact_slices_replaced_in_place(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+MOVED_TO = "1999-01"
+
+
+@query(
+    "fact_merged_by_key_index",
+    ids=("SNK5", "SNK6"),
+    sql=with_ctes(
+        f"SELECT CASE WHEN CAST(instance_id AS BIGINT) % 7 = 0 THEN '{MOVED_TO}' ELSE billing_cycle END AS billing_cycle, "
+        "COUNT(*) AS line_count, COUNT(DISTINCT account_id || '|' || dedup_key) AS key_count, "
+        "CAST(SUM(CASE WHEN CAST(instance_id AS BIGINT) % 7 = 0 THEN 2 * amount ELSE amount END) AS DECIMAL(38,6)) AS amount "
+        "FROM fact_rows GROUP BY 1",
+        "fact_rows",
+    ),
+)
+def fact_merged_by_key_index(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored fact, then a batch in which every seventh order's lines come again, later, with
+    twice the amount and in another cycle: each has one copy, where the batch puts it."""
+    path = _folder(spark, "fact-merged")
+    rows = fx.fact_rows(fx.line_items(spark, sf), fx.environments(spark, sf))
+    keys, order = ["account_id", "dedup_key"], ["ingested_at"]
+    up.upsert_into(rows, path, keys, order, "billing_cycle", f"{path}-first")
+    again = rows.filter(F.col("instance_id").cast("long") % 7 == 0).withColumns({
+        "billing_cycle": F.lit(MOVED_TO),
+        "amount": (F.col("amount") * 2).cast(rows.schema["amount"].dataType),
+        "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 DAY"),
+    })
+    up.upsert_into(again, path, keys, order, "billing_cycle", f"{path}-second")
+    return spark.read.parquet(path).groupBy("billing_cycle").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.count_distinct("account_id", "dedup_key").alias("key_count"),
+        F.sum("amount").cast("decimal(38,6)").alias("amount"),
+    )
+
+
 RESET_CYCLES = ("1998-01", "1998-02")
 
 

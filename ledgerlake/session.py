@@ -126,14 +126,27 @@ def _fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists; any error but absence is raised."""
     p, fs = _path(spark, path)
     return bool(fs.exists(p))
 
 
-#: Tasks (and so files) that share one partition value of a staged table.
-SALT = 4
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens where there is none."""
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
+def spread_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``columns`` for a partitioned write, in tasks of a bounded size.
+
+    A rebalance: rows of one value come together, values of few rows share a task, and one
+    of many (a cycle that holds a third of all rows) is cut into as many tasks as its bytes
+    need (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), at any size of the table.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
 
 _DONE: set[str] = set()
 _LOCK = threading.RLock()  # one builder per process for a staged path
@@ -145,7 +158,6 @@ def stage(
     inputs: Sequence[str],
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
-    spread_by: str | None = None,
     sort_within: Sequence[str] = (),
 ) -> DataFrame:
     """Write ``build()`` once per input fingerprint under the checkpoint root, read it back.
@@ -154,25 +166,23 @@ def stage(
     write is followed by a marker folder ``<path>.done``; without it (a lost job) the
     folder is simply rewritten.  Finished paths are remembered for the process.
 
-    Rows are hash-partitioned on the partition columns and a salt of ``spread_by`` with
-    ``SALT`` values, so a hot partition value (a cycle holding a third of all rows) is
-    cut into that many tasks, and the input is evaluated once (range partitioning would
-    sample it first).
+    Rows are dealt by the partition columns, and a partition value of many rows is cut into
+    tasks by its bytes (``spread_by``); the input is evaluated once (range partitioning
+    would sample it first).
     """
     path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(spark, inputs)}"
     marker = f"{path}.done"
     with _LOCK:
-        if path not in _DONE and not _exists(spark, marker):
-            _build_staged(spark, path, marker, build, partition_by, spread_by, sort_within)
+        if path not in _DONE and not path_exists(spark, marker):
+            _build_staged(spark, path, marker, build, partition_by, sort_within)
         _DONE.add(path)
     return spark.read.parquet(path)
 
 
-def _build_staged(spark, path, marker, build, partition_by, spread_by, sort_within) -> None:
+def _build_staged(spark, path, marker, build, partition_by, sort_within) -> None:
     df = build()
     if partition_by:
-        salt = [F.pmod(F.xxhash64(spread_by), F.lit(SALT))] if spread_by else []
-        df = df.repartition(*[F.col(c) for c in partition_by], *salt)
+        df = spread_by(df, partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
@@ -191,7 +201,7 @@ def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[
     path = f"{checkpoint_root(spark)}/landed/{name}-{_fingerprint(spark, inputs)}"
     marker = f"{path}.done"
     with _LOCK:
-        if path not in _DONE and not _exists(spark, marker):
+        if path not in _DONE and not path_exists(spark, marker):
             write(path)
             spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
         _DONE.add(path)

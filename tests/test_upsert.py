@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 from ledgerlake.operators import clean as cl
@@ -133,3 +134,60 @@ def test_add_keeps_other_columns_and_empty_maps(spark):
         "b": (D("2"), None, {}, "b", 2),
         "c": (D("3"), {}, None, "new", 3),
     }
+
+
+def test_emptied_slices_of_any_name_are_cleared(spark, tmp):
+    path, schema = tmp + "/t", "p string, v int"
+    names = ["a:b", "x/y", "100%", "é =", None, "kept"]
+    up.replace_slices(spark.createDataFrame([(n, 1) for n in names], schema), path, ["p"])
+    slices = spark.createDataFrame([(n,) for n in names[:-1]] + [("never there",)], "p string")
+    up.replace_slices(spark.createDataFrame([("x/y", 2)], schema), path, ["p"], slices)
+    assert sorted((r.p, r.v) for r in spark.read.parquet(path).collect()) == [("kept", 1), ("x/y", 2)]
+    # '' lies in the folder of NULL: new rows for the one are not removed with the other
+    up.replace_slices(spark.createDataFrame([("", 3)], schema), path, ["p"], spark.createDataFrame([(None,), ("kept",)], "p string"))
+    assert sorted((r.p or "", r.v) for r in spark.read.parquet(path).collect()) == [("", 3), ("x/y", 2)]
+
+
+def test_key_index_is_read_in_place(spark, tmp):
+    path = tmp + "/fact"
+    rows = [(f"r{k}", f"2025-{1 + k % 3:02d}", D(k), ts(1), "a") for k in range(300)]
+    up.upsert_into(spark.createDataFrame(rows, LI), path, ["record_id"], ["synced_at"], "billing_cycle", tmp + "/s0", buckets=8)
+    name = up.key_index(spark, path, ["record_id"], "billing_cycle", 8)
+    new = spark.createDataFrame([("r5",), ("zz",)], "record_id string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = up.key_slices(new, spark.table(name), ["record_id"])
+        assert [tuple(r) for r in found.collect()] == [("r5", "2025-03")]
+        # below the join: the scan of the index, at most sorted; the exchange is the batch's
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        stored, batch = final.split("SortMergeJoin", 1)[1].split("FileScan", 1)
+        assert "Exchange" not in stored and "Bucketed: true" in batch and "Exchange" in batch
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_moved_keys_over_batches_and_a_lost_job(spark, tmp):
+    path, keys = tmp + "/fact", ["record_id"]
+
+    def merge(rows, n):
+        up.upsert_into(spark.createDataFrame(rows, LI), path, keys, ["synced_at"], "billing_cycle", f"{tmp}/s{n}", buckets=4)
+
+    def held():
+        return sorted((r.record_id, r.billing_cycle, r.cash_amount) for r in spark.read.parquet(path).collect())
+
+    merge([("r1", "2025-01", D("1"), ts(1), "a"), ("r2", "2025-01", D("1"), ts(1), "a"), ("r3", "2025-03", D("9"), ts(1), "a")], 0)
+    kept = [f for f in os.listdir(path + "/billing_cycle=2025-03") if f.endswith(".parquet")]
+    merge([("r1", "2025-02", D("2"), ts(2), "b")], 1)
+    assert [f for f in os.listdir(path + "/billing_cycle=2025-03") if f.endswith(".parquet")] == kept  # not touched
+    # a batch whose keys were added to the index, but whose rows were never written
+    name = up.key_index(spark, path, keys, "billing_cycle", 4)
+    up._append_keys(spark.createDataFrame([("r1", "2025-05")], "record_id string, _slice string"), name, keys, 4)
+    merge([("r1", "2025-04", D("4"), ts(4), "d")], 2)
+    assert held() == [("r1", "2025-04", D("4")), ("r2", "2025-01", D("1")), ("r3", "2025-03", D("9"))]
+    up.compact_keys(spark, path, keys, "billing_cycle", 4)
+    index = spark.table(up.key_index(spark, path, keys, "billing_cycle", 4))
+    assert sorted(map(tuple, index.collect())) == [("r1", "2025-04"), ("r2", "2025-01"), ("r3", "2025-03")]
+    merge([("r1", "2025-01", D("5"), ts(5), "e"), ("r4", "2025-01", D("6"), ts(5), "e")], 3)
+    assert held() == [("r1", "2025-01", D("5")), ("r2", "2025-01", D("1")), ("r3", "2025-03", D("9")), ("r4", "2025-01", D("6"))]
