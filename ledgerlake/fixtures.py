@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixed_values import DEFAULT_CHANNEL, DEFAULT_CURRENCY, SEED_CATEGORIES
+from .operators.rollup import daily_rollup, with_month
 from .session import stage
 
 DRIVER_TABLES = (
@@ -126,6 +127,27 @@ def line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False) ->
     return df.withColumn("billing_cycle", F.col("billing_cycle").cast("string"))
 
 
+_LINE_ITEM_INPUTS = ("lineitem", "orders", "customer", "part", "nation", "region")
+
+
+def daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged T13 (daily roll-up with breakdowns), partitioned by booking month ``bill_month``."""
+    df = stage(
+        spark, f"daily_raw_v{FIXTURE_VERSION}", _paths(sf_dir, _LINE_ITEM_INPUTS),
+        lambda: with_month(daily_rollup(line_items(spark, sf_dir))),
+        partition_by=("bill_month",), sort_within=("bill_date", "account_id"),
+    )
+    return df.withColumn("bill_month", F.col("bill_month").cast("string"))
+
+
+def api_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged API month totals (what the provider would answer), one row per cycle and account."""
+    return stage(
+        spark, f"api_totals_v{FIXTURE_VERSION}", _paths(sf_dir, _LINE_ITEM_INPUTS),
+        lambda: api_month_totals(line_items(spark, sf_dir), spark),
+    )
+
+
 def overview_items(items: DataFrame) -> DataFrame:
     """QueryBillOverview-style items (SRC7 shape) derived from line items.
 
@@ -163,6 +185,20 @@ def api_month_totals(items: DataFrame, spark: SparkSession) -> DataFrame:
     )
 
 
+def api_cycle_totals(items: DataFrame) -> DataFrame:
+    """API totals of all accounts in which cycles of every outcome occur.
+
+    By the cycle's month: 1, 4, 7, 10 the line-item sum itself; 2, 5, 8, 11 five less for
+    EUROPE; 3, 6, 9, 12 no total for MIDDLE EAST.
+    """
+    turn = F.substring("billing_cycle", 6, 2).cast("int") % 3
+    sums = items.groupBy("billing_cycle", "account_id").agg(F.sum("cash_amount").alias("s"))
+    less = F.when((turn == 2) & (F.col("account_id") == "EUROPE"), F.lit(5)).otherwise(F.lit(0))
+    return sums.filter((turn != 0) | (F.col("account_id") != "MIDDLE EAST")).select(
+        "billing_cycle", "account_id", (F.col("s") - less).cast("decimal(24,6)").alias("monthly_api_total")
+    )
+
+
 def environments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T15 cost_env_account_config from the region table (MIDDLE EAST unmapped)."""
     mapping = spark.createDataFrame(

@@ -22,6 +22,8 @@ from .cycles import (
     period_keys_for,
     prior_cycles_booked,
     quarter_key,
+    stored_in_month,
+    stored_last_days,
     valid_cycle,
     year_key,
 )

@@ -84,6 +84,18 @@ def last_days(date_col: Column | str, as_of, n: int = 30) -> Column:
     return d >= F.date_sub(_date(as_of), n)
 
 
+def stored_in_month(date_col: str, month_col: str, cycle: str) -> Column:
+    """FLT1 on a table partitioned by booking month: its partition, and the dates."""
+    return (F.col(month_col) == F.lit(cycle)) & in_month(date_col, cycle)
+
+
+def stored_last_days(date_col: str, month_col: str, as_of, n: int = 30) -> Column:
+    """FLT2 on a table partitioned by booking month: the months from that of the first day on, and the dates."""
+    day = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    first = day - dt.timedelta(days=n)
+    return (F.col(month_col) >= F.lit(first.strftime("%Y-%m"))) & last_days(date_col, as_of, n)
+
+
 def last_cycles(cycle_col: Column | str, as_of, n: int = 12) -> Column:
     """FLT3: string compare ``cycle >= to_char(as_of - n months, 'YYYY-MM')``."""
     c = F.col(cycle_col) if isinstance(cycle_col, str) else cycle_col

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cycles import last_cycles, last_days, period_keys_for, prior_cycles_booked
+from ..functions.cycles import last_cycles, last_days, period_keys_for, prior_cycles_booked, stored_last_days
 from ..functions.money import SUM_TYPE, as_sum, money
 
 
@@ -86,9 +86,14 @@ def aggregate_listing(agg: DataFrame) -> DataFrame:
 
 
 def daily_recent(daily: DataFrame, as_of: dt.date | str, days: int = 30) -> DataFrame:
-    """Q9.2 / FLT2: daily_raw of the last ``days`` days, newest first."""
+    """Q9.2 / FLT2: daily_raw of the last ``days`` days, newest first.
+
+    A table with its booking month ``bill_month`` is read from that of the first day on.
+    """
+    stored = "bill_month" in daily.columns
+    recent = stored_last_days("bill_date", "bill_month", as_of, days) if stored else last_days("bill_date", as_of, days)
     return (
-        daily.filter(last_days("bill_date", as_of, days))
+        daily.filter(recent)
         .select(
             "bill_date",
             money("total_amount").alias("total_amount"),

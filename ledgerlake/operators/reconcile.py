@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cycles import cycle_of, in_month, month_end
+from ..functions.cycles import cycle_of, in_month, month_end, stored_in_month
 from ..functions.money import RECONCILE_TOLERANCE, SUM_TYPE, as_sum, money, within_tolerance
 
 from ..fixed_values import (  # noqa: E402
@@ -38,9 +38,13 @@ KEYS = ["billing_cycle", "account_id"]
 def daily_cash(daily: DataFrame, cycle: str | None = None, by_account: bool = False) -> DataFrame:
     """AGG1: Σ cash per booking date across all accounts (optionally per account).
 
-    With ``cycle`` the dates are limited to that month by a pushed-down range (FLT1).
+    With ``cycle`` the dates are limited to that month by a pushed-down range (FLT1), and
+    by the partition where the table has its booking month ``bill_month``.
     """
-    d = daily if cycle is None else daily.filter(in_month("bill_date", cycle))
+    d = daily
+    if cycle is not None:
+        stored = "bill_month" in daily.columns
+        d = daily.filter(stored_in_month("bill_date", "bill_month", cycle) if stored else in_month("bill_date", cycle))
     keys = ["bill_date"] + (["account_id"] if by_account else [])
     return d.groupBy(*keys).agg(
         cycle_of(F.first("bill_date")).alias("billing_cycle"),

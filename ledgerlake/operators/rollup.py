@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import METRIC_CONSUMPTION, METRIC_PAYMENT, STATUS_PRELIMINARY
-from ..functions.breakdown import AMOUNT, map_from_entries_sorted
-from ..functions.cycles import cycle_periods, day_periods, period_keys_for
+from ..functions.breakdown import AMOUNT, breakdown_array, map_from_entries_sorted
+from ..functions.cycles import cycle_of, cycle_periods, day_periods, period_keys_for
 from ..functions.money import payment_amount
 
 METRICS = (METRIC_CONSUMPTION, METRIC_PAYMENT)
@@ -55,6 +55,11 @@ def daily_rollup(items: DataFrame) -> DataFrame:
     )
 
 
+def with_month(daily: DataFrame) -> DataFrame:
+    """``daily`` with its booking month ``bill_month``, by which stored daily tables are partitioned."""
+    return daily.withColumn("bill_month", cycle_of(F.col("bill_date")))
+
+
 def monthly_rollup(*overviews: DataFrame, positive_only: bool = False) -> DataFrame:
     """AGG8: overview items -> T12 ``cost_cloud_bill_monthly_raw`` per (cycle, account).
 
@@ -193,8 +198,6 @@ def bill_summary(daily: DataFrame) -> DataFrame:
     (PRJ14).  The cycle is the booking month written ``YYYYMM`` as in the reference's
     sample row.
     """
-    from ..functions.breakdown import breakdown_array
-
     exploded = daily.select(
         F.col("bill_date").alias("day"),
         F.date_format("bill_date", "yyyyMM").alias("billing_cycle"),
@@ -229,8 +232,6 @@ def recompute_cycles(
 
     ``overview`` turns line items into the overview rows that the roll-up reads.
     """
-    from ..functions.cycles import cycle_of
-
     a = F.lit(dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
     touched = items.filter(F.col("billing_cycle").isin(cycle_of(a), cycle_of(F.add_months(a, -1))))
     return monthly_rollup(overview(touched))

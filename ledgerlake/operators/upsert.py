@@ -106,44 +106,73 @@ def upsert_add(
 
     Other columns of ``old`` keep the old row's value, or the new row's for an inserted
     key.  A map is NULL only where it is in every row of the key; an empty one stays
-    empty.  Both sides are read twice, whatever the number of maps.
+    empty.  ``old`` is unique by the keys, as a stored table is, and is read once; rows of
+    ``new`` that share a key are added up before.
     """
     rest = [c for c in old.columns if c not in {*keys, *amounts, *maps}]
     has = [c for c in rest if c in new.columns]
-    u = old.select(*keys, *amounts, *maps, *rest, F.lit(True).alias("_in_old")).unionByName(
-        new.select(*keys, *amounts, *maps, *has, F.lit(False).alias("_in_old")), allowMissingColumns=True
-    )
-    aggs = [F.sum(a).cast(old.schema[a].dataType).alias(a) for a in amounts]
-    if rest:
-        aggs.append(F.max_by(F.struct(*rest), F.col("_in_old")).alias("_rest"))
-    aggs += [F.max(F.col(m).isNotNull()).alias(f"_has_{m}") for m in maps]
-    out = u.groupBy(*keys).agg(*aggs)
-    if maps:
-        def tagged(m: str) -> Column:
-            return F.transform(
-                F.map_entries(m),
-                lambda e: F.struct(
-                    F.lit(m).alias("_m"), e["key"].alias("_k"), e["value"].cast("decimal(38,6)").alias("_v")
-                ),
-            )
-
-        entries = F.flatten(F.filter(F.array(*[tagged(m) for m in maps]), lambda x: x.isNotNull()))
-        per_product = u.select(*keys, F.explode(entries).alias("_e")).groupBy(*keys, "_e._m", "_e._k").agg(
-            F.sum("_e._v").cast("decimal(38,6)").alias("_v")
+    given = _added(new, keys, amounts, maps, has).withColumn("_in_new", F.lit(True))
+    given = given.select(*keys, "_in_new", *[F.col(c).alias(f"_n_{c}") for c in (*amounts, *maps, *has)])
+    held = old.withColumn("_in_old", F.lit(True))
+    j = held.join(given, list(keys), "full_outer")
+    zero = F.lit(0).cast("decimal(38,6)")
+
+    def both(m: str) -> Column:
+        added = F.map_zip_with(
+            F.col(m), F.col(f"_n_{m}"),
+            lambda _k, a, b: (F.coalesce(a.cast("decimal(38,6)"), zero) + F.coalesce(b, zero)).cast("decimal(38,6)"),
         )
-        # at most one entry per product and map
-        pair = F.struct(F.col("_k").alias("key"), F.col("_v").alias("value"))
-        rebuilt = per_product.groupBy(*keys).agg(
-            *[
-                F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_m") == m, pair)))).alias(f"_new_{m}")
-                for m in maps
-            ]
+        entries = F.array_sort(F.map_entries(F.coalesce(added, F.col(m).cast("map<string,decimal(38,6)>"), F.col(f"_n_{m}"))))
+        return F.map_from_entries(entries)
+
+    made: dict[str, Column] = {}
+    for c in amounts:
+        total = F.when(F.col(c).isNotNull() | F.col(f"_n_{c}").isNotNull(), F.coalesce(c, F.lit(0)) + F.coalesce(f"_n_{c}", F.lit(0)))
+        made[c] = total.cast(old.schema[c].dataType).alias(c)
+    for c in maps:
+        made[c] = both(c).alias(c)
+    for c in has:
+        made[c] = F.when(F.col("_in_old"), F.col(c)).otherwise(F.col(f"_n_{c}")).alias(c)
+    return j.select(*[made.get(c, F.col(c)) for c in old.columns])
+
+
+def _added(new: DataFrame, keys: Sequence[str], amounts: Sequence[str], maps: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """``new`` with one row for each key: amounts and map entries added up."""
+    tag = F.lit("")  # the row's amounts; a map's entries carry its name
+    line = F.array(F.struct(tag.alias("_m"), F.lit(None).cast("string").alias("_k"), F.lit(None).cast("decimal(38,6)").alias("_v")))
+
+    def entries(m: str) -> Column:
+        each = F.transform(
+            F.map_entries(m), lambda e: F.struct(F.lit(m).alias("_m"), e["key"].alias("_k"), e["value"].cast("decimal(38,6)").alias("_v"))
         )
-        out = out.join(rebuilt, list(keys), "left")
-    empty = F.map_from_entries(F.array().cast("array<struct<key:string,value:decimal(38,6)>>"))
-    made = {m: F.when(F.col(f"_has_{m}"), F.coalesce(F.col(f"_new_{m}"), empty)).alias(m) for m in maps}
-    made |= {c: F.col(f"_rest.{c}").alias(c) for c in rest}
-    return out.select(*[made.get(c, F.col(c)) for c in old.columns])
+        return F.coalesce(each, F.slice(line, 1, 0))
+
+    every = F.concat(line, *[entries(m) for m in maps])
+    first = F.col("_e._m") == ""  # amounts count on one of a row's lines
+    kept = [c for c in _orderable(new, [*keys, *maps]) if c in (*amounts, *rest)]
+    rank = F.struct(*[F.col(c) for c in kept] or [F.lit(True)])
+    lines = new.select(
+        *keys, *amounts, *[F.col(m).isNotNull().alias(f"_has_{m}") for m in maps],
+        F.struct(*[F.col(c) for c in rest] or [F.lit(True).alias("_none")]).alias("_rest"), rank.alias("_rank"),
+        F.explode(every).alias("_e"),
+    )
+    per_entry = lines.groupBy(*keys, F.col("_e._m").alias("_m"), F.col("_e._k").alias("_k")).agg(
+        F.sum("_e._v").cast("decimal(38,6)").alias("_v"),
+        *[F.sum(F.when(first, F.col(c))).alias(c) for c in amounts],
+        *[F.max(f"_has_{m}").alias(f"_has_{m}") for m in maps],
+        F.max_by("_rest", "_rank").alias("_rest"), F.max("_rank").alias("_rank"),
+    )
+    # at most one line per product and map
+    pair = F.struct(F.col("_k").alias("key"), F.col("_v").alias("value"))
+    rows = per_entry.groupBy(*keys).agg(
+        *[F.sum(c).cast(new.schema[c].dataType).alias(c) for c in amounts],
+        *[
+            F.when(F.max(f"_has_{m}"), F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_m") == m, pair))))).alias(m)
+            for m in maps
+        ],
+        F.max_by("_rest", "_rank").alias("_rest"),
+    )
+    return rows.select(*keys, *amounts, *maps, *[F.col(f"_rest.{c}").alias(c) for c in rest])
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -299,9 +328,11 @@ def compact_keys(spark: SparkSession, path: str, keys: Sequence[str], partition_
 
 
 def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
-                staging: str, buckets: int = KEY_BUCKETS) -> None:
+                staging: str, buckets: int = KEY_BUCKETS) -> list[str | None]:
     """SNK5/SNK6 physically: merge ``new`` into the Parquet table at ``path``.
 
+    Returns the values (as text) of the partitions written.
+
     The partitions rewritten are those of ``new`` and those in which one of its keys
     lies now, so a record that moved to another partition leaves no second copy.  These
     come from the table's key index (``key_index``), so neither rows nor keys of other
@@ -340,8 +371,10 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
         merged = latest_per_key(new, keys, order)
     merged.write.mode("overwrite").parquet(staging)
     replace_slices(spark.read.schema(merged.schema).parquet(staging), path, [partition_col], touched)
-    if not index:
-        key_index(spark, path, keys, partition_col, buckets)
+    if index:
+        return [None if v is None else str(v) for v in values]
+    key_index(spark, path, keys, partition_col, buckets)
+    return [r[0] for r in merged.select(F.col(partition_col).cast("string")).distinct().collect()]
 
 
 def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("account_id", "dedup_key"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from .. import fixed_values as fv
 from .. import fixtures as fx
 from ..operators import reconcile as rc
 from ..operators import rollup as ru
+from ..session import checkpoint_root
 from .catalog import query
 from .fixture_sql import with_ctes
 
@@ -29,16 +32,23 @@ def _monthly(spark: SparkSession, sf: str, positive_only: bool = False) -> DataF
 
 
 def _daily_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return ru.daily_totals(_items(spark, sf))
+    """The stored daily table without its breakdowns."""
+    return fx.daily_raw(spark, sf).select("bill_date", "account_id", "total_amount", "cash_total_amount", "bill_month")
 
 
 def _monthly_totals(spark: SparkSession, sf: str, positive_only: bool = False) -> DataFrame:
     return ru.monthly_totals(fx.overview_items(_items(spark, sf)), positive_only=positive_only)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder of the shared root and read back."""
+    path = f"{checkpoint_root(df.sparkSession)}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _outcome(spark: SparkSession, sf: str) -> DataFrame:
-    items = _items(spark, sf)
-    return rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark))
+    return rc.reconcile(_items(spark, sf), _daily_totals(spark, sf), fx.api_totals(spark, sf))
 
 
 # ------------------------------------------------------- step 1: reconcile slice
@@ -71,8 +81,12 @@ FROM (
     FROM (SELECT billing_cycle, account_id, SUM(cash_amount) AS s FROM line_items GROUP BY 1, 2) li
     FULL OUTER JOIN (SELECT strftime(bill_date, '%Y-%m') AS billing_cycle, account_id, SUM(cash_total_amount) AS s
                      FROM daily_raw GROUP BY 1, 2) dd USING (billing_cycle, account_id)
-    FULL OUTER JOIN (SELECT billing_cycle, account_id, SUM(monthly_api_total) AS s FROM api_totals GROUP BY 1, 2) a
-      USING (billing_cycle, account_id)
+    FULL OUTER JOIN (
+      SELECT billing_cycle, account_id,
+             SUM(cash_amount) - CASE WHEN m % 3 = 2 AND account_id = 'EUROPE' THEN 5 ELSE 0 END AS s
+      FROM (SELECT *, CAST(substr(billing_cycle, 6, 2) AS INTEGER) AS m FROM line_items)
+      WHERE m % 3 <> 0 OR account_id <> 'MIDDLE EAST' GROUP BY billing_cycle, account_id, m
+    ) a USING (billing_cycle, account_id)
     WHERE {which}
     GROUP BY billing_cycle
   )
@@ -83,24 +97,24 @@ FROM (
 @query(
     "reconcile_cycles",
     ids=("Q1",),
-    sql=with_ctes(_CYCLES_SQL.format(which="true"), "line_items", "daily_raw", "api_totals"),
+    sql=with_ctes(_CYCLES_SQL.format(which="true"), "line_items", "daily_raw"),
 )
 def reconcile_cycles(spark: SparkSession, sf: str) -> DataFrame:
-    """All accounts together: UNKNOWN while one account's API total is missing."""
+    """All accounts together: UNKNOWN while one account's API total is missing, else PASS or DRIFT."""
     items = _items(spark, sf)
-    out = rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark), level="cycle")
+    out = rc.reconcile(items, _daily_totals(spark, sf), fx.api_cycle_totals(items), level="cycle")
     return out.drop("data_status")
 
 
 @query(
     "reconcile_known_cycles",
     ids=("Q1",),
-    sql=with_ctes(_CYCLES_SQL.format(which="a.s IS NOT NULL"), "line_items", "daily_raw", "api_totals"),
+    sql=with_ctes(_CYCLES_SQL.format(which="a.s IS NOT NULL"), "line_items", "daily_raw"),
 )
 def reconcile_known_cycles(spark: SparkSession, sf: str) -> DataFrame:
     """The accounts with an API total together, on both sides."""
     items = _items(spark, sf)
-    out = rc.reconcile(items, ru.daily_totals(items), fx.api_month_totals(items, spark), level="known")
+    out = rc.reconcile(items, _daily_totals(spark, sf), fx.api_cycle_totals(items), level="known")
     return out.drop("data_status")
 
 
@@ -149,9 +163,7 @@ LEFT JOIN outcome o ON o.billing_cycle = strftime(d.bill_date, '%Y-%m') AND o.ac
     ),
 )
 def daily_report(spark: SparkSession, sf: str) -> DataFrame:
-    items = _items(spark, sf)
-    daily = ru.daily_totals(items)
-    return rc.daily_report(daily, rc.reconcile(items, daily, fx.api_month_totals(items, spark)))
+    return rc.daily_report(_daily_totals(spark, sf), _outcome(spark, sf))
 
 
 # ------------------------------------------------------- step 2: diagnostics
@@ -781,11 +793,13 @@ FROM (
     ),
 )
 def daily_raw_patched(spark: SparkSession, sf: str) -> DataFrame:
-    items = _items(spark, sf)
-    daily = ru.daily_rollup(items)
-    calib = rc.calibration_rows(rc.reconcile(items, daily, fx.api_month_totals(items, spark)))
+    """The stored daily table with a calibration row for each drifting month and account.
+
+    The rows are written first, as a calibration run leaves them (one for each drifting key).
+    """
+    calib = _stored(rc.calibration_rows(_outcome(spark, sf)), "calibration")
     out = up.upsert_add(
-        daily, calib, ["bill_date", "account_id"], ["total_amount", "cash_total_amount"],
+        fx.daily_raw(spark, sf).drop("bill_month"), calib, ["bill_date", "account_id"], ["total_amount", "cash_total_amount"],
         maps=["product_breakdown", "cash_product_breakdown"],
     )
     return out.select(

@@ -8,6 +8,8 @@ incremental semantics as streams:
   the fact table (ST2) in ``foreachBatch``.  Spark tracks seen *paths*: an object
   rewritten in place is not picked up again (the batch SRC6 path catches it).
 * ST2 ``upsert_batch``: idempotent micro-batch upsert: re-delivery changes nothing.
+* ST3 ``stream_corrections``: late and corrected line items as they arrive; the slices they
+  touch, and those in which a corrected line lay before, are recomputed and written back.
 * ST4/ST5 windowed aggregates with a watermark, emitted in ``update`` mode into an
   append-only log of (key, batch_id) rows; the current result is the latest row per
   key (``latest_per_key``), so a replayed batch after a failure is harmless.
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import ops_metrics as om
-from ..operators.upsert import latest_per_key, upsert_into
+from ..operators.rollup import daily_rollup, monthly_rollup, with_month
+from ..operators.upsert import latest_per_key, replace_slices, upsert_into
 from ..session import checkpoint_root
 from ..sources.exports import parse_export_lines, scan_columns
 
@@ -151,6 +154,46 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
     return ckpt
 
 
+# ------------------------------------------------------------------ ST3
+def correct_slices(items: str, daily: str, monthly: str, overview: Callable[[DataFrame], DataFrame],
+                   staging_root: str) -> Callable[[DataFrame, int], None]:
+    """ST3: ``foreachBatch`` sink of line items (with a cycle and a booking date).
+
+    The batch is merged into the table ``items``, partitioned by ``slice`` (cycle and
+    booking month).  The slices written, which are those of the batch and those its records
+    lay in before, name the booking months of ``daily`` and the cycles of ``monthly`` that
+    are recomputed, each from its partitions of ``items`` alone; all others keep their
+    files.  A replayed batch writes the same slices again.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        placed = with_month(batch)
+        placed = placed.withColumn("slice", F.concat_ws("_", "billing_cycle", "bill_month")).drop("bill_month")
+        touched = upsert_into(
+            placed, items, ["record_id"], ["synced_at"], "slice", f"{staging_root}/batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        )
+        if not touched:
+            return
+        cycles, months = ({t.split("_")[k] for t in touched} for k in (0, 1))
+        stored = spark.read.parquet(items)
+        parts = F.split(F.col("slice").cast("string"), "_")
+        # predicates on the partition column: no other partition is opened
+        of_months = with_month(daily_rollup(stored.filter(parts[1].isin(sorted(months)))))
+        of_cycles = monthly_rollup(overview(stored.filter(parts[0].isin(sorted(cycles)))))
+        for table, rows, column, values in ((daily, of_months, "bill_month", months), (monthly, of_cycles, "billing_cycle", cycles)):
+            slices = spark.createDataFrame([(v,) for v in sorted(values)], f"{column} string")
+            replace_slices(rows, table, [column], slices)
+
+    return sink
+
+
+def stream_corrections(source: DataFrame, items: str, daily: str, monthly: str,
+                       overview: Callable[[DataFrame], DataFrame], checkpoint: str) -> None:
+    """ST3: run ``correct_slices`` over the line items that have arrived since the last run."""
+    run_available(source, correct_slices(items, daily, monthly, overview, f"{checkpoint}/staging"), checkpoint, mode="append")
+
+
 # ------------------------------------------------------------------ ST4 / ST5 / ST6
 WATERMARK = "10 minutes"  # the default delay of the three jobs
 

@@ -42,3 +42,19 @@ def test_hot_key_latest_and_rollup(spark):
     daily = {r.account_id: r.cash_total_amount for r in ru.daily_rollup(base).collect()}
     expect = base.groupBy("account_id").agg(F.sum("cash_amount").alias("s")).collect()
     assert {r.account_id: r.s for r in expect} == daily
+
+
+@pytest.mark.parametrize("name", ["daily_cash_for_cycle", "daily_recent"])
+def test_booking_date_reads_prune_partitions(spark, name):
+    plan = CAT[name].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "bill_month" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def _scans(spark, name):
+    df = CAT[name].fn(spark, SF_SMALL)
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_reconcile_and_patch_scan_each_table_once(spark):
+    assert _scans(spark, "reconcile_accounts") == 3  # items, daily table, API totals
+    assert _scans(spark, "daily_raw_patched") <= 3
