@@ -159,3 +159,50 @@ def sync_run_summary(jobs: DataFrame) -> DataFrame:
         (F.sum(dur).cast("double") / F.count(F.lit(1)) / F.lit(1e6)).alias("avg_duration_s"),
         F.try_divide(F.sum("progress_current").cast("double"), F.sum("progress_total").cast("double")).alias("progress_ratio"),
     )
+
+
+# ------------------------------------------------------------------ quantiles at scale
+#: Size of the stored sketches, and the rank error that goes with it (about 99 of 100 sketches).
+SKETCH_K, RANK_ERROR = 200, 0.0133
+
+
+def latency_sketches(logs: DataFrame, keys: tuple[str, ...] = ("service",), value: str = "latency_ms", k: int = SKETCH_K) -> DataFrame:
+    """AGG21 over long ranges: one mergeable KLL sketch and count for each hour and key.
+
+    A sketch holds some hundred values whatever it has seen, so tasks combine sketches
+    instead of gathering a hot key's values, and hours merge to days without the logs.
+    """
+    seen = logs.filter(F.col(value).isNotNull())
+    return seen.groupBy(F.date_trunc("hour", "timestamp").alias("hour"), *keys).agg(
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def merged_quantiles(sketches: DataFrame, keys: tuple[str, ...], ranks: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Day and key with count and quantiles, from stored hourly sketches."""
+    merged = sketches.groupBy(F.to_date("hour").alias("day"), *keys).agg(
+        F.kll_merge_agg_double("sketch").alias("_s"), F.sum("n").alias("n")
+    )
+    names = [f"p{round(100 * q)}" for q in ranks]
+    return merged.select(
+        "day", *keys, "n", *[F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(c) for q, c in zip(ranks, names)]
+    )
+
+
+# ------------------------------------------------------------------ JSON evidence
+def evidence_counts(df: DataFrame, column: str, path: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """AGG23: rows by a nested field of a JSON column, malformed JSON counted apart.
+
+    The column is parsed once to VARIANT, whatever shape a row has.  ``field`` is null
+    where the JSON has none (or a null); ``bad_json`` marks rows that are no JSON.
+    """
+    parsed = df.select(*keys, F.col(column).alias("_j"), F.try_parse_json(column).alias("_v"))
+    bad = F.col("_j").isNotNull() & F.col("_v").isNull()
+    field = F.try_variant_get("_v", path, "string")
+    return parsed.groupBy(*keys, field.alias("field"), bad.alias("bad_json")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def evidence_schema(df: DataFrame, column: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The schema that the JSON documents of each key share, as text (drift shows as VARIANT)."""
+    parsed = df.select(*keys, F.try_parse_json(column).alias("_v"))
+    return parsed.groupBy(*keys).agg(F.schema_of_variant_agg("_v").alias("shape"))

@@ -82,6 +82,38 @@ def category_breakdown(parts: DataFrame, totals: DataFrame, keys: Sequence[str],
     return out.select(*keys, "category", "cost", "total", "parts_sum", "scaled_cost")
 
 
+def apportioned(parts: DataFrame, totals: DataFrame, keys: Sequence[str], places: int = 2) -> DataFrame:
+    """AGG10 in decimal: the total of each key shared among its categories by their cost, to the cent.
+
+    Largest remainders: a category gets its exact share rounded down, and the units still
+    missing go one each to the greatest remainders (ties: by category).  Shares, remainders
+    and order are computed in whole units, so the parts sum to the rounded total exactly,
+    also with negative costs.  Costs that sum to 0 are rounded, not scaled (ours).  A key's
+    categories are those of the configuration, so its array is bounded.
+    """
+    keys, whole = list(keys), "decimal(38,0)"
+    by_cat = parts.groupBy(*keys, "category").agg(as_sum(F.sum("cost")).alias("cost"))
+    sums = by_cat.groupBy(*keys).agg(as_sum(F.sum("cost")).alias("parts_sum"))
+    total = totals.select(*keys, F.round(F.col("total"), places).cast("decimal(38,2)").alias("total"))
+    j = by_cat.join(sums, keys).join(total, keys)
+    weight = (F.abs("parts_sum") * F.lit(10**6)).cast(whole)
+    signed = F.when(F.col("parts_sum") < 0, -F.col("cost")).otherwise(F.col("cost"))
+    units = (F.col("total") * F.lit(10**places)).cast(whole)
+    share = (units * (signed * F.lit(10**6)).cast(whole)).cast(whole)
+    rest = F.pmod(share, F.nullif(weight, F.lit(0)))
+    floor = ((share - rest) / F.nullif(weight, F.lit(0))).cast(whole)
+    one = F.struct((-rest).alias("order"), F.col("category"), F.col("cost"), floor.alias("floor"))
+    lists = j.groupBy(*keys, "total", "parts_sum").agg(F.array_sort(F.collect_list(one)).alias("_c"), F.sum(floor).cast(whole).alias("_floors"))
+    missing = (F.col("total") * F.lit(10**places)).cast(whole) - F.col("_floors")
+    each = lists.select(*keys, "total", "parts_sum", missing.alias("_missing"), F.posexplode("_c").alias("_k", "_p"))
+    got = (F.col("_p.floor") + F.when(F.col("_k") < F.col("_missing"), 1).otherwise(0)) / F.lit(10**places)
+    unscaled = F.round(F.col("_p.cost"), places)
+    return each.select(
+        *keys, F.col("_p.category").alias("category"), F.col("_p.cost").alias("cost"), "total",
+        F.when(F.col("parts_sum") == 0, unscaled).otherwise(got).cast("decimal(38,2)").alias("part"),
+    )
+
+
 def environment_totals(df: DataFrame, keys: Sequence[str], amount: str = "total_amount") -> DataFrame:
     """AGG11: total per environment and over all environments (``rollup``).
 

@@ -44,6 +44,13 @@ def query(name: str, ids: tuple[str, ...], sql: str | None, headline: bool = Fal
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries, then return the catalog."""
-    from . import queries_billing, queries_files, queries_ops, queries_stored, queries_stream  # noqa: F401  (registration)
+    from . import (  # noqa: F401  (registration)
+        queries_billing,
+        queries_files,
+        queries_ops,
+        queries_reports,
+        queries_stored,
+        queries_stream,
+    )
 
     return CATALOG
