@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DECIMAL_BOUNDS, KEYS, MAX_LENGTH, NOT_NULL
@@ -67,6 +67,35 @@ def constraints(df: DataFrame, table: str, keys: Sequence[str] | None = None) ->
     return out
 
 
+REPORT = "table_name string, rule string, column_name string, violations long"
+
+
+def write_checked(df: DataFrame, table: str, path: str) -> DataFrame:
+    """Q6 in the write: write ``df`` as ``table`` and report its violated rules, in one scan.
+
+    The counts are metrics that the writing job itself gathers (``Observation``); rows are
+    written as they are.  NOT NULL, length and precision rules; keys need ``constraints``,
+    references ``foreign_key``.
+    """
+    rules = _rules(table, df.columns)
+    seen = Observation(f"rules of {table}")
+    counts = [F.count_if(cond).alias(f"r{i}") for i, (_r, _c, cond) in enumerate(rules)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(path)
+    found = seen.get
+    rows = [(table, r, c, int(found[f"r{i}"])) for i, (r, c, _cond) in enumerate(rules)]
+    return df.sparkSession.createDataFrame(rows, REPORT)
+
+
+def foreign_key(df: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Q6: how many rows name a parent that is not there (NULL names none)."""
+    lost = df.filter(F.col(column).isNotNull()).join(
+        parent.select(F.col(parent_column).alias(column)), column, "left_anti"
+    )
+    return lost.agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit(table).alias("table_name"), F.lit("foreign_key").alias("rule"), F.lit(column).alias("column_name"), "violations"
+    )
+
+
 def readiness(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> DataFrame:
     """Q7: each required table exists, is readable (a LIMIT 1 read) and has rows.
 

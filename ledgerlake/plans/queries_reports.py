@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from .. import fixtures as fx
+from ..operators import clean as cl
 from ..operators import ingest as ig
 from ..operators import ops_metrics as om
 from ..operators import ordering as od
+from ..operators import quality as qa
 from ..operators import retention as rt
 from ..operators import rollup as ru
 from ..operators import upsert as up
 from ..operators import views as vw
+from ..schemas import DEFAULTS, DECIMAL_BOUNDS, MAX_LENGTH, NOT_NULL, SCHEMAS
 from ..session import checkpoint_root
 from ..sources import feeds as fd
 from . import queries_billing as qb
@@ -253,3 +256,112 @@ def incident_evidence(spark: SparkSession, sf: str) -> DataFrame:
     ev = fx.events(spark, sf).withColumn("k", fx.activity_of(F.col("props")))
     docs = ev.select(F.col("event_type").alias("kind"), F.expr(_EVIDENCE.replace("{text}", "STRING")).alias("j"))
     return om.evidence_counts(docs, "j", "$.metrics.band", ("kind",))
+
+
+# ------------------------------------------------------------------ rules checked in the write
+_SEEDED = {
+    "account_id": ("CAST(sub_order_id AS BIGINT) % 97 = 0", "NULL"),
+    "synced_at": ("CAST(sub_order_id AS BIGINT) % 83 = 0", "NULL"),
+    "region": ("CAST(sub_order_id AS BIGINT) % 89 = 0", "repeat('x', 33)"),
+    "billing_cycle": ("CAST(sub_order_id AS BIGINT) % 79 = 0", "repeat('9', 33)"),
+}
+_DEFINED_SLOS = 3
+_HISTORY = (
+    "SELECT CAST(ts AS DATE) AS day, CAST(user_id % 5 + 1 AS INTEGER) AS slo_id FROM ev GROUP BY 1, 2"
+)
+
+
+def _checks_sql() -> str:
+    table = "cost_cloud_bill_line_items"
+    columns = [
+        "record_id", "bill_date", "billing_cycle", "product_code", "product_name", "sub_order_id", "instance_id",
+        "billing_item", "subscription_type", "cash_amount", "pretax_amount", "pretax_gross_amount", "currency",
+        "is_reversal", "account_id", "ingestion_channel", "region", "synced_at",
+    ]
+    seeded = ", ".join(
+        f"CASE WHEN {_SEEDED[c][0]} THEN {_SEEDED[c][1]} ELSE {c} END AS {c}" if c in _SEEDED else c for c in columns
+    )
+    rules = [("not_null", c, f"{c} IS NULL") for c in NOT_NULL[table]]
+    rules += [("max_length", c, f"length({c}) > {n}") for c, n in MAX_LENGTH[table].items()]
+    rules += [("decimal_overflow", c, f"abs({c}) >= {10 ** (p - s)}") for c, (p, s) in DECIMAL_BOUNDS[table].items()]
+    parts = [
+        f"SELECT '{table}' AS table_name, '{r}' AS rule, '{c}' AS column_name, COUNT(*) FILTER (WHERE {cond}) AS violations "
+        f"FROM (SELECT {seeded} FROM line_items) s"
+        for r, c, cond in rules
+    ]
+    parts.append(
+        "SELECT 'slo_daily_history', 'foreign_key', 'slo_id', COUNT(*) FROM ("
+        f"{_HISTORY}) h WHERE slo_id > {_DEFINED_SLOS}"
+    )
+    return with_ctes(" UNION ALL ".join(parts), "line_items", "ev")
+
+
+@query("rules_checked_in_the_write", ids=("Q6",), sql=_checks_sql())
+def rules_checked_in_the_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with seeded faults, counted by the job that writes them; history rows
+    whose SLO is not defined."""
+    items = fx.line_items(spark, sf)
+    for c, (cond, value) in _SEEDED.items():
+        items = items.withColumn(c, F.when(F.expr(cond), F.expr(value).cast(items.schema[c].dataType)).otherwise(F.col(c)))
+    report = qa.write_checked(items, "cost_cloud_bill_line_items", _folder(spark, "checked"))
+    ev = fx.events(spark, sf)
+    history = ev.select(F.to_date("ts").alias("day"), (F.col("user_id") % 5 + 1).cast("int").alias("slo_id")).distinct()
+    defined = fx.slo_definitions(ev).filter(F.col("id") <= _DEFINED_SLOS)
+    return report.unionByName(qa.foreign_key(history, "slo_daily_history", "slo_id", defined, "id"))
+
+
+# ------------------------------------------------------------------ declared tables
+def _control_plane(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The eight tables that a deployment probes before it opens, from the driver tables."""
+    ev = fx.events(spark, sf)
+    summary = ru.bill_summary(fx.daily_raw(spark, sf))
+    return {
+        "cost_daily_namespace": om.namespace_daily(fx.pod_samples(ev)),
+        "cost_hourly_workload": om.workload_hourly(fx.workload_samples(ev)),
+        "cost_roi_events": fx.roi_events(ev),
+        "cost_cloud_bill_summary": summary.withColumn("product_breakdown", F.to_json("product_breakdown")),
+        "slo_definitions": fx.slo_definitions(ev),
+        "slo_daily_history": om.slo_daily(fx.slo_requests(ev), fx.slo_definitions(ev)),
+        "rca_incidents": fx.incidents(ev),
+        "prevention_risks": fx.risks(ev),
+    }
+
+
+_EACH_TABLE = {
+    "cost_daily_namespace": "SELECT DISTINCT CAST(ts AS DATE), event_type FROM ev",
+    "cost_hourly_workload": "SELECT DISTINCT date_trunc('hour', ts), event_type, user_id % 10 FROM ev",
+    "cost_roi_events": "SELECT 1 FROM ev WHERE event_type = 'purchase'",
+    "cost_cloud_bill_summary": "SELECT DISTINCT bill_date FROM daily_raw",
+    "slo_definitions": "SELECT DISTINCT user_id % 5 FROM ev",
+    "slo_daily_history": "SELECT DISTINCT CAST(ts AS DATE), user_id % 5 FROM ev",
+    "rca_incidents": "SELECT 1 FROM ev WHERE event_type = 'error'",
+    "prevention_risks": "SELECT 1 FROM ev",
+}
+
+
+@query(
+    "control_plane_ready",
+    ids=("Q7", "SRC12", "LIM1"),
+    sql=with_ctes(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, true AS readable, COUNT(*) > 0 AS has_rows, COUNT(*) AS row_count, "
+            f"{len(SCHEMAS[t].fields)} AS column_count FROM ({q}) t{k}"
+            for k, (t, q) in enumerate(_EACH_TABLE.items())
+        ),
+        "ev", "daily_raw",
+    ),
+)
+def control_plane_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """The eight tables stored with their declared schemas, probed, and scanned by these schemas."""
+    paths = {}
+    for name, rows in _control_plane(spark, sf).items():
+        paths[name] = _folder(spark, name)
+        cl.conform(rows, SCHEMAS[name], DEFAULTS.get(name, {})).write.parquet(paths[name])
+    counts = None
+    for name, path in paths.items():
+        table = fd.read_table(spark, path, name)
+        one = table.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", F.lit(len(table.columns)).alias("column_count")
+        )
+        counts = one if counts is None else counts.unionByName(one)
+    return qa.readiness(spark, paths).join(counts, "table_name")
