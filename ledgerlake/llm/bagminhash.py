@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import UID, numbered, written
+from .shared import UID, free_name, numbered, written
 from .wu_manber import words
 
 SHINGLE = 5
@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Nodes of a bucket that are compared with as many others in one group.
 BLOCK = 256
+#: Shingles of the bags that one block holds, about (one larger bag alone).
+BLOCK_WEIGHT = 1 << 18
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -287,9 +289,10 @@ def near_duplicates(
 
     ``uid`` is the row's number, from that column of ``docs`` or as ``numbered`` gives it.
     """
-    base = docs if uid else numbered(docs, "__uid")
+    number = uid or free_name(docs, "__uid")
+    base = docs if uid else numbered(docs, number)
     base = base.select(
-        F.col(doc_id).alias("doc_id"), F.col(uid or "__uid").alias("uid"), F.col(text).alias("text")
+        F.col(doc_id).alias("doc_id"), F.col(number).alias("uid"), F.col(text).alias("text")
     )
     signed = written(_signed(base), "bag-signed")
     # buckets of two nodes or more; of bands with the same nodes the first one serves for all
@@ -350,12 +353,16 @@ def near_duplicates(
         F.when(F.col("linked"), F.col("b")).otherwise(F.col("a")).alias("root"),
     )
     placed = written(placed, "bag-placed")
-    homes = placed.groupBy("band", "hash").agg(F.count_if("stray").alias("strays"), F.count(F.lit(1)).alias("all"))
+    homes = placed.groupBy("band", "hash").agg(
+        F.count_if("stray").alias("strays"),
+        F.count(F.lit(1)).alias("all"),
+        F.coalesce(F.sum(F.when(F.col("stray"), F.col("weight"))), F.lit(0)).alias("stray_weight"),
+        F.sum("weight").alias("weight"),
+    )
+    # blocks hold so many bags and so many shingles at most, about
+    cut = lambda n, w: F.greatest(F.ceil(F.col(n) / block), F.ceil(F.col(w) / BLOCK_WEIGHT)).cast("int")
     homes = homes.filter("strays > 0 AND all > 1").select(
-        "band",
-        "hash",
-        F.ceil(F.col("strays") / block).cast("int").alias("stray_blocks"),
-        F.ceil(F.col("all") / block).cast("int").alias("blocks"),
+        "band", "hash", cut("strays", "stray_weight").alias("stray_blocks"), cut("all", "weight").alias("blocks")
     )
     homes = written(homes, "bag-homes")
     open_ = placed.join(homes.hint("merge"), ["band", "hash"]).withColumn("h", F.xxhash64("node"))
@@ -391,6 +398,7 @@ def near_duplicates(
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, all columns."""
-    own = numbered(docs, "__uid")
-    kept = near_duplicates(own, text, doc_id, uid="__uid").filter("kept").select(F.col("uid").alias("__uid"))
-    return own.join(kept.hint("merge"), "__uid").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number = free_name(docs, "__uid")
+    own = numbered(docs, number)
+    kept = near_duplicates(own, text, doc_id, uid=number).filter("kept").select(F.col("uid").alias(number))
+    return own.join(kept.hint("merge"), number).select(*[F.col(f"`{c}`") for c in docs.columns])

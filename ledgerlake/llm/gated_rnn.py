@@ -5,6 +5,10 @@ that of its class times that of the word in its class.  ``groups`` further ids s
 groups of rarer words and are classes of one; what a word has within its group is the
 caller's matter.  Training is truncated backpropagation through windows of steps; the
 state is carried from window to window of a whole text, both in training and in scoring.
+
+Arrays of a window are laid out (step, feature, text), so that a step's gates are a block of
+memory; those of the output have a row for each token.  All work on a window goes into
+buffers that are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ ROWS = 128
 #: Windows' gradients are summed until they hold so many tokens, so that the rest of a long
 #: text, with few others beside it, takes no steps of a few words each.
 STEP_TOKENS = 2048
+#: The bias of an id that no word has: no probability.
+NEVER = -1e4
 
 
 @dataclass(frozen=True)
@@ -40,10 +46,10 @@ class Shape:
         h = self.hidden
         return {
             "x": (self.ids + 1, 3 * h),  # a row for each id, then one for the start of a text
-            "u": (h, 3 * h),
+            "u": (3 * h, h),
             "c": (h, self.classes + self.groups),
-            "cb": (self.classes + self.groups,),
             "w": (self.classes, h, self.size),
+            "cb": (self.classes + self.groups,),
             "wb": (self.classes, self.size),
         }
 
@@ -51,103 +57,147 @@ class Shape:
     def floats(self) -> int:
         return sum(int(np.prod(s)) for s in self.parts().values())
 
+    @property
+    def trained(self) -> int:
+        """The leading numbers, which training changes: all but the biases, which hold frequencies."""
+        return self.floats - self.classes - self.groups - self.words
+
     def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         out, at = {}, 0
         for name, s in self.parts().items():
             n = int(np.prod(s))
-            out[name] = flat[at : at + n].reshape(s)
+            if at + n <= len(flat):
+                out[name] = flat[at : at + n].reshape(s)
             at += n
         return out
 
 
+def _log(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, np.log(np.where(x > 0, x, 1.0)), NEVER)
+
+
 def start(shape: Shape, counts: np.ndarray, seed: int = 7) -> np.ndarray:
-    """Weights whose output is the frequency of each id, whatever the state."""
+    """Weights whose output is about the frequency of each id (nothing where it is 0), whatever the state."""
     rng = np.random.default_rng(seed)
     flat = (rng.standard_normal(shape.floats) * 0.08).astype(np.float32)
     p = shape.views(flat)
-    counts = np.asarray(counts, dtype=np.float64) + 0.5
+    counts = np.asarray(counts, dtype=np.float64)
     by_class = counts[: shape.words].reshape(shape.classes, shape.size)
+    sums = by_class.sum(axis=1)
     p["c"] *= 0.1
     p["w"] *= 0.1
-    p["wb"][:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
-    total = np.concatenate([by_class.sum(axis=1), counts[shape.words :]])
-    p["cb"][:] = np.log(total / total.sum())
+    p["wb"][:] = _log(by_class / np.where(sums > 0, sums, 1.0)[:, None])
+    total = np.concatenate([sums, counts[shape.words :]])
+    p["cb"][:] = _log(total / max(total.sum(), 1.0))
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+class Buffers:
+    """Arrays by name, kept from window to window and cut to the size asked for."""
+
+    def __init__(self, dtype=np.float32):
+        self.dtype = dtype
+        self.held: dict[str, np.ndarray] = {}
 
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        n = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < n:
+            self.held[name] = np.empty(n, self.dtype)
+        return self.held[name][:n].reshape(shape)
 
-def _exp_sum(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logits, their exponentials and the sum of each row (shifted only where they are large)."""
-    if x.max(initial=0.0) > 60.0:
-        x = x - x.max(axis=1, keepdims=True)
-    e = np.exp(x)
-    return x, e, e.sum(axis=1)
 
+def run_window(shape: Shape, p: dict, inputs: np.ndarray, h: np.ndarray, buf: Buffers, carried: np.ndarray | None = None):
+    """States after each step (steps, hidden, rows), those before, the gates z, r, n, and U h.
 
-def run_window(p: dict, hidden: int, inputs: np.ndarray, h: np.ndarray, keep: bool = False):
-    """States after each step (steps, rows, hidden); with ``keep`` what backpropagation needs."""
-    steps, k = inputs.shape[0], hidden
-    states = np.empty((steps, len(h), k), np.float32)
-    kept = []
+    Where ``carried`` (steps, rows) is 0 a text begins, with a state of zeros; without it none
+    does, and the states before are not kept.
+    """
+    k, (steps, rows) = shape.hidden, inputs.shape
+    read = np.take(p["x"], inputs.reshape(-1), axis=0, out=buf("read", steps * rows, 3 * k), mode="clip")
+    gates = buf("gates", steps, 3 * k, rows)
+    np.copyto(gates, read.reshape(steps, rows, 3 * k).transpose(0, 2, 1))
+    states, inner, some = buf("states", steps, k, rows), buf("inner", steps, 3 * k, rows), buf("some", k, rows)
+    before = buf("before", steps, k, rows)
     for t in range(steps):
-        x = p["x"][inputs[t]]
-        g = h @ p["u"]
-        zr = _sigmoid(x[:, : 2 * k] + g[:, : 2 * k])
-        z, r = zr[:, :k], zr[:, k:]
-        n = np.tanh(x[:, 2 * k :] + r * g[:, 2 * k :])
-        new = n + z * (h - n)
-        if keep:
-            kept.append((h, z, r, n, g[:, 2 * k :]))
-        states[t] = h = new
-    return states, kept
+        if carried is not None:
+            h = np.multiply(h, carried[t], out=before[t])
+        g = np.matmul(p["u"], h, out=inner[t])
+        zr, n, new = gates[t, : 2 * k], gates[t, 2 * k :], states[t]
+        zr += g[: 2 * k]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1.0
+        np.reciprocal(zr, out=zr)
+        np.multiply(zr[k:], g[2 * k :], out=some)
+        n += some
+        np.tanh(n, out=n)
+        np.subtract(h, n, out=new)
+        new *= zr[:k]
+        new += n
+        h = new
+    return states, before, gates, inner
+
+
+def _exp_sum(logits: np.ndarray, at: np.ndarray, of: np.ndarray, buf: Buffers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials (in place) of each row, their sums, and the log of the share at column ``of``.
+
+    Rows are shifted before where they are large.
+    """
+    if logits.max(initial=0.0) > 60.0:
+        logits -= logits.max(axis=1, keepdims=True)
+    picked = logits[at, of]
+    np.exp(logits, out=logits)
+    ones = buf("ones", logits.shape[1])
+    ones[:] = 1.0
+    total = np.maximum(logits @ ones, 1e-37)
+    return logits, total, picked - np.log(total)
 
 
-def token_scores(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
-    """Natural log probability of each target given the state before it (and gradients).
+def token_scores(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray, buf: Buffers, grads: dict | None = None):
+    """Natural log probability of each target given the state (a row) before it.
 
     With ``grads`` the output weights' gradients of the summed log loss are added there,
     and the gradient of the states is returned too.
     """
-    logits, e, total = _exp_sum(states @ p["c"] + p["cb"])
+    n, wide = len(targets), shape.classes + shape.groups
+    at = np.arange(n)
     cls = np.where(targets < shape.words, targets // shape.size, targets - shape.words + shape.classes)
-    rows = np.arange(len(targets))
-    out = logits[rows, cls] - np.log(total)
+    logits = np.matmul(states, p["c"], out=buf("class", n, wide))
+    logits += p["cb"]
+    e, total, out = _exp_sum(logits, at, cls, buf)
     back = None
     if grads is not None:
-        d = e / total[:, None]
-        d[rows, cls] -= 1.0
-        grads["c"] += states.T @ d
-        grads["cb"] += d.sum(axis=0)
-        back = d @ p["c"].T
-    # words by class: each class is one product of matrices
-    order = np.argsort(cls.astype(np.int16), kind="stable")
-    ends = np.searchsorted(cls[order], np.arange(shape.classes + 1))
-    sorted_states, sorted_targets = states[order], targets[order]
-    within = np.zeros(len(targets), out.dtype)
-    below = np.zeros_like(sorted_states) if grads is not None else None
-    for c in np.flatnonzero(np.diff(ends)):
-        a, b = ends[c], ends[c + 1]
-        some = sorted_states[a:b]
-        logits, e, total = _exp_sum(some @ p["w"][c] + p["wb"][c])
-        which, at = sorted_targets[a:b] - c * shape.size, rows[: b - a]
-        within[a:b] = logits[at, which] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[at, which] -= 1.0
-            grads["w"][c] += some.T @ d
-            grads["wb"][c] += d.sum(axis=0)
-            below[a:b] = d @ p["w"][c].T
-    out[order] += within
-    if back is not None:
-        back[order] += below
+        e *= (1.0 / total)[:, None]
+        e[at, cls] -= 1.0
+        grads["c"] += states.T @ e
+        back = np.matmul(e, p["c"].T, out=buf("back", n, shape.hidden))
+    # words sorted by class: each class is one product of matrices, the rest is done for all at once
+    words = np.flatnonzero(targets < shape.words)
+    words = words[np.argsort(cls[words].astype(np.int16), kind="stable")]
+    m = len(words)
+    ends = np.searchsorted(cls[words], np.arange(shape.classes + 1)).tolist()
+    present = [(c, slice(ends[c], ends[c + 1])) for c in range(shape.classes) if ends[c] < ends[c + 1]]
+    some = np.take(states, words, axis=0, out=buf("some_states", m, shape.hidden), mode="clip")
+    logits = buf("word", m, shape.size)
+    for c, part in present:
+        np.matmul(some[part], p["w"][c], out=logits[part])
+        logits[part] += p["wb"][c]
+    which, at = targets[words] % shape.size, np.arange(m)
+    e, total, within = _exp_sum(logits, at, which, buf)
+    out[words] += within
+    if grads is not None:
+        e *= (1.0 / total)[:, None]
+        e[at, which] -= 1.0
+        below = buf("below", m, shape.hidden)
+        for c, part in present:
+            grads["w"][c] += some[part].T @ e[part]
+            np.matmul(e[part], p["w"][c].T, out=below[part])
+        back[words] += below
     return out, back
 
 
-def _layout(texts: list[np.ndarray], window: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For texts sorted from long to short: (rows still running, their ids in the window).
+def _layout(texts: list[np.ndarray], window: int) -> Iterator[np.ndarray]:
+    """The ids (rows still running, steps) of each window, for texts sorted from long to short.
 
     Past the end of a text the ids are -1.
     """
@@ -158,111 +208,196 @@ def _layout(texts: list[np.ndarray], window: int) -> Iterator[tuple[int, np.ndar
         for k in range(rows):
             some = texts[k][at : at + window]
             ids[k, : len(some)] = some
-        yield rows, ids
+        yield ids
+
+
+def _inputs(shape: Shape, last: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each step reads, (steps, rows), and the last id of each row for the next window."""
+    shown = np.where(ids < 0, shape.ids, ids)
+    return np.ascontiguousarray(np.concatenate([last[:, None], shown[:, :-1]], axis=1).T), shown[:, -1]
+
+
+def _live(states: np.ndarray, ids: np.ndarray, buf: Buffers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The states of steps that have a target as rows, their places, and the targets."""
+    steps, k, rows = states.shape
+    flat, targets = buf("rows", steps, rows, k), ids.T.reshape(-1)
+    np.copyto(flat, states.transpose(0, 2, 1))
+    flat = flat.reshape(-1, k)
+    live = np.flatnonzero(targets >= 0)
+    if len(live) == len(targets):
+        return flat, live, targets
+    return np.take(flat, live, axis=0, out=buf("live", len(live), k), mode="clip"), live, targets[live]
 
 
 def score_texts(shape: Shape, flat: np.ndarray, texts: list[np.ndarray], window: int = WINDOW) -> np.ndarray:
     """Log10 probability of each whole text (its ids, the end among them)."""
     order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
     sorted_texts = [texts[k] for k in order]
-    p = shape.views(flat)
+    p, buf = shape.views(flat), Buffers(flat.dtype)
     total = np.zeros(len(texts))
-    h = np.zeros((len(texts), shape.hidden), np.float32)
+    h = np.zeros((shape.hidden, len(texts)), flat.dtype)
     last = np.full(len(texts), shape.ids, np.int64)  # the start of a text
-    for rows, ids in _layout(sorted_texts, window):
-        h, last = h[:rows], last[:rows]
-        inputs = np.concatenate([last[:, None], ids[:, :-1]], axis=1)
-        # a state is scored against the id that follows it
-        states, _ = run_window(p, shape.hidden, np.where(inputs < 0, shape.ids, inputs).T, h)
-        h, last = states[-1], np.where(ids[:, -1] < 0, shape.ids, ids[:, -1])
-        live = ids.T >= 0
-        got, _ = token_scores(shape, p, states[live], ids.T[live])
-        np.add.at(total, np.nonzero(live)[1], got.astype(np.float64))
+    with np.errstate(over="ignore"):
+        for ids in _layout(sorted_texts, window):
+            rows = len(ids)
+            inputs, shown = _inputs(shape, last[:rows], ids)
+            # a state is scored against the id that follows it
+            states, _, _, _ = run_window(shape, p, inputs, h[:, :rows], buf)
+            h, last = states[-1].copy(), shown
+            columns, live, targets = _live(states, ids, buf)
+            got, _ = token_scores(shape, p, columns, targets, buf)
+            total[:rows] += np.bincount(live % rows, weights=got, minlength=rows)
     out = np.empty(len(texts))
     out[order] = total / np.log(10.0)
     return out
 
 
 class Trainer:
-    """Adam over truncated windows of parallel texts."""
+    """Adam over truncated windows of parallel texts.
+
+    A row of the input weights and its moments move when the row has been read.
+    """
 
     def __init__(self, shape: Shape, flat: np.ndarray, rate: float):
         self.shape, self.rate, self.flat = shape, rate, flat.copy()
-        self.p = shape.views(self.flat)
-        self.first, self.second = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        self.grad = np.zeros_like(self.flat)
+        self.p, self.buf = shape.views(self.flat), Buffers(flat.dtype)
+        self.first, self.second, self.grad = (np.zeros(shape.trained, flat.dtype) for _ in range(3))
+        self.g = shape.views(self.grad)
+        self.read = np.zeros(shape.ids + 1, bool)
         self.steps = self.tokens = self.pending = 0
 
     def fit(self, texts: Iterable[np.ndarray], rows: int = ROWS, window: int = WINDOW) -> None:
-        """One pass: ``rows`` texts run side by side, a slot taking the next after its last."""
+        """One pass: ``rows`` texts run side by side, the next one beginning where one ends."""
         shape, k = self.shape, self.shape.hidden
         source = iter(texts)
         slots: list[np.ndarray] = [np.empty(0, np.int64)] * rows
-        at = np.zeros(rows, np.int64)
-        h = np.zeros((rows, k), np.float32)
+        at = [0] * rows
+        h = np.zeros((k, rows), self.flat.dtype)
         last = np.full(rows, shape.ids, np.int64)
-        while True:
-            for s in range(len(slots)):
-                if at[s] >= len(slots[s]):
-                    slots[s], at[s] = next(source, slots[s][:0]), 0
-                    h[s], last[s] = 0.0, shape.ids
-            busy = [s for s in range(len(slots)) if len(slots[s])]
-            if len(busy) < len(slots):  # no text is left for the others
-                slots, at, h, last = [slots[s] for s in busy], at[busy], h[busy], last[busy]
-            if not slots:
-                break
-            ids = np.full((len(slots), window), -1, np.int64)
-            for s in range(len(slots)):
-                some = slots[s][at[s] : at[s] + window]
-                ids[s, : len(some)] = some
-                at[s] += len(some)
-            inputs = np.concatenate([last[:, None], ids[:, :-1]], axis=1)
-            inputs = np.where(inputs < 0, shape.ids, inputs).T
-            h = self._step(inputs, ids.T, h)
-            last = np.where(ids[:, -1] < 0, shape.ids, ids[:, -1])
-        self._update()
-
-    def _step(self, inputs: np.ndarray, targets: np.ndarray, h0: np.ndarray) -> np.ndarray:
-        shape, p, k = self.shape, self.p, self.shape.hidden
-        states, kept = run_window(p, k, inputs, h0, keep=True)
-        live = targets >= 0
-        n = int(live.sum())
-        g = shape.views(self.grad)
-        _, back = token_scores(shape, p, states[live], targets[live], g)
-        down = np.zeros_like(states)
-        down[live] = back
-        dh = np.zeros_like(h0)
-        touched, rows = [], []
-        for t in range(len(inputs) - 1, -1, -1):
-            h, z, r, m, un = kept[t]
-            dh = dh + down[t]
-            dm = dh * (1.0 - z) * (1.0 - m * m)
-            dz = dh * (h - m) * z * (1.0 - z)
-            dr = dm * un * r * (1.0 - r)
-            gates = np.concatenate([dz, dr, dm * r], axis=1)
-            g["u"] += h.T @ gates
-            touched.append(inputs[t])
-            rows.append(np.concatenate([dz, dr, dm], axis=1))
-            dh = dh * z + gates @ p["u"].T
-        np.add.at(g["x"], np.concatenate(touched), np.concatenate(rows))
-        self.pending += n
-        self.tokens += n
+        with np.errstate(over="ignore"):
+            while True:
+                ids = np.full((len(slots), window), -1, np.int64)
+                inputs = np.full((len(slots), window), shape.ids, np.int64)
+                carried = np.ones((len(slots), window), self.flat.dtype)
+                for s in range(len(slots)):
+                    t = 0
+                    while t < window:
+                        if at[s] >= len(slots[s]):
+                            slots[s], at[s] = next(source, slots[s][:0]), 0
+                            if not len(slots[s]):
+                                break
+                            carried[s, t], last[s] = 0.0, shape.ids
+                        some = slots[s][at[s] : at[s] + window - t]
+                        ids[s, t : t + len(some)] = some
+                        inputs[s, t] = last[s]
+                        inputs[s, t + 1 : t + len(some)] = some[:-1]
+                        last[s] = some[-1]
+                        at[s] += len(some)
+                        t += len(some)
+                busy = np.flatnonzero(ids[:, 0] >= 0)
+                if not len(busy):
+                    break
+                if len(busy) < len(slots):  # no text is left for the others
+                    slots, at, h, last = [slots[s] for s in busy], [at[s] for s in busy], h[:, busy], last[busy]
+                    ids, inputs, carried = ids[busy], inputs[busy], carried[busy]
+                h = self._step(*(np.ascontiguousarray(x.T) for x in (inputs, ids, carried)), h)
+            self._update()
+
+    def _step(self, inputs: np.ndarray, ids: np.ndarray, carried: np.ndarray, h0: np.ndarray) -> np.ndarray:
+        """Add one window's gradients, all (steps, rows); returns the states after it."""
+        shape, p, g, buf, k = self.shape, self.p, self.g, self.buf, self.shape.hidden
+        states, before, gates, inner = run_window(shape, p, inputs, h0, buf, carried)
+        steps, rows = inputs.shape
+        columns, live, targets = _live(states, ids.T, buf)
+        _, back = token_scores(shape, p, columns, targets, buf, g)
+        if len(live) < steps * rows:
+            down = buf("down", steps * rows, k)
+            down[:] = 0.0
+            down[live] = back
+        else:
+            down = back
+        down_t = buf("down_t", steps, k, rows)
+        np.copyto(down_t, down.reshape(steps, rows, k).transpose(0, 2, 1))
+        z, r, n = gates[:, :k], gates[:, k : 2 * k], gates[:, 2 * k :]
+        # what the gradient of a state is multiplied by, for all steps at once
+        keep = np.subtract(1.0, z, out=buf("keep", steps, k, rows))
+        to_z = np.subtract(before, n, out=buf("to_z", steps, k, rows))
+        to_z *= z
+        to_z *= keep
+        to_n = np.multiply(n, n, out=buf("to_n", steps, k, rows))
+        np.subtract(1.0, to_n, out=to_n)
+        to_n *= keep
+        to_r = np.subtract(1.0, r, out=keep)
+        to_r *= r
+        to_r *= inner[:, 2 * k :]
+        d, dn = buf("d", steps, 3 * k, rows), buf("dn", steps, k, rows)
+        cut = (carried == 0.0).any(axis=1)
+        dh, some, ut = np.zeros((k, rows), h0.dtype), buf("some", k, rows), np.ascontiguousarray(p["u"].T)
+        for t in range(steps - 1, -1, -1):
+            dh += down_t[t]
+            np.multiply(dh, to_z[t], out=d[t, :k])
+            m = np.multiply(dh, to_n[t], out=dn[t])
+            np.multiply(m, to_r[t], out=d[t, k : 2 * k])
+            np.multiply(m, r[t], out=d[t, 2 * k :])
+            dh *= z[t]
+            np.matmul(ut, d[t], out=some)
+            dh += some
+            if cut[t]:
+                dh *= carried[t]
+        # one row for each feature over the whole window
+        flat = buf("flat", 3 * k, steps, rows)
+        np.copyto(flat, d.transpose(1, 0, 2))
+        held = buf("held", k, steps, rows)
+        np.copyto(held, before.transpose(1, 0, 2))
+        flat = flat.reshape(3 * k, -1)
+        g["u"] += flat @ held.reshape(k, -1).T
+        np.copyto(flat[2 * k :].reshape(k, steps, rows), dn.transpose(1, 0, 2))
+        read = inputs.reshape(-1)
+        order = np.argsort(read.astype(np.int32), kind="stable")
+        new = np.ones(len(read), bool)
+        new[1:] = np.diff(read[order]) != 0
+        place = np.empty_like(read)
+        place[order] = np.cumsum(new) - 1
+        sums = np.empty((int(new.sum()), 3 * k), h0.dtype)
+        for f, row in enumerate(flat):
+            sums[:, f] = np.bincount(place, weights=row)
+        found = read[order[new]]
+        g["x"][found] += sums
+        self.read[found] = True
+        self.pending += len(live)
+        self.tokens += len(live)
+        h = states[-1].copy()
         if self.pending >= STEP_TOKENS:
             self._update()
-        return states[-1]
+        return h
 
     def _update(self) -> None:
         """One step of Adam by the mean gradient of the tokens since the last."""
         if not self.pending:
             return
-        grad, g = self.grad, self.shape.views(self.grad)
-        g["cb"][:] = 0.0  # the biases hold the whole corpus's frequencies
-        g["wb"][:] = 0.0
-        grad /= self.pending
         self.steps += 1
-        self.first += 0.1 * (grad - self.first)
-        self.second += 0.001 * (grad * grad - self.second)
         pace = self.rate * (1.0 - 0.999**self.steps) ** 0.5 / (1.0 - 0.9**self.steps)
-        self.flat -= pace * self.first / (np.sqrt(self.second) + 1e-7)
-        grad[:] = 0.0
+        # the input weights lie first: of these only the rows read
+        wide = self.p["x"].size
+        every = (self.flat[: self.shape.trained], self.first, self.second, self.grad)
+        rows = np.flatnonzero(self.read)
+        some = [a[:wide].reshape(self.p["x"].shape)[rows] for a in every]
+        for flat, first, second, grad in (some, [a[wide:] for a in every]):
+            grad *= 1.0 / self.pending
+            first *= 0.9
+            first += 0.1 * grad
+            second *= 0.999
+            grad *= grad
+            grad *= 0.001
+            second += grad
+            np.sqrt(second, out=grad)
+            grad += 1e-7
+            np.divide(first, grad, out=grad)
+            grad *= pace
+            flat -= grad
+        for a, moved in zip(every, some):
+            a[:wide].reshape(self.p["x"].shape)[rows] = moved
+        self.g["x"][rows] = 0.0
+        self.grad[wide:] = 0.0
+        self.read[:] = False
         self.pending = 0

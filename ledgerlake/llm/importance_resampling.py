@@ -122,8 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     model = Model(np.log(target / target.sum()) - np.log(raw / raw.sum()), float("-inf"))
     if not good or not held:
         return model
-    scored = score(chosen.filter(F.col("doc_id").isin(list(held))), model).collect()
-    means = sorted(r["mean_log_ratio"] for r in scored if held[r["doc_id"]] == 1 and r["n_grams"])
+    # one row for each held-out id, however often the table has it
+    scored = score(chosen.filter(F.col("doc_id").isin(list(held))), model).filter("n_grams > 0")
+    scored = scored.groupBy("doc_id").agg(F.min("mean_log_ratio").alias("mean_log_ratio")).collect()
+    means = sorted(r["mean_log_ratio"] for r in scored if held[r["doc_id"]] == 1)
     if not means:
         return model
     return Model(model.log_ratio, means[int(GOOD_LOSS * len(means))] - MARGIN)

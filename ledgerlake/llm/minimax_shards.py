@@ -66,7 +66,7 @@ def minimax_shards(
             F.col(doc_id).alias("doc_id"),
             (F.octet_length(data) + 1).cast("long").alias("size"),
             F.crc32(data).alias("text_crc32"),
-            F.unhex(F.md5(data)).alias("group"),
+            F.unhex(F.sha2(data, 256)).alias("group"),
         ),
         "shard-rows",
     )
@@ -75,7 +75,9 @@ def minimax_shards(
     n_groups, total, largest = grouped.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))
     ).first()
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_groups // groups_a_block))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(least, -(-n_groups // groups_a_block))
+    row_parts = max(least, -(-rows.count() // groups_a_block))  # few groups may have many copies
     blocks = written(
         grouped.repartitionByRange(n_parts, F.col("first").asc_nulls_first(), F.col("group")).withColumn(
             "block", F.spark_partition_id()
@@ -118,7 +120,7 @@ def minimax_shards(
     dealt = rows.join(written(placed, "shard-placed"), "group")
     order = ["shard", F.col("first").asc_nulls_first(), "group", F.col("doc_id").asc_nulls_first()]
     dealt = written(
-        dealt.repartitionByRange(n_parts, *order).withColumn("block", F.spark_partition_id()), "shard-dealt"
+        dealt.repartitionByRange(row_parts, *order).withColumn("block", F.spark_partition_id()), "shard-dealt"
     )
     counts = dealt.groupBy("block", "shard").agg(F.count(F.lit(1)).alias("n")).collect()
     seen, base = {}, []

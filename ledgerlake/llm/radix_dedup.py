@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import body, numbered, scratch_path
+from .shared import body, free_name, numbered, scratch_path
 
 FIRST_RUN = 64
 GROWTH = 16
@@ -40,10 +40,11 @@ def radix_groups(
     spark = docs.sparkSession
     carried = tuple(carry or ())
     data = body(text)
-    state = numbered(docs, "__uid").select(
+    number = free_name(docs, "__uid")
+    state = numbered(docs, number).select(
         F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in carried]).alias("row"),
         F.col(doc_id).alias("doc_id"),
-        F.col("__uid").alias("uid"),
+        F.col(number).alias("uid"),
         F.struct(F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("row")).alias("gid"),
         F.octet_length(data).cast("long").alias("size"),
         F.unhex(F.sha2(data, 256)).alias("digest"),

@@ -17,9 +17,22 @@ from ..session import checkpoint_root
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder as the session names it; a local session without one gets its own."""
+    """The shared folder as the session names it; a local session without one gets its own.
+
+    With its scheme, so that code which opens files itself meets the file system that Spark
+    resolves the name against, not an executor's own disk.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else checkpoint_root(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(named.rstrip("/") if named else checkpoint_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -21,10 +21,11 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import UID, numbered
+from .shared import UID, free_name, numbered, written
 
 WINDOW = 10
 PART_BYTES = 16 << 20
@@ -155,11 +156,16 @@ def find_windows(
     spark = docs.sparkSession
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, row {UID}, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    base = docs if row else numbered(docs, "__row")
-    base = base.select(F.col(doc_id).alias("doc_id"), F.col(row or "__row").alias("row"), F.col(text).alias("text"))
+    number = row or free_name(docs, "__row")
+    base = docs if row else numbered(docs, number)
+    base = base.select(F.col(doc_id).alias("doc_id"), F.col(number).alias("row"), F.col(text).alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    passes = []
+    passes: list[tuple[DataFrame, Broadcast]] = []
     for part in _window_parts(benchmark, item_text, item_id, size, part_bytes):
+        if passes:  # only the last part of the windows is held: the others' passes are written
+            done, old = passes[-1]
+            passes[-1] = written(done, "window-hits"), old
+            old.unpersist()
         sent = spark.sparkContext.broadcast(part)
 
         def run(batches, sent=sent):
@@ -184,12 +190,12 @@ def find_windows(
                     ["doc_id", "row", "n_words", "spans", "items"],
                 )
 
-        passes.append(base.mapInArrow(run, schema))
+        passes.append((base.mapInArrow(run, schema), sent))
     extra = ["row"] if row else []
     if len(passes) == 1:
-        return passes[0].select("doc_id", *extra, "n_words", "spans", "items")
-    every = passes[0]
-    for p in passes[1:]:
+        return passes[0][0].select("doc_id", *extra, "n_words", "spans", "items")
+    every = passes[0][0]
+    for p, _ in passes[1:]:
         every = every.unionByName(p)
     # one row for each document and part of the windows: as many as passes
     merged = every.groupBy("doc_id", "row").agg(
@@ -233,7 +239,8 @@ def contamination(found: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns."""
-    own = numbered(docs, "__row")
-    found = find_windows(own, benchmark, text, doc_id, row="__row")
-    hit = found.filter(F.size("spans") > 0).select(F.col("row").alias("__row"))
-    return own.join(hit, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number = free_name(docs, "__row")
+    own = numbered(docs, number)
+    found = find_windows(own, benchmark, text, doc_id, row=number)
+    hit = found.filter(F.size("spans") > 0).select(F.col("row").alias(number))
+    return own.join(hit, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from ledgerlake.llm import bagminhash, gated_rnn, importance_resampling, minimax_shards, radix_dedup, recurrent_lm
+from ledgerlake.llm import bagminhash, gated_rnn, importance_resampling, minimax_shards, radix_dedup, recurrent_lm, wu_manber
 from ledgerlake.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -231,23 +231,35 @@ def test_gradients_match_differences():
         return -gated_rnn.score_texts(shape, w, texts).sum() * np.log(10.0)
 
     class Probe(gated_rnn.Trainer):
-        def _step(self, inputs, targets, h0):
+        def _step(self, *window):
             self.rate = 0.0
-            return super()._step(inputs, targets, h0)
+            return super()._step(*window)
 
     t = Probe(shape, flat, 0.0)
     t.fit(texts, rows=3, window=16)
     grad = t.first / 0.1 * sum(map(len, texts))
-    frozen = np.zeros(len(flat), bool)
-    for name in ("cb", "wb"):
-        shape.views(frozen)[name][...] = True
-    for k in rng.choice(np.flatnonzero(~frozen), 60, replace=False):
+    assert len(grad) == shape.trained == len(flat) - sum(shape.views(flat)[name].size for name in ("cb", "wb"))
+    for k in rng.choice(shape.trained, 60, replace=False):
         up, down = flat.copy(), flat.copy()
         up[k] += 1e-3
         down[k] -= 1e-3
         assert abs((loss(up) - loss(down)) / 2e-3 - grad[k]) < 2e-2 * max(1.0, abs(grad[k]))
 
 
+def test_texts_in_a_row_train_as_apart():
+    """A text that begins within a window has the gradient that it has in a window of its own."""
+    shape = gated_rnn.Shape(classes=3, size=4, groups=2, hidden=5)
+    rng = np.random.default_rng(4)
+    flat = gated_rnn.start(shape, np.ones(shape.ids)).astype(np.float64) + rng.standard_normal(shape.floats) * 0.3
+    texts = [rng.integers(0, shape.ids, n) for n in (9, 4, 1, 6)]
+    grads = []
+    for rows in (1, 4):
+        t = gated_rnn.Trainer(shape, flat, 0.0)
+        t.fit(texts, rows=rows, window=32)
+        grads.append(t.first)
+    assert np.allclose(grads[0], grads[1])
+
+
 def test_windows_carry_the_state():
     shape = gated_rnn.Shape(classes=3, size=4, groups=2, hidden=5)
     rng = np.random.default_rng(3)
@@ -259,7 +271,8 @@ def test_windows_carry_the_state():
     assert np.allclose(alone, whole, atol=1e-3)
     p = shape.views(flat)
     states = rng.standard_normal((1, 5)).astype(np.float32)
-    every = [gated_rnn.token_scores(shape, p, states, np.array([i]))[0][0] for i in range(shape.ids)]
+    buf = gated_rnn.Buffers()
+    every = [gated_rnn.token_scores(shape, p, states, np.array([i]), buf)[0][0] for i in range(shape.ids)]
     assert abs(np.exp(every).sum() - 1.0) < 1e-5
 
 
@@ -270,10 +283,11 @@ def test_training_carries_the_state_over_whole_texts():
     starts, carried = [], []
 
     class Probe(gated_rnn.Trainer):
-        def _step(self, inputs, targets, h0):
-            starts.append(int((inputs[targets >= 0] == shape.ids).sum()))
-            carried.append(bool(np.abs(h0[0]).max() > 0))
-            return super()._step(inputs, targets, h0)
+        def _step(self, inputs, ids, kept, h0):
+            starts.append(int((inputs[ids >= 0] == shape.ids).sum()))
+            assert starts[-1] == int((kept[ids >= 0] == 0).sum())  # a text begins with a state of zeros
+            carried.append(bool(np.abs(h0[:, 0]).max() > 0))
+            return super()._step(inputs, ids, kept, h0)
 
     t = Probe(shape, gated_rnn.start(shape, np.ones(shape.ids)), 0.01)
     t.fit(texts, rows=2, window=32)
@@ -284,9 +298,9 @@ def test_training_carries_the_state_over_whole_texts():
 
 def test_every_training_text_reaches_the_network(spark):
     n, last = 24, recurrent_lm.SHAPE.ids - 1
-    encoded = spark.createDataFrame([(k, [k, last]) for k in range(n)], "part long, ids array<int>")
+    encoded = spark.createDataFrame([(k, 2, [k, last]) for k in range(n)], "part long, n_tokens long, ids array<int>")
     before = gated_rnn.start(recurrent_lm.SHAPE, np.ones(recurrent_lm.SHAPE.ids))
-    after = recurrent_lm.train(encoded, before)
+    after = recurrent_lm.train(encoded, before, 2 * n, tokens_a_copy=4)
     moved = np.abs(recurrent_lm.SHAPE.views(after)["x"] - recurrent_lm.SHAPE.views(before)["x"]).max(axis=1)
     assert (moved[:n] > 0).all()  # text k alone has id k
     assert not moved[n:last].any()
@@ -305,6 +319,18 @@ def test_copies_are_summed_a_few_at_a_time(spark):
         assert r["tokens"] == 55 and np.allclose(np.frombuffer(r["piece"]), want)
 
 
+def test_tokens_of_a_batch_equal_those_of_each_text():
+    import pyarrow as pa
+
+    texts = [None, "", " A\tb\x0bB c ", "\n", "é\u00a0x\u2003y \x1c z", "one", "x " * 500]
+    words, begins = recurrent_lm.all_tokens(pa.array(texts, pa.string()).slice(0))
+    whole = words.to_pylist()
+    assert [whole[a:b] for a, b in zip(begins[:-1], begins[1:])] == [recurrent_lm.tokens(t) for t in texts]
+    words, begins = recurrent_lm.all_tokens(pa.array(texts, pa.string()).slice(2, 3))
+    assert [words.to_pylist()[a:b] for a, b in zip(begins[:-1], begins[1:])] == [recurrent_lm.tokens(t) for t in texts[2:5]]
+    assert [n for _, n in recurrent_lm._slices(pa.array(texts, pa.string()), most=9)] == [3, 1, 1, 1, 1]
+
+
 def test_base_scores_match_brute_force(spark, tmp):
     rng = random.Random(4)
     pairs = [(k, " ".join(f"w{min(rng.randint(0, 40), rng.randint(0, 40))}" for _ in range(rng.randint(0, 60)))) for k in range(60)]
@@ -326,6 +352,98 @@ def test_base_scores_match_brute_force(spark, tmp):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def brute_score(shape, flat, text):
+    """The log10 probability of one text's ids, a token at a time in double precision."""
+    p = {k: v.astype(np.float64) for k, v in shape.views(flat).items()}
+    k, h, last, total = shape.hidden, np.zeros(shape.hidden), shape.ids, 0.0
+
+    def log_softmax(x):
+        return x - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    for i in text:
+        a, b = p["x"][last], p["u"] @ h
+        z, r = (1 / (1 + np.exp(-(a[s] + b[s]))) for s in (slice(0, k), slice(k, 2 * k)))
+        n = np.tanh(a[2 * k :] + r * b[2 * k :])
+        h = (1 - z) * n + z * h
+        cls = i // shape.size if i < shape.words else shape.classes + i - shape.words
+        total += log_softmax(h @ p["c"] + p["cb"])[cls]
+        if i < shape.words:
+            total += log_softmax(h @ p["w"][cls] + p["wb"][cls])[i % shape.size]
+        last = i
+    return total / np.log(10.0)
+
+
+def test_scores_equal_a_token_by_token_sum():
+    shape = gated_rnn.Shape(classes=5, size=4, groups=3, hidden=6)
+    rng = np.random.default_rng(12)
+    counts = rng.integers(0, 9, shape.ids) * rng.integers(0, 2, shape.ids)
+    counts[-1] += 1
+    seen = np.flatnonzero(counts)
+    texts = [rng.choice(seen, n) for n in (3, 1, 70, 33, 200, 64)]
+    t = gated_rnn.Trainer(shape, gated_rnn.start(shape, counts), 0.05)
+    t.fit(texts * 4, rows=5)
+    want = [brute_score(shape, t.flat, x) for x in texts]
+    assert np.allclose(gated_rnn.score_texts(shape, t.flat, texts), want, atol=2e-3)
+    # ids that no word has have no probability, after training too
+    p, buf = shape.views(t.flat), gated_rnn.Buffers()
+    states = rng.standard_normal((1, 6)).astype(np.float32)
+    every = np.array([np.exp(gated_rnn.token_scores(shape, p, states, np.array([i]), buf)[0][0]) for i in range(shape.ids)])
+    assert abs(every[seen].sum() - 1.0) < 1e-4 and every[counts == 0].max(initial=0.0) < 1e-6
+
+
+def test_score_is_the_sum_over_the_network_groups_and_tails(spark, tmp, monkeypatch):
+    """Whole scores from the trained weights, word by word, with words of every kind."""
+    monkeypatch.setattr(recurrent_lm, "GROUP_RANKS", (8, 12))
+    monkeypatch.setattr(recurrent_lm, "SHAPE", gated_rnn.Shape(2, 4, 3, 6))
+    rng = random.Random(9)
+    pairs = [(k, " ".join(f"w{min(rng.randint(0, 30), rng.randint(0, 30))}" for _ in range(rng.randint(0, 90)))) for k in range(80)]
+    pairs += [(200, "rare unseen w1"), (201, ""), (202, "w2 " * 3500)]
+    made = {}
+    real = recurrent_lm.train
+
+    def kept(*a, **b):
+        made["weights"] = real(*a, **b)
+        return made["weights"]
+
+    monkeypatch.setattr(recurrent_lm, "train", kept)
+    df = docs(spark, pairs, tmp)
+    got = {r["doc_id"]: r["score"] for r in recurrent_lm.score_documents(df).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in pairs}
+    words = {i: [*(t or "").encode().split(), b""] for i, t in pairs}
+    c = Counter(w for i, ws in words.items() if not held[i] for w in ws)
+    head = sorted(((w, n) for w, n in c.items() if n > 1), key=lambda x: (-x[1], x[0]))
+    lexicon = recurrent_lm.Lexicon(head, sum(c.values()), len(c))
+    rest = sum(n + 1 for w, n in c.items() if w not in lexicon.words) + 1
+    for i, ws in words.items():
+        ids = [int(lexicon.ids[lexicon.words[w]]) if w in lexicon.words else recurrent_lm.SHAPE.ids - 1 for w in ws]
+        want = brute_score(recurrent_lm.SHAPE, made["weights"], ids)
+        for w in ws:
+            want += lexicon.share[lexicon.words[w]] if w in lexicon.words else np.log10((c[w] + 1) / rest)
+        assert got[i] == pytest.approx(want, abs=5e-3, rel=1e-5)
+
+
+def test_score_does_not_hang_on_the_partitions(spark, tmp):
+    df = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+    scores = []
+    for n in (1, 8):
+        some = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        scores.append({r["doc_id"]: r["score"] for r in recurrent_lm.score_documents(some).collect()})
+    assert all(scores[0][i] == pytest.approx(scores[1][i], rel=1e-5, abs=1e-3) for i, _ in rows)
+
+
+def test_untrained_scores_are_the_base_scores():
+    head = [(b"a", 9), (b"", 5), (b"b", 2)]
+    lexicon = recurrent_lm.Lexicon(head, 19, 6)  # three more words, seen once
+    flat = gated_rnn.start(recurrent_lm.SHAPE, lexicon.counts)
+    for part in ("x", "u", "c", "w"):
+        recurrent_lm.SHAPE.views(flat)[part][...] = 0.0
+    ids = [int(lexicon.ids[lexicon.words[w]]) for w in (b"a", b"b", b"")] + [recurrent_lm.SHAPE.ids - 1] * 2
+    score = gated_rnn.score_texts(recurrent_lm.SHAPE, flat, [np.array(ids)])[0] + np.log10(2) + 0.0 - 2 * lexicon.rest_norm
+    base = lexicon.base[[lexicon.words[w] for w in (b"a", b"b", b"")]].sum() + np.log10(2) - 2 * lexicon.base_norm
+    assert score == pytest.approx(base, abs=1e-4)
+
+
 def test_language_model_beats_the_base(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = recurrent_lm.score_documents(df).filter("held_out").collect()
@@ -333,6 +451,22 @@ def test_language_model_beats_the_base(spark):
     assert recurrent_lm.score_documents(df.limit(0)).count() == 0
 
 
+def test_columns_of_any_name_are_kept(spark, tmp):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(k, t, f"u{k}", f"r{k}", f"n{k}") for k, t in enumerate([text, text, text + " more", "other words here", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __uid string, __ROW string, __uid_ string")
+    df.write.parquet(f"{tmp}/named")
+    df = spark.read.schema(df.schema).parquet(f"{tmp}/named")
+    items = spark.createDataFrame([(1, "other words here")], "item_id long, text string")
+    for kept, ids in (
+        (radix_dedup.radix_dedup(df), {1, 2, 3, 4}),
+        (bagminhash.near_dedup(df), {2, 3, 4}),
+        (wu_manber.clean_documents(df, items), {0, 1, 2, 4}),
+    ):
+        assert kept.columns == df.columns
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[0] in ids), key=str)
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
