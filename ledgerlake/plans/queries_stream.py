@@ -111,43 +111,3 @@ def late_cycle_recompute(spark: SparkSession, sf: str) -> DataFrame:
     return ru.recompute_cycles(items, LATE_AS_OF, fx.overview_items).select(
         "billing_cycle", "account_id", "total_amount", "cash_total_amount"
     )
-
-
-_CORRECTED = "billing_cycle IN ('1998-02', '1998-03') AND CAST(sub_order_id AS BIGINT) % 5 = 0"
-_LATE = "bill_date >= DATE '1998-06-01' AND CAST(sub_order_id AS BIGINT) % 3 = 0"
-
-
-@query(
-    "late_files_recomputed",
-    ids=("ST3", "SNK8", "SNK5"),
-    sql=with_ctes(
-        f"""
-SELECT 'daily' AS kind, CAST(bill_date AS VARCHAR) AS period, account_id,
-       CAST(SUM(CASE WHEN {_CORRECTED} THEN 2 ELSE 1 END * pretax_amount) AS DECIMAL(38,6)) AS total_amount
-FROM line_items GROUP BY bill_date, account_id
-UNION ALL
-SELECT 'monthly', billing_cycle, account_id,
-       CAST(SUM(CASE WHEN {_CORRECTED} THEN 2 ELSE 1 END * pretax_amount) AS DECIMAL(38,6))
-FROM line_items GROUP BY billing_cycle, account_id
-""",
-        "line_items",
-    ),
-)
-def late_files_recomputed(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items in three arrivals: most, the late ones, and corrections of lines delivered
-    before.  After each the stream recomputes the daily and monthly slices it touches."""
-    out, ckpt = sj.stream_dirs(spark, "corrections")
-    lines = fx.line_items(spark, sf)
-    late, corrected = F.expr(_LATE), F.expr(_CORRECTED)
-    twice = {c: (F.col(c) * 2).cast("decimal(14,6)") for c in ("pretax_amount", "pretax_gross_amount", "cash_amount")}
-    again = lines.filter(corrected).withColumns(twice | {"synced_at": F.col("synced_at") + F.expr("INTERVAL 1 DAY")})
-    for k, rows in enumerate((lines.filter(~late), lines.filter(late), again)):
-        rows.write.parquet(f"{out}/landed/arrival={k}")
-        source = spark.readStream.schema(lines.schema).option("recursiveFileLookup", "true").parquet(f"{out}/landed")
-        sj.stream_corrections(source, f"{out}/items", f"{out}/daily", f"{out}/monthly", fx.overview_items, ckpt)
-    daily, monthly = spark.read.parquet(f"{out}/daily"), spark.read.parquet(f"{out}/monthly")
-    return daily.select(
-        F.lit("daily").alias("kind"), F.col("bill_date").cast("string").alias("period"), "account_id", "total_amount"
-    ).unionByName(
-        monthly.select(F.lit("monthly").alias("kind"), F.col("billing_cycle").cast("string").alias("period"), "account_id", "total_amount")
-    )
