@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .fixed_values import DEFAULT_CHANNEL, DEFAULT_CURRENCY, SEED_CATEGORIES
 from .operators.rollup import daily_rollup, with_month
-from .session import stage
+from .session import spread_by, stage
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -71,8 +71,11 @@ def _dec(c: str, t: str) -> Column:
     return F.col(c).cast(t)
 
 
-def build_line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False) -> DataFrame:
-    """T5 cost_cloud_bill_line_items from lineitem ⋈ orders ⋈ customer ⋈ part (unstaged)."""
+def build_line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False, deal: bool = False) -> DataFrame:
+    """T5 cost_cloud_bill_line_items from lineitem ⋈ orders ⋈ customer ⋈ part (unstaged).
+
+    ``deal``: dealt by cycle, for the partitioned write.
+    """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
@@ -85,12 +88,15 @@ def build_line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = Fals
     # side is shuffled only twice: on the order key, then on the part key
     orders_acct = orders.join(acct, orders.o_custkey == acct.c_custkey)
     base = li.join(orders_acct, li.l_orderkey == orders_acct.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    base = base.withColumn("billing_cycle", F.date_format("o_orderdate", "yyyy-MM"))
+    if deal:  # before the texts made from the columns, which take up twice their room
+        base = spread_by(base, ["billing_cycle"])
     return base.select(
         F.concat_ws(
             "-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
         ).alias("record_id"),
         F.to_date("l_shipdate").alias("bill_date"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("billing_cycle"),
+        "billing_cycle",
         F.col("p_type").alias("product_code"),
         F.col("p_name").alias("product_name"),
         F.col("l_orderkey").cast("string").alias("sub_order_id"),
@@ -120,9 +126,10 @@ def line_items(spark: SparkSession, sf_dir: str, legacy_empty: bool = False) ->
         spark,
         name,
         _paths(sf_dir, ("lineitem", "orders", "customer", "part", "nation", "region")),
-        lambda: build_line_items(spark, sf_dir, legacy_empty),
+        lambda: build_line_items(spark, sf_dir, legacy_empty, deal=True),
         partition_by=("billing_cycle",),
         sort_within=("account_id", "bill_date"),
+        dealt=True,
     )
     return df.withColumn("billing_cycle", F.col("billing_cycle").cast("string"))
 

@@ -16,7 +16,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,40 @@ def apply_settings(spark: SparkSession) -> None:
         spark.conf.set(k, _BASE_CONF[k])
 
 
+#: Partitions a shuffle is cut into before AQE merges the small ones; with more of them a
+#: map task would hold its output in memory and sort it (``spark.shuffle.sort.bypassMergeThreshold``).
+SHUFFLE_PARTITIONS = 200
+
+
+def size_tasks(spark: SparkSession) -> None:
+    """Let AQE size the tasks behind a shuffle by their bytes, whatever the session's default.
+
+    With a default of few shuffle partitions a task's rows grow with the input.  A shuffle
+    starts from ``SHUFFLE_PARTITIONS`` or more, and AQE merges them up to its advisory size.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(SHUFFLE_PARTITIONS, parts)))
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, a write's shuffle files are deleted when the write ends.
+
+    They would stay until the driver's garbage collector meets them.  For jobs that write:
+    their plans run once.
+    """
+    prev = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, prev)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
@@ -159,6 +194,7 @@ def stage(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
+    dealt: bool = False,
 ) -> DataFrame:
     """Write ``build()`` once per input fingerprint under the checkpoint root, read it back.
 
@@ -168,21 +204,22 @@ def stage(
 
     Rows are dealt by the partition columns, and a partition value of many rows is cut into
     tasks by its bytes (``spread_by``); the input is evaluated once (range partitioning
-    would sample it first).
+    would sample it first).  ``dealt``: ``build()`` has dealt them already.
     """
     path = f"{checkpoint_root(spark)}/staged/{name}-{_fingerprint(spark, inputs)}"
     marker = f"{path}.done"
     with _LOCK:
         if path not in _DONE and not path_exists(spark, marker):
-            _build_staged(spark, path, marker, build, partition_by, sort_within)
+            with short_shuffles(spark):
+                _build_staged(spark, path, marker, build, () if dealt else partition_by, partition_by, sort_within)
         _DONE.add(path)
     return spark.read.parquet(path)
 
 
-def _build_staged(spark, path, marker, build, partition_by, sort_within) -> None:
+def _build_staged(spark, path, marker, build, deal_by, partition_by, sort_within) -> None:
     df = build()
-    if partition_by:
-        df = spread_by(df, partition_by)
+    if deal_by:
+        df = spread_by(df, deal_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
@@ -202,7 +239,8 @@ def land(spark: SparkSession, name: str, inputs: Sequence[str], write: Callable[
     marker = f"{path}.done"
     with _LOCK:
         if path not in _DONE and not path_exists(spark, marker):
-            write(path)
+            with short_shuffles(spark):
+                write(path)
             spark.range(1).selectExpr("'ok' AS value").write.mode("overwrite").text(marker)
         _DONE.add(path)
     return path
