@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import STATUS_FINALIZED
 from ..functions.keys import dedup_key
-from ..session import delete_folder, path_exists, spread_by
+from ..session import delete_folder, path_exists, short_shuffles, spread_by
 
 #: Buckets of a table's key index: the tasks among which a batch's keys are looked up.
 KEY_BUCKETS = 64
@@ -210,7 +210,8 @@ def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: Data
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spread_by(new, parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        with short_shuffles(spark):
+            spread_by(new, parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     if slices is not None:
@@ -303,12 +304,14 @@ def key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_col
             f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{where}'"
         )
     if stored is not None:
-        _append_keys(stored.distinct(), name, others, buckets)
+        _append_keys(stored, name, others, buckets)
     return name
 
 
 def _append_keys(rows: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
-    rows.repartition(buckets, *keys).write.insertInto(name)  # a task for each bucket
+    """Add the distinct ``rows`` to the index: dealt to a task for each bucket, made distinct there."""
+    with short_shuffles(rows.sparkSession):
+        rows.repartition(buckets, *keys).distinct().write.insertInto(name)
     rows.sparkSession.catalog.refreshTable(name)
 
 
@@ -341,40 +344,39 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
     The merged slices are first written to ``staging`` (a fresh folder in the shared
     checkpoint area), then copied over the touched partitions by dynamic overwrite, so
     no plan ever overwrites a path it is reading, and re-running a lost job gives the
-    same result.
+    same result.  What was staged is deleted in the end, and shuffle files with the write
+    that made them.  A first write reads no table, and goes to its place at once.
     """
     spark = new.sparkSession
     others = [k for k in keys if k != partition_col]
     index = key_index(spark, path, keys, partition_col, buckets)
-    touched = None
-    if index:
-        batch = new.select(*others, F.col(partition_col).cast("string").alias("_slice")).distinct()
-        batch.write.mode("overwrite").parquet(f"{staging}-keys")
-        batch = spark.read.schema(batch.schema).parquet(f"{staging}-keys")
-        held = key_slices(batch, spark.table(index), others)
-        held.write.mode("overwrite").parquet(f"{staging}-held")
-        held = spark.read.schema(held.schema).parquet(f"{staging}-held")
-        unknown = batch.join(held, [*others, "_slice"], "left_anti")
-        _append_keys(unknown, index, others, buckets)
-        touched = batch.select("_slice").union(held.select("_slice")).distinct()
-        touched = touched.select(F.col("_slice").cast(new.schema[partition_col].dataType).alias(partition_col))
-        touched.write.mode("overwrite").parquet(f"{staging}-slices")
-        touched = spark.read.schema(touched.schema).parquet(f"{staging}-slices")
-        old = spark.read.parquet(path)
-        old = old.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
-        # one value for each touched partition: literals, so that no other one is opened
-        values = [r[0] for r in touched.collect()]
-        at = F.col(partition_col).isin([v for v in values if v is not None])
-        old_slices = old.filter(at | F.col(partition_col).isNull() if None in values else at)
-        merged = upsert_latest(old_slices.select(*new.columns), new, keys, order)
-    else:  # first write: no table yet
-        merged = latest_per_key(new, keys, order)
-    merged.write.mode("overwrite").parquet(staging)
-    replace_slices(spark.read.schema(merged.schema).parquet(staging), path, [partition_col], touched)
-    if index:
-        return [None if v is None else str(v) for v in values]
-    key_index(spark, path, keys, partition_col, buckets)
-    return [r[0] for r in merged.select(F.col(partition_col).cast("string")).distinct().collect()]
+    if not index:  # first write: no table yet
+        replace_slices(latest_per_key(new, keys, order), path, [partition_col])
+        key_index(spark, path, keys, partition_col, buckets)
+        written = spark.read.schema(new.schema).parquet(path)  # its folders: no row is read
+        return [r[0] for r in written.select(F.col(partition_col).cast("string")).distinct().collect()]
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        with short_shuffles(spark):
+            rows.write.mode("overwrite").parquet(f"{staging}{name}")
+        return spark.read.schema(rows.schema).parquet(f"{staging}{name}")
+
+    batch = staged(new.select(*others, F.col(partition_col).cast("string").alias("_slice")).distinct(), "-keys")
+    held = staged(key_slices(batch, spark.table(index), others), "-held")
+    _append_keys(batch.join(held, [*others, "_slice"], "left_anti"), index, others, buckets)
+    touched = batch.select("_slice").union(held.select("_slice")).distinct()
+    touched = staged(touched.select(F.col("_slice").cast(new.schema[partition_col].dataType).alias(partition_col)), "-slices")
+    old = spark.read.parquet(path)
+    old = old.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
+    # one value for each touched partition: literals, so that no other one is opened
+    values = [r[0] for r in touched.collect()]
+    at = F.col(partition_col).isin([v for v in values if v is not None])
+    old_slices = old.filter(at | F.col(partition_col).isNull() if None in values else at)
+    merged = staged(upsert_latest(old_slices.select(*new.columns), new, keys, order), "")
+    replace_slices(merged, path, [partition_col], touched)
+    for name in ("", "-keys", "-held", "-slices"):
+        delete_folder(spark, f"{staging}{name}")
+    return [None if v is None else str(v) for v in values]
 
 
 def rekey(fact: DataFrame, key_cols: Sequence[str], keys: Sequence[str] = ("account_id", "dedup_key"),

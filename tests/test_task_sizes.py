@@ -81,3 +81,15 @@ def test_line_items_are_dealt_before_their_texts_are_made(spark, tables):
     assert sorted(map(str, fx.line_items(spark, tables).select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
     plan = dealt._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("concat_ws") < plan.index("RebalancePartitions")  # the texts above it
+
+
+def test_a_merge_leaves_no_staged_copy(spark, tmp_path):
+    path = f"{tmp_path}/fact"
+    for n, (cycle, day) in enumerate((("2025-01", 1), ("2025-02", 2))):
+        got = up.upsert_into(
+            _facts(spark, 50, cycle, day), path, ["record_id"], ["synced_at"], "billing_cycle", f"{tmp_path}/s{n}", buckets=4
+        )
+        assert sorted(got) == (["2025-01"] if n == 0 else ["2025-01", "2025-02"])
+    assert glob.glob(f"{tmp_path}/s*") == []
+    rows = spark.read.parquet(path)
+    assert rows.count() == 50 and {r[0] for r in rows.select(F.col("billing_cycle").cast("string")).collect()} == {"2025-02"}
