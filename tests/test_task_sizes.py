@@ -93,3 +93,16 @@ def test_a_merge_leaves_no_staged_copy(spark, tmp_path):
     assert glob.glob(f"{tmp_path}/s*") == []
     rows = spark.read.parquet(path)
     assert rows.count() == 50 and {r[0] for r in rows.select(F.col("billing_cycle").cast("string")).collect()} == {"2025-02"}
+
+
+def test_an_ingest_run_leaves_no_copy_of_its_rows(spark, tables, tmp_path):
+    root = f"{tmp_path}/exports"
+    rows = qf._export_rows(fx.line_items(spark, tables))
+    rows.select("account_id", *[F.col(c).alias(h) for h, c in qf.LAYOUT_A]).write.option("header", True).option(
+        "compression", "gzip").partitionBy("account_id").csv(root)
+    base = f"{checkpoint_root(spark)}/ingest"
+    before = set(os.listdir(base.removeprefix("file:"))) if path_exists(spark, base) else set()
+    n = ig.ingest_changed(spark, root, None, f"{tmp_path}/fact", f"{tmp_path}/marks", glob="*.csv.gz")
+    after = set(os.listdir(base.removeprefix("file:"))) if path_exists(spark, base) else set()
+    assert n > 0 and after == before
+    assert spark.read.parquet(f"{tmp_path}/fact").count() == 80
