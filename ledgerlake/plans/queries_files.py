@@ -48,6 +48,10 @@ LAYOUT_B = [
 ]
 
 
+# The landed files, and the zero-byte placeholder, which has no rows to compress.
+EXPORT_GLOB = "*.{csv,csv.gz}"
+
+
 def _export_rows(items: DataFrame) -> DataFrame:
     return items.select(
         "account_id", "billing_cycle", "subscription_type", "product_code", "product_name", "billing_item",
@@ -65,22 +69,23 @@ def _export_rows(items: DataFrame) -> DataFrame:
 def landed_exports(spark: SparkSession, sf: str) -> str:
     """CSV exports per account folder: Subscription rows in layout A, PayAsYouGo rows
     in layout B (other column order, compact cycle, an unknown column, no name), plus
-    one zero-byte placeholder object (SRC3: skipped without affecting the rest)."""
+    one zero-byte placeholder object (SRC3: skipped without affecting the rest).
+
+    Each task of the scan writes its files, one for each account, compressed."""
 
     def write(path: str) -> None:
         rows = _export_rows(fx.line_items(spark, sf))
         for layout, cols, kind in (("a", LAYOUT_A, "Subscription"), ("b", LAYOUT_B, "PayAsYouGo")):
             (
                 rows.filter(F.col("subscription_type") == kind)
-                .repartitionByRange("account_id", "spread")
                 .select("account_id", *[F.col(c).alias(h) for h, c in cols])
-                .write.mode("overwrite").option("header", True).partitionBy("account_id")
+                .write.mode("overwrite").option("header", True).option("compression", "gzip").partitionBy("account_id")
                 .csv(f"{path}/layout={layout}")
             )
         # a zero-byte placeholder object (an empty frame writes one empty part file)
         spark.createDataFrame([], "x string").coalesce(1).write.mode("overwrite").csv(f"{path}/layout=a/placeholder")
 
-    return land(spark, "exports_v4", _inputs(sf), write)
+    return land(spark, "exports_v5", _inputs(sf), write)
 
 
 def _prefixes(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +104,7 @@ FROM line_items
 
 @query("export_roundtrip", ids=("SRC1", "SRC3", "SRC4", "PRJ6"), sql=with_ctes(_EXPORT_SQL, "line_items"))
 def export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ex.read_bill_exports(spark, landed_exports(spark, sf), _prefixes(spark, sf))
+    rows = ex.read_bill_exports(spark, landed_exports(spark, sf), _prefixes(spark, sf), glob=EXPORT_GLOB)
     return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code", "amount", "parse_error")
 
 
@@ -176,14 +181,15 @@ def json_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The export as JSON lines, one folder per account, read into fact rows."""
 
     def write(path: str) -> None:
-        rows = _export_rows(fx.line_items(spark, sf)).repartitionByRange("account_id", "spread")
+        rows = _export_rows(fx.line_items(spark, sf))
         names = [("billing_cycle", "billing_cycle"), ("usage_date", "bill_date_s"), ("consume_time", "consume_s"),
                  ("product_code", "product_code"), ("product_name", "product_name"), ("item_code", "billing_item"),
                  ("instance_id", "sub_order_id"), ("amount", "amount_s"), ("record_id", "record_id")]
         rows.select("account_id", *[F.col(c).alias(ex.CANDIDATES[f][-1]) for f, c in names]).write.mode(
-            "overwrite").partitionBy("account_id").json(path)
+            "overwrite").option("compression", "gzip").partitionBy("account_id").json(path)
 
-    rows = ex.read_json_bill_exports(spark, land(spark, "json_exports_v1", _inputs(sf), write), _prefixes(spark, sf))
+    root = land(spark, "json_exports_v2", _inputs(sf), write)
+    rows = ex.read_json_bill_exports(spark, root, _prefixes(spark, sf), glob="*.json.gz")
     return rows.select("account_id", "billing_cycle", "usage_date", "product_code", "instance_id", "item_code",
                        "amount", "parse_error", "dedup_key")
 
@@ -236,7 +242,7 @@ def export_current_month(spark: SparkSession, sf: str) -> DataFrame:
 )
 def export_header_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct drift findings over every landed export file (one per layout)."""
-    d = ex.header_drift(spark, landed_exports(spark, sf))
+    d = ex.header_drift(spark, landed_exports(spark, sf), EXPORT_GLOB)
     return d.select(
         F.array_join("unmatched", "|").alias("unmatched"),
         F.when(F.size("missing_fields") == 0, F.lit("none")).otherwise(F.array_join("missing_fields", "|")).alias("missing_fields"),
@@ -257,7 +263,7 @@ def export_header_drift(spark: SparkSession, sf: str) -> DataFrame:
 def stream_export_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """File-source stream over the landed exports, upserted into a fact table."""
     out, _ckpt = sj.stream_dirs(spark, "export-ingest")
-    sj.stream_exports(spark, landed_exports(spark, sf), out, _prefixes(spark, sf))
+    sj.stream_exports(spark, landed_exports(spark, sf), out, _prefixes(spark, sf), glob=EXPORT_GLOB)
     return spark.read.parquet(out).select("account_id", "dedup_key", "billing_cycle", "usage_date", "amount")
 
 
@@ -318,16 +324,16 @@ def landed_account_bill(spark: SparkSession, sf: str) -> str:
             F.col("pretax_gross_amount").cast("string").alias("PretaxGrossAmount"),
             F.col("cash_amount").cast("string").alias("CashAmount"), F.col("instance_id").alias("InstanceID"),
             F.col("billing_item").alias("BillingItem"), F.col("sub_order_id").alias("SubOrderID"), F.col("region").alias("Region"),
-        ).write.mode("overwrite").json(f"{path}/kind=items")
+        ).write.mode("overwrite").option("compression", "gzip").json(f"{path}/kind=items")
         items.groupBy("bill_date", "account_id", "product_code").agg(
             F.sum("pretax_amount").alias("p"), F.sum("cash_amount").alias("c")
         ).select(
             F.date_format("bill_date", "yyyyMMdd").alias("BillingDate"), F.col("account_id").alias("AccountID"),
             F.col("product_code").alias("ProductCode"), F.col("p").cast("string").alias("PretaxAmount"),
             F.col("c").cast("string").alias("CashAmount"),
-        ).write.mode("overwrite").json(f"{path}/kind=grouped")
+        ).write.mode("overwrite").option("compression", "gzip").json(f"{path}/kind=grouped")
 
-    return land(spark, "account_bill_v1", _inputs(sf), write)
+    return land(spark, "account_bill_v2", _inputs(sf), write)
 
 
 _DAILY_SQL = "SELECT bill_date, account_id, total_amount, cash_total_amount FROM daily_raw"

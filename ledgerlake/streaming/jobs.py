@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..operators import ops_metrics as om
 from ..operators.rollup import daily_rollup, monthly_rollup, with_month
 from ..operators.upsert import latest_per_key, replace_slices, upsert_into
-from ..session import checkpoint_root
+from ..session import checkpoint_root, delete_folder
 from ..sources.exports import parse_export_lines, scan_columns
 
 
@@ -142,13 +142,14 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
     merge = upsert_batch(table, f"{ckpt}/staging", ["account_id", "dedup_key"], ["ingested_at"], "billing_cycle")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_export_lines(batch, prefixes).persist()
-        try:
-            bad = rows.filter(F.col("parse_error").isNotNull())
-            bad.write.mode("overwrite").parquet(f"{table}_rejected/run={run}/batch_id={batch_id}")
-            merge(rows.filter(F.col("parse_error").isNull()).drop("parse_error"), batch_id)
-        finally:
-            rows.unpersist()
+        rows, held = parse_export_lines(batch, prefixes), f"{ckpt}/rows/batch-{batch_id}"
+        # written, not persisted: cached rows of a large batch take the memory of its merge
+        rows.write.mode("overwrite").parquet(held)
+        rows = batch.sparkSession.read.schema(rows.schema).parquet(held)
+        bad = rows.filter(F.col("parse_error").isNotNull())
+        bad.write.mode("overwrite").parquet(f"{table}_rejected/run={run}/batch_id={batch_id}")
+        merge(rows.filter(F.col("parse_error").isNull()).drop("parse_error"), batch_id)
+        delete_folder(batch.sparkSession, held)
 
     run_available(lines, sink, ckpt, mode="append")
     return ckpt

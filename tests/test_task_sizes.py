@@ -106,3 +106,24 @@ def test_an_ingest_run_leaves_no_copy_of_its_rows(spark, tables, tmp_path):
     after = set(os.listdir(base.removeprefix("file:"))) if path_exists(spark, base) else set()
     assert n > 0 and after == before
     assert spark.read.parquet(f"{tmp_path}/fact").count() == 80
+
+
+def test_exports_land_compressed_and_without_a_shuffle(spark, tables):
+    spark.conf.unset(INITIAL)
+    root = qf.landed_exports(spark, tables).removeprefix("file:")
+    files = [f for f in glob.glob(f"{root}/layout=*/account_id=*/*") if os.path.getsize(f)]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    out = qf.export_roundtrip(spark, tables)
+    assert out.count() == 80 and out.filter("parse_error IS NOT NULL OR amount IS NULL").count() == 0
+    js = qf.json_export_roundtrip(spark, tables)
+    assert js.count() == 80 and js.filter("parse_error IS NOT NULL").count() == 0
+    assert qf.json_export_cycles(spark, tables).agg(F.sum("line_count")).first()[0] == 80
+    # both layouts' headers are read from the compressed files
+    assert sorted(map(tuple, qf.export_header_drift(spark, tables).collect())) == [("", "none", False), ("其它/备注", "product_name", False)]
+
+
+def test_streamed_exports_leave_no_copy_of_their_rows(spark, tables):
+    out = qf.stream_export_ingest(spark, tables)
+    assert out.count() == 80 and out.select("account_id", "dedup_key").distinct().count() == 80
+    left = glob.glob(checkpoint_root(spark).removeprefix("file:") + "/streams/exports-*/_checkpoint/rows/*")
+    assert left == []
