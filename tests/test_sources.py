@@ -11,9 +11,12 @@ import random
 import time
 from decimal import Decimal as D
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from ledgerlake.sources import exports as ex
 from ledgerlake.sources import feeds as fd
-from ledgerlake.sources.csv_records import records
+from ledgerlake.sources.csv_records import _split_pieces, pieces, records
 
 H1 = "账单信息/账单月份,账单信息/账单日期,账单信息/消费时间,产品信息/产品Code,产品信息/产品名称,产品信息/计费项名称,资源信息/实例ID（出账粒度）,应付信息/应付金额（含税）"
 H2 = "应付信息/应付金额（含税）,资源信息/实例ID（出账粒度）,产品信息/产品Code,账单信息/账单日期,账单信息/账单月份,其它/新列"
@@ -250,3 +253,69 @@ def test_csv_and_json_lines_have_one_key(spark, tmp):
     _write(f"{tmp}/json/a.json", json.dumps(row) + "\n")
     (a,), (b,) = ex.read_bill_exports(spark, f"{tmp}/csv").collect(), ex.read_json_bill_exports(spark, f"{tmp}/json").collect()
     assert a.item_code == b.item_code == item and a.dedup_key == b.dedup_key
+
+
+def test_pieces_of_a_split_are_whole_records_or_loose_lines(spark):
+    rng = random.Random(5)
+    cases = ["".join(rng.choice('a,"\n' + '"' * (k % 3)) for _ in range(rng.randint(1, 30))) for k in range(400)]
+    cases += ['a,"b\n""c""\n",d\ne', 'a,"' + "b\n" * 9 + '"\nc', '"a\nb'] + ["x\ny"] * 3
+    rows = []
+    for k, text in enumerate(cases):
+        block = 0
+        for n, value in enumerate(text.split("\n")):
+            block = n if rng.random() < 0.3 else block
+            rows.append((str(k), None, block, n, value))
+    schema = "file_path string, last_modified timestamp, block_start long, line long, value string"
+    for size in ("7", "10000"):  # also with records over batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            made = pieces(spark.createDataFrame(rows, schema).coalesce(1)).localCheckpoint()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        got = {}
+        for r in made.filter("NOT loose").collect():
+            got.setdefault(int(r.file_path), []).append((r.line, r.value, True))
+        for r in records(made.filter("loose").drop("loose")).collect():
+            got.setdefault(int(r.file_path), []).append((r.line, r.value, r.closed))
+        for k, text in enumerate(cases):
+            want, expect, at = _csv_lines(text), [], 0
+            for n, record in enumerate(want):
+                if n == len(want) - 1 and _open_at_end(text):
+                    expect += [(at + i, x, False) for i, x in enumerate(record)]
+                else:
+                    expect.append((at, "\n".join(record), True))
+                at += len(record)
+            assert sorted(got[k]) == sorted(expect), text
+
+
+def test_long_records_are_left_to_the_scan(spark):
+    lines = ["h", '"a', *["b"] * 50, '"', "c", '"d', 'e"']
+    batch = [(f"{k}", None, 0, k, v, '"' in v and v[0] == '"', '"' not in v) for k, v in enumerate(lines)]
+    columns = list(zip(*batch))
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(["f"] * len(lines)), pa.array([None] * len(lines), pa.timestamp("us")), pa.array([0] * len(lines)),
+         pa.array(columns[3]), pa.array(columns[4]), pa.array(columns[5]), pa.array(columns[6])],
+        ["file_path", "last_modified", "block_start", "line", "value", "if_closed", "if_open"],
+    )
+    cut = [rows.slice(k, 3) for k in range(0, len(lines), 3)]
+    out = [r for b in _split_pieces(iter(cut), held_lines=8) for r in b.to_pylist()]
+    assert [(r["line"], r["value"]) for r in out if not r["loose"]] == [(0, "h"), (53, "c"), (54, '"d\ne"')]
+    assert sorted(r["line"] for r in out if r["loose"]) == list(range(1, 53))
+
+
+def test_lines_over_records_are_not_shuffled(spark, tmp):
+    """The lines of a file pass no shuffle: only those at the ends of a split do."""
+    row = '2025-02,2025-02-03,t,ecs,n,"b\n""x"" disk",i-%d,1.00\n'
+    _write(f"{tmp}/billing-data/UAT/a.csv", TITLED + "".join(row % k for k in range(3000)))
+    lines = ex._lines(spark, f"{tmp}/billing-data", "*.csv").withColumn("line", F.monotonically_increasing_id())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        made = pieces(lines)
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        got = {r.loose: r.n for r in made.groupBy("loose").agg(F.count(F.lit(1)).alias("n")).collect()}
+        splits = lines.select("block_start").distinct().count()
+        rows = ex.read_bill_exports(spark, f"{tmp}/billing-data").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert splits > 3 and got[True] <= 6 * splits and got[False] >= 2900
+    assert len(rows) == 3000 and {r.item_code for r in rows} == {'b\n"x" disk'}

@@ -14,7 +14,7 @@ from ledgerlake import fixtures as fx
 from ledgerlake.operators import ingest as ig
 from ledgerlake.operators import upsert as up
 from ledgerlake.plans import queries_files as qf
-from ledgerlake.session import checkpoint_root, path_exists
+from ledgerlake.session import checkpoint_root, is_staged, path_exists
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -127,3 +127,20 @@ def test_streamed_exports_leave_no_copy_of_their_rows(spark, tables):
     assert out.count() == 80 and out.select("account_id", "dedup_key").distinct().count() == 80
     left = glob.glob(checkpoint_root(spark).removeprefix("file:") + "/streams/exports-*/_checkpoint/rows/*")
     assert left == []
+
+
+def test_ragged_exports_land_without_staged_line_items(spark, tables):
+    """Each file has its title and header on top; the line items are not staged for them."""
+    root = qf.landed_ragged_exports(spark, tables)
+    names = ("lineitem", "orders", "customer", "part", "nation", "region")
+    assert not is_staged(spark, fx._line_items_name(), fx._paths(tables, names))
+    lines = spark.read.text(root).withColumn("file", F.col("_metadata.file_path")).withColumn("id", F.monotonically_increasing_id())
+    files = {}
+    for r in lines.orderBy("id").collect():
+        files.setdefault((r.file, r.kind), []).append(r.value)
+    head = ",".join(h for h, _ in qf.LAYOUT_A)
+    assert {k for _, k in files} == {0, 1, 2} and all(f.endswith(".txt.gz") for f, _ in files)
+    for (_, kind), values in files.items():
+        top = {0: [*qf._TITLE.split("\n")[:2], "", head], 1: [head], 2: []}[kind]
+        assert values[: len(top)] == top and head not in values[len(top) :]
+    assert entry.queries()["export_records_over_lines"](spark, tables).count() == 80
