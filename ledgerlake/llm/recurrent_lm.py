@@ -97,13 +97,21 @@ def count_words(texts: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def reached(counts: DataFrame, steps: list[float]) -> list[int]:
+    """How many words have each of ``steps`` or more; there are far fewer counts than words,
+    so the steps are compared with each count once, not with each word."""
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    row = sizes.agg(*[F.sum(F.when(F.col("n") >= F.lit(s), F.col("words")).otherwise(0)) for s in steps]).first()
+    return [n or 0 for n in row]
+
+
 def _head(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]]:
     """The most frequent words, at most ``most``: all above a count that few enough reach.
 
     Words seen once are never among them: they teach the network what unseen words are like.
     """
     steps = [2 ** (k / 8) for k in range(8, 8 * 50)]
-    reach = counts.agg(*[F.count_if(F.col("n") >= F.lit(s)) for s in steps]).first()
+    reach = reached(counts, steps)
     at = next((s for s, n in zip(steps, reach) if n <= most), steps[-1])
     rows = counts.filter(F.col("n") >= F.lit(at)).collect()
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))

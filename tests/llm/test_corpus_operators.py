@@ -482,3 +482,12 @@ def test_pipeline_keeps_clean_documents(spark):
     assert len(texts) == len(set(texts)) and 0 < len(texts) < df.count()
     done = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r["doc_id"] for r in done) == sorted(r["doc_id"] for r in kept.collect())
+
+
+def test_words_that_reach_a_count(spark):
+    """Steps are compared with each count once: the same numbers as over the words."""
+    n = [1, 1, 2, 2, 2, 3, 8, 9, 1 << 40]
+    counts = spark.createDataFrame([(str(k), c) for k, c in enumerate(n)], "word string, n long")
+    steps = [2 ** (k / 8) for k in range(8, 400)]
+    assert recurrent_lm.reached(counts, steps) == [sum(c >= s for c in n) for s in steps]
+    assert recurrent_lm.reached(counts.limit(0), steps) == [0] * len(steps)
