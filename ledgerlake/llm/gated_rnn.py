@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from math import prod
 
 import numpy as np
 
@@ -23,6 +24,8 @@ ROWS = 128
 #: Windows' gradients are summed until they hold so many tokens, so that the rest of a long
 #: text, with few others beside it, takes no steps of a few words each.
 STEP_TOKENS = 2048
+#: Numbers that a step of Adam moves together.
+MOVED = 1 << 14
 #: The bias of an id that no word has: no probability.
 NEVER = -1e4
 
@@ -100,31 +103,33 @@ class Buffers:
         self.held: dict[str, np.ndarray] = {}
 
     def __call__(self, name: str, *shape: int) -> np.ndarray:
-        n = int(np.prod(shape))
+        n = prod(shape)
         if name not in self.held or len(self.held[name]) < n:
             self.held[name] = np.empty(n, self.dtype)
         return self.held[name][:n].reshape(shape)
 
 
 def run_window(shape: Shape, p: dict, inputs: np.ndarray, h: np.ndarray, buf: Buffers, carried: np.ndarray | None = None):
-    """States after each step (steps, hidden, rows), those before, the gates z, r, n, and U h.
+    """States after each step (steps, hidden, rows), those before, the gates z, r, n, and U h (z's and r's negated).
 
     Where ``carried`` (steps, rows) is 0 a text begins, with a state of zeros; without it none
-    does, and the states before are not kept.
+    does, and only the states after are kept: the others are a step's, in memory near at hand.
     """
     k, (steps, rows) = shape.hidden, inputs.shape
-    read = np.take(p["x"], inputs.reshape(-1), axis=0, out=buf("read", steps * rows, 3 * k), mode="clip")
-    gates = buf("gates", steps, 3 * k, rows)
-    np.copyto(gates, read.reshape(steps, rows, 3 * k).transpose(0, 2, 1))
-    states, inner, some = buf("states", steps, k, rows), buf("inner", steps, 3 * k, rows), buf("some", k, rows)
-    before = buf("before", steps, k, rows)
+    kept = 1 if carried is None else steps
+    gates, inner, before = buf("gates", kept, 3 * k, rows), buf("inner", kept, 3 * k, rows), buf("before", kept, k, rows)
+    states, some, read = buf("states", steps, k, rows), buf("some", k, rows), buf("read", rows, 3 * k)
+    u = p["u"].copy()
+    np.negative(u[: 2 * k], out=u[: 2 * k])
     for t in range(steps):
+        at = t % kept
         if carried is not None:
-            h = np.multiply(h, carried[t], out=before[t])
-        g = np.matmul(p["u"], h, out=inner[t])
-        zr, n, new = gates[t, : 2 * k], gates[t, 2 * k :], states[t]
-        zr += g[: 2 * k]
-        np.negative(zr, out=zr)
+            h = np.multiply(h, carried[t], out=before[at])
+        np.take(p["x"], inputs[t], axis=0, out=read, mode="clip")
+        g = np.matmul(u, h, out=inner[at])
+        zr, n, new = gates[at, : 2 * k], gates[at, 2 * k :], states[t]
+        np.copyto(n, read[:, 2 * k :].T)
+        np.subtract(g[: 2 * k], read[:, : 2 * k].T, out=zr)
         np.exp(zr, out=zr)
         zr += 1.0
         np.reciprocal(zr, out=zr)
@@ -138,14 +143,14 @@ def run_window(shape: Shape, p: dict, inputs: np.ndarray, h: np.ndarray, buf: Bu
     return states, before, gates, inner
 
 
-def _exp_sum(logits: np.ndarray, at: np.ndarray, of: np.ndarray, buf: Buffers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exponentials (in place) of each row, their sums, and the log of the share at column ``of``.
+def _exp_sum(logits: np.ndarray, spots: np.ndarray, buf: Buffers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials (in place) of each row, their sums, and the log of the share at each row's spot (in the flat array).
 
     Rows are shifted before where they are large.
     """
     if logits.max(initial=0.0) > 60.0:
         logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[at, of]
+    picked = logits.reshape(-1).take(spots)
     np.exp(logits, out=logits)
     ones = buf("ones", logits.shape[1])
     ones[:] = 1.0
@@ -160,39 +165,46 @@ def token_scores(shape: Shape, p: dict, states: np.ndarray, targets: np.ndarray,
     and the gradient of the states is returned too.
     """
     n, wide = len(targets), shape.classes + shape.groups
-    at = np.arange(n)
     cls = np.where(targets < shape.words, targets // shape.size, targets - shape.words + shape.classes)
     logits = np.matmul(states, p["c"], out=buf("class", n, wide))
     logits += p["cb"]
-    e, total, out = _exp_sum(logits, at, cls, buf)
+    spots = np.arange(0, n * wide, wide) + cls
+    e, total, out = _exp_sum(logits, spots, buf)
     back = None
     if grads is not None:
         e *= (1.0 / total)[:, None]
-        e[at, cls] -= 1.0
+        e.reshape(-1)[spots] -= 1.0
         grads["c"] += states.T @ e
         back = np.matmul(e, p["c"].T, out=buf("back", n, shape.hidden))
     # words sorted by class: each class is one product of matrices, the rest is done for all at once
     words = np.flatnonzero(targets < shape.words)
     words = words[np.argsort(cls[words].astype(np.int16), kind="stable")]
-    m = len(words)
-    ends = np.searchsorted(cls[words], np.arange(shape.classes + 1)).tolist()
+    m, own = len(words), cls[words]
+    ends = np.searchsorted(own, np.arange(shape.classes + 1)).tolist()
     present = [(c, slice(ends[c], ends[c + 1])) for c in range(shape.classes) if ends[c] < ends[c + 1]]
     some = np.take(states, words, axis=0, out=buf("some_states", m, shape.hidden), mode="clip")
     logits = buf("word", m, shape.size)
     for c, part in present:
         np.matmul(some[part], p["w"][c], out=logits[part])
-        logits[part] += p["wb"][c]
-    which, at = targets[words] % shape.size, np.arange(m)
-    e, total, within = _exp_sum(logits, at, which, buf)
+    logits += np.take(p["wb"], own, axis=0, out=buf("bias", m, shape.size), mode="clip")
+    spots = np.arange(0, m * shape.size, shape.size) + targets[words] % shape.size
+    e, total, within = _exp_sum(logits, spots, buf)
     out[words] += within
     if grads is not None:
         e *= (1.0 / total)[:, None]
-        e[at, which] -= 1.0
-        below = buf("below", m, shape.hidden)
+        e.reshape(-1)[spots] -= 1.0
+        below, made = buf("below", m + 1, shape.hidden), buf("made", shape.classes, shape.hidden, shape.size)
+        if len(present) < shape.classes:
+            made[:] = 0.0
         for c, part in present:
-            grads["w"][c] += some[part].T @ e[part]
+            np.matmul(some[part].T, e[part], out=made[c])
             np.matmul(e[part], p["w"][c].T, out=below[part])
-        back[words] += below
+        grads["w"] += made
+        # the last row is for the targets that are no words
+        below[m] = 0.0
+        place = np.full(n, m)
+        place[words] = np.arange(m)
+        back += np.take(below, place, axis=0, out=buf("spread", n, shape.hidden), mode="clip")
     return out, back
 
 
@@ -201,14 +213,13 @@ def _layout(texts: list[np.ndarray], window: int) -> Iterator[np.ndarray]:
 
     Past the end of a text the ids are -1.
     """
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
+    every = np.concatenate([*texts, np.empty(0, np.int64)])
+    ends = np.cumsum(sizes)[:, None]
     for at in range(0, int(sizes[0]) if len(sizes) else 0, window):
         rows = int(np.searchsorted(-sizes, -at, side="left"))
-        ids = np.full((rows, min(window, int(sizes[0]) - at)), -1, np.int64)
-        for k in range(rows):
-            some = texts[k][at : at + window]
-            ids[k, : len(some)] = some
-        yield ids
+        place = (ends - sizes[:, None])[:rows] + np.arange(at, min(at + window, int(sizes[0])))
+        yield np.where(place < ends[:rows], np.take(every, place, mode="clip"), -1)
 
 
 def _inputs(shape: Shape, last: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,24 +287,28 @@ class Trainer:
         last = np.full(rows, shape.ids, np.int64)
         with np.errstate(over="ignore"):
             while True:
-                ids = np.full((len(slots), window), -1, np.int64)
-                inputs = np.full((len(slots), window), shape.ids, np.int64)
-                carried = np.ones((len(slots), window), self.flat.dtype)
+                shown, starts = [], []
                 for s in range(len(slots)):
-                    t = 0
-                    while t < window:
-                        if at[s] >= len(slots[s]):
-                            slots[s], at[s] = next(source, slots[s][:0]), 0
+                    some = slots[s][at[s] : at[s] + window]
+                    at[s] += window
+                    if len(some) < window:  # the text ends: others follow within the window
+                        parts, t = [some], len(some)
+                        while t < window:
+                            slots[s], at[s] = next(source, slots[s][:0]), window - t
                             if not len(slots[s]):
+                                parts.append(np.full(window - t, -1, np.int64))
                                 break
-                            carried[s, t], last[s] = 0.0, shape.ids
-                        some = slots[s][at[s] : at[s] + window - t]
-                        ids[s, t : t + len(some)] = some
-                        inputs[s, t] = last[s]
-                        inputs[s, t + 1 : t + len(some)] = some[:-1]
-                        last[s] = some[-1]
-                        at[s] += len(some)
-                        t += len(some)
+                            starts.append(s * window + t)
+                            parts.append(slots[s][: window - t])
+                            t += len(parts[-1])
+                        some = np.concatenate(parts)
+                    shown.append(some)
+                ids = np.concatenate(shown).reshape(-1, window)
+                inputs = np.concatenate([last[:, None], ids[:, :-1]], axis=1)
+                inputs[ids < 0] = shape.ids
+                last = ids[:, -1]
+                carried = np.ones(ids.shape, self.flat.dtype)
+                inputs.reshape(-1)[starts], carried.reshape(-1)[starts] = shape.ids, 0.0
                 busy = np.flatnonzero(ids[:, 0] >= 0)
                 if not len(busy):
                     break
@@ -353,17 +368,15 @@ class Trainer:
         g["u"] += flat @ held.reshape(k, -1).T
         np.copyto(flat[2 * k :].reshape(k, steps, rows), dn.transpose(1, 0, 2))
         read = inputs.reshape(-1)
-        order = np.argsort(read.astype(np.int32), kind="stable")
-        new = np.ones(len(read), bool)
-        new[1:] = np.diff(read[order]) != 0
-        place = np.empty_like(read)
-        place[order] = np.cumsum(new) - 1
-        sums = np.empty((int(new.sum()), 3 * k), h0.dtype)
+        now = np.zeros(len(self.read), bool)
+        now[read] = True
+        found = np.flatnonzero(now)
+        place = (np.cumsum(now) - 1)[read]
+        sums = buf("sums", len(found), 3 * k)
         for f, row in enumerate(flat):
             sums[:, f] = np.bincount(place, weights=row)
-        found = read[order[new]]
         g["x"][found] += sums
-        self.read[found] = True
+        self.read |= now
         self.pending += len(live)
         self.tokens += len(live)
         h = states[-1].copy()
@@ -377,27 +390,38 @@ class Trainer:
             return
         self.steps += 1
         pace = self.rate * (1.0 - 0.999**self.steps) ** 0.5 / (1.0 - 0.9**self.steps)
-        # the input weights lie first: of these only the rows read
-        wide = self.p["x"].size
+        # the input weights lie first: of these only the rows read; all in parts that stay near at hand
+        wide, buf = self.p["x"].size, self.buf
         every = (self.flat[: self.shape.trained], self.first, self.second, self.grad)
-        rows = np.flatnonzero(self.read)
-        some = [a[:wide].reshape(self.p["x"].shape)[rows] for a in every]
-        for flat, first, second, grad in (some, [a[wide:] for a in every]):
-            grad *= 1.0 / self.pending
-            first *= 0.9
-            first += 0.1 * grad
-            second *= 0.999
-            grad *= grad
-            grad *= 0.001
-            second += grad
-            np.sqrt(second, out=grad)
-            grad += 1e-7
-            np.divide(first, grad, out=grad)
-            grad *= pace
-            flat -= grad
-        for a, moved in zip(every, some):
-            a[:wide].reshape(self.p["x"].shape)[rows] = moved
-        self.g["x"][rows] = 0.0
+        tables = [a[:wide].reshape(self.p["x"].shape) for a in every]
+        rows, many = np.flatnonzero(self.read), max(MOVED // tables[0].shape[1], 1)
+        for k in range(0, len(rows), many):
+            some = rows[k : k + many]
+            parts = [
+                np.take(a, some, axis=0, out=buf(f"moved_{j}", len(some), a.shape[1]), mode="clip")
+                for j, a in enumerate(tables)
+            ]
+            self._move(*parts, pace)
+            for a, moved in zip(tables[:3], parts):
+                a[some] = moved
+            tables[3][some] = 0.0
+        for k in range(wide, len(self.grad), MOVED):
+            self._move(*(a[k : k + MOVED] for a in every), pace)
         self.grad[wide:] = 0.0
         self.read[:] = False
         self.pending = 0
+
+    def _move(self, flat: np.ndarray, first: np.ndarray, second: np.ndarray, grad: np.ndarray, pace: float) -> None:
+        some = self.buf("move", *grad.shape)
+        grad *= 1.0 / self.pending
+        first *= 0.9
+        first += np.multiply(grad, 0.1, out=some)
+        second *= 0.999
+        grad *= grad
+        grad *= 0.001
+        second += grad
+        np.sqrt(second, out=grad)
+        grad += 1e-7
+        np.divide(first, grad, out=grad)
+        grad *= pace
+        flat -= grad

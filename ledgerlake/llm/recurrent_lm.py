@@ -23,7 +23,6 @@ empty result; other columns are left out.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -52,12 +51,15 @@ LONG = 2048
 PIECE, FAN, LEVELS = 1 << 15, 64, 2
 #: Tokens scored together, texts, and tokens of long texts.
 SCORED_TOKENS, SCORED_TEXTS, SCORED_LONG = 400_000, 1024, 1_000_000
-COUNTED_WORDS = 400_000
-#: Bytes of text encoded together.
-ENCODED_BYTES = 1 << 22
+#: Words whose counts leave a task together; Spark adds up those of a task.
+COUNTED_WORDS = 50_000
+#: Bytes of text encoded together; the head is hashed anew for each such part.
+ENCODED_BYTES = 1 << 23
 
 SHAPE = gated_rnn.Shape(CLASSES, SIZE, len(GROUP_RANKS) + 1, HIDDEN)
 END = b""
+#: How a stored text holds the network's ids: as bytes, which Spark moves as a whole.
+ID = np.dtype("<u2" if SHAPE.ids < 1 << 16 else "<u4")
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -69,29 +71,16 @@ def count_words(texts: DataFrame) -> DataFrame:
     """word (the end is the empty one) and n over the column ``text``."""
 
     def run(batches):
-        seen: Counter = Counter()
-
-        def rows():
-            words = list(seen.items())
-            seen.clear()
-            for k in range(0, len(words), 50_000):
-                some = words[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())],
-                    ["word", "n"],
-                )
-
         for batch in batches:
             column = pc.fill_null(batch.column("text"), "")
             found = pc.ascii_split_whitespace(pc.ascii_lower(column)).flatten().value_counts()
             words, counts = found.field("values").cast(pa.binary()), found.field("counts")
-            for w, n in zip(words.to_pylist(), counts.to_pylist()):
-                if w:  # white space at either end leaves an empty part
-                    seen[w] += n
-            seen[END] += batch.num_rows
-            if len(seen) > COUNTED_WORDS:
-                yield from rows()
-        yield from rows()
+            own = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty part
+            rows = pa.RecordBatch.from_arrays([words.filter(own), counts.filter(own)], ["word", "n"])
+            for k in range(0, rows.num_rows, COUNTED_WORDS):
+                yield rows.slice(k, COUNTED_WORDS)
+            ends = [pa.array([END], pa.binary()), pa.array([batch.num_rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays(ends, ["word", "n"])
 
     counted = texts.select("text").mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -163,7 +152,7 @@ def all_tokens(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def encode_texts(text: pa.Array, lex: "Lexicon") -> list[pa.Array]:
-    """n_tokens, head_known, head_base, share, ids and tail of each text."""
+    """n_tokens, head_known, head_base, share, ids (bytes) and tail of each text."""
     words, begins = all_tokens(text)
     starts, rows = begins[:-1], len(text)
     rank = pc.fill_null(pc.index_in(words, value_set=lex.keys), -1).to_numpy().astype(np.int64)
@@ -173,7 +162,7 @@ def encode_texts(text: pa.Array, lex: "Lexicon") -> list[pa.Array]:
         np.add.reduceat(np.where(known, of[at], 0.0) if len(of) else np.zeros(len(rank)), starts)
         for of in (np.ones(len(lex.base)), lex.base, lex.share)
     ]
-    ids = np.where(known, lex.ids[at] if len(lex.ids) else 0, lex.other).astype(np.int32)
+    ids = np.where(known, lex.ids[at] if len(lex.ids) else 0, lex.other).astype(ID)
     # the other words of a text, each with its number
     missing = np.flatnonzero(~known)
     coded = words.take(pa.array(missing)).dictionary_encode()
@@ -188,7 +177,9 @@ def encode_texts(text: pa.Array, lex: "Lexicon") -> list[pa.Array]:
         pa.array(sums[0].astype(np.int64)),
         pa.array(sums[1]),
         pa.array(sums[2]),
-        pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids)),
+        pa.Array.from_buffers(
+            pa.binary(), rows, [None, pa.py_buffer((begins * ID.itemsize).astype(np.int32)), pa.py_buffer(ids)]
+        ),
         pa.ListArray.from_arrays(pa.array(np.searchsorted(key // wide, np.arange(rows + 1)), pa.int32()), tail),
     ]
 
@@ -210,14 +201,16 @@ def _encoded(docs: DataFrame, lexicon) -> DataFrame:
     return docs.mapInArrow(
         run,
         f"doc_id {kind}, uid long, part long, held_out boolean, n_tokens long, head_known long, head_base double, "
-        "share double, ids array<int>, tail array<struct<word:binary,n:long>>",
+        "share double, ids binary, tail array<struct<word:binary,n:long>>",
     )
 
 
 def _texts(batches):
+    """The ids of each text, held as bytes or as an array of numbers."""
     for batch in batches:
         for ids in batch.column("ids"):
-            yield ids.values.to_numpy().astype(np.int64)
+            own = ids.values.to_numpy() if isinstance(ids, pa.ListScalar) else np.frombuffer(ids.as_buffer(), ID)
+            yield own.astype(np.int64)
 
 
 def _total(rows: pa.Table) -> tuple[np.ndarray, int]:

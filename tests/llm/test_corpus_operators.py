@@ -491,3 +491,79 @@ def test_words_that_reach_a_count(spark):
     steps = [2 ** (k / 8) for k in range(8, 400)]
     assert recurrent_lm.reached(counts, steps) == [sum(c >= s for c in n) for s in steps]
     assert recurrent_lm.reached(counts.limit(0), steps) == [0] * len(steps)
+
+
+def test_scoring_keeps_the_gates_of_one_step():
+    shape = gated_rnn.Shape(classes=3, size=4, groups=2, hidden=5)
+    flat = gated_rnn.start(shape, np.ones(shape.ids))
+    inputs, buf = np.random.default_rng(5).integers(0, shape.ids, (32, 7)), gated_rnn.Buffers()
+    states = gated_rnn.run_window(shape, shape.views(flat), inputs, np.zeros((5, 7), np.float32), buf)[0]
+    assert states.shape == (32, 5, 7)
+    assert all(buf.held[name].size == 3 * 5 * 7 for name in ("gates", "inner", "read"))
+    # the states are those of training, which keeps all steps
+    carried = np.ones((32, 7), np.float32)
+    kept = gated_rnn.run_window(shape, shape.views(flat), inputs, np.zeros((5, 7), np.float32), gated_rnn.Buffers(), carried)
+    assert np.array_equal(kept[0], states) and kept[2].shape == (32, 15, 7)
+
+
+def test_ids_are_stored_as_bytes(spark):
+    """Two bytes an id, as a whole; arrays of numbers are read too."""
+    import pyarrow as pa
+
+    lexicon = recurrent_lm.Lexicon([(b"", 5), (b"b", 4), (b"a", 3)], 19, 6)
+    text = pa.array(["x", None, "a b zz", "", "B " * 9]).slice(1)
+    rows = pa.table(recurrent_lm.encode_texts(text, lexicon), ["n_tokens", "head_known", "head_base", "share", "ids", "tail"])
+    other = recurrent_lm.SHAPE.ids - 1
+    want = [[0], [2, 1, other, 0], [0], [1] * 9 + [0]]
+    assert [len(b) for b in rows["ids"].to_pylist()] == [2 * len(w) for w in want]
+    assert [t.tolist() for t in recurrent_lm._texts(rows.to_batches())] == want
+    assert [t.tolist() for t in recurrent_lm._texts(rows.slice(1, 2).to_batches())] == want[1:3]
+    arrays = pa.table({"ids": pa.array(want, pa.list_(pa.int32()))})
+    assert [t.tolist() for t in recurrent_lm._texts(arrays.to_batches())] == want
+
+
+def test_windows_of_training_hold_each_slots_texts():
+    """Slots filled a step at a time: the same ids, reads and beginnings, whatever the lengths."""
+    shape, rng = gated_rnn.Shape(classes=3, size=4, groups=2, hidden=5), random.Random(2)
+    texts = [np.array([rng.randrange(shape.ids) for _ in range(rng.choice((1, 2, 7, 8, 9, 16, 40)))]) for _ in range(60)]
+    seen = []
+
+    class Probe(gated_rnn.Trainer):
+        def _step(self, inputs, ids, carried, h0):
+            seen.append((inputs.T.tolist(), ids.T.tolist(), carried.T.tolist()))
+            return super()._step(inputs, ids, carried, h0)
+
+    t = Probe(shape, gated_rnn.start(shape, np.ones(shape.ids)), 0.01)
+    t.fit(iter(texts), rows=4, window=8)
+    assert t.tokens == sum(map(len, texts))
+    left, slots, want = iter(texts), [[] for _ in range(4)], []
+    while True:
+        window = []
+        for s in range(len(slots)):
+            row = []
+            while len(row) < 8:
+                if not slots[s]:
+                    text = next(left, np.empty(0, int)).tolist()
+                    slots[s] = list(zip([shape.ids, *text[:-1]], text, [0.0] + [1.0] * len(text)))
+                    if not slots[s]:
+                        break
+                row.append(slots[s].pop(0))
+            window.append(row + [(shape.ids, -1, 1.0)] * (8 - len(row)))
+        busy = [s for s, row in enumerate(window) if row[0][1] >= 0]
+        if not busy:
+            break
+        slots = [slots[s] for s in busy]
+        want.append(tuple([[x[j] for x in window[s]] for s in busy] for j in range(3)))
+    assert seen == want
+
+
+def test_counts_add_up_over_batches(spark):
+    texts = [None, "", " a A b", "b\tc ", "a", "\n"] * 7
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = {bytes(r["word"]): r["n"] for r in recurrent_lm.count_words(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {b"": 42, b"a": 21, b"b": 14, b"c": 7}
