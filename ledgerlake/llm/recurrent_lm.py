@@ -87,11 +87,14 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def reached(counts: DataFrame, steps: list[float]) -> list[int]:
-    """How many words have each of ``steps`` or more; there are far fewer counts than words,
-    so the steps are compared with each count once, not with each word."""
+    """How many words have each of ``steps`` (ascending) or more; there are far fewer counts than
+    words, so the steps are compared with each count once, not with each word."""
     sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
-    row = sizes.agg(*[F.sum(F.when(F.col("n") >= F.lit(s), F.col("words")).otherwise(0)) for s in steps]).first()
-    return [n or 0 for n in row]
+    passed = F.size(F.filter(F.array(*map(F.lit, steps)), lambda s: F.col("n") >= s))
+    words = np.zeros(len(steps) + 1, np.int64)
+    for r in sizes.groupBy(passed.alias("steps")).agg(F.sum("words").alias("words")).collect():
+        words[r["steps"]] = r["words"]
+    return words[::-1].cumsum()[::-1][1:].tolist()
 
 
 def _head(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]]:
