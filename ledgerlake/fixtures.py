@@ -338,7 +338,7 @@ def fact_rows(
     tags = env.select(
         "account_id", F.concat(F.lit('{"env":"'), F.col("environment"), F.lit('"}')).alias("tags_json")
     )
-    j = items.join(tags, "account_id", "left")
+    j = items.join(F.broadcast(tags), "account_id", "left")  # five rows of configuration: the items stay where they lie
     return j.select(
         "billing_cycle",
         F.col("bill_date").alias("usage_date"),

@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +27,24 @@ from pyspark.sql import types as T
 
 from ..fixed_values import STATUS_FINALIZED
 from ..functions.keys import dedup_key
-from ..session import delete_folder, path_exists, short_shuffles, spread_by
+from ..session import delete_folder, packed, path_exists, short_shuffles, spread_by
 
 #: Buckets of a table's key index: the tasks among which a batch's keys are looked up.
 KEY_BUCKETS = 64
 
+#: A text key longer than this is held in the key index as a digest of it.
+KEY_LENGTH = 24
+
+#: A merge of more rows than this is done in turns, each of a share of the keys, so that a
+#: share of the table is shuffled at a time; and the most turns, since each reads the slices.
+TURN_ROWS, TURNS = 1 << 20, 8
+
+#: Keys that come more than once in a first write: up to so many are broadcast.
+REPEATED_KEYS = 100_000
+
+#: Bytes of a file that a task reads of rows which are written as they lie: it sorts them by slice.
+DEALT_BYTES = 16 << 20
+
 
 def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Columns usable as a tie-break (maps are not comparable in Spark)."""
@@ -196,7 +211,22 @@ def _folders(slices: DataFrame, parts: Sequence[str]) -> DataFrame:
     return slices.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in parts]).distinct()
 
 
-def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: DataFrame | None = None) -> None:
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    prev = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, prev)
+
+
+def _slice_folder(spark: SparkSession, path: str, parts: Sequence[str], values: Sequence) -> str:
+    hive = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *(hive.getPartitionPathString(c, v) for c, v in zip(parts, values))])
+
+
+def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: DataFrame | None = None, dealt: bool = False) -> None:
     """SNK7 (physical): dynamic partition overwrite of the slices ``new`` touches.
 
     Only partitions present in ``new`` are rewritten; the others are not read or
@@ -205,23 +235,26 @@ def replace_slices(new: DataFrame, path: str, parts: Sequence[str], slices: Data
     the write, so a job lost on the way leaves a slice old or new and a re-run ends it.
     A value is written as Hive writes it (escaped; NULL and '' share one folder, and read
     back as NULL).  Slices are cut into tasks by their size.  ``new`` must not read ``path``.
+    ``dealt``: the files that ``new`` is read from hold few slices each, so it is written as
+    it lies, without a shuffle.
     """
     spark = new.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        with short_shuffles(spark):
-            spread_by(new, parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    read = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if dealt:
+        read = min(DEALT_BYTES, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(read))
+    with (
+        _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"),
+        _setting(spark, "spark.sql.files.maxPartitionBytes", str(read)),
+        short_shuffles(spark),
+    ):
+        packed(new if dealt else spread_by(new, parts)).mode("overwrite").partitionBy(*parts).parquet(path)
     if slices is not None:
         there = _folders(new, parts).select(*[F.col(c).alias(f"_{c}") for c in parts])
         same = F.lit(True)
         for c in parts:
             same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        hive = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         for r in _folders(slices, parts).join(there, same, "left_anti").toLocalIterator():  # one for each emptied slice
-            delete_folder(spark, "/".join([path, *(hive.getPartitionPathString(c, r[c]) for c in parts)]))
+            delete_folder(spark, _slice_folder(spark, path, parts, [r[c] for c in parts]))
 
 
 def reset_status(status: DataFrame, keep_finalized: bool = False) -> DataFrame:
@@ -276,15 +309,25 @@ def latest_balance(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def _short_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with its keys as the key index holds them: of a long text a digest of 64 bits."""
+
+    def short(c: str) -> Column:
+        eight = F.unhex(F.lpad(F.hex(F.xxhash64(c)), 16, "0"))
+        return F.when(F.length(c) > KEY_LENGTH, F.substring(F.base64(eight), 1, 11)).otherwise(F.col(c))
+
+    return rows.withColumns({k: short(k) for k in keys if isinstance(rows.schema[k].dataType, T.StringType)})
+
+
 def key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_col: str, buckets: int = KEY_BUCKETS) -> str:
     """The name of the key index of the table at ``path``: (keys, partition), bucketed by the keys.
 
     It lies at ``<path>_keys`` and says in which partitions a key lies or has lain since the
-    index was made; a key found in too many costs a slice rewritten, never a copy.  It is
-    made from the table's rows where it is missing.  Bucketed, so a join on the keys reads
-    it in place: only the batch is shuffled.
+    index was made; a key found in too many costs a slice rewritten, never a copy.  So long
+    texts are held as digests, which few keys share.  It is made from the table's rows where
+    it is missing.  Bucketed, so a join on the keys reads it in place: only the batch is shuffled.
     """
-    where = f"{path}_keys/buckets={buckets}"
+    where = f"{path}_keys/short/buckets={buckets}"
     name = f"keys_{hashlib.sha1(where.encode()).hexdigest()[:20]}"
     others = [k for k in keys if k != partition_col]
     fresh = not path_exists(spark, where)
@@ -300,7 +343,7 @@ def key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_col
         columns = ", ".join(f"`{c}` {kinds[c]}" for c in [*others, "_slice"])
         by = ", ".join(f"`{k}`" for k in others)
         spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet "
+            f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (compression 'zstd') "
             f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{where}'"
         )
     if stored is not None:
@@ -311,13 +354,17 @@ def key_index(spark: SparkSession, path: str, keys: Sequence[str], partition_col
 def _append_keys(rows: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
     """Add the distinct ``rows`` to the index: dealt to a task for each bucket, made distinct there."""
     with short_shuffles(rows.sparkSession):
-        rows.repartition(buckets, *keys).distinct().write.insertInto(name)
+        _short_keys(rows, keys).repartition(buckets, *keys).distinct().write.insertInto(name)
     rows.sparkSession.catalog.refreshTable(name)
 
 
 def key_slices(new: DataFrame, index: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, slice) of the index for the keys of ``new``; the index is not shuffled."""
-    wanted = new.select(*keys).distinct()
+    """(keys, slice) of the index for the keys of ``new``; the index is not shuffled.
+
+    The keys of ``new`` are not made distinct: an aggregation of more parts than the index
+    has buckets would have the index dealt into as many.
+    """
+    wanted = _short_keys(new.select(*keys), keys)
     return index.join(wanted.hint("shuffle_merge"), list(keys), "left_semi")
 
 
@@ -330,11 +377,95 @@ def compact_keys(spark: SparkSession, path: str, keys: Sequence[str], partition_
         key_index(spark, path, keys, partition_col, buckets)
 
 
+def _turns(rows: int) -> int:
+    """The turns in which a merge of so many rows is done."""
+    return max(1, min(TURNS, math.ceil(rows / TURN_ROWS)))
+
+
+_HEX, _TEXT = bytearray(b"\1"), bytearray(b"\0")  # the first byte of a packed text
+
+
+def _pack(c: str) -> Column:
+    """A text as bytes, one of (lower case) hex digits at half its length."""
+    raw = F.unhex(c)
+    return F.when(F.lower(F.hex(raw)) == F.col(c), F.concat(F.lit(_HEX), raw)).otherwise(F.concat(F.lit(_TEXT), F.col(c).cast("binary")))
+
+
+def _unpack(c: str) -> Column:
+    rest = F.substr(c, F.lit(2))
+    return F.when(F.substring(c, 1, 1) == F.lit(_HEX), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
+def _merged(rows: DataFrame, keys: Sequence[str], order: Sequence[str], partition_col: str, staging: str, turns: int) -> DataFrame:
+    """The latest row per key of ``rows``, staged by slice.
+
+    Each turn takes a share of the keys by their hash, so what is shuffled at a time is a
+    share of ``rows`` and all rows of a key are in one turn.  Text keys are shuffled packed.
+    """
+    spark = rows.sparkSession
+    turn = F.pmod(F.xxhash64(*keys), F.lit(turns))
+    texts = [k for k in keys if k != partition_col and rows.schema[k].dataType == T.StringType()]
+    for t in range(turns):
+        some = (rows.filter(turn == t) if turns > 1 else rows).withColumns({k: _pack(k) for k in texts})
+        with short_shuffles(spark):
+            latest = spread_by(latest_per_key(some, keys, order), [partition_col])
+            packed(latest.withColumns({k: _unpack(k) for k in texts})).mode("append").partitionBy(partition_col).parquet(staging)
+    return spark.read.schema(rows.schema).parquet(staging).select(*rows.columns)
+
+
+def _replace_in_turns(merged: DataFrame, path: str, staging: str, partition_col: str, values: Sequence, turns: int) -> None:
+    """Replace the slices ``values`` by what is staged of them; what is replaced is deleted."""
+    spark = merged.sparkSession
+    kind = T.StructType([merged.schema[partition_col]])
+    for t in range(min(turns, len(values))):
+        some = values[t::turns]
+        new = merged.filter(_in_slices(partition_col, some)) if turns > 1 else merged
+        replace_slices(new, path, [partition_col], spark.createDataFrame([(v,) for v in some], kind), dealt=True)
+        for v in some:
+            delete_folder(spark, _slice_folder(spark, staging, [partition_col], [None if v is None else str(v)]))
+
+
+def _in_slices(partition_col: str, values: Sequence) -> Column:
+    """Whether a row lies in one of the slices (literals, so that no other one is opened)."""
+    at = F.col(partition_col).isin([v for v in values if v is not None])
+    return at | F.col(partition_col).isNull() if None in values else at
+
+
+def _first_write(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
+                 staging: str, dealt: bool) -> None:
+    """Write the latest row per key of ``new`` where no table is yet.
+
+    The hashes of the keys tell which ones come more than once.  Where these are few, all
+    other rows are written without being brought together by their keys.
+    """
+    spark = new.sparkSession
+    hashed = new.withColumn("_hash", F.xxhash64(*keys))
+    counted = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n"))
+    with short_shuffles(spark):
+        packed(counted.filter("n > 1")).mode("overwrite").parquet(f"{staging}-repeated")
+    repeated = spark.read.schema(counted.schema).parquet(f"{staging}-repeated")
+    n, rows = repeated.agg(F.count(F.lit(1)), F.sum("n")).first()
+    if not n:
+        replace_slices(new, path, [partition_col], dealt=dealt)
+    elif n <= REPEATED_KEYS:
+        few = F.broadcast(repeated.select("_hash"))
+        once = hashed.join(few, "_hash", "left_anti").drop("_hash")
+        more = latest_per_key(hashed.join(few, "_hash", "left_semi").drop("_hash"), keys, order)
+        if dealt:
+            more = spread_by(more, [partition_col])
+        replace_slices(once.unionByName(more), path, [partition_col], dealt=dealt)
+    else:
+        replace_slices(_merged(new, keys, order, partition_col, staging, _turns(rows)), path, [partition_col], dealt=True)
+    for name in ("", "-repeated"):
+        delete_folder(spark, f"{staging}{name}")
+
+
 def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
-                staging: str, buckets: int = KEY_BUCKETS) -> list[str | None]:
+                staging: str, buckets: int = KEY_BUCKETS, dealt: bool = False) -> list[str | None]:
     """SNK5/SNK6 physically: merge ``new`` into the Parquet table at ``path``.
 
-    Returns the values (as text) of the partitions written.
+    Returns the values (as text) of the partitions written.  ``dealt``: the files that
+    ``new`` is read from hold few partitions each.
 
     The partitions rewritten are those of ``new`` and those in which one of its keys
     lies now, so a record that moved to another partition leaves no second copy.  These
@@ -344,38 +475,42 @@ def upsert_into(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[
     The merged slices are first written to ``staging`` (a fresh folder in the shared
     checkpoint area), then copied over the touched partitions by dynamic overwrite, so
     no plan ever overwrites a path it is reading, and re-running a lost job gives the
-    same result.  What was staged is deleted in the end, and shuffle files with the write
-    that made them.  A first write reads no table, and goes to its place at once.
+    same result.  A large merge is done in turns (``TURN_ROWS``): by shares of the keys into
+    ``staging``, by shares of the slices from there.  What was staged is deleted once it is
+    copied, and shuffle files with the write that made them.  A first write reads no table,
+    and goes to its place at once.
     """
     spark = new.sparkSession
     others = [k for k in keys if k != partition_col]
     index = key_index(spark, path, keys, partition_col, buckets)
     if not index:  # first write: no table yet
-        replace_slices(latest_per_key(new, keys, order), path, [partition_col])
+        _first_write(new, path, keys, order, partition_col, staging, dealt)
         key_index(spark, path, keys, partition_col, buckets)
         written = spark.read.schema(new.schema).parquet(path)  # its folders: no row is read
         return [r[0] for r in written.select(F.col(partition_col).cast("string")).distinct().collect()]
 
     def staged(rows: DataFrame, name: str) -> DataFrame:
         with short_shuffles(spark):
-            rows.write.mode("overwrite").parquet(f"{staging}{name}")
+            packed(rows).mode("overwrite").parquet(f"{staging}{name}")
         return spark.read.schema(rows.schema).parquet(f"{staging}{name}")
 
-    batch = staged(new.select(*others, F.col(partition_col).cast("string").alias("_slice")).distinct(), "-keys")
+    given = new.select(*others, F.col(partition_col).cast("string").alias("_slice"))
+    batch = staged(_short_keys(given, others).distinct(), "-keys")
     held = staged(key_slices(batch, spark.table(index), others), "-held")
     _append_keys(batch.join(held, [*others, "_slice"], "left_anti"), index, others, buckets)
-    touched = batch.select("_slice").union(held.select("_slice")).distinct()
-    touched = staged(touched.select(F.col("_slice").cast(new.schema[partition_col].dataType).alias(partition_col)), "-slices")
+    # '' lies in the folder of NULL, and is read back as NULL
+    touched = batch.select("_slice").union(held.select("_slice")).select(F.nullif("_slice", F.lit("")).alias("_slice"))
+    # one value for each touched partition
+    values = [r[0] for r in touched.distinct().select(F.col("_slice").cast(new.schema[partition_col].dataType)).collect()]
     old = spark.read.parquet(path)
     old = old.withColumn(partition_col, F.col(partition_col).cast(new.schema[partition_col].dataType))
-    # one value for each touched partition: literals, so that no other one is opened
-    values = [r[0] for r in touched.collect()]
-    at = F.col(partition_col).isin([v for v in values if v is not None])
-    old_slices = old.filter(at | F.col(partition_col).isNull() if None in values else at)
-    merged = staged(upsert_latest(old_slices.select(*new.columns), new, keys, order), "")
-    replace_slices(merged, path, [partition_col], touched)
-    for name in ("", "-keys", "-held", "-slices"):
+    old_slices = old.filter(_in_slices(partition_col, values))
+    turns = _turns(old_slices.count() + batch.count())
+    rows = old_slices.select(*new.columns).unionByName(new, allowMissingColumns=True)
+    for name in ("-keys", "-held"):
         delete_folder(spark, f"{staging}{name}")
+    _replace_in_turns(_merged(rows, keys, order, partition_col, staging, turns), path, staging, partition_col, values, turns)
+    delete_folder(spark, staging)
     return [None if v is None else str(v) for v in values]
 
 

@@ -191,3 +191,65 @@ def test_moved_keys_over_batches_and_a_lost_job(spark, tmp):
     assert sorted(map(tuple, index.collect())) == [("r1", "2025-04"), ("r2", "2025-01"), ("r3", "2025-03")]
     merge([("r1", "2025-01", D("5"), ts(5), "e"), ("r4", "2025-01", D("6"), ts(5), "e")], 3)
     assert held() == [("r1", "2025-01", D("5")), ("r2", "2025-01", D("1")), ("r3", "2025-03", D("9")), ("r4", "2025-01", D("6"))]
+
+
+def test_a_merge_in_turns_gives_the_rows_of_one(spark, tmp, monkeypatch):
+    monkeypatch.setattr(up, "TURN_ROWS", 64)
+    schema = "account_id string, dedup_key string, billing_cycle string, v int, at timestamp_ntz"
+    keys, order = ["account_id", "dedup_key"], ["at"]
+    names = ["ab" * 32, "AB" * 32, "0" * 63, "f" * 64, "", "é" * 30, "short", "a b" * 20, None]
+    old = [(a, k, c, n, ts(1)) for n, (a, k, c) in enumerate(
+        (a, k, c) for a in ("x", None) for k in names for c in ("2025-01", "2025-02", None))]
+    old += [("y", f"{n:064x}", f"2025-{1 + n % 4:02d}", n, ts(1)) for n in range(60)]
+    new = [("y", f"{n:064x}", "2025-07", -n, ts(2)) for n in range(0, 60, 7)]
+    new += [("y", f"{n:064x}", "", -n, ts(0)) for n in range(3)]
+    new += [("x", k, "2025-02", 99, ts(2)) for k in names] + [("z", "new", c, 1, ts(1)) for c in ("2025-01", "", None)]
+    o, n = (spark.createDataFrame(rows, schema) for rows in (old, new))
+    path = tmp + "/fact"
+    up.replace_slices(o, path, ["billing_cycle"])
+    turns = []
+    real = up._merged
+    monkeypatch.setattr(up, "_merged", lambda *a: turns.append(a[-1]) or real(*a))
+    got = up.upsert_into(n, path, keys, order, "billing_cycle", tmp + "/s", buckets=4)
+    assert turns == [3] and sorted(map(str, got)) == ["2025-01", "2025-02", "2025-03", "2025-04", "2025-07", "None"]
+    want = up.latest_per_key(o.unionByName(n), keys, order)
+    plain = [tuple(r[:2]) + (r[2] or None,) + tuple(r[3:]) for r in want.collect()]
+    held = spark.read.schema(schema).parquet(path).select(*o.columns).collect()
+    assert sorted(map(str, (tuple(r) for r in held))) == sorted(map(str, plain))
+    assert [f for f in os.listdir(tmp) if f not in ("fact", "fact_keys")] == []
+
+
+def test_a_first_write_settles_repeated_keys(spark, tmp, monkeypatch):
+    rows = [(f"r{k}", f"2025-{1 + k % 3:02d}", D(k), ts(1), "a") for k in range(40)]
+    again = [(f"r{k}", f"2025-{5 + k % 2:02d}", D(k), ts(2), "b") for k in range(0, 40, 5)] + [(None, None, D(1), ts(h), "c") for h in (1, 2)]
+    new = spark.createDataFrame(rows + again, LI)
+    want = sorted(map(str, up.latest_per_key(new, ["record_id"], ["synced_at"]).collect()))
+    assert len(want) == 41
+    for n, (most, dealt) in enumerate([(100, False), (100, True), (0, True)]):
+        monkeypatch.setattr(up, "REPEATED_KEYS", most)
+        got = up.upsert_into(new, f"{tmp}/t{n}", ["record_id"], ["synced_at"], "billing_cycle", f"{tmp}/s{n}", buckets=2, dealt=dealt)
+        held = spark.read.schema(LI).parquet(f"{tmp}/t{n}").select(*new.columns)
+        assert sorted(map(str, held.collect())) == want and None in got
+    assert [f for f in os.listdir(tmp) if f.startswith("s")] == []
+
+
+def test_long_keys_are_digests_in_the_index(spark, tmp):
+    schema, path = "account_id string, dedup_key string, p string, v int", tmp + "/t"
+    rows = [("a", f"{k:064x}", f"p{k % 3}", k) for k in range(30)]
+    keys = ["account_id", "dedup_key"]
+    up.upsert_into(spark.createDataFrame(rows, schema), path, keys, ["v"], "p", tmp + "/s0", buckets=2)
+    index = spark.table(up.key_index(spark, path, keys, "p", 2))
+    assert {len(r.dedup_key) for r in index.collect()} == {11} and index.distinct().count() == 30
+    moved = [("a", f"{k:064x}", "p9", 100 + k) for k in range(0, 30, 4)]
+    up.upsert_into(spark.createDataFrame(moved, schema), path, keys, ["v"], "p", tmp + "/s1", buckets=2)
+    got = {r.dedup_key: (r.p, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {k: (p, v) for _, k, p, v in rows} | {k: (p, v) for _, k, p, v in moved}
+    assert spark.read.parquet(path).count() == 30
+
+
+def test_texts_are_packed_and_come_back(spark):
+    texts = ["", "ab", "AB", "abc", "00", "zz", "é", "f" * 64, "0F", " ab", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", up._pack("t").alias("b"))
+    got = df.select("t", "b", up._unpack("b").alias("u")).collect()
+    assert [r.u for r in got] == texts and len({bytes(r.b) for r in got if r.b is not None}) == 10
+    assert len(got[7].b) == 33
