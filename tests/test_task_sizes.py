@@ -15,6 +15,7 @@ from ledgerlake.operators import ingest as ig
 from ledgerlake.operators import upsert as up
 from ledgerlake.plans import queries_files as qf
 from ledgerlake.session import checkpoint_root, is_staged, path_exists
+from ledgerlake.sources import exports as ex
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -144,3 +145,26 @@ def test_ragged_exports_land_without_staged_line_items(spark, tables):
         top = {0: [*qf._TITLE.split("\n")[:2], "", head], 1: [head], 2: []}[kind]
         assert values[: len(top)] == top and head not in values[len(top) :]
     assert entry.queries()["export_records_over_lines"](spark, tables).count() == 80
+
+
+def test_export_rows_are_dealt_before_their_key_is_made(spark, tables):
+    root = qf.landed_exports(spark, tables)
+    plain, dealt = (ex.read_bill_exports(spark, root, qf._prefixes(spark, tables), glob=qf.EXPORT_GLOB, deal=d) for d in (False, True))
+    assert dealt.columns == plain.columns and sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sha2") < plan.index("RebalancePartitions")  # the key above it
+
+
+@pytest.mark.parametrize("name", ["exports_ingested_in_runs"])
+def test_exports_are_ingested_without_staged_line_items(spark, tables, name):
+    spark.conf.unset(INITIAL)
+    out = entry.queries()[name](spark, tables)
+    if name == "stream_export_ingest":
+        assert out.count() == 80
+    else:
+        want = fx.build_line_items(spark, tables).groupBy("account_id", "billing_cycle").agg(
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum(F.col("cash_amount") * F.when(F.expr("account_id = 'AFRICA' AND subscription_type = 'Subscription'"), 2).otherwise(1)
+                  ).cast("decimal(38,6)").alias("amount"))
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    assert not is_staged(spark, fx._line_items_name(), fx._paths(tables, fx._LINE_ITEM_INPUTS))
