@@ -72,10 +72,11 @@ def landed_exports(spark: SparkSession, sf: str) -> str:
     in layout B (other column order, compact cycle, an unknown column, no name), plus
     one zero-byte placeholder object (SRC3: skipped without affecting the rest).
 
-    Each task of the scan writes its files, one for each account, compressed."""
+    Each task writes its files, one for each account, compressed.  A layout holds half of the
+    lines, so without staged line items the joins give each line once."""
 
     def write(path: str) -> None:
-        rows = _export_rows(fx.line_items(spark, sf))
+        rows = _export_rows(fx.line_items_once(spark, sf))
         for layout, cols, kind in (("a", LAYOUT_A, "Subscription"), ("b", LAYOUT_B, "PayAsYouGo")):
             (
                 rows.filter(F.col("subscription_type") == kind)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..operators import ops_metrics as om
 from ..operators.rollup import daily_rollup, monthly_rollup, with_month
 from ..operators.upsert import latest_per_key, replace_slices, upsert_into
-from ..session import checkpoint_root, delete_folder
+from ..session import checkpoint_root, delete_folder, packed, short_shuffles
 from ..sources.exports import parse_export_lines, scan_columns
 
 
@@ -118,11 +118,12 @@ def event_stream(spark: SparkSession, folder: str, glob: str, schema: T.StructTy
 
 # ------------------------------------------------------------------ ST1 / ST2
 def upsert_batch(path: str, staging_root: str, keys: Sequence[str], order: Sequence[str],
-                 partition_col: str) -> Callable[[DataFrame, int], None]:
-    """ST2: ``foreachBatch`` sink merging each batch into the table at ``path``."""
+                 partition_col: str, dealt: bool = False) -> Callable[[DataFrame, int], None]:
+    """ST2: ``foreachBatch`` sink merging each batch (``dealt`` by slice or not) into the table at ``path``."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_into(batch, path, keys, order, partition_col, f"{staging_root}/batch-{batch_id}-{uuid.uuid4().hex[:8]}")
+        staging = f"{staging_root}/batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        upsert_into(batch, path, keys, order, partition_col, staging, dealt=dealt)
 
     return sink
 
@@ -139,12 +140,13 @@ def stream_exports(spark: SparkSession, root: str, table: str, prefixes: DataFra
         r = r.option("maxFilesPerTrigger", max_files)
     lines = scan_columns(r.text(root))
     run = hashlib.sha1(ckpt.encode()).hexdigest()[:12]  # a replay of the run has the same folder
-    merge = upsert_batch(table, f"{ckpt}/staging", ["account_id", "dedup_key"], ["ingested_at"], "billing_cycle")
+    merge = upsert_batch(table, f"{ckpt}/staging", ["account_id", "dedup_key"], ["ingested_at"], "billing_cycle", dealt=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows, held = parse_export_lines(batch, prefixes), f"{ckpt}/rows/batch-{batch_id}"
+        rows, held = parse_export_lines(batch, prefixes, deal=True), f"{ckpt}/rows/batch-{batch_id}"
         # written, not persisted: cached rows of a large batch take the memory of its merge
-        rows.write.mode("overwrite").parquet(held)
+        with short_shuffles(batch.sparkSession):
+            packed(rows).mode("overwrite").parquet(held)
         rows = batch.sparkSession.read.schema(rows.schema).parquet(held)
         bad = rows.filter(F.col("parse_error").isNotNull())
         bad.write.mode("overwrite").parquet(f"{table}_rejected/run={run}/batch_id={batch_id}")

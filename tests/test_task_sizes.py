@@ -155,7 +155,7 @@ def test_export_rows_are_dealt_before_their_key_is_made(spark, tables):
     assert plan.index("sha2") < plan.index("RebalancePartitions")  # the key above it
 
 
-@pytest.mark.parametrize("name", ["exports_ingested_in_runs"])
+@pytest.mark.parametrize("name", ["stream_export_ingest", "exports_ingested_in_runs"])
 def test_exports_are_ingested_without_staged_line_items(spark, tables, name):
     spark.conf.unset(INITIAL)
     out = entry.queries()[name](spark, tables)
