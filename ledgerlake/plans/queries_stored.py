@@ -75,10 +75,10 @@ REPLACED, EMPTIED = ("1997-03", "1998-02"), "1996-05"
 def fact_slices_replaced_in_place(spark: SparkSession, sf: str) -> DataFrame:
     """SNK7 physically: two cycles reloaded with pretax amounts, one reloaded with nothing."""
     path, items, env = _folder(spark, "fact"), fx.line_items(spark, sf), fx.environments(spark, sf)
-    up.replace_slices(fx.fact_rows(items, env), path, ["billing_cycle"])
+    up.replace_slices(fx.fact_rows(items, env), path, ["billing_cycle"], dealt=True)  # as the line items are
     new = fx.fact_rows(items.filter(F.col("billing_cycle").isin(*REPLACED)), env, "pretax_amount")
     slices = spark.createDataFrame([(c,) for c in (*REPLACED, EMPTIED)], "billing_cycle string")
-    up.replace_slices(new, path, ["billing_cycle"], slices)
+    up.replace_slices(new, path, ["billing_cycle"], slices, dealt=True)
     return spark.read.parquet(path).groupBy("billing_cycle").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("amount").cast("decimal(38,6)").alias("amount")
     )

@@ -147,6 +147,24 @@ def test_ragged_exports_land_without_staged_line_items(spark, tables):
     assert entry.queries()["export_records_over_lines"](spark, tables).count() == 80
 
 
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_stored_facts_are_written_as_the_line_items_lie(spark, tables):
+    """The facts pass no shuffle: neither by account for their tags, nor by cycle for the write."""
+    items = fx.line_items(spark, tables)
+    facts = fx.fact_rows(items, fx.environments(spark, tables))
+    assert _shuffles(facts) == 0 and facts.count() == 80
+    seen = []
+    spread, up.spread_by = up.spread_by, lambda *a: seen.append(a) or spread(*a)
+    try:
+        out = entry.queries()["fact_slices_replaced_in_place"](spark, tables).collect()
+    finally:
+        up.spread_by = spread
+    assert seen == [] and sum(r.line_count for r in out) == 80
+
+
 def test_export_rows_are_dealt_before_their_key_is_made(spark, tables):
     root = qf.landed_exports(spark, tables)
     plain, dealt = (ex.read_bill_exports(spark, root, qf._prefixes(spark, tables), glob=qf.EXPORT_GLOB, deal=d) for d in (False, True))
